@@ -95,9 +95,12 @@ def split_by_language(
     fields: Fields = DEFAULT,
     unknown: str = "unknown",
     compression: str | None = None,
+    display_prefix: str | None = None,
 ) -> SplitResult:
     """Write each valid line under its language folder; return statistics.
 
+    ``display_prefix`` is the prefix named in the summary (default: the real one).
+
     The parsed input is staged once (Parquet, shared folder); the file write
     reads ``value``/``lang_bucket`` from it and the statistics read only the
     narrow columns.
@@ -112,10 +115,17 @@ def split_by_language(
         compression=compression,
     )
     stats = language_stats(staged)
-    summary = split_summary(stats, input_path=input_path, output_prefix=output_prefix, fields=fields)
+    summary = split_summary(
+        stats, input_path=input_path, output_prefix=display_prefix or output_prefix, fields=fields
+    )
     return SplitResult(output_prefix, stats, summary)
 
 
 def summary_json(summary: DataFrame) -> DataFrame:
     """The summary as one JSON text row (``coalesce(1).write.text`` to publish it)."""
     return summary.select(F.to_json(F.struct(*summary.columns)).alias("value"))
+
+
+def read_split(spark, output_prefix: str) -> DataFrame:
+    """Lines of a split output with their language folder."""
+    return spark.read.schema(f"value string, {BUCKET} string").text(output_prefix)

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from corpusprep.fields import DEFAULT
 from corpusprep.functions.coerce import as_str, to_float, to_int
-from corpusprep.operators import filtering, profile
+from corpusprep.functions import coerce
+from corpusprep.operators import filtering, identity, profile, sampling, split
 from corpusprep.plans import oracle as O
 from corpusprep.plans import views as V
+from corpusprep.session import scratch_path
 from corpusprep.sources.jsonl import VAR
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -105,3 +107,139 @@ FROM records""",
 )
 def q_text_profile(spark, sf_dir):
     return profile.text_profile(V.records(spark, sf_dir), run_ts=V.RUN_TS)
+
+
+# ---------------------------------------------------------------- scalar rules
+@register(
+    "record_length",
+    O.with_ctes(
+        O.RECORDS,
+        body="""SELECT id, CASE WHEN doc_id % 4 IN (0, 1) THEN length(trim(ft)) ELSE len END AS record_len
+FROM records""",
+    ),
+)
+def q_record_length(spark, sf_dir):
+    d = F.col("doc_id")
+    rows = V.record_rows(spark, sf_dir).withColumn(
+        "len", F.when(d % 4 == 0, F.lit(None)).when(d % 4 == 1, F.lit(-1)).otherwise(F.col("len"))
+    )
+    v = F.col(VAR)
+    recs = V.parse_lines(V.as_lines(rows))
+    text = F.try_variant_get(v, "$['ft']", "string")
+    return recs.select(
+        as_str(v, "id").alias("id"), coerce.record_length(to_int(v, "len"), text).alias("record_len")
+    )
+
+
+@register(
+    "language_bucket",
+    O.with_ctes(
+        O.RECORDS,
+        O.LANG_VARIANTS,
+        body=f"SELECT id, {O.BUCKET_EXPR.format(x='lg')} AS lang_bucket FROM langs",
+    ),
+)
+def q_language_bucket(spark, sf_dir):
+    v = F.col(VAR)
+    recs = V.records_langs(spark, sf_dir, dirty=False)
+    return recs.select(as_str(v, "id").alias("id"), coerce.lang_bucket(as_str(v, "lg")).alias("lang_bucket"))
+
+
+@register(
+    "stable_id",
+    O.with_ctes(
+        O.RECORDS,
+        body="""SELECT newspaper, CAST(yr AS BIGINT) AS yr, len,
+  CASE WHEN doc_id % 5 = 1 THEN 'c_id' WHEN doc_id % 5 = 2 THEN 'hash' ELSE 'id' END AS rid_kind,
+  CASE WHEN doc_id % 5 = 1 THEN 'c-' || CAST(doc_id AS VARCHAR) WHEN doc_id % 5 = 2 THEN NULL ELSE id END AS rid,
+  CASE WHEN doc_id % 5 = 1 THEN length('c-' || CAST(doc_id AS VARCHAR)) WHEN doc_id % 5 = 2 THEN 40
+       ELSE length(id) END AS rid_len
+FROM records""",
+    ),
+)
+def q_stable_id(spark, sf_dir):
+    d = F.col("doc_id")
+    rows = (
+        V.record_rows(spark, sf_dir)
+        .withColumn("c_id", F.when(d % 5 == 1, F.concat(F.lit("c-"), d.cast("string"))))
+        .withColumn("id", F.when(d % 5 == 1, F.lit("")).when(d % 5 == 2, F.lit(None)).otherwise(F.col("id")))
+        .withColumn("ad_class", F.when(d % 2 == 0, F.lit("ad")))
+    )
+    v = F.col(VAR)
+    recs = V.parse_lines(V.as_lines(rows))
+    rid = identity.stable_id(v, "id", "ad_class")
+    kind = identity.stable_id_kind(v, "id")
+    return recs.select(
+        as_str(v, "newspaper").alias("newspaper"),
+        to_int(v, "yr").alias("yr"),
+        to_int(v, "len").alias("len"),
+        kind.alias("rid_kind"),
+        F.when(kind != "hash", rid).alias("rid"),
+        F.char_length(rid).cast("bigint").alias("rid_len"),
+    )
+
+
+# ---------------------------------------------------------------- split job
+@register(
+    "discover_languages",
+    O.with_ctes(
+        O.RECORDS,
+        O.LANG_VARIANTS,
+        body="SELECT DISTINCT trim(lg) AS lg FROM langs WHERE tp = 'article' AND trim(lg) <> '' ORDER BY 1",
+    ),
+)
+def q_discover_languages(spark, sf_dir):
+    recs = V.records_langs(spark, sf_dir, dirty=False)
+    return sampling.discover_languages(recs, lang_field="lg", type_field="tp", type_value="article")
+
+
+def _split(spark, sf_dir):
+    out = scratch_path(spark, "per_language")
+    return split.split_by_language(
+        V.records_langs(spark, sf_dir), out, input_path="records.jsonl", display_prefix="per_language"
+    )
+
+
+_SPLIT_STATS = f"""stats AS (
+  SELECT {O.BUCKET_EXPR.format(x='lg')} AS language, count(*) AS records, CAST(sum(len) AS BIGINT) AS total_len
+  FROM langs WHERE NOT broken GROUP BY 1)"""
+
+
+@register(
+    "split_summary",
+    O.with_ctes(
+        O.RECORDS,
+        O.LANG_VARIANTS,
+        _SPLIT_STATS,
+        body="""SELECT 'records.jsonl' AS input_path, 'per_language' AS output_prefix, 'lg' AS language_field,
+  'len' AS length_field,
+  (SELECT CAST(sum(records) AS BIGINT) FROM stats) AS total_records,
+  (SELECT CAST(sum(total_len) AS BIGINT) FROM stats) AS total_len,
+  (SELECT count(*) FROM langs WHERE broken) AS invalid_json_lines,
+  (SELECT string_agg(language, ',' ORDER BY language) FROM stats) AS languages,
+  (SELECT to_json(list(struct_pack(language := language, records := records, total_len := total_len,
+      output_path := 'per_language/lang_bucket=' || language) ORDER BY language)) FROM stats) AS languages_summary""",
+    ),
+)
+def q_split_summary(spark, sf_dir):
+    s = _split(spark, sf_dir).summary
+    return s.select(
+        *[c for c in s.columns if c not in ("languages", "languages_summary")],
+        F.array_join("languages", ",").alias("languages"),
+        F.to_json("languages_summary").alias("languages_summary"),
+    )
+
+
+@register(
+    "split_by_language",
+    O.with_ctes(
+        O.RECORDS,
+        O.LANG_VARIANTS,
+        body=f"SELECT {O.BUCKET_EXPR.format(x='lg')} AS lang_bucket, id, len FROM langs WHERE NOT broken",
+    ),
+)
+def q_split_by_language(spark, sf_dir):
+    res = _split(spark, sf_dir)
+    back = V.parse_lines(split.read_split(spark, res.output_prefix))
+    v = F.col(VAR)
+    return back.select("lang_bucket", as_str(v, "id").alias("id"), to_int(v, "len").alias("len"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.operators.profile import NON_WORD_RE
-from corpusprep.sources.jsonl import SEQ, parse_lines
+from corpusprep.sources.jsonl import SEQ, parse_lines  # noqa: F401  (re-exported)
 
 RUN_TS = "2024-01-01T00:00:00+00:00"
 

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from corpusprep.fields import DEFAULT
 from corpusprep.functions.coerce import as_str, to_float, to_int
 from corpusprep.functions import coerce
-from corpusprep.operators import filtering, identity, profile, sampling, split
+from corpusprep.operators import enrich, filtering, identity, profile, sampling, split
+from corpusprep.sources import archive
 from corpusprep.plans import oracle as O
 from corpusprep.plans import views as V
 from corpusprep.session import scratch_path
-from corpusprep.sources.jsonl import VAR
+from corpusprep.sources.jsonl import VAR, valid_records
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -243,3 +244,121 @@ def q_split_by_language(spark, sf_dir):
     back = V.parse_lines(split.read_split(spark, res.output_prefix))
     v = F.col(VAR)
     return back.select("lang_bucket", as_str(v, "id").alias("id"), to_int(v, "len").alias("len"))
+
+
+# ---------------------------------------------------------------- enrichment
+def _archive(spark, sf_dir):
+    return archive.read_archive(spark, V.archive_path(spark, sf_dir))
+
+
+@register(
+    "enrich_text",
+    O.with_ctes(
+        O.RECORDS,
+        O.NO_TEXT,
+        O.ARCHIVE,
+        body=f"""SELECT r.id,
+  CASE WHEN r.ft IS NULL AND r.len IS NULL THEN a.len ELSE r.len END AS len,
+  CASE WHEN r.ft IS NULL THEN coalesce({O.py_strip('a.title')}, '') ELSE '' END AS title,
+  md5(coalesce(r.ft, {O.py_strip('a.ft')})) AS ft_md5
+FROM no_text r LEFT JOIN archive a ON a.id = r.id
+WHERE r.ft IS NOT NULL OR a.ft IS NOT NULL""",
+    ),
+)
+def q_enrich_text(spark, sf_dir):
+    recs = identity.with_rid(valid_records(V.records_no_text(spark, sf_dir)))
+    out = enrich.enrich_text(recs, _archive(spark, sf_dir))
+    return out.select(
+        as_str(F.col(VAR), "id").alias("id"),
+        F.col("e_len").alias("len"),
+        F.col("e_title").alias("title"),
+        F.md5("e_text").alias("ft_md5"),
+    )
+
+
+_MISSING = """missing AS (
+  SELECT DISTINCT id FROM titled WHERE NOT broken AND trim(coalesce(title, '')) = '' AND id <> '')"""
+
+
+@register(
+    "missing_title_ids",
+    O.with_ctes(O.RECORDS, O.TITLES, _MISSING, body="SELECT id FROM missing ORDER BY id"),
+)
+def q_missing_title_ids(spark, sf_dir):
+    return enrich.missing_title_ids(V.parse_lines(V.title_rows(spark, sf_dir)))
+
+
+_TITLE_JOIN = f"""joined AS (
+  SELECT t.id,
+    CASE WHEN trim(coalesce(t.title, '')) <> '' THEN 'had'
+         WHEN a.id IS NOT NULL AND {O.py_strip('a.title')} <> '' THEN 'enriched'
+         ELSE 'missing' END AS t_state,
+    CASE WHEN trim(coalesce(t.title, '')) <> '' THEN trim(t.title)
+         WHEN a.id IS NOT NULL AND {O.py_strip('a.title')} <> '' THEN {O.py_strip('a.title')}
+         ELSE '' END AS title
+  FROM titled t LEFT JOIN archive a ON a.id = t.id AND t.id <> ''
+  WHERE NOT t.broken)"""
+
+
+@register(
+    "enrich_title",
+    O.with_ctes(O.RECORDS, O.TITLES, O.ARCHIVE, _TITLE_JOIN, body="SELECT id, title, t_state FROM joined"),
+)
+def q_enrich_title(spark, sf_dir):
+    out = enrich.enrich_titles(V.parse_lines(V.title_rows(spark, sf_dir)), _archive(spark, sf_dir))
+    return out.select(F.col("_tid").alias("id"), F.col("t_title").alias("title"), "t_state")
+
+
+@register(
+    "title_stats",
+    O.with_ctes(
+        O.RECORDS,
+        O.TITLES,
+        O.ARCHIVE,
+        _TITLE_JOIN,
+        body="""SELECT count(*) AS total_records_written,
+  count(*) FILTER (WHERE t_state = 'enriched') AS records_enriched_with_title,
+  count(*) FILTER (WHERE t_state = 'had') AS records_already_had_title,
+  count(*) FILTER (WHERE t_state = 'missing') AS records_still_missing_title,
+  (SELECT count(*) FROM titled WHERE broken) AS invalid_json_lines_skipped
+FROM joined""",
+    ),
+)
+def q_title_stats(spark, sf_dir):
+    return enrich.title_stats(V.parse_lines(V.title_rows(spark, sf_dir)), _archive(spark, sf_dir))
+
+
+@register(
+    "archive_lookup",
+    O.with_ctes(
+        O.RECORDS,
+        O.TITLES,
+        O.ARCHIVE,
+        _MISSING,
+        body=f"""SELECT a.id, md5({O.py_strip('a.ft')}) AS ft_md5, a.len, {O.py_strip('a.title')} AS title
+FROM archive a WHERE a.id IN (SELECT id FROM missing)""",
+    ),
+)
+def q_archive_lookup(spark, sf_dir):
+    ids = enrich.missing_title_ids(V.parse_lines(V.title_rows(spark, sf_dir)))
+    found = archive.lookup(_archive(spark, sf_dir), ids, "id")
+    return found.select(
+        F.col("a_id").alias("id"), F.md5("a_text").alias("ft_md5"), F.col("a_len").alias("len"),
+        F.col("a_title").alias("title"),
+    )
+
+
+@register(
+    "shard_plan",
+    O.with_ctes(
+        O.RECORDS,
+        O.TITLES,
+        _MISSING,
+        body="""SELECT shard, n_ids, CAST((dense_rank() OVER (ORDER BY shard) - 1) // 120 AS BIGINT) AS batch
+FROM (SELECT split_part(id, '-', 1) || '-' || split_part(id, '-', 2) AS shard, count(*) AS n_ids
+      FROM missing GROUP BY 1)""",
+    ),
+)
+def q_shard_plan(spark, sf_dir):
+    ids = enrich.missing_title_ids(V.parse_lines(V.title_rows(spark, sf_dir)))
+    return enrich.shard_plan(ids, 120, "id")

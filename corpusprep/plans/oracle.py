@@ -36,5 +36,26 @@ BUCKET_EXPR = """coalesce(nullif(trim(regexp_replace(coalesce(nullif(trim({x}),
   '[^A-Za-z0-9._-]+', '_', 'g'), '._-'), ''), 'unknown')"""
 
 
+# Python str.strip() in DuckDB: trim() with the 29 code points it removes.
+PY_SPACE_CHARS = " || ".join(
+    f"chr({c})" for c in [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                          0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+)
+
+
+def py_strip(x: str) -> str:
+    return f"trim({x}, {PY_SPACE_CHARS})"
+
+
+ARCHIVE = """archive AS (
+  SELECT id, ft, len, substr(ft, 1, 60) AS title, newspaper, yr FROM records WHERE doc_id % 11 <> 0)"""
+
+TITLES = """titled AS (
+  SELECT doc_id, CASE WHEN doc_id % 23 = 0 THEN '' ELSE id END AS id, tp, lg, len,
+    CASE WHEN doc_id % 4 = 0 THEN 'Own title ' || CAST(doc_id AS VARCHAR) WHEN doc_id % 4 = 1 THEN '  ' END AS title,
+    ft, doc_id % 17 = 0 AS broken
+  FROM records)"""
+
+
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body

@@ -103,3 +103,36 @@ def records_langs(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataF
             "value", F.when(F.col(SEQ) % 17 == 0, F.substring("value", 1, 40)).otherwise(F.col("value"))
         )
     return parse_lines(lines)
+
+
+def archive_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive lines (id, ft, len, title = first 60 characters) with shard columns;
+    records where doc_id%11=0 are not archived."""
+    r = record_rows(spark, sf_dir).filter(F.col("doc_id") % 11 != 0)
+    line = F.to_json(F.struct("id", "ft", "len", F.substring("ft", 1, 60).alias("title")))
+    return r.select(line.alias("value"), "newspaper", F.col("yr").cast("string").alias("yr"))
+
+
+def archive_path(spark: SparkSession, sf_dir: str) -> str:
+    """Write the archive once per call into the shared scratch folder."""
+    from corpusprep.session import scratch_path
+    from corpusprep.sources.archive import write_archive
+
+    path = scratch_path(spark, "archive")
+    write_archive(archive_rows(spark, sf_dir), path)
+    return path
+
+
+def title_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title-job input: own title where doc_id%4=0, blank where %4=1, absent
+    otherwise; blank ID where doc_id%23=0; line cut where doc_id%17=0."""
+    d = F.col("doc_id")
+    r = record_rows(spark, sf_dir)
+    r = r.withColumn(
+        "title",
+        F.when(d % 4 == 0, F.concat(F.lit("Own title "), d.cast("string"))).when(d % 4 == 1, F.lit("  ")),
+    ).withColumn("id", F.when(d % 23 == 0, F.lit("")).otherwise(F.col("id")))
+    lines = as_lines(r.select("doc_id", "id", "tp", "lg", "len", "title", "ft"))
+    return lines.withColumn(
+        "value", F.when(F.col(SEQ) % 17 == 0, F.substring("value", 1, 40)).otherwise(F.col("value"))
+    )

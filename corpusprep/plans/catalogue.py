@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from corpusprep.fields import DEFAULT
 from corpusprep.functions.coerce import as_str, to_float, to_int
 from corpusprep.functions import coerce
+from corpusprep.operators import classify as C
 from corpusprep.operators import enrich, filtering, identity, profile, sampling, split
+from corpusprep.plans import jobs
 from corpusprep.sources import archive
 from corpusprep.plans import oracle as O
 from corpusprep.plans import views as V
 from corpusprep.session import scratch_path
-from corpusprep.sources.jsonl import VAR, valid_records
+from corpusprep.sources.jsonl import SEQ, VAR, valid_records
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -362,3 +364,127 @@ FROM (SELECT split_part(id, '-', 1) || '-' || split_part(id, '-', 2) AS shard, c
 def q_shard_plan(spark, sf_dir):
     ids = enrich.missing_title_ids(V.parse_lines(V.title_rows(spark, sf_dir)))
     return enrich.shard_plan(ids, 120, "id")
+
+
+# ---------------------------------------------------------------- identity, store, sampling
+@register("unprocessed_anti", O.with_ctes(O.RECORDS, body="SELECT id FROM records WHERE doc_id % 7 <> 0"))
+def q_unprocessed_anti(spark, sf_dir):
+    recs = identity.with_rid(valid_records(V.records(spark, sf_dir)))
+    store = identity.with_rid(V.store_lines(spark, sf_dir))
+    return identity.unprocessed(recs, store.select(identity.RID)).select(F.col(identity.RID).alias("id"))
+
+
+SAMPLE_N = 100
+
+
+@register(
+    "sample_per_language",
+    O.with_ctes(
+        O.RECORDS,
+        body=f"""SELECT lg, id FROM (
+  SELECT lg, id, row_number() OVER (PARTITION BY lg ORDER BY md5('42:' || id), id) AS rn
+  FROM records WHERE tp = 'article' AND doc_id % 7 <> 0) WHERE rn <= {SAMPLE_N}""",
+    ),
+)
+def q_sample_per_language(spark, sf_dir):
+    p = jobs.ClassifyParams()
+    store = identity.with_rid(V.store_lines(spark, sf_dir))
+    cands = jobs.candidates(V.records(spark, sf_dir), store, p)
+    picked = sampling.sample_per_language(cands, SAMPLE_N, seed=42)
+    return picked.select(F.col(sampling.LANG).alias("lg"), F.col(identity.RID).alias("id"))
+
+
+@register(
+    "non_ad_counts",
+    O.with_ctes(O.RECORDS, O.PROCESSED,
+                body="SELECT lg, count(*) AS non_ads FROM processed WHERE ad_class = 'non-ad' AND lg <> '' GROUP BY lg"),
+)
+def q_non_ad_counts(spark, sf_dir):
+    return jobs.non_ad_counts(V.store_lines(spark, sf_dir))
+
+
+EXPORT_N = 20
+
+
+@register(
+    "non_ad_export",
+    O.with_ctes(
+        O.RECORDS,
+        O.PROCESSED,
+        body=f"""SELECT language, id FROM (
+  SELECT coalesce(nullif(lg, ''), 'unknown') AS language, id,
+    row_number() OVER (PARTITION BY coalesce(nullif(lg, ''), 'unknown') ORDER BY doc_id) AS rn
+  FROM processed WHERE ad_class = 'non-ad') WHERE rn <= {EXPORT_N}""",
+    ),
+)
+def q_non_ad_export(spark, sf_dir):
+    out = jobs.non_ad_export(V.store_lines(spark, sf_dir), EXPORT_N)
+    return out.select("language", as_str(F.col(VAR), "id").alias("id"))
+
+
+_DUPS = """dups AS (
+  SELECT id, tp, len, doc_id AS seq FROM records
+  UNION ALL SELECT id, 'dup' AS tp, len, doc_id + 1000000000 AS seq FROM records WHERE doc_id % 8 = 0)"""
+
+
+@register(
+    "dedup_first",
+    O.with_ctes(O.RECORDS, _DUPS, body="SELECT id, arg_min(tp, seq) AS tp FROM dups GROUP BY id"),
+)
+def q_dedup_first(spark, sf_dir):
+    recs = identity.with_rid(V.duplicated_lines(spark, sf_dir))
+    first = identity.keep_first(recs.select(identity.RID, SEQ, VAR))
+    return first.select(F.col(identity.RID).alias("id"), as_str(F.col(VAR), "tp").alias("tp"))
+
+
+@register(
+    "dedup_last",
+    O.with_ctes(O.RECORDS, _DUPS, body="SELECT id, arg_max(tp, seq) AS tp FROM dups GROUP BY id"),
+)
+def q_dedup_last(spark, sf_dir):
+    recs = identity.with_rid(V.duplicated_lines(spark, sf_dir))
+    last = identity.keep_last(recs.select(identity.RID, SEQ, VAR))
+    return last.select(F.col(identity.RID).alias("id"), as_str(F.col(VAR), "tp").alias("tp"))
+
+
+def _new_rows(spark, sf_dir):
+    """New labelled rows of a run over the unprocessed records (native rule label)."""
+    recs = identity.with_rid(valid_records(V.records(spark, sf_dir)))
+    store = identity.with_rid(V.store_lines(spark, sf_dir))
+    new = identity.unprocessed(recs, store.select(identity.RID))
+    return new.withColumn("ad_class", C.rule_label(as_str(F.col(VAR), "ft"))).withColumn("run_id", F.lit("r1"))
+
+
+@register(
+    "store_union",
+    O.with_ctes(
+        O.RECORDS,
+        O.PROCESSED,
+        body=f"""SELECT id, ad_class, CAST(NULL AS VARCHAR) AS run_id FROM processed
+UNION ALL SELECT id, {O.AD_RULE.format(t='ft')} AS ad_class, 'r1' AS run_id FROM records WHERE doc_id % 7 <> 0""",
+    ),
+)
+def q_store_union(spark, sf_dir):
+    store = identity.with_rid(V.store_lines(spark, sf_dir))
+    old = store.select(identity.RID, as_str(F.col(VAR), "ad_class").alias("ad_class"))
+    new = _new_rows(spark, sf_dir).select(identity.RID, "ad_class", "run_id")
+    both = identity.store_union(old, new)
+    return both.select(F.col(identity.RID).alias("id"), "ad_class", "run_id")
+
+
+@register(
+    "store_state",
+    O.with_ctes(
+        O.RECORDS,
+        O.PROCESSED,
+        body="""SELECT (SELECT count(DISTINCT id) FROM records) AS processed_ids,
+  (SELECT count(*) FROM processed) + (SELECT count(*) FROM processed WHERE doc_id % 14 = 0) AS existing_rows,
+  (SELECT count(*) FROM records WHERE doc_id % 7 <> 0) AS new_rows""",
+    ),
+)
+def q_store_state(spark, sf_dir):
+    store = identity.with_rid(V.store_lines(spark, sf_dir))
+    # existing stores are copied without dedup: rows of doc_id%14=0 appear twice
+    again = store.filter((F.col(SEQ) % 14) == 0)
+    existing = store.unionByName(again)
+    return identity.store_state(existing, _new_rows(spark, sf_dir))

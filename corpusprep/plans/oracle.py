@@ -57,5 +57,12 @@ TITLES = """titled AS (
   FROM records)"""
 
 
+AD_RULE = """CASE WHEN length(regexp_replace({t}, '[^0-9]', '', 'g')) * 200 > length({t}) OR length({t}) < 300
+  THEN 'ad' ELSE 'non-ad' END"""
+
+PROCESSED = """processed AS (
+  SELECT *, """ + AD_RULE.format(t="ft") + """ AS ad_class FROM records WHERE doc_id % 7 = 0)"""
+
+
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body

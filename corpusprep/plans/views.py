@@ -136,3 +136,24 @@ def title_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.withColumn(
         "value", F.when(F.col(SEQ) % 17 == 0, F.substring("value", 1, 40)).otherwise(F.col("value"))
     )
+
+
+def processed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled store: records with doc_id%7=0 and the rule label, in doc_id order."""
+    from corpusprep.operators.classify import rule_label
+
+    r = record_rows(spark, sf_dir).filter(F.col("doc_id") % 7 == 0)
+    return r.withColumn("ad_class", rule_label(F.col("ft")))
+
+
+def store_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_lines(as_lines(processed_rows(spark, sf_dir)))
+
+
+def duplicated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``records`` plus a later copy (tp='dup') of every record with doc_id%8=0."""
+    r = record_rows(spark, sf_dir)
+    copies = r.filter(F.col("doc_id") % 8 == 0).withColumn("tp", F.lit("dup"))
+    first = as_lines(r)
+    later = as_lines(copies).withColumn(SEQ, F.col(SEQ) + F.lit(1_000_000_000))
+    return parse_lines(first.unionByName(later))

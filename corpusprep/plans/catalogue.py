@@ -15,6 +15,7 @@ from corpusprep.operators import classify as C
 from corpusprep.operators import enrich, filtering, identity, profile, sampling, split
 from corpusprep.plans import jobs
 from corpusprep.sources import archive
+from corpusprep.sources import store as store_store
 from corpusprep.plans import oracle as O
 from corpusprep.plans import views as V
 from corpusprep.session import scratch_path
@@ -488,3 +489,87 @@ def q_store_state(spark, sf_dir):
     again = store.filter((F.col(SEQ) % 14) == 0)
     existing = store.unionByName(again)
     return identity.store_state(existing, _new_rows(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- classification
+@register(
+    "classify_labels",
+    O.with_ctes(O.RECORDS, body=f"SELECT id, {O.AD_RULE.format(t='ft')} AS ad_class FROM records"),
+)
+def q_classify_labels(spark, sf_dir):
+    v = F.col(VAR)
+    recs = valid_records(V.records(spark, sf_dir))
+    label = C.classify(as_str(v, "ft"), as_str(v, "id"))
+    return recs.select(as_str(v, "id").alias("id"), label.alias("ad_class"))
+
+
+_ENRICHED_REST = f"""rest AS (
+  SELECT r.id, r.lg, r.doc_id,
+    coalesce(r.ft, {O.py_strip('a.ft')}) AS text,
+    CASE WHEN r.ft IS NULL AND r.len IS NULL THEN a.len ELSE r.len END AS len
+  FROM no_text r LEFT JOIN archive a ON a.id = r.id
+  WHERE r.tp = 'article' AND r.doc_id % 7 <> 0 AND (r.ft IS NOT NULL OR a.ft IS NOT NULL))"""
+
+
+@register(
+    "retention_estimate",
+    O.with_ctes(
+        O.RECORDS,
+        O.NO_TEXT,
+        O.ARCHIVE,
+        _ENRICHED_REST,
+        body=f"""SELECT count(*) AS newly_classified_records,
+  count(*) FILTER (WHERE {O.AD_RULE.format(t='text')} = 'non-ad') AS remaining_non_ad_count,
+  CAST(coalesce(sum(CASE WHEN {O.AD_RULE.format(t='text')} = 'non-ad'
+      THEN CASE WHEN len >= 0 THEN len ELSE length(text) END END), 0) AS BIGINT) AS remaining_non_ad_chars
+FROM rest""",
+    ),
+)
+def q_retention_estimate(spark, sf_dir):
+    store = identity.with_rid(V.store_lines(spark, sf_dir))
+    labelled = jobs.classify_rest(V.records_no_text(spark, sf_dir), store, _archive(spark, sf_dir), jobs.ClassifyParams())
+    return jobs.retention_estimate(labelled)
+
+
+RUN_POOL = 60
+
+
+@register(
+    "incremental_new_only",
+    O.with_ctes(
+        O.RECORDS,
+        O.NO_TEXT,
+        O.ARCHIVE,
+        body=f"""SELECT id, lg, {O.AD_RULE.format(t='text')} AS ad_class FROM (
+  SELECT s.id, s.lg, coalesce(s.ft, {O.py_strip('a.ft')}) AS text
+  FROM (SELECT * FROM (
+          SELECT *, row_number() OVER (PARTITION BY lg ORDER BY md5('42:' || id), id) AS rn
+          FROM no_text WHERE tp = 'article' AND doc_id % 7 <> 0) WHERE rn <= {RUN_POOL}) s
+  LEFT JOIN archive a ON a.id = s.id
+  WHERE s.ft IS NOT NULL OR a.ft IS NOT NULL)""",
+    ),
+)
+def q_incremental_new_only(spark, sf_dir):
+    """Seed the store with the processed rows, run one sampling run, read back
+    what that run appended."""
+    store_path = scratch_path(spark, "store")
+    store_store.append_run(V.store_lines(spark, sf_dir), store_path, "r0")
+    p = jobs.ClassifyParams(target_per_language=RUN_POOL // 2)
+    jobs.run_sampling(spark, V.records_no_text(spark, sf_dir), store_path, _archive(spark, sf_dir), p, "r1")
+    back = store_store.read_store(spark, store_path).filter(F.col("run_id") == "r1")
+    v = F.col(VAR)
+    return back.select(as_str(v, "id").alias("id"), as_str(v, "lg").alias("lg"), as_str(v, "ad_class").alias("ad_class"))
+
+
+@register("ad_model_fit")
+def q_ad_model_fit(spark, sf_dir):
+    """Fit the text model on the labelled store; predict every record (rows only)."""
+    from corpusprep.operators import admodel
+
+    store = V.store_lines(spark, sf_dir)
+    train = store.select(as_str(F.col(VAR), "ft").alias("text"), as_str(F.col(VAR), "ad_class").alias("label"))
+    model = admodel.fit(train)
+    recs = valid_records(V.records(spark, sf_dir)).select(
+        as_str(F.col(VAR), "id").alias("id"), as_str(F.col(VAR), "ft").alias("text")
+    )
+    return admodel.predict(model, recs).select("id", "ad_class")

@@ -1,0 +1,21 @@
+"""Lookup joins with a checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup side is broadcast only when it has at most this many rows.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def lookup_join(df: DataFrame, lookup: DataFrame, on: str, how: str = "left",
+                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join to a lookup table; broadcast it only after counting it is small.
+
+    The count is one cheap job over the lookup side; above the bound the join
+    is a normal shuffle join (AQE may still pick a broadcast at run time).
+    """
+    n = lookup.limit(max_rows + 1).count()
+    side = F.broadcast(lookup) if n <= max_rows else lookup
+    return df.join(side, on, how)

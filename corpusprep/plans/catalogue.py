@@ -8,18 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.fields import DEFAULT
+from corpusprep.fields import DEFAULT, Fields
 from corpusprep.functions.coerce import as_str, to_float, to_int
 from corpusprep.functions import coerce
 from corpusprep.operators import classify as C
-from corpusprep.operators import enrich, filtering, identity, profile, sampling, split
+from corpusprep.operators import enrich, filtering, identity, joins, keywords, profile, sampling, split
 from corpusprep.plans import jobs
-from corpusprep.sources import archive
+from corpusprep.sources import archive, folder, providers
 from corpusprep.sources import store as store_store
 from corpusprep.plans import oracle as O
 from corpusprep.plans import views as V
 from corpusprep.session import scratch_path
-from corpusprep.sources.jsonl import SEQ, VAR, valid_records
+from corpusprep.sources.jsonl import SEQ, VAR, valid_records, write_jsonl
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -573,3 +573,194 @@ def q_ad_model_fit(spark, sf_dir):
         as_str(F.col(VAR), "id").alias("id"), as_str(F.col(VAR), "ft").alias("text")
     )
     return admodel.predict(model, recs).select("id", "ad_class")
+
+
+# ---------------------------------------------------------------- providers
+def _listings(spark, sf_dir):
+    return providers.read_providers(spark, V.providers_path(spark, sf_dir))
+
+
+@register("provider_map", O.with_ctes(O.PROVIDERS, body="SELECT newspaper, country FROM pmap"))
+def q_provider_map(spark, sf_dir):
+    return providers.newspaper_country(_listings(spark, sf_dir))
+
+
+@register(
+    "provider_conflicts",
+    O.with_ctes(
+        O.PROVIDERS,
+        body="""SELECT newspaper, count(DISTINCT country) AS n_countries FROM listing
+GROUP BY newspaper HAVING count(DISTINCT country) > 1""",
+    ),
+)
+def q_provider_conflicts(spark, sf_dir):
+    return providers.conflicts(_listings(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- keyword job
+KW_FIELDS = Fields(year="yr")
+
+
+def _kw_input(spark, sf_dir):
+    return folder.scan_language_folder(spark, V.keyword_folder(spark, sf_dir))
+
+
+@register(
+    "folder_scan",
+    O.with_ctes(
+        O.RECORDS,
+        body=f"""SELECT {O.BUCKET_EXPR.format(x='lg')} AS language, count(*) AS records,
+  CAST(sum(len) AS BIGINT) AS total_len FROM records GROUP BY 1""",
+    ),
+)
+def q_folder_scan(spark, sf_dir):
+    lines = valid_records(_kw_input(spark, sf_dir))
+    return lines.groupBy(F.col(folder.LANG_FILE).alias("language")).agg(
+        F.count("*").alias("records"), F.sum(to_int(F.col(VAR), "len")).cast("bigint").alias("total_len")
+    )
+
+
+FIRST_N = 30
+
+
+@register(
+    "first_n_per_file",
+    O.with_ctes(
+        O.RECORDS,
+        body=f"""SELECT language, id FROM (
+  SELECT {O.BUCKET_EXPR.format(x='lg')} AS language, id,
+    row_number() OVER (PARTITION BY {O.BUCKET_EXPR.format(x='lg')} ORDER BY doc_id) AS rn FROM records)
+WHERE rn <= {FIRST_N}""",
+    ),
+)
+def q_first_n_per_file(spark, sf_dir):
+    lines = valid_records(_kw_input(spark, sf_dir))
+    first = sampling.first_n_per_group(lines, folder.LANG_FILE, FIRST_N, SEQ)
+    return first.select(F.col(folder.LANG_FILE).alias("language"), as_str(F.col(VAR), "id").alias("id"))
+
+
+@register(
+    "newspaper_country",
+    O.with_ctes(
+        O.RECORDS,
+        O.PROVIDERS,
+        body="""SELECT r.id, r.newspaper, coalesce(p.country, '') AS country
+FROM records r LEFT JOIN pmap p ON p.newspaper = r.newspaper""",
+    ),
+)
+def q_newspaper_country(spark, sf_dir):
+    recs = valid_records(V.records(spark, sf_dir))
+    rid = as_str(F.col(VAR), "id")
+    rows = recs.select(rid.alias("id"), coerce.newspaper_of(rid).alias("newspaper"))
+    m = providers.newspaper_country(_listings(spark, sf_dir))
+    out = joins.lookup_join(rows, m, "newspaper")
+    return out.select("id", "newspaper", F.coalesce("country", F.lit("")).alias("country"))
+
+
+@register(
+    "prompt_build",
+    O.with_ctes(
+        O.RECORDS,
+        O.PROVIDERS,
+        O.KEYWORD_INPUT,
+        body=f"""SELECT id, 'system' AS role_1, 'user' AS role_2,
+  'Language: ' || lg || chr(10) || 'Year: ' || year || chr(10) || 'Newspaper: ' || newspaper || chr(10) ||
+  'Country: ' || country || chr(10) || 'Title: ' || title || chr(10) || 'Article: ' || article AS user_prompt,
+  length(article) AS article_chars
+FROM kreq""",
+    ),
+)
+def q_prompt_build(spark, sf_dir):
+    req = keywords.prompt_columns(valid_records(_kw_input(spark, sf_dir)), KW_FIELDS)
+    m = providers.newspaper_country(_listings(spark, sf_dir)).withColumnRenamed("newspaper", "k_newspaper")
+    req = joins.lookup_join(req, m, "k_newspaper").withColumn("k_country", F.coalesce("country", F.lit("")))
+    msgs = keywords.messages(req)
+    return req.select(
+        F.col("k_id").alias("id"),
+        msgs[0]["role"].alias("role_1"),
+        msgs[1]["role"].alias("role_2"),
+        msgs[1]["content"].alias("user_prompt"),
+        F.char_length("k_article").cast("bigint").alias("article_chars"),
+    )
+
+
+def _kw_results(spark, sf_dir):
+    recs = valid_records(_kw_input(spark, sf_dir))
+    m = providers.newspaper_country(_listings(spark, sf_dir))
+    replies = keywords.generate(recs, m, keywords.fixture_completer, fields=KW_FIELDS)
+    return keywords.with_results(replies)
+
+
+@register(
+    "keyword_generate",
+    O.with_ctes(
+        O.RECORDS,
+        O.PROVIDERS,
+        O.KEYWORD_INPUT,
+        body="""SELECT id, NOT parsed AS failed,
+  CASE WHEN parsed THEN newspaper || '|' || lg || ' press|year ' || year ELSE '' END AS keywords,
+  prompt_tokens, completion_tokens, total_tokens FROM kres""",
+    ),
+)
+def q_keyword_generate(spark, sf_dir):
+    res = _kw_results(spark, sf_dir)
+    u = F.col("k_usage")
+    return res.select(
+        F.col("k_id").alias("id"),
+        F.col("k_failed").alias("failed"),
+        F.array_join("k_keywords", "|").alias("keywords"),
+        F.coalesce(u["prompt_tokens"], F.lit(0)).alias("prompt_tokens"),
+        F.coalesce(u["completion_tokens"], F.lit(0)).alias("completion_tokens"),
+        F.coalesce(u["total_tokens"], F.lit(0)).alias("total_tokens"),
+    )
+
+
+@register(
+    "keyword_summary",
+    O.with_ctes(
+        O.RECORDS,
+        O.PROVIDERS,
+        O.KEYWORD_INPUT,
+        body=f"""SELECT coalesce(bucket, 'TOTAL') AS language, count(*) AS records,
+  count(*) FILTER (WHERE NOT parsed) AS failed_records,
+  count(*) FILTER (WHERE parsed) AS records_with_keywords,
+  CAST(sum(length(article)) AS BIGINT) AS article_chars,
+  CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens,
+  CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens,
+  CAST(sum(total_tokens) AS BIGINT) AS total_tokens,
+  count(*) FILTER (WHERE usage_missing) AS usage_missing_records
+FROM (SELECT *, {O.BUCKET_EXPR.format(x='lg')} AS bucket FROM kres) GROUP BY ROLLUP (bucket)""",
+    ),
+)
+def q_keyword_summary(spark, sf_dir):
+    stats = keywords.keyword_stats(_kw_results(spark, sf_dir), folder.LANG_FILE)
+    return stats.select(
+        F.coalesce(F.col(folder.LANG_FILE), F.lit("TOTAL")).alias("language"),
+        *[c for c in stats.columns if c not in (folder.LANG_FILE, "_is_total")],
+    )
+
+
+@register(
+    "keywords_output",
+    O.with_ctes(
+        O.RECORDS,
+        O.PROVIDERS,
+        O.KEYWORD_INPUT,
+        body="""SELECT id,
+  CASE WHEN doc_id % 2 = 0 THEN 'id,lg,yr,tp,len,title,keywords,ft' ELSE 'id,lg,yr,tp,len,keywords,ft' END AS key_order,
+  CASE WHEN parsed THEN newspaper || '|' || lg || ' press|year ' || year ELSE '' END AS keywords
+FROM kres""",
+    ),
+)
+def q_keywords_output(spark, sf_dir):
+    res = keywords.output_lines(_kw_results(spark, sf_dir), KW_FIELDS)
+    out = scratch_path(spark, "keywords_out")
+    write_jsonl(res.select("value", SEQ, F.col(folder.LANG_FILE).alias("lang_file")), out,
+                      partition_by=["lang_file"])
+    back = V.parse_lines(spark.read.schema("value string, lang_file string").text(out))
+    v = F.col(VAR)
+    return back.select(
+        as_str(v, "id").alias("id"),
+        F.array_join(F.json_object_keys("value"), ",").alias("key_order"),
+        F.array_join(F.try_variant_get(v, "$.keywords", "array<string>"), "|").alias("keywords"),
+    )

@@ -64,5 +64,38 @@ PROCESSED = """processed AS (
   SELECT *, """ + AD_RULE.format(t="ft") + """ AS ad_class FROM records WHERE doc_id % 7 = 0)"""
 
 
+PROVIDERS = """srcs AS (
+  SELECT DISTINCT source, coalesce(TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER), 0) AS k FROM documents),
+dup AS (SELECT arg_min(source, k) AS s FROM srcs WHERE k % 4 = 1),
+listing AS (
+  SELECT source AS newspaper,
+    CASE WHEN k % 4 = 3 THEN '' ELSE (SELECT n_name FROM nation WHERE n_nationkey = k % 4) END AS country FROM srcs
+  UNION ALL
+  SELECT s AS newspaper, (SELECT n_name FROM nation WHERE n_nationkey = 2) AS country FROM dup),
+pmap AS (
+  SELECT source AS newspaper,
+    CASE WHEN source = (SELECT s FROM dup) THEN (SELECT n_name FROM nation WHERE n_nationkey = 2)
+         WHEN k % 4 = 3 THEN ''
+         ELSE (SELECT n_name FROM nation WHERE n_nationkey = k % 4) END AS country
+  FROM srcs)"""
+
+KEYWORD_INPUT = """kin AS (
+  SELECT doc_id, id, lg, CAST(yr AS VARCHAR) AS year, newspaper,
+    CASE WHEN doc_id % 2 = 0 THEN 'Title ' || CAST(doc_id AS VARCHAR) ELSE '' END AS title,
+    CASE WHEN doc_id % 13 = 0 THEN '' ELSE ft END AS article, len
+  FROM records),
+kreq AS (
+  SELECT k.*, coalesce(p.country, '') AS country, k.article <> '' AS sent
+  FROM kin k LEFT JOIN pmap p ON p.newspaper = k.newspaper),
+kres AS (
+  SELECT *,
+    sent AND doc_id % 10 <> 0 AS parsed,
+    CASE WHEN sent AND doc_id % 9 <> 0 THEN length(article) // 4 + 20 ELSE 0 END AS prompt_tokens,
+    CASE WHEN sent AND doc_id % 9 <> 0 THEN 12 ELSE 0 END AS completion_tokens,
+    CASE WHEN sent AND doc_id % 9 <> 0 THEN length(article) // 4 + 32 ELSE 0 END AS total_tokens,
+    sent AND doc_id % 9 = 0 AS usage_missing
+  FROM kreq)"""
+
+
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body

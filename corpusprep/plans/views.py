@@ -157,3 +157,84 @@ def duplicated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = as_lines(r)
     later = as_lines(copies).withColumn(SEQ, F.col(SEQ) + F.lit(1_000_000_000))
     return parse_lines(first.unionByName(later))
+
+
+def providers_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-row provider document built from the newspapers and ``nation``.
+
+    Newspaper ``srcK`` is listed under provider ``P{K%4}`` whose country is
+    nation K%4 (blank for P3); the newspaper with the smallest K%4=1 number is
+    also listed under P2; P0 lists a blank title; ``PX`` has non-list titles
+    and ``PY`` is not an object.
+    """
+    docs = documents(spark, sf_dir)
+    k = F.coalesce(F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int"), F.lit(0))
+    srcs = docs.select(F.lit("s").alias("kind"), k.alias("key"), F.col("source").alias("name")).distinct()
+    nat = table(spark, sf_dir, "nation").select(
+        F.lit("n").alias("kind"), F.col("n_nationkey").cast("int").alias("key"), F.col("n_name").alias("name")
+    )
+    rows = srcs.unionByName(nat)
+    is_s, is_n = F.col("kind") == "s", F.col("kind") == "n"
+    aggs = []
+    for j in range(4):
+        aggs.append(F.array_sort(F.collect_list(F.when(is_s & (F.col("key") % 4 == j), F.col("name")))).alias(f"t{j}"))
+        aggs.append(F.max(F.when(is_n & (F.col("key") == j), F.col("name"))).alias(f"c{j}"))
+    aggs.append(F.min_by(F.when(is_s & (F.col("key") % 4 == 1), F.col("name")),
+                         F.when(is_s & (F.col("key") % 4 == 1), F.col("key"))).alias("dup"))
+    one = rows.agg(*aggs)
+    entries = []
+    for j in range(4):
+        titles = F.col(f"t{j}")
+        if j == 0:
+            titles = F.concat(titles, F.array(F.lit("  ")))
+        if j == 2:
+            titles = F.concat(titles, F.array(F.col("dup")))
+        country = F.lit("") if j == 3 else F.col(f"c{j}")
+        entries.append(F.concat(F.lit(f'"P{j}":'), F.to_json(F.struct(country.alias("country"), titles.alias("titles")))))
+    entries.append(F.lit('"PX":{"country":"ZZ","titles":"src0"}'))
+    entries.append(F.lit('"PY":"not an object"'))
+    return one.select(F.concat(F.lit("{"), F.concat_ws(",", *entries), F.lit("}")).alias("value"))
+
+
+def providers_path(spark: SparkSession, sf_dir: str) -> str:
+    from corpusprep.session import scratch_path
+
+    path = scratch_path(spark, "providers")
+    providers_doc(spark, sf_dir).coalesce(1).write.text(path)
+    return path
+
+
+def keyword_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword-job input: records with a title where doc_id%2=0 and blank text where doc_id%13=0."""
+    d = F.col("doc_id")
+    r = record_rows(spark, sf_dir)
+    r = r.withColumn("title", F.when(d % 2 == 0, F.concat(F.lit("Title "), d.cast("string")))).withColumn(
+        "ft", F.when(d % 13 == 0, F.lit("")).otherwise(F.col("ft"))
+    )
+    return r.select("doc_id", "id", "lg", "yr", "tp", "len", "title", "ft")
+
+
+def keyword_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Per-language folder of the keyword input (written by the split job), with
+    a summary file and a stale ``keywords_`` file that the scan must skip."""
+    from corpusprep.operators.split import split_by_language, summary_json
+    from corpusprep.session import scratch_path
+
+    path = scratch_path(spark, "keyword_input")
+    res = split_by_language(parse_lines(as_lines(keyword_rows(spark, sf_dir))), path)
+    summary_json(res.summary).coalesce(1).write.text(path + "/_summary_tmp")
+    _rename_single(spark, path + "/_summary_tmp", path + "/languages_summary.json")
+    stale = as_lines(keyword_rows(spark, sf_dir).limit(3))
+    stale.select("value").coalesce(1).write.text(path + "/_stale_tmp")
+    _rename_single(spark, path + "/_stale_tmp", path + "/keywords_xx.jsonl")
+    return path
+
+
+def _rename_single(spark: SparkSession, folder: str, target: str) -> None:
+    """Move the one part file of ``folder`` to ``target`` (file names only, through the driver)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src_dir = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = src_dir.getFileSystem(conf)
+    parts = [s.getPath() for s in fs.listStatus(src_dir) if s.getPath().getName().startswith("part-")]
+    fs.rename(parts[0], jvm.org.apache.hadoop.fs.Path(target))

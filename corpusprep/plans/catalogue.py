@@ -19,7 +19,7 @@ from corpusprep.sources import store as store_store
 from corpusprep.plans import oracle as O
 from corpusprep.plans import views as V
 from corpusprep.session import scratch_path
-from corpusprep.sources.jsonl import SEQ, VAR, valid_records, write_jsonl
+from corpusprep.sources.jsonl import SEQ, VAR, read_jsonl, valid_records, write_jsonl
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -764,3 +764,122 @@ def q_keywords_output(spark, sf_dir):
         F.array_join(F.json_object_keys("value"), ",").alias("key_order"),
         F.array_join(F.try_variant_get(v, "$.keywords", "array<string>"), "|").alias("keywords"),
     )
+
+
+# ---------------------------------------------------------------- reply parsing
+_REPLY_KW = """CASE WHEN doc_id % 10 = 0 OR doc_id % 11 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN ''
+  ELSE newspaper || '|' || lg || ' press|3' END"""
+
+
+@register(
+    "keyword_reply_parse",
+    O.with_ctes(
+        O.RECORDS,
+        body=f"""SELECT id, NOT (doc_id % 10 = 0 OR doc_id % 11 = 0) AS parsed, {_REPLY_KW} AS keywords FROM records""",
+    ),
+)
+def q_keyword_reply_parse(spark, sf_dir):
+    r = V.reply_rows(spark, sf_dir)
+    kws = keywords.parse_keywords(F.col("reply"))
+    return r.select("id", kws.isNotNull().alias("parsed"), F.array_join(kws, "|").alias("keywords"))
+
+
+@register(
+    "token_usage",
+    O.with_ctes(
+        O.RECORDS,
+        body="""SELECT id,
+  CASE WHEN doc_id % 9 <> 0 THEN len // 4 + 20 ELSE 0 END AS prompt_tokens,
+  CASE WHEN doc_id % 9 <> 0 THEN 12 ELSE 0 END AS completion_tokens,
+  CASE WHEN doc_id % 9 <> 0 THEN len // 4 + 32 ELSE 0 END AS total_tokens,
+  doc_id % 9 <> 0 AS usage_present
+FROM records""",
+    ),
+)
+def q_token_usage(spark, sf_dir):
+    r = V.reply_rows(spark, sf_dir)
+    u = keywords.token_usage(F.col("prompt_tokens"), F.col("completion_tokens"), F.col("total_tokens"))
+    return r.select("id", u["prompt_tokens"].alias("prompt_tokens"), u["completion_tokens"].alias("completion_tokens"),
+                    u["total_tokens"].alias("total_tokens"), u["usage_present"].alias("usage_present"))
+
+
+# ---------------------------------------------------------------- JSONL source and sink
+@register("jsonl_scan", _filter_sql("true"))
+def q_jsonl_scan(spark, sf_dir):
+    path = scratch_path(spark, "records_gz")
+    write_jsonl(V.as_lines(V.record_rows(spark, sf_dir)), path, compression="gzip")
+    return _typed(valid_records(read_jsonl(spark, path, min_partitions=8)))
+
+
+@register(
+    "jsonl_roundtrip",
+    O.with_ctes(O.RECORDS, body="SELECT id, md5(ft) AS ft_md5, len, CAST(doc_id AS BIGINT) AS pos FROM records"),
+)
+def q_jsonl_roundtrip(spark, sf_dir):
+    """Write bzip2 JSONL in line order, read it back: every line, whole text, same order."""
+    path = scratch_path(spark, "records_bz2")
+    write_jsonl(V.as_lines(V.record_rows(spark, sf_dir)), path, compression="bzip2")
+    back = valid_records(read_jsonl(spark, path))
+    v = F.col(VAR)
+    rows = back.select(
+        SEQ,
+        as_str(v, "id").alias("id"),
+        F.md5(F.try_variant_get(v, "$.ft", "string")).alias("ft_md5"),
+        to_int(v, "len").alias("len"),
+    )
+    return enrich.dense_index(rows, SEQ).select("id", "ft_md5", "len", F.col("_index").alias("pos"))
+
+
+@register(
+    "jsonl_bad_lines",
+    O.with_ctes(
+        O.RECORDS,
+        body="""SELECT CASE k WHEN 2 THEN 'ok' WHEN 3 THEN 'invalid' WHEN 4 THEN 'invalid' WHEN 5 THEN 'invalid'
+    WHEN 6 THEN 'not_object' WHEN 7 THEN 'not_object' WHEN 8 THEN 'ok' WHEN 9 THEN 'invalid'
+    WHEN 10 THEN 'invalid' ELSE 'ok' END AS status,
+  CASE WHEN k IN (2, 8, 11, 12) THEN id END AS id
+FROM (SELECT doc_id % 13 AS k, id FROM records) WHERE k NOT IN (0, 1)""",
+    ),
+)
+def q_jsonl_bad_lines(spark, sf_dir):
+    parsed = V.parse_lines(V.bad_lines(spark, sf_dir))
+    return parsed.filter(F.col("_status") != "blank").select(
+        F.col("_status").alias("status"), F.when(F.col("_status") == "ok", as_str(F.col(VAR), "id")).alias("id")
+    )
+
+
+@register(
+    "coerce_numeric",
+    O.with_ctes(
+        O.RECORDS,
+        body="""SELECT id, doc_id % 11 AS kind,
+  CASE doc_id % 11 WHEN 0 THEN len WHEN 1 THEN len WHEN 2 THEN len WHEN 4 THEN 1 WHEN 6 THEN len
+    WHEN 7 THEN len WHEN 9 THEN -1 END AS as_int,
+  CASE doc_id % 11 WHEN 0 THEN len WHEN 1 THEN len WHEN 2 THEN len + 0.7 WHEN 3 THEN len + 0.7 WHEN 4 THEN 1.0
+    WHEN 6 THEN len WHEN 7 THEN len WHEN 9 THEN -1.0 END::DOUBLE AS as_float
+FROM records""",
+    ),
+)
+def q_coerce_numeric(spark, sf_dir):
+    parsed = V.parse_lines(V.coerce_lines(spark, sf_dir))
+    v = F.col(VAR)
+    return parsed.select(
+        as_str(v, "id").alias("id"), (F.col(SEQ) % 11).alias("kind"),
+        to_int(v, "len").alias("as_int"), to_float(v, "len").alias("as_float"),
+    )
+
+
+@register(
+    "coerce_string",
+    O.with_ctes(
+        O.RECORDS,
+        body="""SELECT id, doc_id % 7 AS kind,
+  CASE doc_id % 7 WHEN 0 THEN newspaper WHEN 1 THEN newspaper WHEN 4 THEN CAST(doc_id AS VARCHAR)
+    WHEN 5 THEN 'true' WHEN 6 THEN 'tab' || chr(9) || newspaper ELSE '' END AS s
+FROM records""",
+    ),
+)
+def q_coerce_string(spark, sf_dir):
+    parsed = V.parse_lines(V.coerce_lines(spark, sf_dir))
+    v = F.col(VAR)
+    return parsed.select(as_str(v, "id").alias("id"), (F.col(SEQ) % 7).alias("kind"), as_str(v, "title").alias("s"))

@@ -238,3 +238,76 @@ def _rename_single(spark: SparkSession, folder: str, target: str) -> None:
     fs = src_dir.getFileSystem(conf)
     parts = [s.getPath() for s in fs.listStatus(src_dir) if s.getPath().getName().startswith("part-")]
     fs.rename(parts[0], jvm.org.apache.hadoop.fs.Path(target))
+
+
+def reply_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded model replies per document: invalid JSON where doc_id%10=0, a JSON
+    array where %11=0, a non-list ``english_keywords`` where %7=0; usage absent
+    where %9=0, total 0 where %4=0 and -1 where %5=0."""
+    d = F.col("doc_id")
+    r = record_rows(spark, sf_dir)
+    listed = F.concat(F.lit('{"english_keywords": ["'), F.col("newspaper"), F.lit('", " ", "'), F.col("lg"),
+                      F.lit(' press", 3, null]}'))
+    reply = (
+        F.when(d % 10 == 0, F.lit("not json {"))
+        .when(d % 11 == 0, F.lit("[1]"))
+        .when(d % 7 == 0, F.lit('{"english_keywords": "none"}'))
+        .otherwise(listed)
+    )
+    p = (F.col("len") / 4).cast("bigint") + 20
+    usage = F.when(d % 9 != 0, True)
+    return r.select(
+        "doc_id", "id", reply.alias("reply"),
+        F.when(usage, p).alias("prompt_tokens"),
+        F.when(usage, F.lit(12).cast("bigint")).alias("completion_tokens"),
+        F.when(usage, F.when(d % 4 == 0, F.lit(0)).when(d % 5 == 0, F.lit(-1)).otherwise(p + 12)).cast("bigint").alias("total_tokens"),
+    )
+
+
+def coerce_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hand-built JSON lines whose ``len`` and ``title`` take every loose form."""
+    d = F.col("doc_id")
+    r = record_rows(spark, sf_dir)
+    n = F.col("len").cast("string")
+    k = d % 11
+    raw_len = (
+        F.when(k == 0, n).when(k == 1, F.concat(F.lit('"'), n, F.lit('"')))
+        .when(k == 2, F.concat(n, F.lit(".7"))).when(k == 3, F.concat(F.lit('"'), n, F.lit('.7"')))
+        .when(k == 4, F.lit("true")).when(k == 5, F.lit("null"))
+        .when(k == 6, F.concat(F.lit('" '), n, F.lit(' "'))).when(k == 7, F.concat(n, F.lit("e0")))
+        .when(k == 8, F.lit('"0.8f"')).when(k == 9, F.lit("-1"))
+    )
+    j = d % 7
+    src = F.col("newspaper")
+    raw_title = (
+        F.when(j == 0, F.concat(F.lit('"  '), src, F.lit('  "')))
+        .when(j == 1, F.concat(F.lit('"\\u00a0'), src, F.lit('\\u3000"')))
+        .when(j == 2, F.lit("null"))
+        .when(j == 4, d.cast("string"))
+        .when(j == 5, F.lit("true"))
+        .when(j == 6, F.concat(F.lit('"tab\\t'), src, F.lit('\\n"')))
+    )
+    body = F.concat(
+        F.lit('{"id": '), F.to_json(F.array("id")).substr(F.lit(2), F.length(F.to_json(F.array("id"))) - 2),
+        F.when(raw_len.isNotNull(), F.concat(F.lit(', "len": '), raw_len)).otherwise(F.lit("")),
+        F.when(raw_title.isNotNull(), F.concat(F.lit(', "title": '), raw_title)).otherwise(F.lit("")),
+        F.lit("}"),
+    )
+    return r.select(body.alias("value"), d.alias(SEQ))
+
+
+def bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kind of bad line, chosen by doc_id%13 (see the oracle)."""
+    good = as_lines(record_rows(spark, sf_dir).select("doc_id", "id", "lg", "len"))
+    v = F.col("value")
+    k = F.col(SEQ) % 13
+    line = (
+        F.when(k == 0, F.lit("")).when(k == 1, F.lit("   "))
+        .when(k == 2, F.concat(F.lit(" "), v))
+        .when(k == 3, F.substring(v, 1, 20)).when(k == 4, F.concat(v, F.lit(" x")))
+        .when(k == 5, F.concat(v, F.lit(","), v)).when(k == 6, F.lit("[1,2]")).when(k == 7, F.lit("5"))
+        .when(k == 8, F.concat(F.lit('{"id":"first",'), F.substring(v, 2, 1 << 30)))
+        .when(k == 9, F.lit('{"id": NaN}')).when(k == 10, F.lit("{'id': 'x'}"))
+        .otherwise(v)
+    )
+    return good.select(line.alias("value"), SEQ)

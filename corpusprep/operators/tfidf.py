@@ -28,6 +28,10 @@ def tfidf_keywords(docs: DataFrame, id_col: str, text_col: str, k: int = 5) -> D
     )
     w = Window.partitionBy("_doc").orderBy(F.col("score").desc(), F.col("term"))
     top = scored.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    return top.groupBy(F.col("_doc").alias(id_col)).agg(
+    best = top.groupBy(F.col("_doc").alias(id_col)).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_r", "term"))), lambda x: x["term"]).alias("keywords")
     )
+    # every article gets a row, an empty list when it has no term
+    return docs.select(id_col).join(best, id_col, "left").select(
+        id_col, F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords")
+    )

@@ -883,3 +883,49 @@ def q_coerce_string(spark, sf_dir):
     parsed = V.parse_lines(V.coerce_lines(spark, sf_dir))
     v = F.col(VAR)
     return parsed.select(as_str(v, "id").alias("id"), (F.col(SEQ) % 7).alias("kind"), as_str(v, "title").alias("s"))
+
+
+# ---------------------------------------------------------------- incremental shard build
+RUN_TS_2 = "2024-02-01T00:00:00+00:00"
+
+
+@register(
+    "shard_incremental",
+    O.with_ctes(
+        O.RECORDS,
+        body=f"""SELECT id, length(ft) AS length,
+  round(length(regexp_replace(ft, '[^\\p{{L}}\\p{{N}}_]+', '', 'g')) / length(ft), 3) AS alphabetic_ratio,
+  CASE WHEN yr % 2 = 0 THEN '{V.RUN_TS}' ELSE '{RUN_TS_2}' END AS ts, newspaper, CAST(yr AS VARCHAR) AS yr
+FROM records""",
+    ),
+)
+def q_shard_incremental(spark, sf_dir):
+    """Run 1 profiles the even years (an earlier delivery); run 2 sees every
+    record and adds only the shards run 1 did not write."""
+    out = scratch_path(spark, "profiles")
+    recs = valid_records(V.records(spark, sf_dir))
+    earlier = recs.filter(to_int(F.col(VAR), "yr") % 2 == 0)
+    jobs.profile_new_shards(earlier, out, V.RUN_TS)
+    jobs.profile_new_shards(recs, out, RUN_TS_2)
+    back = spark.read.schema("value string, newspaper string, yr string").text(out)
+    rec = F.from_json("value", "id string, length bigint, alphabetic_ratio double, ts string")
+    return back.select(rec["id"].alias("id"), rec["length"].alias("length"),
+                       rec["alphabetic_ratio"].alias("alphabetic_ratio"), rec["ts"].alias("ts"), "newspaper", "yr")
+
+
+@register("tfidf_keywords")
+def q_tfidf_keywords(spark, sf_dir):
+    """Top-5 TF-IDF terms per article over whole texts (rows only)."""
+    from corpusprep.operators import tfidf
+
+    recs = valid_records(V.records(spark, sf_dir))
+    docs = recs.select(as_str(F.col(VAR), "id").alias("id"), as_str(F.col(VAR), "ft").alias("text"))
+    return tfidf.tfidf_keywords(docs, "id", "text", 5).select("id", F.array_join("keywords", "|").alias("keywords"))
+
+
+@register("chain_end_to_end")
+def q_chain_end_to_end(spark, sf_dir):
+    """filter -> sample and classify -> titles -> split -> keywords; returns the
+    keyword summary of the chain's output (rows only)."""
+    return jobs.chain(spark, V.records_no_text(spark, sf_dir), _archive(spark, sf_dir),
+                      providers.newspaper_country(_listings(spark, sf_dir)))

@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Any, Callable
+from typing import Any, Callable  # noqa: UP035
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,3 +110,70 @@ def non_ad_export(store: DataFrame, n: int, fields: Fields = DEFAULT) -> DataFra
         "language", F.coalesce(F.nullif(as_str(v, fields.lang), F.lit("")), F.lit("unknown"))
     )
     return sampling.first_n_per_group(rows, "language", n, SEQ)
+
+
+# ------------------------------------------------------------------ JOB7 / JOB9
+def profile_new_shards(records: DataFrame, output: str, run_ts: str, fields: Fields = DEFAULT) -> None:
+    """Profile only the ``(newspaper, yr)`` shards that have no output yet and
+    append them (the incremental build: skip what is done, never overwrite).
+
+    The shard of a record comes from its ID; finished shards are the
+    partition values already present under ``output``.
+    """
+    from corpusprep.sources.archive import shard_of
+
+    spark = records.sparkSession
+    rid = as_str(F.col(VAR), fields.id)
+    news, year = shard_of(rid)
+    tagged = records.withColumn("newspaper", news).withColumn("yr", year)
+    if S.path_exists(spark, output):
+        done = spark.read.schema("value string, newspaper string, yr string").text(output).select("newspaper", "yr").distinct()
+        tagged = tagged.join(done, ["newspaper", "yr"], "left_anti")
+    prof = tagged.select(
+        "newspaper", "yr", *[c.alias(n) for c, n in zip(_profile_cols(run_ts, fields), ["id", "length", "alphabetic_ratio", "ts"])]
+    )
+    lines = prof.select(F.to_json(F.struct("id", "length", "alphabetic_ratio", "ts")).alias("value"), "newspaper", "yr")
+    lines.sortWithinPartitions("newspaper", "yr").write.mode("append").partitionBy("newspaper", "yr").text(output)
+
+
+def _profile_cols(run_ts: str, fields: Fields):
+    from corpusprep.operators.profile import profile_id, word_char_ratio
+
+    v = F.col(VAR)
+    text = F.coalesce(F.try_variant_get(v, json_path(fields.text), "string"), F.lit(""))
+    return [profile_id(v), F.char_length(text).cast("bigint"), word_char_ratio(text), F.lit(run_ts)]
+
+
+# ------------------------------------------------------------------ JOB8
+def chain(spark: SparkSession, parsed: DataFrame, archive: DataFrame, countries: DataFrame,
+          p: ClassifyParams | None = None, completer=None) -> DataFrame:
+    """The documented order end to end, each step reading what the previous wrote."""
+    from corpusprep.operators import keywords as K
+    from corpusprep.operators.split import split_by_language
+    from corpusprep.session import scratch_path
+    from corpusprep.sources.folder import LANG_FILE, scan_language_folder
+    from corpusprep.sources.jsonl import read_jsonl
+
+    p = p or ClassifyParams(target_per_language=50)
+    base = scratch_path(spark, "chain")
+    # 1. filter (articles only; quality and length as in the usage example)
+    write_jsonl(filtering.filter_records(parsed, tp="article", min_quality=0.7), f"{base}/filtered")
+    filtered = read_jsonl(spark, f"{base}/filtered")
+    # 2. sample and classify into the store, export non-ads
+    run_sampling(spark, filtered, f"{base}/store", archive, p, "r1")
+    store = S.read_store(spark, f"{base}/store")
+    write_jsonl(non_ad_export(store, p.target_per_language, p.fields), f"{base}/non_ads")
+    # 3. titles
+    titled = enrich.enrich_titles(read_jsonl(spark, f"{base}/non_ads"), archive, p.fields)
+    write_jsonl(titled, f"{base}/titled")
+    # 4. split
+    split_by_language(read_jsonl(spark, f"{base}/titled"), f"{base}/per_language")
+    # 5. keywords
+    recs = valid_records(scan_language_folder(spark, f"{base}/per_language"))
+    replies = K.generate(recs, countries, completer or K.fixture_completer, fields=Fields(year="yr"))
+    results = K.with_results(replies)
+    write_jsonl(K.output_lines(results, Fields(year="yr")).withColumnRenamed(LANG_FILE, "lang_file"),
+                f"{base}/keywords", partition_by=["lang_file"])
+    stats = K.keyword_stats(results, LANG_FILE)
+    return stats.select(F.coalesce(F.col(LANG_FILE), F.lit("TOTAL")).alias("language"),
+                        *[c for c in stats.columns if c not in (LANG_FILE, "_is_total")])

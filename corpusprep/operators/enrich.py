@@ -24,7 +24,7 @@ from corpusprep.sources import archive as A
 from corpusprep.sources.jsonl import LINE_STATUS_OK, STATUS, VAR
 
 
-def enrich_text(records: DataFrame, archive: DataFrame, *, key: str = "_rid", fields: Fields = DEFAULT) -> DataFrame:
+def enrich_text(records: DataFrame, archive: A.Archive | DataFrame, *, key: str = "_rid", fields: Fields = DEFAULT) -> DataFrame:
     """Records (with ``key``) after text enrichment, unresolved ones removed.
 
     Adds ``e_text``, ``e_len``, ``e_title`` (the final values) and rewrites
@@ -34,7 +34,7 @@ def enrich_text(records: DataFrame, archive: DataFrame, *, key: str = "_rid", fi
     return enrich_text_all(records, archive, key=key, fields=fields).filter(F.col("e_text") != "")
 
 
-def enrich_text_all(records: DataFrame, archive: DataFrame, *, key: str = "_rid", fields: Fields = DEFAULT) -> DataFrame:
+def enrich_text_all(records: DataFrame, archive: A.Archive | DataFrame, *, key: str = "_rid", fields: Fields = DEFAULT) -> DataFrame:
     v = F.col(VAR)
     own_text = as_str(v, fields.text)
     own_len = to_int(v, fields.length)
@@ -90,7 +90,7 @@ def missing_title_counts(parsed: DataFrame, fields: Fields = DEFAULT) -> DataFra
     )
 
 
-def enrich_titles(parsed: DataFrame, archive: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
+def enrich_titles(parsed: DataFrame, archive: A.Archive | DataFrame, fields: Fields = DEFAULT) -> DataFrame:
     """Valid records with blank titles filled; ``t_state`` is
     ``had`` / ``enriched`` / ``missing`` per record."""
     v = F.col(VAR)
@@ -122,7 +122,7 @@ def _with_title(joined: DataFrame, state, fetched, fields: Fields) -> DataFrame:
     ).drop("_fetched")
 
 
-def title_stats(parsed: DataFrame, archive: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
+def title_stats(parsed: DataFrame, archive: A.Archive | DataFrame, fields: Fields = DEFAULT) -> DataFrame:
     """Counters of the title job: written, enriched, already had, still missing, invalid.
 
     One aggregation over all lines: invalid lines carry a NULL state.

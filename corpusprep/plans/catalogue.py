@@ -251,7 +251,7 @@ def q_split_by_language(spark, sf_dir):
 
 # ---------------------------------------------------------------- enrichment
 def _archive(spark, sf_dir):
-    return archive.read_archive(spark, V.archive_path(spark, sf_dir))
+    return archive.Archive(spark, V.archive_path(spark, sf_dir))
 
 
 @register(

@@ -15,6 +15,7 @@ from corpusprep.functions.records import as_map, set_field, write_record
 from corpusprep.operators import classify as C
 from corpusprep.operators import enrich, filtering, identity, sampling
 from corpusprep.sources import store as S
+from corpusprep.sources.archive import Archive
 from corpusprep.sources.jsonl import SEQ, VAR, valid_records, write_jsonl
 
 
@@ -57,7 +58,7 @@ def label_records(enriched: DataFrame, p: ClassifyParams) -> DataFrame:
     return out.withColumn("value", write_record(m))
 
 
-def sample_and_classify(parsed: DataFrame, store: DataFrame, archive: DataFrame, p: ClassifyParams) -> DataFrame:
+def sample_and_classify(parsed: DataFrame, store: DataFrame, archive: Archive | DataFrame, p: ClassifyParams) -> DataFrame:
     """One sampling run: new labelled rows (not yet written).
 
     type filter -> language set -> minus store -> seeded sample per language
@@ -70,7 +71,7 @@ def sample_and_classify(parsed: DataFrame, store: DataFrame, archive: DataFrame,
     return label_records(enriched, p)
 
 
-def classify_rest(parsed: DataFrame, store: DataFrame, archive: DataFrame, p: ClassifyParams) -> DataFrame:
+def classify_rest(parsed: DataFrame, store: DataFrame, archive: Archive | DataFrame, p: ClassifyParams) -> DataFrame:
     """Every unprocessed record of every language, enriched and labelled."""
     cands = identity.keep_first(candidates(parsed, store, p))
     return label_records(enrich.enrich_text(cands, archive, fields=p.fields), p)
@@ -87,7 +88,7 @@ def retention_estimate(labelled: DataFrame, fields: Fields = DEFAULT) -> DataFra
     )
 
 
-def run_sampling(spark: SparkSession, parsed: DataFrame, store_path: str, archive: DataFrame,
+def run_sampling(spark: SparkSession, parsed: DataFrame, store_path: str, archive: Archive | DataFrame,
                  p: ClassifyParams, run_id: str | None = None) -> str:
     """JOB2 end to end: sample, classify, append to the store as one run."""
     store = S.read_store(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
@@ -145,7 +146,7 @@ def _profile_cols(run_ts: str, fields: Fields):
 
 
 # ------------------------------------------------------------------ JOB8
-def chain(spark: SparkSession, parsed: DataFrame, archive: DataFrame, countries: DataFrame,
+def chain(spark: SparkSession, parsed: DataFrame, archive: Archive | DataFrame, countries: DataFrame,
           p: ClassifyParams | None = None, completer=None) -> DataFrame:
     """The documented order end to end, each step reading what the previous wrote."""
     from corpusprep.operators import keywords as K

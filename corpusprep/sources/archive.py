@@ -8,11 +8,14 @@ instead of scanning the whole archive.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.functions.coerce import as_str, shard_key, to_int
 from corpusprep.sources.jsonl import FILE, SEQ, VAR, line_seq, parse_lines, valid_records
+from corpusprep.sources.staging import stage
 
 NEWSPAPER = "newspaper"
 YEAR = "yr"
@@ -24,6 +27,29 @@ def shard_of(record_id: Column) -> tuple[Column, Column]:
     return F.substring_index(shard, "-", 1), F.substring_index(shard, "-", -1)
 
 
+# Above this many wanted shards the lookup skips the explicit partition
+# filter and lets the join (and dynamic pruning, when it applies) do the work.
+MAX_PRUNED_SHARDS = 200_000
+
+
+@dataclass
+class Archive:
+    """An archive location and its field names; read lazily, pruned per lookup."""
+
+    spark: SparkSession
+    path: str
+    match_field: str = "id"
+    text_field: str = "ft"
+    length_field: str = "len"
+    title_field: str = "title"
+
+    def read(self, shards: list[str] | None = None) -> DataFrame:
+        return read_archive(
+            self.spark, self.path, match_field=self.match_field, text_field=self.text_field,
+            length_field=self.length_field, title_field=self.title_field, shards=shards,
+        )
+
+
 def read_archive(
     spark: SparkSession,
     path: str,
@@ -32,9 +58,16 @@ def read_archive(
     text_field: str = "ft",
     length_field: str = "len",
     title_field: str = "title",
+    shards: list[str] | None = None,
 ) -> DataFrame:
-    """Archive rows projected to ``a_id, a_text, a_len, a_title`` plus shard columns."""
+    """Archive rows projected to ``a_id, a_text, a_len, a_title`` plus shard columns.
+
+    ``shards`` (``newspaper-year`` keys) becomes a partition filter on the raw
+    scan, applied before parsing, so only those folders are read.
+    """
     raw = spark.read.schema(f"value string, {NEWSPAPER} string, {YEAR} string").text(path)
+    if shards is not None:
+        raw = raw.filter(F.concat_ws("-", NEWSPAPER, YEAR).isin(shards))
     lines = raw.select("value", NEWSPAPER, YEAR, line_seq().alias(SEQ), F.col("_metadata.file_path").alias(FILE))
     v = F.col(VAR)
     return valid_records(parse_lines(lines)).select(
@@ -48,16 +81,24 @@ def read_archive(
     )
 
 
-def lookup(archive: DataFrame, ids: DataFrame, id_col: str = "_id") -> DataFrame:
+def lookup(archive: Archive | DataFrame, ids: DataFrame, id_col: str = "_id") -> DataFrame:
     """Archive rows for the wanted IDs, one per ID (the last in archive order wins).
 
-    ``ids`` holds one ID column; it is deduplicated and turned into shard
-    keys, the archive is semi-joined to it (shard pruning), and only the
+    ``ids`` holds one ID column.  The distinct wanted keys are staged once;
+    for an :class:`Archive` the set of their shards (one short string per
+    ``newspaper-year`` folder, bounded by the archive's own folder count)
+    prunes the scan.  The archive is then semi-joined to the keys and only the
     matched rows are aggregated.
     """
     keys = ids.select(F.col(id_col).alias("a_id")).filter(F.col("a_id") != "").distinct()
     news, year = shard_of(F.col("a_id"))
     keys = keys.select(news.alias(NEWSPAPER), year.alias(YEAR), "a_id")
+    if isinstance(archive, Archive):
+        keys = stage(keys, "archive_keys")
+        wanted = keys.select(F.concat_ws("-", NEWSPAPER, YEAR).alias("s")).distinct()
+        n = wanted.limit(MAX_PRUNED_SHARDS + 1).count()
+        shards = [r.s for r in wanted.collect()] if n <= MAX_PRUNED_SHARDS else None
+        archive = archive.read(shards)
     matched = archive.join(keys, [NEWSPAPER, YEAR, "a_id"], "left_semi")
     last = matched.groupBy("a_id").agg(
         F.max_by(F.struct("a_text", "a_len", "a_title"), F.col(SEQ)).alias("_r"),

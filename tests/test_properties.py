@@ -53,7 +53,7 @@ def test_sample_changes_with_seed(spark):
 
 def test_two_runs_are_disjoint(spark):
     store_path = scratch_path(spark, "store-test")
-    arch = A.read_archive(spark, V.archive_path(spark, SMALL))
+    arch = A.Archive(spark, V.archive_path(spark, SMALL))
     p = jobs.ClassifyParams(target_per_language=5)
     parsed = V.records_no_text(spark, SMALL)
     jobs.run_sampling(spark, parsed, store_path, arch, p, "r1")
@@ -77,7 +77,7 @@ def bad_model():
 
 def test_bad_label_fails_and_store_unchanged(spark):
     store_path = scratch_path(spark, "store-bad")
-    arch = A.read_archive(spark, V.archive_path(spark, SMALL))
+    arch = A.Archive(spark, V.archive_path(spark, SMALL))
     parsed = V.records_no_text(spark, SMALL)
     jobs.run_sampling(spark, parsed, store_path, arch, jobs.ClassifyParams(target_per_language=3), "r1")
     before = S.read_store(spark, store_path).count()

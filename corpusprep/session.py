@@ -23,6 +23,9 @@ SESSION_DEFAULTS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows per Arrow batch sent to Python (classifier, completer).  Whole
+    # articles can be long; 512 keeps a batch to a few MB instead of GBs.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
 
 

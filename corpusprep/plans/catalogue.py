@@ -221,8 +221,9 @@ _SPLIT_STATS = f"""stats AS (
   (SELECT CAST(sum(total_len) AS BIGINT) FROM stats) AS total_len,
   (SELECT count(*) FROM langs WHERE broken) AS invalid_json_lines,
   (SELECT string_agg(language, ',' ORDER BY language) FROM stats) AS languages,
-  (SELECT to_json(list(struct_pack(language := language, records := records, total_len := total_len,
-      output_path := 'per_language/lang_bucket=' || language) ORDER BY language)) FROM stats) AS languages_summary""",
+  (SELECT CAST(to_json(list(struct_pack(language := language, records := records, total_len := total_len,
+      output_path := 'per_language/lang_bucket=' || language) ORDER BY language)) AS VARCHAR) FROM stats)
+    AS languages_summary""",
     ),
 )
 def q_split_summary(spark, sf_dir):
@@ -790,7 +791,7 @@ def q_keyword_reply_parse(spark, sf_dir):
         O.RECORDS,
         body="""SELECT id,
   CASE WHEN doc_id % 9 <> 0 THEN len // 4 + 20 ELSE 0 END AS prompt_tokens,
-  CASE WHEN doc_id % 9 <> 0 THEN 12 ELSE 0 END AS completion_tokens,
+  CAST(CASE WHEN doc_id % 9 <> 0 THEN 12 ELSE 0 END AS BIGINT) AS completion_tokens,
   CASE WHEN doc_id % 9 <> 0 THEN len // 4 + 32 ELSE 0 END AS total_tokens,
   doc_id % 9 <> 0 AS usage_present
 FROM records""",

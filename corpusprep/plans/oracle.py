@@ -91,7 +91,7 @@ kres AS (
   SELECT *,
     sent AND doc_id % 10 <> 0 AS parsed,
     CASE WHEN sent AND doc_id % 9 <> 0 THEN length(article) // 4 + 20 ELSE 0 END AS prompt_tokens,
-    CASE WHEN sent AND doc_id % 9 <> 0 THEN 12 ELSE 0 END AS completion_tokens,
+    CAST(CASE WHEN sent AND doc_id % 9 <> 0 THEN 12 ELSE 0 END AS BIGINT) AS completion_tokens,
     CASE WHEN sent AND doc_id % 9 <> 0 THEN length(article) // 4 + 32 ELSE 0 END AS total_tokens,
     sent AND doc_id % 9 = 0 AS usage_missing
   FROM kreq)"""

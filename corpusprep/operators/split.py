@@ -121,9 +121,15 @@ def split_by_language(
     return SplitResult(output_prefix, stats, summary)
 
 
-def summary_json(summary: DataFrame) -> DataFrame:
+def summary_json(summary: DataFrame, pretty: bool = False) -> DataFrame:
     """The summary as one JSON text row (``coalesce(1).write.text`` to publish it)."""
-    return summary.select(F.to_json(F.struct(*summary.columns)).alias("value"))
+    opts = {"pretty": "true"} if pretty else {}
+    return summary.select(F.to_json(F.struct(*summary.columns), opts).alias("value"))
+
+
+def write_summary(summary: DataFrame, path: str) -> None:
+    """Publish a one-row summary as an indented JSON document (one small file)."""
+    summary_json(summary, pretty=True).coalesce(1).write.mode("overwrite").text(path)
 
 
 def read_split(spark, output_prefix: str) -> DataFrame:

@@ -930,3 +930,18 @@ def q_chain_end_to_end(spark, sf_dir):
     keyword summary of the chain's output (rows only)."""
     return jobs.chain(spark, V.records_no_text(spark, sf_dir), _archive(spark, sf_dir),
                       providers.newspaper_country(_listings(spark, sf_dir)))
+
+
+@register(
+    "missing_title_counts",
+    O.with_ctes(
+        O.RECORDS,
+        O.TITLES,
+        body="""SELECT count(*) FILTER (WHERE NOT broken) AS valid_records,
+  count(*) FILTER (WHERE NOT broken AND trim(coalesce(title, '')) = '' AND id = '') AS missing_id_records,
+  count(*) FILTER (WHERE broken) AS invalid_json_lines
+FROM titled""",
+    ),
+)
+def q_missing_title_counts(spark, sf_dir):
+    return enrich.missing_title_counts(V.parse_lines(V.title_rows(spark, sf_dir)))

@@ -178,3 +178,59 @@ def chain(spark: SparkSession, parsed: DataFrame, archive: Archive | DataFrame,
     stats = K.keyword_stats(results, LANG_FILE)
     return stats.select(F.coalesce(F.col(LANG_FILE), F.lit("TOTAL")).alias("language"),
                         *[c for c in stats.columns if c not in (LANG_FILE, "_is_total")])
+
+
+# ------------------------------------------------------------------ JOB2 + JOB3 as one run
+@dataclass
+class RunResult:
+    run_id: str
+    counters: DataFrame  # existing_rows, sampled_new, remaining_new, processed_ids
+    estimate: DataFrame | None  # retention estimate of the remaining phase
+
+
+def sample_classify_run(
+    spark: SparkSession,
+    parsed: DataFrame,
+    store_path: str,
+    archive: Archive | DataFrame,
+    p: ClassifyParams,
+    *,
+    classify_remaining: bool = False,
+    export_path: str | None = None,
+    run_id: str | None = None,
+) -> RunResult:
+    """The full labelling run: sample per language, optionally classify every
+    remaining record, publish both as one store run (all or nothing), then
+    optionally export the first ``target`` non-ads per language.
+
+    Labelled rows are staged before anything reads them twice, so the model
+    runs once per record.
+    """
+    from corpusprep.sources.staging import stage
+
+    store = S.read_store(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
+    keep = ["value", SEQ, identity.RID, sampling.LANG, "e_text", "e_len", "_label"]
+    sampled = stage(sample_and_classify(parsed, store, archive, p).select(*keep).withColumn("_phase", F.lit(1)),
+                    "sampled")
+    new = sampled
+    estimate = None
+    if classify_remaining:
+        seen = store.select(identity.RID).unionByName(sampled.select(identity.RID))
+        rest = stage(classify_rest(parsed, seen, archive, p).select(*keep).withColumn("_phase", F.lit(2)), "rest")
+        estimate = retention_estimate(rest, p.fields)
+        new = sampled.unionByName(rest)
+    rid = S.append_run(new, store_path, run_id)
+    counters = (
+        store.select(identity.RID, F.lit(0).alias("_phase"))
+        .unionByName(new.select(identity.RID, "_phase"))
+        .agg(
+            F.count_if(F.col("_phase") == 0).alias("existing_rows"),
+            F.count_if(F.col("_phase") == 1).alias("sampled_new"),
+            F.count_if(F.col("_phase") == 2).alias("remaining_new"),
+            F.count_distinct(identity.RID).alias("processed_ids"),
+        )
+    )
+    if export_path:
+        full = S.read_store(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
+        write_jsonl(non_ad_export(full, p.target_per_language, p.fields), export_path)
+    return RunResult(rid, counters, estimate)

@@ -9,11 +9,17 @@ Spark applies while listing, so skipped files are never opened.
 
 from __future__ import annotations
 
+import logging
+import os
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.sources.jsonl import FILE, SEQ, line_seq, parse_lines
 
+log = logging.getLogger(__name__)
+
 LANG_FILE = "_lang_file"
 _JSONL_NAME = "(?i)\\.jsonl(\\.gz)?$"
 
@@ -32,6 +38,18 @@ def scan_language_folder(
 ) -> DataFrame:
     """Parsed lines of every language file under ``prefix`` with ``_lang_file``."""
     raw = spark.read.format("text").option("recursiveFileLookup", "true").load(prefix)
+    # file names only (the listing Spark already holds): fail when nothing is
+    # usable, warn when the split summary is absent
+    names = [f.rstrip("/") for f in raw.inputFiles()]
+    usable = [
+        f for f in names
+        if (re.search(_JSONL_NAME, os.path.basename(f)) or re.search("/lang_bucket=[^/]+/[^/]*$", f))
+        and not os.path.basename(f).startswith("keywords_") and os.path.basename(f) != summary_name
+    ]
+    if not usable:
+        raise ValueError(f"no input JSONL files under {prefix}")
+    if not any(os.path.basename(f) == summary_name for f in names):
+        log.warning("no %s under %s", summary_name, prefix)
     path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
     in_bucket = path.rlike("/lang_bucket=[^/]+/[^/]*$")
     keep = (name.rlike(_JSONL_NAME) | in_bucket) & ~name.startswith("keywords_") & (name != summary_name)

@@ -112,3 +112,23 @@ def test_dense_index_is_a_permutation(spark):
     idx = dense_index(df, "k").collect()
     got = sorted((r.k, r._index) for r in idx)
     assert [i for _, i in got] == list(range(len(got)))
+
+
+def test_full_run_with_remaining_labels_everything_once(spark):
+    store_path = scratch_path(spark, "store-full")
+    arch = A.Archive(spark, V.archive_path(spark, SMALL))
+    parsed = V.records_no_text(spark, SMALL)
+    p = jobs.ClassifyParams(target_per_language=4)
+    res = jobs.sample_classify_run(spark, parsed, store_path, arch, p, classify_remaining=True,
+                                   export_path=scratch_path(spark, "export"))
+    c = res.counters.first()
+    assert c.existing_rows == 0 and c.sampled_new > 0 and c.remaining_new > 0
+    st = S.read_store(spark, store_path)
+    assert st.count() == st.select(identity.RID).distinct().count() == c.processed_ids
+    # every article with text (own or from the archive) is now labelled
+    eligible = (parsed.filter("_status = 'ok'").filter(as_str(F.col(VAR), "tp") == "article")
+                .filter(~((F.col("_seq") % 3 == 0) & (F.col("_seq") % 11 == 0))).count())
+    assert c.processed_ids == eligible
+    again = jobs.sample_classify_run(spark, parsed, store_path, arch, p, classify_remaining=True)
+    c2 = again.counters.first()
+    assert c2.sampled_new == 0 and c2.remaining_new == 0

@@ -16,6 +16,18 @@ from corpusprep.sources.jsonl import SEQ, parse_lines  # noqa: F401  (re-exporte
 
 RUN_TS = "2024-01-01T00:00:00+00:00"
 
+# Derived input tables written to the shared folder, once per session.
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    from corpusprep.session import checkpoint_dir
+
+    key = (checkpoint_dir(spark), sf_dir, name)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = build()
+    return _WRITTEN[key]
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -114,13 +126,16 @@ def archive_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archive_path(spark: SparkSession, sf_dir: str) -> str:
-    """Write the archive once per call into the shared scratch folder."""
+    """The archive written once into the shared scratch folder."""
     from corpusprep.session import scratch_path
     from corpusprep.sources.archive import write_archive
 
-    path = scratch_path(spark, "archive")
-    write_archive(archive_rows(spark, sf_dir), path)
-    return path
+    def build():
+        path = scratch_path(spark, "archive")
+        write_archive(archive_rows(spark, sf_dir), path)
+        return path
+
+    return _once(spark, sf_dir, "archive", build)
 
 
 def title_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,9 +214,12 @@ def providers_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def providers_path(spark: SparkSession, sf_dir: str) -> str:
     from corpusprep.session import scratch_path
 
-    path = scratch_path(spark, "providers")
-    providers_doc(spark, sf_dir).coalesce(1).write.text(path)
-    return path
+    def build():
+        path = scratch_path(spark, "providers")
+        providers_doc(spark, sf_dir).coalesce(1).write.text(path)
+        return path
+
+    return _once(spark, sf_dir, "providers", build)
 
 
 def keyword_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,6 +235,10 @@ def keyword_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyword_folder(spark: SparkSession, sf_dir: str) -> str:
     """Per-language folder of the keyword input (written by the split job), with
     a summary file and a stale ``keywords_`` file that the scan must skip."""
+    return _once(spark, sf_dir, "keyword_folder", lambda: _write_keyword_folder(spark, sf_dir))
+
+
+def _write_keyword_folder(spark: SparkSession, sf_dir: str) -> str:
     from corpusprep.operators.split import split_by_language, summary_json
     from corpusprep.session import scratch_path
 
@@ -224,7 +246,7 @@ def keyword_folder(spark: SparkSession, sf_dir: str) -> str:
     res = split_by_language(parse_lines(as_lines(keyword_rows(spark, sf_dir))), path)
     summary_json(res.summary).coalesce(1).write.text(path + "/_summary_tmp")
     _rename_single(spark, path + "/_summary_tmp", path + "/languages_summary.json")
-    stale = as_lines(keyword_rows(spark, sf_dir).limit(3))
+    stale = as_lines(keyword_rows(spark, sf_dir))
     stale.select("value").coalesce(1).write.text(path + "/_stale_tmp")
     _rename_single(spark, path + "/_stale_tmp", path + "/keywords_xx.jsonl")
     return path

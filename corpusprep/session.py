@@ -8,6 +8,7 @@ session has none (local runs and tests).
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -48,6 +49,29 @@ def apply_defaults(spark: SparkSession) -> None:
         except Exception:  # static or locked settings stay as the cluster set them
             pass
     checkpoint_dir(spark)
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusprep`` importable in Python workers (UDFs unpickle against it).
+
+    The package is zipped once per Spark application and added with
+    ``addPyFile``, which distributes it to every executor.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="corpusprep-pkg-")
+    archive = shutil.make_archive(
+        os.path.join(out, "corpusprep"), "zip", root_dir=os.path.dirname(pkg), base_dir=os.path.basename(pkg)
+    )
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

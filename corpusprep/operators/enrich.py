@@ -22,6 +22,7 @@ from corpusprep.functions.coerce import as_str, json_path, shard_key, to_int
 from corpusprep.functions.records import as_map, set_field, write_record
 from corpusprep.sources import archive as A
 from corpusprep.sources.jsonl import LINE_STATUS_OK, STATUS, VAR
+from corpusprep.sources.staging import stage
 
 
 def enrich_text(records: DataFrame, archive: A.Archive | DataFrame, *, key: str = "_rid", fields: Fields = DEFAULT) -> DataFrame:
@@ -39,7 +40,9 @@ def enrich_text_all(records: DataFrame, archive: A.Archive | DataFrame, *, key:
     own_text = as_str(v, fields.text)
     own_len = to_int(v, fields.length)
     own_title = as_str(v, fields.title)
-    tagged = records.withColumn("_needs", own_text == "")
+    # the record side feeds both the key lookup and the join: materialise it
+    # once (parsed VARIANT included) instead of parsing the input twice
+    tagged = stage(records.withColumn("_needs", as_str(F.col(VAR), fields.text) == ""), "enrich_input")
     wanted = tagged.filter("_needs").select(F.col(key).alias("_id"))
     found = A.lookup(archive, wanted, "_id").withColumnRenamed("a_id", key)
     joined = tagged.join(found, key, "left")
@@ -90,13 +93,27 @@ def missing_title_counts(parsed: DataFrame, fields: Fields = DEFAULT) -> DataFra
     )
 
 
-def enrich_titles(parsed: DataFrame, archive: A.Archive | DataFrame, fields: Fields = DEFAULT) -> DataFrame:
-    """Valid records with blank titles filled; ``t_state`` is
-    ``had`` / ``enriched`` / ``missing`` per record."""
+def stage_title_input(parsed: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
+    """Non-blank lines with status, ID and own title, parsed once and staged
+    (the lookup keys, the join and the counters all read it)."""
     v = F.col(VAR)
-    recs = parsed.filter(F.col(STATUS) == LINE_STATUS_OK).select(
-        "*", as_str(v, fields.id).alias("_tid"), as_str(v, fields.title).alias("_own_title")
+    cols = [c for c in parsed.columns if c != VAR]
+    return stage(
+        parsed.filter(F.col(STATUS) != "blank").select(
+            *cols, as_str(v, fields.id).alias("_tid"), as_str(v, fields.title).alias("_own_title")
+        ),
+        "title_input",
     )
+
+
+def enrich_titles(
+    parsed: DataFrame | None, archive: A.Archive | DataFrame, fields: Fields = DEFAULT, *, staged: DataFrame | None = None
+) -> DataFrame:
+    """Valid records with blank titles filled; ``t_state`` is
+    ``had`` / ``enriched`` / ``missing`` per record.  The parsed VARIANT is not
+    carried (the output is the rewritten ``value`` line)."""
+    staged = staged if staged is not None else stage_title_input(parsed, fields)
+    recs = staged.filter(F.col(STATUS) == LINE_STATUS_OK)
     wanted = recs.filter(F.col("_own_title") == "").select(F.col("_tid").alias("_id"))
     titles = A.lookup(archive, wanted, "_id").select(F.col("a_id").alias("_tid"), F.col("a_title_nb"))
     joined = recs.join(titles, "_tid", "left")
@@ -127,9 +144,9 @@ def title_stats(parsed: DataFrame, archive: A.Archive | DataFrame, fields: Field
 
     One aggregation over all lines: invalid lines carry a NULL state.
     """
-    s = F.col(STATUS)
-    bad = parsed.filter((s != LINE_STATUS_OK) & (s != "blank")).select(F.lit(None).cast("string").alias("t_state"))
-    states = enrich_titles(parsed, archive, fields).select("t_state").unionByName(bad)
+    staged = stage_title_input(parsed, fields)
+    bad = staged.filter(F.col(STATUS) != LINE_STATUS_OK).select(F.lit(None).cast("string").alias("t_state"))
+    states = enrich_titles(None, archive, fields, staged=staged).select("t_state").unionByName(bad)
     t = F.col("t_state")
     return states.agg(
         F.count_if(t.isNotNull()).alias("total_records_written"),

@@ -58,14 +58,16 @@ def label_records(enriched: DataFrame, p: ClassifyParams) -> DataFrame:
     return out.withColumn("value", write_record(m))
 
 
-def sample_and_classify(parsed: DataFrame, store: DataFrame, archive: Archive | DataFrame, p: ClassifyParams) -> DataFrame:
+def sample_and_classify(parsed: DataFrame | None, store: DataFrame, archive: Archive | DataFrame, p: ClassifyParams,
+                        *, cands: DataFrame | None = None) -> DataFrame:
     """One sampling run: new labelled rows (not yet written).
 
     type filter -> language set -> minus store -> seeded sample per language
     -> fill text from the archive -> drop unresolved -> classify.
+    ``cands`` (from :func:`candidates`) skips the first three steps.
     """
     pool = p.pool_per_language or 2 * p.target_per_language
-    cands = candidates(parsed, store, p)
+    cands = cands if cands is not None else candidates(parsed, store, p)
     picked = sampling.sample_per_language(cands, pool, seed=p.seed, languages=p.languages)
     enriched = enrich.enrich_text(picked, archive, fields=p.fields)
     return label_records(enriched, p)
@@ -210,13 +212,18 @@ def sample_classify_run(
 
     store = S.read_store(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
     keep = ["value", SEQ, identity.RID, sampling.LANG, "e_text", "e_len", "_label"]
-    sampled = stage(sample_and_classify(parsed, store, archive, p).select(*keep).withColumn("_phase", F.lit(1)),
-                    "sampled")
+    # parse the input and remove stored IDs once; both phases draw from it
+    cands = stage(candidates(parsed, store, p), "candidates") if classify_remaining else None
+    sampled = stage(
+        sample_and_classify(parsed, store, archive, p, cands=cands).select(*keep).withColumn("_phase", F.lit(1)),
+        "sampled",
+    )
     new = sampled
     estimate = None
     if classify_remaining:
-        seen = store.select(identity.RID).unionByName(sampled.select(identity.RID))
-        rest = stage(classify_rest(parsed, seen, archive, p).select(*keep).withColumn("_phase", F.lit(2)), "rest")
+        rest_cands = identity.keep_first(identity.unprocessed(cands, sampled.select(identity.RID)))
+        rest = label_records(enrich.enrich_text(rest_cands, archive, fields=p.fields), p)
+        rest = stage(rest.select(*keep).withColumn("_phase", F.lit(2)), "rest")
         estimate = retention_estimate(rest, p.fields)
         new = sampled.unionByName(rest)
     rid = S.append_run(new, store_path, run_id)

@@ -96,10 +96,12 @@ def split_by_language(
     unknown: str = "unknown",
     compression: str | None = None,
     display_prefix: str | None = None,
+    summary_name: str | None = None,
 ) -> SplitResult:
     """Write each valid line under its language folder; return statistics.
 
     ``display_prefix`` is the prefix named in the summary (default: the real one).
+    ``summary_name`` publishes the summary under the prefix as well.
 
     The parsed input is staged once (Parquet, shared folder); the file write
     reads ``value``/``lang_bucket`` from it and the statistics read only the
@@ -118,6 +120,8 @@ def split_by_language(
     summary = split_summary(
         stats, input_path=input_path, output_prefix=display_prefix or output_prefix, fields=fields
     )
+    if summary_name:
+        write_summary(summary, f"{output_prefix.rstrip('/')}/{summary_name}")
     return SplitResult(output_prefix, stats, summary)
 
 

@@ -1,8 +1,9 @@
 """Keywords without a model: the top terms of each article by TF-IDF.
 
-Tokenise -> explode -> term counts per article -> document frequency per
-term -> score -> top ``k`` per article.  All native; the term table is
-joined with a checked broadcast and AQE splits a hot term's partition.
+Tokenise -> explode -> term counts per article, staged once -> document
+frequency per term and the article count from the staged table -> score ->
+top ``k`` per article.  All native; the term table is joined with a checked
+broadcast and AQE splits a hot term's partition.
 """
 
 from __future__ import annotations
@@ -11,27 +12,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.operators.joins import lookup_join
+from corpusprep.sources.staging import stage
 
 TOKEN_RE = "\\p{L}{4,}"
 
 
 def tfidf_keywords(docs: DataFrame, id_col: str, text_col: str, k: int = 5) -> DataFrame:
-    """``(id, keywords)`` with up to ``k`` terms per article, best first."""
-    n_docs = docs.count()
-    terms = docs.select(
-        F.col(id_col).alias("_doc"), F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_RE), 0)).alias("term")
-    )
-    tf = terms.groupBy("_doc", "term").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    scored = lookup_join(tf, df, "term", "inner").withColumn(
+    """``(id, keywords)`` with up to ``k`` terms per article, best first; an
+    article without terms gets an empty list."""
+    tokens = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_RE), 0)
+    # explode_outer keeps term-less articles as one NULL-term row
+    terms = docs.select(F.col(id_col).alias("_doc"), F.explode_outer(tokens).alias("term"))
+    tf = stage(terms.groupBy("_doc", "term").agg(F.count("term").alias("tf")), "term_counts")
+    n_docs = tf.select("_doc").distinct().count()
+    df = tf.filter(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df"))
+    scored = lookup_join(tf, df, "term", "left").withColumn(
         "score", F.col("tf") * F.log(F.lit(float(n_docs + 1)) / (F.col("df") + 1))
     )
-    w = Window.partitionBy("_doc").orderBy(F.col("score").desc(), F.col("term"))
+    w = Window.partitionBy("_doc").orderBy(F.col("score").desc_nulls_last(), F.col("term"))
     top = scored.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    best = top.groupBy(F.col("_doc").alias(id_col)).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_r", "term"))), lambda x: x["term"]).alias("keywords")
-    )
-    # every article gets a row, an empty list when it has no term
-    return docs.select(id_col).join(best, id_col, "left").select(
-        id_col, F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords")
+    picked = F.when(F.col("term").isNotNull(), F.struct("_r", "term"))
+    return top.groupBy(F.col("_doc").alias(id_col)).agg(
+        F.transform(F.array_sort(F.collect_list(picked)), lambda x: x["term"]).alias("keywords")
     )

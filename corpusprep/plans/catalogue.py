@@ -780,8 +780,9 @@ _REPLY_KW = """CASE WHEN doc_id % 10 = 0 OR doc_id % 11 = 0 THEN NULL WHEN doc_i
     ),
 )
 def q_keyword_reply_parse(spark, sf_dir):
-    r = V.reply_rows(spark, sf_dir)
-    kws = keywords.parse_keywords(F.col("reply"))
+    r = V.reply_rows(spark, sf_dir).withColumn("_doc", keywords.parse_reply(F.col("reply")))
+    r = r.withColumn("_kw", keywords.parse_keywords(F.col("_doc")))
+    kws = F.col("_kw")
     return r.select("id", kws.isNotNull().alias("parsed"), F.array_join(kws, "|").alias("keywords"))
 
 
@@ -856,7 +857,8 @@ def q_jsonl_bad_lines(spark, sf_dir):
         body="""SELECT id, doc_id % 11 AS kind,
   CASE doc_id % 11 WHEN 0 THEN len WHEN 1 THEN len WHEN 2 THEN len WHEN 4 THEN 1 WHEN 6 THEN len
     WHEN 7 THEN len WHEN 9 THEN -1 END AS as_int,
-  CASE doc_id % 11 WHEN 0 THEN len WHEN 1 THEN len WHEN 2 THEN len + 0.7 WHEN 3 THEN len + 0.7 WHEN 4 THEN 1.0
+  CASE doc_id % 11 WHEN 0 THEN len WHEN 1 THEN len WHEN 2 THEN CAST(CAST(len AS VARCHAR) || '.7' AS DOUBLE)
+    WHEN 3 THEN CAST(CAST(len AS VARCHAR) || '.7' AS DOUBLE) WHEN 4 THEN 1.0
     WHEN 6 THEN len WHEN 7 THEN len WHEN 9 THEN -1.0 END::DOUBLE AS as_float
 FROM records""",
     ),

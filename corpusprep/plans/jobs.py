@@ -170,7 +170,8 @@ def chain(spark: SparkSession, parsed: DataFrame, archive: Archive | DataFrame,
     titled = enrich.enrich_titles(read_jsonl(spark, f"{base}/non_ads"), archive, p.fields)
     write_jsonl(titled, f"{base}/titled")
     # 4. split
-    split_by_language(read_jsonl(spark, f"{base}/titled"), f"{base}/per_language")
+    split_by_language(read_jsonl(spark, f"{base}/titled"), f"{base}/per_language",
+                      summary_name="languages_summary.json")
     # 5. keywords
     recs = valid_records(scan_language_folder(spark, f"{base}/per_language"))
     replies = K.generate(recs, countries, completer or K.fixture_completer, fields=Fields(year="yr"))

@@ -41,18 +41,23 @@ def scan_language_folder(
     # file names only (the listing Spark already holds): fail when nothing is
     # usable, warn when the split summary is absent
     names = [f.rstrip("/") for f in raw.inputFiles()]
+
+    def is_summary(f: str) -> bool:  # a file, or Spark's one-file folder of that name
+        return os.path.basename(f) == summary_name or f"/{summary_name}/" in f
+
     usable = [
         f for f in names
         if (re.search(_JSONL_NAME, os.path.basename(f)) or re.search("/lang_bucket=[^/]+/[^/]*$", f))
-        and not os.path.basename(f).startswith("keywords_") and os.path.basename(f) != summary_name
+        and not os.path.basename(f).startswith("keywords_") and not is_summary(f)
     ]
     if not usable:
         raise ValueError(f"no input JSONL files under {prefix}")
-    if not any(os.path.basename(f) == summary_name for f in names):
+    if not any(is_summary(f) for f in names):
         log.warning("no %s under %s", summary_name, prefix)
     path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
     in_bucket = path.rlike("/lang_bucket=[^/]+/[^/]*$")
-    keep = (name.rlike(_JSONL_NAME) | in_bucket) & ~name.startswith("keywords_") & (name != summary_name)
+    summary = (name == summary_name) | path.contains(f"/{summary_name}/")
+    keep = (name.rlike(_JSONL_NAME) | in_bucket) & ~name.startswith("keywords_") & ~summary
     lines = raw.filter(keep).select(
         "value", line_seq().alias(SEQ), path.alias(FILE), language_of(path, name).alias(LANG_FILE)
     )

@@ -947,3 +947,19 @@ FROM titled""",
 )
 def q_missing_title_counts(spark, sf_dir):
     return enrich.missing_title_counts(V.parse_lines(V.title_rows(spark, sf_dir)))
+
+
+@register(
+    "enrich_text_counts",
+    O.with_ctes(
+        O.RECORDS,
+        O.NO_TEXT,
+        O.ARCHIVE,
+        body="""SELECT count(*) AS records,
+  count(*) FILTER (WHERE r.ft IS NULL AND a.id IS NULL) AS unresolved_records
+FROM no_text r LEFT JOIN archive a ON a.id = r.id""",
+    ),
+)
+def q_enrich_text_counts(spark, sf_dir):
+    recs = identity.with_rid(valid_records(V.records_no_text(spark, sf_dir)))
+    return enrich.enrich_text_counts(enrich.enrich_text_all(recs, _archive(spark, sf_dir)))

@@ -115,6 +115,7 @@ def split_by_language(
         output_prefix,
         partition_by=[BUCKET],
         compression=compression,
+        order_by=SEQ,  # language files keep input order (first-N consumers)
     )
     stats = language_stats(staged)
     summary = split_summary(

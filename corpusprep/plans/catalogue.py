@@ -820,7 +820,7 @@ def q_jsonl_scan(spark, sf_dir):
 def q_jsonl_roundtrip(spark, sf_dir):
     """Write bzip2 JSONL in line order, read it back: every line, whole text, same order."""
     path = scratch_path(spark, "records_bz2")
-    write_jsonl(V.as_lines(V.record_rows(spark, sf_dir)), path, compression="bzip2")
+    write_jsonl(V.as_lines(V.record_rows(spark, sf_dir)), path, compression="bzip2", order_by=SEQ)
     back = valid_records(read_jsonl(spark, path))
     v = F.col(VAR)
     rows = back.select(

@@ -165,10 +165,10 @@ def chain(spark: SparkSession, parsed: DataFrame, archive: Archive | DataFrame,
     # 2. sample and classify into the store, export non-ads
     run_sampling(spark, filtered, f"{base}/store", archive, p, "r1")
     store = S.read_store(spark, f"{base}/store")
-    write_jsonl(non_ad_export(store, p.target_per_language, p.fields), f"{base}/non_ads")
+    write_jsonl(non_ad_export(store, p.target_per_language, p.fields), f"{base}/non_ads", order_by=SEQ)
     # 3. titles
     titled = enrich.enrich_titles(read_jsonl(spark, f"{base}/non_ads"), archive, p.fields)
-    write_jsonl(titled, f"{base}/titled")
+    write_jsonl(titled, f"{base}/titled", order_by=SEQ)
     # 4. split
     split_by_language(read_jsonl(spark, f"{base}/titled"), f"{base}/per_language",
                       summary_name="languages_summary.json")
@@ -240,5 +240,5 @@ def sample_classify_run(
     )
     if export_path:
         full = S.read_store(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
-        write_jsonl(non_ad_export(full, p.target_per_language, p.fields), export_path)
+        write_jsonl(non_ad_export(full, p.target_per_language, p.fields), export_path, order_by=SEQ)
     return RunResult(rid, counters, estimate)

@@ -120,14 +120,17 @@ def write_jsonl(
     line_col: str = "value",
     compression: str | None = None,
     partition_by: Sequence[str] = (),
-    order_by: str | None = SEQ,
+    order_by: str | None = None,
     mode: str = "overwrite",
 ) -> None:
     """Write one JSON line per row; codec ``gzip``/``bzip2``/None.
 
-    When ``order_by`` is present the file order follows it: rows are range
-    partitioned on it and sorted within each task, so part files read back in
-    name order reproduce the input order.
+    By default rows are written as they are partitioned (no shuffle); each
+    part file keeps its rows in scan order.  With ``order_by`` (e.g. ``_seq``)
+    the global line order is kept: rows are range partitioned on it and
+    sorted within each task, so part files read back in name order reproduce
+    the input order.  That costs a sampling pass and a shuffle -- use it for
+    outputs whose consumers take "the first N lines" (language files, exports).
     """
     cols = [line_col, *partition_by]
     out = df

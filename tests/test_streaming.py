@@ -16,10 +16,10 @@ def test_stream_labels_each_id_once(spark):
     landing, store, ckpt = (scratch_path(spark, n) for n in ("landing", "stream-store", "stream-ckpt"))
     arch = Archive(spark, V.archive_path(spark, SMALL))
     lines = V.as_lines(V.no_text_rows(spark, SMALL))
-    write_jsonl(lines.filter(F.col("_seq") % 2 == 0), landing + "/wave1", order_by=None)
+    write_jsonl(lines.filter(F.col("_seq") % 2 == 0), landing + "/wave1")
     classify_new_files(spark, landing + "/*", store, arch, ckpt).awaitTermination()
     # second wave repeats every record: only the new ones may be added
-    write_jsonl(lines, landing + "/wave2", order_by=None)
+    write_jsonl(lines, landing + "/wave2")
     classify_new_files(spark, landing + "/*", store, arch, ckpt).awaitTermination()
     st = S.read_store(spark, store)
     assert st.count() == st.select(RID).distinct().count()

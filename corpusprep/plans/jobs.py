@@ -129,8 +129,8 @@ def profile_new_shards(records: DataFrame, output: str, run_ts: str, fields: Fie
     rid = as_str(F.col(VAR), fields.id)
     news, year = shard_of(rid)
     tagged = records.withColumn("newspaper", news).withColumn("yr", year)
-    if S.path_exists(spark, output):
-        done = spark.read.schema("value string, newspaper string, yr string").text(output).select("newspaper", "yr").distinct()
+    done = finished_shards(spark, output)
+    if done is not None:
         tagged = tagged.join(done, ["newspaper", "yr"], "left_anti")
     prof = tagged.select(
         "newspaper", "yr", *[c.alias(n) for c, n in zip(_profile_cols(run_ts, fields), ["id", "length", "alphabetic_ratio", "ts"])]
@@ -139,6 +139,21 @@ def profile_new_shards(records: DataFrame, output: str, run_ts: str, fields: Fie
     lines.sortWithinPartitions("newspaper", "yr").write.mode("append").partitionBy("newspaper", "yr").text(output)
 
 
+def finished_shards(spark: SparkSession, output: str) -> DataFrame | None:
+    """``(newspaper, yr)`` folders already written under ``output``, from the
+    file listing (folder names only; no data file is opened)."""
+    import re
+
+    if not S.path_exists(spark, output):
+        return None
+    files = spark.read.format("text").load(output).inputFiles()
+    pairs = sorted({m.groups() for f in files if (m := re.search(r"/newspaper=([^/]+)/yr=([^/]+)/", f))})
+    from urllib.parse import unquote
+
+    rows = [(unquote(n), unquote(y)) for n, y in pairs]
+    return spark.createDataFrame(rows, "newspaper string, yr string")
+
+
 def _profile_cols(run_ts: str, fields: Fields):
     from corpusprep.operators.profile import profile_id, word_char_ratio
 

@@ -58,12 +58,13 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``corpusprep`` importable in Python workers (UDFs unpickle against it).
 
-    The package is zipped once per Spark application and added with
-    ``addPyFile``, which distributes it to every executor.
+    For local masters the package is zipped once per application and added
+    with ``addPyFile``.  Cluster deployments ship it with ``--py-files`` (or
+    install it on the executors); nothing is written to a node-local folder.
     """
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
+    if app in _SHIPPED or not sc.master.startswith("local"):
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     out = tempfile.mkdtemp(prefix="corpusprep-pkg-")

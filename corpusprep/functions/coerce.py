@@ -64,8 +64,13 @@ def py_strip(c: Column | str) -> Column:
 
 
 def as_str(v: Column | str, name: str) -> Column:
-    """Trimmed string of a field; NULL, JSON null and absent become ''."""
-    return F.coalesce(py_strip(F.try_variant_get(_col(v), json_path(name), "string")), F.lit(""))
+    """Trimmed string of a field; NULL, JSON null and absent become ''.
+    Booleans read ``True``/``False`` as Python's ``str()`` writes them."""
+    v = _col(v)
+    s = F.try_variant_get(v, json_path(name), "string")
+    is_bool = F.schema_of_variant(raw_field(v, name)) == F.lit("BOOLEAN")
+    s = F.when(is_bool, F.when(s == "true", F.lit("True")).otherwise(F.lit("False"))).otherwise(s)
+    return F.coalesce(py_strip(s), F.lit(""))
 
 
 def to_int(v: Column | str, name: str) -> Column:

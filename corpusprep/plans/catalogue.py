@@ -878,7 +878,7 @@ def q_coerce_numeric(spark, sf_dir):
         O.RECORDS,
         body="""SELECT id, doc_id % 7 AS kind,
   CASE doc_id % 7 WHEN 0 THEN newspaper WHEN 1 THEN newspaper WHEN 4 THEN CAST(doc_id AS VARCHAR)
-    WHEN 5 THEN 'true' WHEN 6 THEN 'tab' || chr(9) || newspaper ELSE '' END AS s
+    WHEN 5 THEN 'True' WHEN 6 THEN 'tab' || chr(9) || newspaper ELSE '' END AS s
 FROM records""",
     ),
 )

@@ -96,8 +96,9 @@ def lookup(archive: Archive | DataFrame, ids: DataFrame, id_col: str = "_id") ->
     if isinstance(archive, Archive):
         keys = stage(keys, "archive_keys")
         wanted = keys.select(F.concat_ws("-", NEWSPAPER, YEAR).alias("s")).distinct()
-        n = wanted.limit(MAX_PRUNED_SHARDS + 1).count()
-        shards = [r.s for r in wanted.collect()] if n <= MAX_PRUNED_SHARDS else None
+        # shard names only, and at most MAX_PRUNED_SHARDS + 1 of them
+        names = [r.s for r in wanted.limit(MAX_PRUNED_SHARDS + 1).collect()]
+        shards = names if len(names) <= MAX_PRUNED_SHARDS else None
         archive = archive.read(shards)
     matched = archive.join(keys, [NEWSPAPER, YEAR, "a_id"], "left_semi")
     last = matched.groupBy("a_id").agg(

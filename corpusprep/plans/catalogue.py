@@ -963,3 +963,35 @@ FROM no_text r LEFT JOIN archive a ON a.id = r.id""",
 def q_enrich_text_counts(spark, sf_dir):
     recs = identity.with_rid(valid_records(V.records_no_text(spark, sf_dir)))
     return enrich.enrich_text_counts(enrich.enrich_text_all(recs, _archive(spark, sf_dir)))
+
+
+@register(
+    "keyword_run_summary",
+    O.with_ctes(
+        O.RECORDS,
+        O.PROVIDERS,
+        O.KEYWORD_INPUT,
+        body=f"""SELECT 'keyword_input' AS input_prefix, 'keywords' AS output_prefix,
+  'providers-title.json' AS providers_title_path, 'offline-fixture' AS model, '' AS base_url,
+  'keywords' AS keywords_field,
+  count(*) AS total_records,
+  count(*) FILTER (WHERE NOT parsed) AS total_failed_records,
+  count(*) FILTER (WHERE parsed) AS total_records_with_keywords,
+  CAST(sum(length(article)) AS BIGINT) AS total_article_chars,
+  CAST(sum(prompt_tokens) AS BIGINT) AS total_prompt_tokens,
+  CAST(sum(completion_tokens) AS BIGINT) AS total_completion_tokens,
+  CAST(sum(total_tokens) AS BIGINT) AS total_tokens,
+  count(*) FILTER (WHERE usage_missing) AS total_usage_missing_records,
+  (SELECT string_agg(DISTINCT {O.BUCKET_EXPR.format(x='lg')}, ',' ORDER BY {O.BUCKET_EXPR.format(x='lg')}) FROM records)
+    AS languages
+FROM kres""",
+    ),
+)
+def q_keyword_run_summary(spark, sf_dir):
+    stats = keywords.keyword_stats(_kw_results(spark, sf_dir), folder.LANG_FILE)
+    row = keywords.keyword_summary_row(
+        stats, folder.LANG_FILE, input_prefix="keyword_input", output_prefix="keywords",
+        providers_path="providers-title.json", model="offline-fixture", base_url="",
+    )
+    return row.select(*[c for c in row.columns if c not in ("languages", "languages_summary")],
+                      F.array_join("languages", ",").alias("languages"))

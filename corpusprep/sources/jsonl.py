@@ -43,11 +43,15 @@ def read_jsonl(
     recursive: bool = False,
     glob: str | None = None,
     min_partitions: int | None = None,
+    partition_filter: Column | str | None = None,
 ) -> DataFrame:
     """Scan JSONL (plain, .gz, .bz2; codec by extension) into parsed lines.
 
     Gzip files are not splittable, one task each; pass ``min_partitions`` to
     spread the parse over the cluster right after the scan.
+    ``partition_filter`` (on partition columns of a partitioned folder) is
+    applied to the raw scan, before parsing, so Spark prunes folders; filters
+    written after parsing stay above the parse and do not prune.
     """
     reader = spark.read.format("text")
     if recursive:
@@ -55,8 +59,10 @@ def read_jsonl(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     raw = reader.load(list(paths) if not isinstance(paths, str) else paths)
+    if partition_filter is not None:
+        raw = raw.filter(partition_filter)
     lines = raw.select(
-        "value",
+        *raw.columns,
         line_seq().alias(SEQ),
         F.col("_metadata.file_path").alias(FILE),
     )

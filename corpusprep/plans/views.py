@@ -68,9 +68,27 @@ def record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_columns(documents(spark, sf_dir))
 
 
+def jsonl_view(spark: SparkSession, sf_dir: str, name: str, build_lines) -> DataFrame:
+    """Parsed lines of a record view, read from JSONL files.
+
+    The view's lines are written once per session (in ``doc_id`` order) into
+    the shared scratch folder; every query then reads them with the engine's
+    own JSONL scan, as it would read a corpus.
+    """
+    from corpusprep.session import scratch_path
+    from corpusprep.sources.jsonl import read_jsonl, write_jsonl
+
+    def build():
+        path = scratch_path(spark, name)
+        write_jsonl(build_lines(), path, order_by=SEQ)
+        return path
+
+    return read_jsonl(spark, _once(spark, sf_dir, f"jsonl:{name}", build))
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed lines of the ``records`` view."""
-    return parse_lines(as_lines(record_rows(spark, sf_dir)))
+    return jsonl_view(spark, sf_dir, "records", lambda: as_lines(record_rows(spark, sf_dir)))
 
 
 def no_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +99,7 @@ def no_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records_no_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_lines(as_lines(no_text_rows(spark, sf_dir)))
+    return jsonl_view(spark, sf_dir, "records_no_text", lambda: as_lines(no_text_rows(spark, sf_dir)))
 
 
 def dirty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +111,7 @@ def dirty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_lines(dirty_rows(spark, sf_dir))
+    return jsonl_view(spark, sf_dir, "records_dirty", lambda: dirty_rows(spark, sf_dir))
 
 
 def lang_variant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,12 +127,15 @@ def lang_variant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records_langs(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
-    lines = as_lines(lang_variant_rows(spark, sf_dir))
-    if dirty:
-        lines = lines.withColumn(
-            "value", F.when(F.col(SEQ) % 17 == 0, F.substring("value", 1, 40)).otherwise(F.col("value"))
-        )
-    return parse_lines(lines)
+    def build():
+        lines = as_lines(lang_variant_rows(spark, sf_dir))
+        if dirty:
+            lines = lines.withColumn(
+                "value", F.when(F.col(SEQ) % 17 == 0, F.substring("value", 1, 40)).otherwise(F.col("value"))
+            )
+        return lines
+
+    return jsonl_view(spark, sf_dir, f"records_langs_{'dirty' if dirty else 'clean'}", build)
 
 
 def archive_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

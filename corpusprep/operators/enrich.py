@@ -44,7 +44,7 @@ def enrich_text_all(records: DataFrame, archive: A.Archive | DataFrame, *, key:
     # once (parsed VARIANT included) instead of parsing the input twice
     tagged = stage(records.withColumn("_needs", as_str(F.col(VAR), fields.text) == ""), "enrich_input")
     wanted = tagged.filter("_needs").select(F.col(key).alias("_id"))
-    found = A.lookup(archive, wanted, "_id").withColumnRenamed("a_id", key)
+    found = A.lookup(archive, wanted, "_id", stage_keys=False).withColumnRenamed("a_id", key)
     joined = tagged.join(found, key, "left")
     hit = F.col("_needs") & F.col("a_text").isNotNull()
     new_text = F.when(hit & (F.col("a_text") != ""), F.col("a_text")).otherwise(own_text)
@@ -115,7 +115,7 @@ def enrich_titles(
     staged = staged if staged is not None else stage_title_input(parsed, fields)
     recs = staged.filter(F.col(STATUS) == LINE_STATUS_OK)
     wanted = recs.filter(F.col("_own_title") == "").select(F.col("_tid").alias("_id"))
-    titles = A.lookup(archive, wanted, "_id").select(F.col("a_id").alias("_tid"), F.col("a_title_nb"))
+    titles = A.lookup(archive, wanted, "_id", stage_keys=False).select(F.col("a_id").alias("_tid"), F.col("a_title_nb"))
     joined = recs.join(titles, "_tid", "left")
     fetched = F.coalesce(F.col("a_title_nb"), F.lit(""))
     state = (

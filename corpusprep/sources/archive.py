@@ -81,11 +81,12 @@ def read_archive(
     )
 
 
-def lookup(archive: Archive | DataFrame, ids: DataFrame, id_col: str = "_id") -> DataFrame:
+def lookup(archive: Archive | DataFrame, ids: DataFrame, id_col: str = "_id", *, stage_keys: bool = True) -> DataFrame:
     """Archive rows for the wanted IDs, one per ID (the last in archive order wins).
 
-    ``ids`` holds one ID column.  The distinct wanted keys are staged once;
-    for an :class:`Archive` the set of their shards (one short string per
+    ``ids`` holds one ID column.  The distinct wanted keys are staged once
+    (``stage_keys=False`` when ``ids`` already reads a staged table, so it is
+    cheap to evaluate twice); for an :class:`Archive` the set of their shards (one short string per
     ``newspaper-year`` folder, bounded by the archive's own folder count)
     prunes the scan.  The archive is then semi-joined to the keys and only the
     matched rows are aggregated.
@@ -94,7 +95,8 @@ def lookup(archive: Archive | DataFrame, ids: DataFrame, id_col: str = "_id") ->
     news, year = shard_of(F.col("a_id"))
     keys = keys.select(news.alias(NEWSPAPER), year.alias(YEAR), "a_id")
     if isinstance(archive, Archive):
-        keys = stage(keys, "archive_keys")
+        if stage_keys:
+            keys = stage(keys, "archive_keys")
         wanted = keys.select(F.concat_ws("-", NEWSPAPER, YEAR).alias("s")).distinct()
         # shard names only, and at most MAX_PRUNED_SHARDS + 1 of them
         names = [r.s for r in wanted.limit(MAX_PRUNED_SHARDS + 1).collect()]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: str, how: str = "left",
+def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "left",
                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Join to a lookup table; broadcast it only after counting it is small.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.coerce import as_str
 from corpusprep.operators.filtering import type_matches
-from corpusprep.operators.identity import RID, keep_first
+from corpusprep.operators.identity import RID
 from corpusprep.sources.jsonl import SEQ, VAR
 
 LANG = "_lang"
@@ -50,20 +50,38 @@ def sample_per_language(
     languages: Iterable[str] | None = None,
     lang_col: str = LANG,
     key: str = RID,
+    fetch_from: DataFrame | None = None,
 ) -> DataFrame:
     """At most ``n`` distinct IDs per language, uniform and repeatable for a seed.
 
-    ``candidates`` carries the ID (``key``) and language (``lang_col``); it is
-    deduplicated on the ID first (earliest line kept), so the result does not
-    depend on how the input is partitioned.
+    ``candidates`` carries the ID (``key``), language (``lang_col``) and line
+    position (``_seq``).  Only the narrow ``(id, language, position)`` tuples
+    are deduplicated (earliest line per ID) and ranked; the picked rows --
+    at most ``n`` per language -- are then fetched from the candidates with a
+    semi join whose small side is broadcast after its size is checked.
+    ``fetch_from`` names where the full rows are fetched (default: the
+    candidates); pass the records *before* an anti join so full records never
+    cross a shuffle.  The result does not depend on how the input is
+    partitioned.
     """
+    from corpusprep.operators.joins import lookup_join
+    from corpusprep.sources.staging import stage
+
     wanted = clean_languages(languages)
     pool = candidates.filter(F.col(lang_col) != "")
     if wanted is not None:
         pool = pool.filter(F.col(lang_col).isin(wanted))
-    pool = keep_first(pool, key, SEQ) if SEQ in pool.columns else pool.dropDuplicates([key])
+    if SEQ not in pool.columns:
+        pool = pool.withColumn(SEQ, F.monotonically_increasing_id())
+    # earliest line per ID decides its language (keep-first dedup), narrow
+    firsts = pool.groupBy(key).agg(F.min_by(F.struct(F.col(lang_col).alias("_l"), F.col(SEQ).alias("_s")),
+                                            F.col(SEQ)).alias("_f"))
+    firsts = firsts.select(key, F.col("_f._l").alias(lang_col), F.col("_f._s").alias(SEQ))
     w = Window.partitionBy(lang_col).orderBy(*sample_order(seed, key))
-    return pool.withColumn("_pick", F.row_number().over(w)).filter(F.col("_pick") <= n).drop("_pick")
+    picked = firsts.withColumn("_pick", F.row_number().over(w)).filter(F.col("_pick") <= n).select(key, SEQ)
+    picked = stage(picked, "sample_ids")  # at most n per language; read twice below
+    source = pool if fetch_from is None else fetch_from
+    return lookup_join(source, picked, [key, SEQ], "left_semi")
 
 
 def first_n_per_group(df: DataFrame, group_col: str, n: int, order: str = SEQ) -> DataFrame:

@@ -391,8 +391,9 @@ SAMPLE_N = 100
 def q_sample_per_language(spark, sf_dir):
     p = jobs.ClassifyParams()
     store = identity.with_rid(V.store_lines(spark, sf_dir))
-    cands = jobs.candidates(V.records(spark, sf_dir), store, p)
-    picked = sampling.sample_per_language(cands, SAMPLE_N, seed=42)
+    tagged = jobs.tag_records(V.records(spark, sf_dir), p)
+    cands = identity.unprocessed(tagged, store.select(identity.RID))
+    picked = sampling.sample_per_language(cands, SAMPLE_N, seed=42, fetch_from=tagged)
     return picked.select(F.col(sampling.LANG).alias("lg"), F.col(identity.RID).alias("id"))
 
 
@@ -487,7 +488,7 @@ def q_store_union(spark, sf_dir):
 def q_store_state(spark, sf_dir):
     store = identity.with_rid(V.store_lines(spark, sf_dir))
     # existing stores are copied without dedup: rows of doc_id%14=0 appear twice
-    again = store.filter((F.col(SEQ) % 14) == 0)
+    again = store.filter(V.id_number(as_str(F.col(VAR), "id")) % 14 == 0)
     existing = store.unionByName(again)
     return identity.store_state(existing, _new_rows(spark, sf_dir))
 

@@ -42,12 +42,16 @@ class ClassifyParams:
     model: Callable[[], Any] = C.rule_model
 
 
-def candidates(parsed: DataFrame, store: DataFrame, p: ClassifyParams) -> DataFrame:
-    """Valid, type-matching records with ``_rid``/``_lang`` that the store has not seen."""
+def tag_records(parsed: DataFrame, p: ClassifyParams) -> DataFrame:
+    """Valid, type-matching records with ``_rid`` and ``_lang``."""
     v = F.col(VAR)
     recs = valid_records(parsed).filter(filtering.type_matches(v, p.type_field, p.type_value))
-    recs = identity.with_rid(recs, p.fields.id, p.fields.label).withColumn(sampling.LANG, as_str(v, p.fields.lang))
-    return identity.unprocessed(recs, store.select(identity.RID))
+    return identity.with_rid(recs, p.fields.id, p.fields.label).withColumn(sampling.LANG, as_str(v, p.fields.lang))
+
+
+def candidates(parsed: DataFrame, store: DataFrame, p: ClassifyParams) -> DataFrame:
+    """Tagged records that the store has not seen."""
+    return identity.unprocessed(tag_records(parsed, p), store.select(identity.RID))
 
 
 def label_records(enriched: DataFrame, p: ClassifyParams) -> DataFrame:
@@ -67,8 +71,14 @@ def sample_and_classify(parsed: DataFrame | None, store: DataFrame, archive: Arc
     ``cands`` (from :func:`candidates`) skips the first three steps.
     """
     pool = p.pool_per_language or 2 * p.target_per_language
-    cands = cands if cands is not None else candidates(parsed, store, p)
-    picked = sampling.sample_per_language(cands, pool, seed=p.seed, languages=p.languages)
+    if cands is None:
+        # rank narrow tuples of the unprocessed records, fetch the picked rows
+        # from the records themselves (no full-row shuffle)
+        tagged = tag_records(parsed, p)
+        cands = identity.unprocessed(tagged, store.select(identity.RID))
+        picked = sampling.sample_per_language(cands, pool, seed=p.seed, languages=p.languages, fetch_from=tagged)
+    else:
+        picked = sampling.sample_per_language(cands, pool, seed=p.seed, languages=p.languages)
     enriched = enrich.enrich_text(picked, archive, fields=p.fields)
     return label_records(enriched, p)
 

@@ -183,7 +183,12 @@ def processed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_lines(as_lines(processed_rows(spark, sf_dir)))
+    return jsonl_view(spark, sf_dir, "store", lambda: as_lines(processed_rows(spark, sf_dir)))
+
+
+def id_number(record_id: Column) -> Column:
+    """The ``doc_id`` at the end of a view ID (``source-year-doc_id``)."""
+    return F.regexp_extract(record_id, "([0-9]+)$", 1).cast("bigint")
 
 
 def duplicated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from corpusprep.fields import DEFAULT, Fields
 from corpusprep.functions.coerce import as_str, json_path, shard_key, to_int
 from corpusprep.functions.records import as_map, set_field, write_record
+from corpusprep.operators.joins import lookup_join
 from corpusprep.sources import archive as A
 from corpusprep.sources.jsonl import LINE_STATUS_OK, STATUS, VAR
 from corpusprep.sources.staging import stage
@@ -45,7 +46,7 @@ def enrich_text_all(records: DataFrame, archive: A.Archive | DataFrame, *, key:
     tagged = stage(records.withColumn("_needs", as_str(F.col(VAR), fields.text) == ""), "enrich_input")
     wanted = tagged.filter("_needs").select(F.col(key).alias("_id"))
     found = A.lookup(archive, wanted, "_id", stage_keys=False).withColumnRenamed("a_id", key)
-    joined = tagged.join(found, key, "left")
+    joined = lookup_join(tagged, found, key, "left")
     hit = F.col("_needs") & F.col("a_text").isNotNull()
     new_text = F.when(hit & (F.col("a_text") != ""), F.col("a_text")).otherwise(own_text)
     new_len = F.when(hit & own_len.isNull(), F.col("a_len")).otherwise(own_len)
@@ -116,7 +117,7 @@ def enrich_titles(
     recs = staged.filter(F.col(STATUS) == LINE_STATUS_OK)
     wanted = recs.filter(F.col("_own_title") == "").select(F.col("_tid").alias("_id"))
     titles = A.lookup(archive, wanted, "_id", stage_keys=False).select(F.col("a_id").alias("_tid"), F.col("a_title_nb"))
-    joined = recs.join(titles, "_tid", "left")
+    joined = lookup_join(recs, titles, "_tid", "left")
     fetched = F.coalesce(F.col("a_title_nb"), F.lit(""))
     state = (
         F.when(F.col("_own_title") != "", F.lit("had"))

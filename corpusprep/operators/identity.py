@@ -55,9 +55,15 @@ def keep_last(df: DataFrame, key: str = RID, order: str = SEQ) -> DataFrame:
 
 
 def unprocessed(records: DataFrame, processed_ids: DataFrame, key: str = RID) -> DataFrame:
-    """Records whose ID is not in ``processed_ids`` (a one-column frame of IDs)."""
+    """Records whose ID is not in ``processed_ids`` (a one-column frame of IDs).
+
+    The ID side is broadcast when its counted size allows (no shuffle of the
+    records); otherwise it is a shuffle anti join and AQE splits skewed keys.
+    """
+    from corpusprep.operators.joins import lookup_join
+
     ids = processed_ids.select(F.col(processed_ids.columns[0]).alias(key)).filter(F.col(key).isNotNull())
-    return records.join(ids, key, "left_anti")
+    return lookup_join(records, ids, key, "left_anti")
 
 
 def store_union(existing: DataFrame, new: DataFrame) -> DataFrame:

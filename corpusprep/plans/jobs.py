@@ -50,7 +50,8 @@ def tag_records(parsed: DataFrame, p: ClassifyParams) -> DataFrame:
 
 
 def candidates(parsed: DataFrame, store: DataFrame, p: ClassifyParams) -> DataFrame:
-    """Tagged records that the store has not seen."""
+    """Tagged records that the store has not seen (``store``: stored rows or
+    their IDs, e.g. :func:`corpusprep.sources.store.store_ids`)."""
     return identity.unprocessed(tag_records(parsed, p), store.select(identity.RID))
 
 
@@ -103,9 +104,9 @@ def retention_estimate(labelled: DataFrame, fields: Fields = DEFAULT) -> DataFra
 def run_sampling(spark: SparkSession, parsed: DataFrame, store_path: str, archive: Archive | DataFrame,
                  p: ClassifyParams, run_id: str | None = None) -> str:
     """JOB2 end to end: sample, classify, append to the store as one run."""
-    store = S.read_store(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
-    new_rows = sample_and_classify(parsed, store, archive, p)
-    return S.append_run(new_rows, store_path, run_id)
+    done = S.store_ids(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
+    new_rows = sample_and_classify(parsed, done, archive, p)
+    return S.append_run(new_rows, store_path, run_id, id_field=p.fields.id, class_field=p.fields.label)
 
 
 def non_ad_counts(store: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
@@ -236,7 +237,7 @@ def sample_classify_run(
     """
     from corpusprep.sources.staging import stage
 
-    store = S.read_store(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
+    store = S.store_ids(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
     keep = ["value", SEQ, identity.RID, sampling.LANG, "e_text", "e_len", "_label"]
     # parse the input and remove stored IDs once; both phases draw from it
     cands = stage(candidates(parsed, store, p), "candidates") if classify_remaining else None
@@ -252,7 +253,7 @@ def sample_classify_run(
         rest = stage(rest.select(*keep).withColumn("_phase", F.lit(2)), "rest")
         estimate = retention_estimate(rest, p.fields)
         new = sampled.unionByName(rest)
-    rid = S.append_run(new, store_path, run_id)
+    rid = S.append_run(new, store_path, run_id, id_field=p.fields.id, class_field=p.fields.label)
     counters = (
         store.select(identity.RID, F.lit(0).alias("_phase"))
         .unionByName(new.select(identity.RID, "_phase"))

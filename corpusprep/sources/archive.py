@@ -108,10 +108,12 @@ def lookup(archive: Archive | DataFrame, ids: DataFrame, id_col: str = "_id", *,
         # a title replaces only when it is not blank: the last non-blank one
         F.max_by(F.col("a_title"), F.when(F.col("a_title") != "", F.col(SEQ))).alias("a_title_nb"),
     )
-    return last.select(
+    # at most one row per wanted ID: staged, so callers can size-check it for
+    # a broadcast join without reading the archive twice
+    return stage(last.select(
         "a_id", F.col("_r.a_text").alias("a_text"), F.col("_r.a_len").alias("a_len"),
         F.col("_r.a_title").alias("a_title"), "a_title_nb",
-    )
+    ), "archive_matches")
 
 
 def write_archive(rows: DataFrame, path: str) -> None:

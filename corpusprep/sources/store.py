@@ -4,6 +4,11 @@ Layout: ``<store>/run_id=<run>/part-*`` JSONL lines (record + label field).
 A run appends one new ``run_id`` folder; Spark's commit protocol publishes
 all of its files or none, so a failed run leaves the store as it was.  A
 missing store reads as empty.
+
+Beside the runs, ``<store>/_ids/run_id=<run>/`` holds each run's IDs as
+narrow Parquet, so "which IDs are processed" never parses the records.  The
+index is written after its run; a run missing from the index (a crash in
+between) is read from its records instead.
 """
 
 from __future__ import annotations
@@ -26,27 +31,69 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def read_store(spark: SparkSession, path: str, *, id_field: str = "id", class_field: str = "ad_class") -> DataFrame:
-    """Stored records with ``_rid`` and ``_seq``; empty when the store does not exist."""
+def read_store(spark: SparkSession, path: str, *, id_field: str = "id", class_field: str = "ad_class",
+               runs: list[str] | None = None) -> DataFrame:
+    """Stored records with ``_rid`` and ``_seq``; empty when the store does not exist.
+    ``runs`` limits the scan to those run folders (pruned before parsing)."""
     if not path_exists(spark, path):
         empty = spark.createDataFrame([], f"value string, {RUN} string")
         lines = empty.select("value", F.lit(None).cast("bigint").alias(SEQ), F.lit(None).cast("string").alias(FILE), RUN)
     else:
         raw = spark.read.schema(f"value string, {RUN} string").text(path)
+        if runs is not None:
+            raw = raw.filter(F.col(RUN).isin(runs))
         lines = raw.select("value", line_seq().alias(SEQ), F.col("_metadata.file_path").alias(FILE), RUN)
     recs = valid_records(parse_lines(lines))
     return recs.withColumn(RID, stable_id(F.col(VAR), id_field, class_field))
 
 
+IDS = "_ids"
+
+
+def _runs(spark: SparkSession, path: str) -> set[str]:
+    """``run_id`` values present under ``path`` (folder names from the listing)."""
+    import re
+
+    if not path_exists(spark, path):
+        return set()
+    files = spark.read.format("text").load(path).inputFiles()
+    return {m.group(1) for f in files if (m := re.search(r"/run_id=([^/]+)/[^/]*$", f))}
+
+
+def store_ids(spark: SparkSession, path: str, *, id_field: str = "id", class_field: str = "ad_class") -> DataFrame:
+    """Processed IDs (one ``_rid`` column) from the index, plus runs not yet indexed."""
+    runs = _runs(spark, path)
+    ids_path = f"{path.rstrip('/')}/{IDS}"
+    indexed = _runs(spark, ids_path) if path_exists(spark, ids_path) else set()
+    parts = []
+    if indexed:
+        parts.append(spark.read.parquet(ids_path).filter(F.col(RUN).isin(sorted(indexed))).select(RID))
+    missing = sorted(runs - indexed)
+    if missing or not parts:
+        st = read_store(spark, path, id_field=id_field, class_field=class_field, runs=missing if runs else None)
+        parts.append(st.select(RID))
+    out = parts[0]
+    for extra in parts[1:]:
+        out = out.unionByName(extra)
+    return out
+
+
 def new_run_id() -> str:
     return time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + f"-{time.time_ns() % 1_000_000:06d}"
 
 
-def append_run(rows: DataFrame, path: str, run_id: str | None = None) -> str:
-    """Append labelled lines (``value``) as one new run; returns the run id."""
+def append_run(rows: DataFrame, path: str, run_id: str | None = None, *,
+               id_field: str = "id", class_field: str = "ad_class") -> str:
+    """Append labelled lines (``value``) as one new run and index its IDs;
+    returns the run id."""
     run_id = run_id or new_run_id()
     out = rows.select("value", F.lit(run_id).alias(RUN))
     if SEQ in rows.columns:
         out = rows.select("value", SEQ, F.lit(run_id).alias(RUN)).sortWithinPartitions(SEQ).drop(SEQ)
     out.write.mode("append").partitionBy(RUN).text(path)
+    # the index reads back only the new run (partition pruned), IDs as stored
+    spark = rows.sparkSession
+    new_ids = read_store(spark, path, id_field=id_field, class_field=class_field, runs=[run_id])
+    (new_ids.select(RID, RUN).write.mode("append").partitionBy(RUN)
+     .parquet(f"{path.rstrip('/')}/{IDS}"))
     return run_id

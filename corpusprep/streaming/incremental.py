@@ -49,11 +49,16 @@ def classify_new_files(
         seq = F.struct(F.col(FILE).alias("file"), F.col("_block").alias("block"),
                        F.monotonically_increasing_id().alias("pos"))
         parsed = parse_lines(batch.select("value", seq.alias(SEQ), FILE))
-        store = S.read_store(batch.sparkSession, store_path, id_field=p.fields.id, class_field=p.fields.label)
-        new_rows = jobs.classify_rest(parsed, store, archive, p)
-        out = new_rows.select("value", F.lit(f"epoch-{epoch_id:08d}").alias(S.RUN))
+        done = S.store_ids(batch.sparkSession, store_path, id_field=p.fields.id, class_field=p.fields.label)
+        new_rows = jobs.classify_rest(parsed, done, archive, p)
+        run = f"epoch-{epoch_id:08d}"
+        out = new_rows.select("value", F.lit(run).alias(S.RUN))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(S.RUN).text(store_path))
+        ids = S.read_store(batch.sparkSession, store_path, id_field=p.fields.id, class_field=p.fields.label,
+                           runs=[run]).select(S.RID, S.RUN)
+        (ids.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(S.RUN).parquet(f"{store_path.rstrip('/')}/{S.IDS}"))
 
     writer = lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

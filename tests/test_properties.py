@@ -133,3 +133,15 @@ def test_full_run_with_remaining_labels_everything_once(spark):
     again = jobs.sample_classify_run(spark, parsed, store_path, arch, p, classify_remaining=True)
     c2 = again.counters.first()
     assert c2.sampled_new == 0 and c2.remaining_new == 0
+
+
+def test_store_ids_cover_runs_missing_from_the_index(spark):
+    store_path = scratch_path(spark, "store-index")
+    lines = V.store_lines(spark, SMALL)
+    S.append_run(lines, store_path, "r0")  # indexed
+    # a run whose index write never happened (crash between the two writes)
+    extra = V.parse_lines(V.as_lines(V.record_rows(spark, SMALL).filter(F.col("doc_id") % 7 == 1)))
+    extra.select("value", F.lit("r1").alias("run_id")).write.mode("append").partitionBy("run_id").text(store_path)
+    ids = {r[0] for r in S.store_ids(spark, store_path).collect()}
+    stored = {r[0] for r in S.read_store(spark, store_path).select(identity.RID).collect()}
+    assert ids == stored and len(ids) == lines.count() + extra.count()

@@ -97,11 +97,15 @@ def split_by_language(
     compression: str | None = None,
     display_prefix: str | None = None,
     summary_name: str | None = None,
+    preserve_order: bool = True,
 ) -> SplitResult:
     """Write each valid line under its language folder; return statistics.
 
     ``display_prefix`` is the prefix named in the summary (default: the real one).
     ``summary_name`` publishes the summary under the prefix as well.
+    ``preserve_order`` keeps input line order inside each language folder
+    (readers taking "the first N" depend on it); it costs a range shuffle, so
+    switch it off to split a whole corpus when order does not matter.
 
     The parsed input is staged once (Parquet, shared folder); the file write
     reads ``value``/``lang_bucket`` from it and the statistics read only the
@@ -115,7 +119,7 @@ def split_by_language(
         output_prefix,
         partition_by=[BUCKET],
         compression=compression,
-        order_by=SEQ,  # language files keep input order (first-N consumers)
+        order_by=SEQ if preserve_order else None,  # first-N consumers need input order
     )
     stats = language_stats(staged)
     summary = split_summary(

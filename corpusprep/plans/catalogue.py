@@ -973,7 +973,7 @@ def q_enrich_text_counts(spark, sf_dir):
         O.PROVIDERS,
         O.KEYWORD_INPUT,
         body=f"""SELECT 'keyword_input' AS input_prefix, 'keywords' AS output_prefix,
-  'providers-title.json' AS providers_title_path, 'offline-fixture' AS model, '' AS base_url,
+  'providers.json' AS providers_title_path, 'offline-fixture' AS model, '' AS base_url,
   'keywords' AS keywords_field,
   count(*) AS total_records,
   count(*) FILTER (WHERE NOT parsed) AS total_failed_records,
@@ -992,7 +992,7 @@ def q_keyword_run_summary(spark, sf_dir):
     stats = keywords.keyword_stats(_kw_results(spark, sf_dir), folder.LANG_FILE)
     row = keywords.keyword_summary_row(
         stats, folder.LANG_FILE, input_prefix="keyword_input", output_prefix="keywords",
-        providers_path="providers-title.json", model="offline-fixture", base_url="",
+        providers_path="providers.json", model="offline-fixture", base_url="",
     )
     return row.select(*[c for c in row.columns if c not in ("languages", "languages_summary")],
                       F.array_join("languages", ",").alias("languages"))

@@ -217,7 +217,7 @@ class RunResult:
     estimate: DataFrame | None  # retention estimate of the remaining phase
 
 
-def sample_classify_run(
+def labelling_run(
     spark: SparkSession,
     parsed: DataFrame,
     store_path: str,

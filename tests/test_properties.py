@@ -119,7 +119,7 @@ def test_full_run_with_remaining_labels_everything_once(spark):
     arch = A.Archive(spark, V.archive_path(spark, SMALL))
     parsed = V.records_no_text(spark, SMALL)
     p = jobs.ClassifyParams(target_per_language=4)
-    res = jobs.sample_classify_run(spark, parsed, store_path, arch, p, classify_remaining=True,
+    res = jobs.labelling_run(spark, parsed, store_path, arch, p, classify_remaining=True,
                                    export_path=scratch_path(spark, "export"))
     c = res.counters.first()
     assert c.existing_rows == 0 and c.sampled_new > 0 and c.remaining_new > 0
@@ -130,7 +130,7 @@ def test_full_run_with_remaining_labels_everything_once(spark):
     eligible = (parsed.filter("_status = 'ok'").filter(as_str(F.col(VAR), "tp") == "article")
                 .filter(~((n % 3 == 0) & (n % 11 == 0))).count())
     assert c.processed_ids == eligible
-    again = jobs.sample_classify_run(spark, parsed, store_path, arch, p, classify_remaining=True)
+    again = jobs.labelling_run(spark, parsed, store_path, arch, p, classify_remaining=True)
     c2 = again.counters.first()
     assert c2.sampled_new == 0 and c2.remaining_new == 0
 

@@ -8,16 +8,13 @@ does not convert becomes NULL instead of failing the job.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The 29 code points Python's str.strip() removes
-# (U+0009-U+000D, U+001C-U+0020, U+0085, U+00A0, U+1680, U+2000-U+200A,
-# U+2028, U+2029, U+202F, U+205F, U+3000), as a Java regex class.
-PY_SPACE_CLASS = (
-    "[\\u0009-\\u000D\\u001C-\\u0020\\u0085\\u00A0\\u1680\\u2000-\\u200A"
-    "\\u2028\\u2029\\u202F\\u205F\\u3000]"
-)
+from corpusprep.fixed import NAME_EDGE_CHARS, PY_SPACE_CLASS, UNKNOWN_LANGUAGE, UNSAFE_NAME_RE
+
 _STRIP_RE = f"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$"
 
 # A string Python's float() accepts (underscores aside).
@@ -26,10 +23,7 @@ _FLOAT_RE = (
     "|(?i:nan|inf|infinity))" + PY_SPACE_CLASS + "*$"
 )
 
-# File-name-safe fragment: runs of other characters become "_", then
-# "._-" are stripped at both ends.
-_UNSAFE_NAME_RE = "[^A-Za-z0-9._-]+"
-_NAME_EDGE_RE = "^[._-]+|[._-]+$"
+_NAME_EDGE_RE = "^[" + re.escape(NAME_EDGE_CHARS) + "]+|[" + re.escape(NAME_EDGE_CHARS) + "]+$"
 
 
 def _col(c: Column | str) -> Column:
@@ -99,11 +93,11 @@ def record_length(length: Column, text: Column) -> Column:
 def sanitize_name(c: Column | str, fallback: str) -> Column:
     c = _col(c)
     cand = F.when(c == "", F.lit(fallback)).otherwise(c)
-    safe = F.regexp_replace(F.regexp_replace(cand, _UNSAFE_NAME_RE, "_"), _NAME_EDGE_RE, "")
+    safe = F.regexp_replace(F.regexp_replace(cand, UNSAFE_NAME_RE, "_"), _NAME_EDGE_RE, "")
     return F.when(safe == "", F.lit(fallback)).otherwise(safe)
 
 
-def lang_bucket(lang: Column | str, unknown: str = "unknown") -> Column:
+def lang_bucket(lang: Column | str, unknown: str = UNKNOWN_LANGUAGE) -> Column:
     """Blank language -> ``unknown``, then made safe for a folder name."""
     return sanitize_name(F.coalesce(_col(lang), F.lit("")), unknown)
 

@@ -17,8 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-AD = "ad"
-NON_AD = "non-ad"
+from corpusprep.fixed import AD, CLASSIFIER_BATCH_SIZE, NON_AD
 
 _MODELS: dict[Any, Any] = {}
 
@@ -58,7 +57,7 @@ def rule_model() -> RuleAdModel:
 rule_model.cache_key = "rule"  # type: ignore[attr-defined]
 
 
-def classifier_udf(factory: Callable[[], Any] = rule_model, batch_size: int = 64):
+def classifier_udf(factory: Callable[[], Any] = rule_model, batch_size: int = CLASSIFIER_BATCH_SIZE):
     """A pandas UDF ``text -> raw type`` running ``factory()``'s ``predict``."""
 
     @pandas_udf("string")
@@ -87,7 +86,7 @@ def checked_label(raw: Column, record_id: Column) -> Column:
     )
 
 
-def classify(text: Column, record_id: Column, factory: Callable[[], Any] = rule_model, batch_size: int = 64) -> Column:
+def classify(text: Column, record_id: Column, factory: Callable[[], Any] = rule_model, batch_size: int = CLASSIFIER_BATCH_SIZE) -> Column:
     return checked_label(classifier_udf(factory, batch_size)(text), record_id)
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.fields import DEFAULT, Fields
+from corpusprep.fixed import SHARDS_PER_BATCH
 from corpusprep.functions.coerce import as_str, json_path, shard_key, to_int
 from corpusprep.functions.records import as_map, set_field, write_record
 from corpusprep.operators.joins import lookup_join
@@ -159,7 +160,7 @@ def title_stats(parsed: DataFrame, archive: A.Archive | DataFrame, fields: Field
 
 
 # ------------------------------------------------------------------ shard plan
-def shard_plan(ids: DataFrame, shards_per_batch: int = 120, id_col: str = "id") -> DataFrame:
+def shard_plan(ids: DataFrame, shards_per_batch: int = SHARDS_PER_BATCH, id_col: str = "id") -> DataFrame:
     """IDs per archive shard and the batch each shard falls in (sorted shards
     packed ``shards_per_batch`` at a time) -- a report; Spark does its own batching."""
     per_shard = ids.groupBy(shard_key(F.col(id_col)).alias("shard")).agg(F.count("*").alias("n_ids"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.fixed import ID_FALLBACK_FIELDS
 from corpusprep.functions.coerce import as_str
 from corpusprep.sources.jsonl import SEQ, VAR
 
@@ -20,7 +21,7 @@ RID = "_rid"
 def stable_id(v: Column, id_field: str = "id", class_field: str = "ad_class") -> Column:
     """First non-blank of ``id_field``, ``id``, ``c_id``; else SHA-1 of the record
     without the class field (VARIANT keys are sorted, so key order does not matter)."""
-    candidates = [as_str(v, k) for k in dict.fromkeys((id_field, "id", "c_id"))]
+    candidates = [as_str(v, k) for k in dict.fromkeys((id_field, *ID_FALLBACK_FIELDS))]
     as_map = F.try_variant_get(v, "$", "map<string,variant>")
     canonical = F.to_json(F.map_filter(as_map, lambda k, _: k != F.lit(class_field)))
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in candidates], F.sha1(canonical))
@@ -29,7 +30,7 @@ def stable_id(v: Column, id_field: str = "id", class_field: str = "ad_class") ->
 def stable_id_kind(v: Column, id_field: str = "id") -> Column:
     """Which rule produced :func:`stable_id`: the field name or ``hash``."""
     out = F.lit("hash")
-    for k in reversed(list(dict.fromkeys((id_field, "id", "c_id")))):
+    for k in reversed(list(dict.fromkeys((id_field, *ID_FALLBACK_FIELDS)))):
         out = F.when(as_str(v, k) != "", F.lit(k)).otherwise(out)
     return out
 

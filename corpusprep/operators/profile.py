@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.fixed import NON_WORD_RE
 from corpusprep.functions.coerce import has_field, json_path
 from corpusprep.sources.jsonl import VAR
 
-# Word characters as Python's Unicode ``\w``: letters, digits, underscore.
-NON_WORD_RE = "[^\\p{L}\\p{N}_]+"
+__all__ = ["NON_WORD_RE", "profile_id", "text_profile", "word_char_ratio", "profile_lines"]
 
 
 def profile_id(v: Column, primary: str = "id", fallback: str = "c_id") -> Column:

@@ -13,6 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusprep.fixed import DEFAULT_SEED
 from corpusprep.functions.coerce import as_str
 from corpusprep.operators.filtering import type_matches
 from corpusprep.operators.identity import RID
@@ -46,7 +47,7 @@ def sample_per_language(
     candidates: DataFrame,
     n: int,
     *,
-    seed: int = 42,
+    seed: int = DEFAULT_SEED,
     languages: Iterable[str] | None = None,
     lang_col: str = LANG,
     key: str = RID,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.fields import DEFAULT, Fields
+from corpusprep.fixed import UNKNOWN_LANGUAGE
 from corpusprep.functions.coerce import as_str, json_path, lang_bucket, py_strip, record_length, to_int
 from corpusprep.sources.jsonl import LINE_STATUS_OK, SEQ, STATUS, VAR, write_jsonl
 from corpusprep.sources.staging import stage
@@ -20,7 +21,7 @@ from corpusprep.sources.staging import stage
 BUCKET = "lang_bucket"
 
 
-def with_bucket_and_length(parsed: DataFrame, fields: Fields = DEFAULT, unknown: str = "unknown") -> DataFrame:
+def with_bucket_and_length(parsed: DataFrame, fields: Fields = DEFAULT, unknown: str = UNKNOWN_LANGUAGE) -> DataFrame:
     v = F.col(VAR)
     ok = F.col(STATUS) == LINE_STATUS_OK
     text = F.try_variant_get(v, json_path(fields.text), "string")
@@ -93,7 +94,7 @@ def split_by_language(
     *,
     input_path: str = "",
     fields: Fields = DEFAULT,
-    unknown: str = "unknown",
+    unknown: str = UNKNOWN_LANGUAGE,
     compression: str | None = None,
     display_prefix: str | None = None,
     summary_name: str | None = None,

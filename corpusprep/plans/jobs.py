@@ -10,6 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.fields import DEFAULT, Fields
+from corpusprep.fixed import (
+    CLASSIFIER_BATCH_SIZE,
+    DEFAULT_SEED,
+    DEFAULT_TARGET_PER_LANGUAGE,
+    POOL_FACTOR,
+    SPLIT_SUMMARY_NAME,
+)
 from corpusprep.functions.coerce import as_str, json_path, record_length
 from corpusprep.functions.records import as_map, set_field, write_record
 from corpusprep.operators import classify as C
@@ -35,10 +42,10 @@ class ClassifyParams:
     type_field: str = "tp"
     type_value: str = "article"
     languages: list[str] | None = None  # None: every non-blank language
-    target_per_language: int = 1000
-    pool_per_language: int | None = None  # default 2 x target
-    seed: int = 42
-    batch_size: int = 64
+    target_per_language: int = DEFAULT_TARGET_PER_LANGUAGE
+    pool_per_language: int | None = None  # default POOL_FACTOR x target
+    seed: int = DEFAULT_SEED
+    batch_size: int = CLASSIFIER_BATCH_SIZE
     model: Callable[[], Any] = C.rule_model
 
 
@@ -71,7 +78,7 @@ def sample_and_classify(parsed: DataFrame | None, store: DataFrame, archive: Arc
     -> fill text from the archive -> drop unresolved -> classify.
     ``cands`` (from :func:`candidates`) skips the first three steps.
     """
-    pool = p.pool_per_language or 2 * p.target_per_language
+    pool = p.pool_per_language or POOL_FACTOR * p.target_per_language
     if cands is None:
         # rank narrow tuples of the unprocessed records, fetch the picked rows
         # from the records themselves (no full-row shuffle)
@@ -197,7 +204,7 @@ def chain(spark: SparkSession, parsed: DataFrame, archive: Archive | DataFrame,
     write_jsonl(titled, f"{base}/titled", order_by=SEQ)
     # 4. split
     split_by_language(read_jsonl(spark, f"{base}/titled"), f"{base}/per_language",
-                      summary_name="languages_summary.json")
+                      summary_name=SPLIT_SUMMARY_NAME)
     # 5. keywords
     recs = valid_records(scan_language_folder(spark, f"{base}/per_language"))
     replies = K.generate(recs, countries, completer or K.fixture_completer, fields=Fields(year="yr"))

@@ -16,6 +16,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusprep.fixed import KEYWORDS_FILE_PREFIX, SPLIT_SUMMARY_NAME
 from corpusprep.sources.jsonl import FILE, SEQ, line_seq, parse_lines
 
 log = logging.getLogger(__name__)
@@ -29,12 +30,12 @@ def language_of(path: Column, name: Column) -> Column:
     folder = F.regexp_extract(path, "/lang_bucket=([^/]+)/[^/]*$", 1)
     stem = F.regexp_replace(name, "(?i)(\\.jsonl\\.gz|\\.jsonl)$", "")
     stem = F.when(stem == name, F.regexp_replace(name, "\\.[^.]*$", "")).otherwise(stem)
-    stem = F.regexp_replace(stem, "^keywords_", "")
+    stem = F.regexp_replace(stem, "^" + KEYWORDS_FILE_PREFIX, "")
     return F.when(folder != "", folder).otherwise(stem)
 
 
 def scan_language_folder(
-    spark: SparkSession, prefix: str, *, summary_name: str = "languages_summary.json"
+    spark: SparkSession, prefix: str, *, summary_name: str = SPLIT_SUMMARY_NAME
 ) -> DataFrame:
     """Parsed lines of every language file under ``prefix`` with ``_lang_file``."""
     raw = spark.read.format("text").option("recursiveFileLookup", "true").load(prefix)
@@ -48,7 +49,7 @@ def scan_language_folder(
     usable = [
         f for f in names
         if (re.search(_JSONL_NAME, os.path.basename(f)) or re.search("/lang_bucket=[^/]+/[^/]*$", f))
-        and not os.path.basename(f).startswith("keywords_") and not is_summary(f)
+        and not os.path.basename(f).startswith(KEYWORDS_FILE_PREFIX) and not is_summary(f)
     ]
     if not usable:
         raise ValueError(f"no input JSONL files under {prefix}")
@@ -57,7 +58,7 @@ def scan_language_folder(
     path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
     in_bucket = path.rlike("/lang_bucket=[^/]+/[^/]*$")
     summary = (name == summary_name) | path.contains(f"/{summary_name}/")
-    keep = (name.rlike(_JSONL_NAME) | in_bucket) & ~name.startswith("keywords_") & ~summary
+    keep = (name.rlike(_JSONL_NAME) | in_bucket) & ~name.startswith(KEYWORDS_FILE_PREFIX) & ~summary
     lines = raw.filter(keep).select(
         "value", line_seq().alias(SEQ), path.alias(FILE), language_of(path, name).alias(LANG_FILE)
     )

@@ -12,18 +12,22 @@ from pyspark.sql import functions as F
 
 
 def fit(train: DataFrame, *, num_features: int = 1 << 18, max_iter: int = 20) -> PipelineModel:
-    """``train`` has ``text`` and ``label`` (``ad``/``non-ad``) columns."""
+    """``train`` has ``text`` and ``label`` (``ad``/``non-ad``) columns; the
+    returned model maps ``text`` to ``ad_class``."""
+    train = train.withColumn("text", F.coalesce("text", F.lit("")))
     indexer = StringIndexer(inputCol="label", outputCol="label_idx", handleInvalid="skip").fit(train)
-    stages = [
-        indexer,
+    features = Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="tokens", pattern="\\W+", toLowercase=True),
         HashingTF(inputCol="tokens", outputCol="tf", numFeatures=num_features),
         IDF(inputCol="tf", outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter),
-        IndexToString(inputCol="prediction", outputCol="ad_class", labels=indexer.labels),
-    ]
-    return Pipeline(stages=stages).fit(train.withColumn("text", F.coalesce("text", F.lit(""))))
+    ]).fit(train)
+    lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter).fit(
+        features.transform(indexer.transform(train))
+    )
+    to_label = IndexToString(inputCol="prediction", outputCol="ad_class", labels=indexer.labels)
+    # prediction needs no label column: feature stages, the classifier, the label names
+    return PipelineModel(stages=[*features.stages, lr, to_label])
 
 
 def predict(model: PipelineModel, records: DataFrame) -> DataFrame:
-    return model.transform(records.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("label", F.lit("ad")))
+    return model.transform(records.withColumn("text", F.coalesce("text", F.lit(""))))

@@ -48,3 +48,14 @@ def insert_before(m: Column, name: str, value: Column, before: str) -> Column:
 
 def write_record(m: Column) -> Column:
     return F.to_json(m)
+
+
+def append_field(line: Column, name: str, value: Column) -> Column:
+    """Add ``name: value`` as the last key of a JSON object line without
+    parsing it -- for records known not to have the key (use
+    :func:`set_field` otherwise).  ``line`` must be a stripped object."""
+    pair = F.to_json(F.create_map(F.lit(name), value))  # {"name":value}
+    member = F.substr(pair, F.lit(2), F.length(pair) - 2)  # "name":value
+    body = F.substr(line, F.lit(1), F.length(line) - 1)  # without the closing brace
+    empty = F.trim(F.substr(line, F.lit(2), F.length(line) - 2)) == ""
+    return F.concat(body, F.when(empty, F.lit("")).otherwise(F.lit(",")), member, F.lit("}"))

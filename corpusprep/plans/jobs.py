@@ -16,9 +16,10 @@ from corpusprep.fixed import (
     DEFAULT_TARGET_PER_LANGUAGE,
     POOL_FACTOR,
     SPLIT_SUMMARY_NAME,
+    UNKNOWN_LANGUAGE,
 )
-from corpusprep.functions.coerce import as_str, json_path, record_length
-from corpusprep.functions.records import as_map, set_field, write_record
+from corpusprep.functions.coerce import as_str, has_field, json_path, py_strip, record_length
+from corpusprep.functions.records import append_field, as_map, set_field, write_record
 from corpusprep.operators import classify as C
 from corpusprep.operators import enrich, filtering, identity, sampling
 from corpusprep.sources import store as S
@@ -63,11 +64,19 @@ def candidates(parsed: DataFrame, store: DataFrame, p: ClassifyParams) -> DataFr
 
 
 def label_records(enriched: DataFrame, p: ClassifyParams) -> DataFrame:
-    """Classify enriched records; rewrite each line with the label field set."""
+    """Classify enriched records; rewrite each line with the label field set.
+
+    A record without the label key gets it appended to its line as text (no
+    second parse); one that has it is rewritten through the map route.
+    """
     label = C.classify(F.col("e_text"), F.col(identity.RID), p.model, p.batch_size)
     out = enriched.withColumn("_label", label)
-    m = set_field(as_map(F.col("value")), p.fields.label, F.col("_label").cast("variant"))
-    return out.withColumn("value", write_record(m))
+    line = py_strip(F.col("value"))
+    m = set_field(as_map(line), p.fields.label, F.col("_label").cast("variant"))
+    rewritten = F.when(has_field(F.col(VAR), p.fields.label), write_record(m)).otherwise(
+        append_field(line, p.fields.label, F.col("_label"))
+    )
+    return out.withColumn("value", rewritten)
 
 
 def sample_and_classify(parsed: DataFrame | None, store: DataFrame, archive: Archive | DataFrame, p: ClassifyParams,
@@ -128,7 +137,7 @@ def non_ad_export(store: DataFrame, n: int, fields: Fields = DEFAULT) -> DataFra
     """First ``n`` non-ads per language (blank -> ``unknown``) in store order."""
     v = F.col(VAR)
     rows = store.filter(filtering.is_label(v, fields.label, C.NON_AD)).withColumn(
-        "language", F.coalesce(F.nullif(as_str(v, fields.lang), F.lit("")), F.lit("unknown"))
+        "language", F.coalesce(F.nullif(as_str(v, fields.lang), F.lit("")), F.lit(UNKNOWN_LANGUAGE))
     )
     return sampling.first_n_per_group(rows, "language", n, SEQ)
 

@@ -101,3 +101,18 @@ def test_coercions_agree_with_python(spark, batch):
             assert math.isclose(r.f, pf, rel_tol=1e-12), (val, r.f)
         if val is None or isinstance(val, (str, bool, int)):
             assert r.s == ("" if val is None else str(val).strip()), (val, r.s)
+
+
+def test_append_field_equals_map_route(spark):
+    from corpusprep.functions.records import append_field, set_field
+
+    lines = ['{"id":"a","ft":"x"}', '{}', '{ }', '{"id":"b","n":{"k":[1,2]},"z":null}']
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    lab = F.lit("non-ad")
+    rows = df.select(
+        append_field(F.col("value"), "ad_class", lab).alias("a"),
+        write_record(set_field(as_map(F.col("value")), "ad_class", lab.cast("variant"))).alias("b"),
+    ).collect()
+    for r in rows:
+        assert json.loads(r.a) == json.loads(r.b)
+        assert list(json.loads(r.a))[-1] == "ad_class"

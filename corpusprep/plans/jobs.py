@@ -29,11 +29,33 @@ from corpusprep.sources.jsonl import SEQ, VAR, valid_records, write_jsonl
 
 # ------------------------------------------------------------------ JOB1
 def filter_job(parsed: DataFrame, output: str | None = None, *, compression: str | None = None, **conditions) -> DataFrame:
-    """Keep matching records (original lines) and return the counters."""
-    if output:
-        kept = filtering.filter_records(parsed, **conditions)
-        write_jsonl(kept, output, compression=compression)
-    return filtering.filter_counts(parsed, **conditions)
+    """Keep matching records (original lines) and return the counters.
+
+    With an output the counters are observed while the output is written
+    (``Observation``): one pass over the corpus, not two.
+    """
+    if not output:
+        return filtering.filter_counts(parsed, **conditions)
+    from pyspark.sql import Observation
+
+    from corpusprep.sources.jsonl import LINE_STATUS_OK, STATUS
+
+    s = F.col(STATUS)
+    kept = (s == LINE_STATUS_OK) & filtering.match_filters(F.col(VAR), **conditions)
+    obs = Observation("filter_counts")
+    observed = parsed.observe(
+        obs,
+        F.count_if(s != "blank").alias("total_records"),
+        F.count_if(kept).alias("kept_records"),
+        F.count_if((s != "blank") & (s != LINE_STATUS_OK)).alias("invalid_json_lines"),
+    )
+    write_jsonl(observed.filter(kept), output, compression=compression)
+    got = obs.get
+    row = (got["total_records"], got["kept_records"], got["total_records"] - got["kept_records"],
+           got["invalid_json_lines"])
+    return parsed.sparkSession.createDataFrame(
+        [row], "total_records bigint, kept_records bigint, dropped_records bigint, invalid_json_lines bigint"
+    )
 
 
 # ------------------------------------------------------------------ JOB2 / JOB3
@@ -143,6 +165,32 @@ def non_ad_export(store: DataFrame, n: int, fields: Fields = DEFAULT) -> DataFra
 
 
 # ------------------------------------------------------------------ JOB7 / JOB9
+def profile_job(parsed: DataFrame, output: str, run_ts: str, *, mode: str = "permissive",
+                fields: Fields = DEFAULT, compression: str | None = None) -> None:
+    """Write the text profile of every record as JSONL.
+
+    ``mode="failfast"`` fails the job on the first line that is not a JSON
+    object (as the reference does); ``"permissive"`` skips such lines.
+    """
+    from corpusprep.operators.profile import profile_lines, text_profile
+    from corpusprep.sources.jsonl import LINE_STATUS_OK, STATUS
+
+    s = F.col(STATUS)
+    if mode == "failfast":
+        bad = (s != LINE_STATUS_OK) & (s != "blank")
+        checked = parsed.withColumn(
+            STATUS, F.when(bad, F.raise_error(F.concat(F.lit("invalid JSON line: "), F.substr(F.col("value"), F.lit(1), F.lit(200)))))
+            .otherwise(s)
+        )
+    elif mode == "permissive":
+        checked = parsed
+    else:
+        raise ValueError(f"mode must be 'permissive' or 'failfast', not {mode!r}")
+    recs = checked.filter(F.col(STATUS) == LINE_STATUS_OK)
+    write_jsonl(profile_lines(text_profile(recs, run_ts, fields.text)), output, compression=compression)
+
+
+
 def profile_new_shards(records: DataFrame, output: str, run_ts: str, fields: Fields = DEFAULT) -> None:
     """Profile only the ``(newspaper, yr)`` shards that have no output yet and
     append them (the incremental build: skip what is done, never overwrite).

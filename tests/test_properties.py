@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import MID, SMALL
 from corpusprep.functions.coerce import as_str
 from corpusprep.operators import classify as C
-from corpusprep.operators import identity, sampling
+from corpusprep.operators import filtering, identity, sampling
 from corpusprep.plans import jobs
 from corpusprep.plans import views as V
 from corpusprep.session import scratch_path
@@ -145,3 +145,25 @@ def test_store_ids_cover_runs_missing_from_the_index(spark):
     ids = {r[0] for r in S.store_ids(spark, store_path).collect()}
     stored = {r[0] for r in S.read_store(spark, store_path).select(identity.RID).collect()}
     assert ids == stored and len(ids) == lines.count() + extra.count()
+
+
+def test_filter_job_counts_in_one_pass(spark):
+    from corpusprep.sources.jsonl import read_jsonl
+
+    out = scratch_path(spark, "filtered")
+    counts = jobs.filter_job(V.records_dirty(spark, SMALL), out, tp="article", min_quality=0.7, min_length=550)
+    expect = filtering.filter_counts(V.records_dirty(spark, SMALL), tp="article", min_quality=0.7,
+                                     min_length=550).first()
+    got = counts.first()
+    assert got == expect
+    assert read_jsonl(spark, out).count() == got.kept_records
+
+
+def test_profile_job_modes(spark):
+    from corpusprep.sources.jsonl import read_jsonl
+
+    out = scratch_path(spark, "profile")
+    jobs.profile_job(V.records_dirty(spark, SMALL), out, V.RUN_TS)
+    assert read_jsonl(spark, out).count() == V.records_dirty(spark, SMALL).filter("_status = 'ok'").count()
+    with pytest.raises(Exception):
+        jobs.profile_job(V.records_dirty(spark, SMALL), scratch_path(spark, "profile-ff"), V.RUN_TS, mode="failfast")

@@ -116,3 +116,47 @@ def test_append_field_equals_map_route(spark):
     for r in rows:
         assert json.loads(r.a) == json.loads(r.b)
         assert list(json.loads(r.a))[-1] == "ad_class"
+
+
+json_leaf = st.one_of(st.none(), st.booleans(), st.integers(-10**12, 10**12),
+                      st.floats(allow_nan=False, allow_infinity=False, width=32), st.text(max_size=8))
+json_obj = st.dictionaries(st.text(max_size=5), st.recursive(json_leaf, lambda c: st.lists(c, max_size=3)
+                                                             | st.dictionaries(st.text(max_size=3), c, max_size=3),
+                                                             max_leaves=6), max_size=4)
+
+
+def _mutate(draw_line, kind):
+    line = draw_line
+    if kind == 1:
+        return line[: max(1, len(line) // 2)]
+    if kind == 2:
+        return line + " x"
+    if kind == 3:
+        return line + "," + line
+    if kind == 4:
+        return "[" + line + "]"
+    if kind == 5:
+        return line.replace('"', "'")
+    if kind == 6:
+        return " \t" + line + "  "
+    if kind == 7:
+        return "42"
+    return line
+
+
+def _python_accepts(line):
+    try:
+        return isinstance(json.loads(line.strip()), dict)
+    except ValueError:
+        return False
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(json_obj, st.integers(0, 8)), min_size=60, max_size=60))
+def test_strict_json_lines_match_python(spark, items):
+    lines = [_mutate(json.dumps(obj, ensure_ascii=False), kind) for obj, kind in items]
+    lines = [x for x in lines if x.strip()]
+    df = parse_lines(spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, value string"))
+    got = {r.i: r._status == "ok" for r in df.select("i", "_status").collect()}
+    for i, x in enumerate(lines):
+        assert got[i] == _python_accepts(x), x

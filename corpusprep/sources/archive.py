@@ -34,7 +34,12 @@ MAX_PRUNED_SHARDS = 200_000
 
 @dataclass
 class Archive:
-    """An archive location and its field names; read lazily, pruned per lookup."""
+    """An archive location and its field names; read lazily, pruned per lookup.
+
+    ``layout="partitioned"``: ``newspaper=<n>/yr=<y>/`` folders.
+    ``layout="shard_files"``: ``<n>/<n>-<y>.jsonl[.bz2|.gz]`` files (one per
+    newspaper-year), pruned by file name.
+    """
 
     spark: SparkSession
     path: str
@@ -42,12 +47,57 @@ class Archive:
     text_field: str = "ft"
     length_field: str = "len"
     title_field: str = "title"
+    layout: str = "partitioned"
 
     def read(self, shards: list[str] | None = None) -> DataFrame:
-        return read_archive(
-            self.spark, self.path, match_field=self.match_field, text_field=self.text_field,
-            length_field=self.length_field, title_field=self.title_field, shards=shards,
-        )
+        kwargs = dict(match_field=self.match_field, text_field=self.text_field,
+                      length_field=self.length_field, title_field=self.title_field, shards=shards)
+        if self.layout == "shard_files":
+            return read_shard_files(self.spark, self.path, **kwargs)
+        if self.layout != "partitioned":
+            raise ValueError(f"unknown archive layout {self.layout!r}")
+        return read_archive(self.spark, self.path, **kwargs)
+
+
+_SHARD_FILE_RE = "^(.+)-([^-]+)\\.jsonl(\\.bz2|\\.gz)?$"
+
+
+def read_shard_files(
+    spark: SparkSession,
+    path: str,
+    *,
+    match_field: str = "id",
+    text_field: str = "ft",
+    length_field: str = "len",
+    title_field: str = "title",
+    shards: list[str] | None = None,
+) -> DataFrame:
+    """Archive stored as ``<newspaper>/<newspaper>-<year>.jsonl.bz2`` files.
+
+    The shard comes from the file name; ``shards`` filters on
+    ``_metadata.file_name`` before parsing, which Spark applies while listing,
+    so files of other shards are never opened.
+    """
+    raw = spark.read.format("text").option("recursiveFileLookup", "true").load(path)
+    name = F.col("_metadata.file_name")
+    shard = F.regexp_extract(name, _SHARD_FILE_RE, 1)
+    news = F.regexp_extract(name, _SHARD_FILE_RE, 1)
+    year = F.regexp_extract(name, _SHARD_FILE_RE, 2)
+    raw = raw.filter(name.rlike(_SHARD_FILE_RE))
+    if shards is not None:
+        raw = raw.filter(F.concat_ws("-", shard, year).isin(shards))
+    lines = raw.select("value", news.alias(NEWSPAPER), year.alias(YEAR), line_seq().alias(SEQ),
+                       F.col("_metadata.file_path").alias(FILE))
+    v = F.col(VAR)
+    return valid_records(parse_lines(lines)).select(
+        NEWSPAPER,
+        YEAR,
+        SEQ,
+        as_str(v, match_field).alias("a_id"),
+        as_str(v, text_field).alias("a_text"),
+        to_int(v, length_field).alias("a_len"),
+        as_str(v, title_field).alias("a_title"),
+    )
 
 
 def read_archive(

@@ -43,3 +43,32 @@ def test_archive_lookup_prunes_shards(spark):
     shards = [r[0] for r in ids.select(F.substring_index("_id", "-", 2)).distinct().collect()]
     plan = arch.read(shards)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and ("INSET" in plan or " IN (" in plan)
+
+
+def test_archive_shard_file_layout(spark):
+    """The same lookups over ``<newspaper>/<newspaper>-<year>.jsonl.bz2`` files."""
+    import bz2
+    import json
+    import os
+
+    from urllib.parse import urlparse
+
+    rows = V.archive_rows(spark, SMALL).collect()
+    root = scratch_path(spark, "archive-files")
+    local = urlparse(root).path if root.startswith("file:") else root
+    by_shard = {}
+    for r in rows:
+        by_shard.setdefault((r.newspaper, r.yr), []).append(r.value)
+    for (paper, year), lines in by_shard.items():
+        os.makedirs(os.path.join(local, paper), exist_ok=True)
+        with bz2.open(os.path.join(local, paper, f"{paper}-{year}.jsonl.bz2"), "wt", encoding="utf-8") as fh:
+            fh.write("\n".join(lines) + "\n")
+    ids = V.record_rows(spark, SMALL).select(F.col("id").alias("_id"))
+    a = A.lookup(A.Archive(spark, V.archive_path(spark, SMALL)), ids, "_id")
+    b = A.lookup(A.Archive(spark, root, layout="shard_files"), ids, "_id")
+    cols = ["a_id", "a_text", "a_len", "a_title"]
+    assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
+    assert b.count() == len({json.loads(x)["id"] for v in by_shard.values() for x in v})
+    some = sorted(by_shard)[:3]
+    plan = A.Archive(spark, root, layout="shard_files").read([f"{p}-{y}" for p, y in some])
+    assert plan.select("newspaper", "yr").distinct().count() == 3

@@ -97,3 +97,14 @@ def append_run(rows: DataFrame, path: str, run_id: str | None = None, *,
     (new_ids.select(RID, RUN).write.mode("append").partitionBy(RUN)
      .parquet(f"{path.rstrip('/')}/{IDS}"))
     return run_id
+
+
+def import_store(spark: SparkSession, source: str, store_path: str, run_id: str = "00000000T000000-import", *,
+                 id_field: str = "id", class_field: str = "ad_class") -> str:
+    """Bring an existing labelled JSONL file (plain or compressed) into the
+    store as its first run, in line order; invalid lines are skipped as the
+    store reader would skip them."""
+    from corpusprep.sources.jsonl import read_jsonl
+
+    lines = valid_records(read_jsonl(spark, source)).select("value", SEQ)
+    return append_run(lines, store_path, run_id, id_field=id_field, class_field=class_field)

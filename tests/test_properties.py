@@ -167,3 +167,21 @@ def test_profile_job_modes(spark):
     assert read_jsonl(spark, out).count() == V.records_dirty(spark, SMALL).filter("_status = 'ok'").count()
     with pytest.raises(Exception):
         jobs.profile_job(V.records_dirty(spark, SMALL), scratch_path(spark, "profile-ff"), V.RUN_TS, mode="failfast")
+
+
+def test_import_existing_store_file(spark):
+    from corpusprep.sources.jsonl import write_jsonl
+
+    legacy = scratch_path(spark, "legacy-store")
+    write_jsonl(V.store_lines(spark, SMALL), legacy, compression="gzip", order_by="_seq")
+    store_path = scratch_path(spark, "imported")
+    S.import_store(spark, legacy, store_path)
+    st = S.read_store(spark, store_path)
+    assert st.count() == V.store_lines(spark, SMALL).count()
+    assert S.store_ids(spark, store_path).count() == st.count()
+    # a sampling run on top never re-labels an imported ID
+    arch = A.Archive(spark, V.archive_path(spark, SMALL))
+    jobs.run_sampling(spark, V.records_no_text(spark, SMALL), store_path, arch,
+                      jobs.ClassifyParams(target_per_language=5), "r1")
+    st = S.read_store(spark, store_path)
+    assert st.count() == st.select(identity.RID).distinct().count()

@@ -42,13 +42,15 @@ def read_jsonl(
     *,
     recursive: bool = False,
     glob: str | None = None,
-    min_partitions: int | None = None,
+    min_partitions: int | str | None = None,
     partition_filter: Column | str | None = None,
 ) -> DataFrame:
     """Scan JSONL (plain, .gz, .bz2; codec by extension) into parsed lines.
 
     Gzip files are not splittable, one task each; pass ``min_partitions`` to
-    spread the parse over the cluster right after the scan.
+    spread the parse over the cluster right after the scan, or ``"auto"`` to
+    do so only when there are fewer gzip files than the default parallelism
+    (file names from the listing decide; no data is read).
     ``partition_filter`` (on partition columns of a partitioned folder) is
     applied to the raw scan, before parsing, so Spark prunes folders; filters
     written after parsing stay above the parse and do not prune.
@@ -66,8 +68,12 @@ def read_jsonl(
         line_seq().alias(SEQ),
         F.col("_metadata.file_path").alias(FILE),
     )
+    if min_partitions == "auto":
+        gz = [f for f in raw.inputFiles() if f.lower().endswith(".gz")]
+        parallelism = spark.sparkContext.defaultParallelism
+        min_partitions = parallelism if gz and len(gz) < parallelism else None
     if min_partitions:
-        lines = lines.repartition(min_partitions)
+        lines = lines.repartition(int(min_partitions))
     return parse_lines(lines)
 
 

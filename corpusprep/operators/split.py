@@ -145,3 +145,53 @@ def write_summary(summary: DataFrame, path: str) -> None:
 def read_split(spark, output_prefix: str) -> DataFrame:
     """Lines of a split output with their language folder."""
     return spark.read.schema(f"value string, {BUCKET} string").text(output_prefix)
+
+
+# Above this many bytes a language is not merged into one file (one task).
+MAX_SINGLE_FILE_BYTES = 8 << 30
+
+
+def publish_language_files(spark, split_prefix: str, target_prefix: str, *,
+                           max_bytes: int = MAX_SINGLE_FILE_BYTES) -> dict[str, str]:
+    """Publish a split output as ``<target>/<language>.jsonl[.gz|.bz2]`` files.
+
+    A language folder holding one part file is renamed (a metadata operation).
+    One holding several is rewritten as a single file in line order -- one
+    task per language, so only up to ``max_bytes`` (from the listing; larger
+    languages raise).  Returns language -> published path.
+    """
+    from corpusprep.sources.jsonl import read_jsonl
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
+    root = Path(split_prefix)
+    fs = root.getFileSystem(conf)
+    fs.mkdirs(Path(target_prefix))
+    published: dict[str, str] = {}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if not status.isDirectory() or not name.startswith(f"{BUCKET}="):
+            continue
+        language = name.split("=", 1)[1]
+        parts = [p for p in fs.listStatus(status.getPath()) if p.getPath().getName().startswith("part-")]
+        if not parts:
+            continue
+        ext = ".jsonl" + next((e for e in (".gz", ".bz2") if parts[0].getPath().getName().endswith(e)), "")
+        target = f"{target_prefix.rstrip('/')}/{language}{ext}"
+        if len(parts) == 1:
+            fs.rename(parts[0].getPath(), Path(target))
+        else:
+            size = sum(p.getLen() for p in parts)
+            if size > max_bytes:
+                raise ValueError(f"language {language!r} has {size} bytes; above max_bytes for one file")
+            lines = read_jsonl(spark, status.getPath().toString())
+            tmp = f"{target_prefix.rstrip('/')}/_merge_{language}"
+            codec = {".jsonl.gz": "gzip", ".jsonl.bz2": "bzip2"}.get(ext)
+            # a global sort on line order, then one partition: the file keeps input order
+            out = lines.orderBy(SEQ).coalesce(1).select("value").write.mode("overwrite")
+            (out.option("compression", codec) if codec else out).text(tmp)
+            merged = [p for p in fs.listStatus(Path(tmp)) if p.getPath().getName().startswith("part-")]
+            fs.rename(merged[0].getPath(), Path(target))
+        published[language] = target
+    return published

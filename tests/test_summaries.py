@@ -72,3 +72,17 @@ def test_archive_shard_file_layout(spark):
     some = sorted(by_shard)[:3]
     plan = A.Archive(spark, root, layout="shard_files").read([f"{p}-{y}" for p, y in some])
     assert plan.select("newspaper", "yr").distinct().count() == 3
+
+
+def test_publish_language_files(spark):
+    from corpusprep.operators.split import publish_language_files, read_split, split_by_language
+
+    out = scratch_path(spark, "split-pub")
+    split_by_language(V.records_langs(spark, SMALL), out)
+    before = {r[0]: r[1] for r in read_split(spark, out).groupBy("lang_bucket").count().collect()}
+    target = scratch_path(spark, "published")
+    paths = publish_language_files(spark, out, target)
+    assert set(paths) == set(before) and all(p.endswith(".jsonl") for p in paths.values())
+    scanned = folder.scan_language_folder(spark, target)
+    after = {r[0]: r[1] for r in valid_records(scanned).groupBy(folder.LANG_FILE).count().collect()}
+    assert after == before

@@ -152,8 +152,10 @@ MAX_SINGLE_FILE_BYTES = 8 << 30
 
 
 def publish_language_files(spark, split_prefix: str, target_prefix: str, *,
-                           max_bytes: int = MAX_SINGLE_FILE_BYTES) -> dict[str, str]:
-    """Publish a split output as ``<target>/<language>.jsonl[.gz|.bz2]`` files.
+                           max_bytes: int = MAX_SINGLE_FILE_BYTES, partition_col: str = BUCKET,
+                           name_prefix: str = "") -> dict[str, str]:
+    """Publish a split output as ``<target>/<language>.jsonl[.gz|.bz2]`` files
+    (keyword outputs: ``partition_col="lang_file", name_prefix="keywords_"``).
 
     A language folder holding one part file is renamed (a metadata operation).
     One holding several is rewritten as a single file in line order -- one
@@ -171,14 +173,14 @@ def publish_language_files(spark, split_prefix: str, target_prefix: str, *,
     published: dict[str, str] = {}
     for status in fs.listStatus(root):
         name = status.getPath().getName()
-        if not status.isDirectory() or not name.startswith(f"{BUCKET}="):
+        if not status.isDirectory() or not name.startswith(f"{partition_col}="):
             continue
         language = name.split("=", 1)[1]
         parts = [p for p in fs.listStatus(status.getPath()) if p.getPath().getName().startswith("part-")]
         if not parts:
             continue
         ext = ".jsonl" + next((e for e in (".gz", ".bz2") if parts[0].getPath().getName().endswith(e)), "")
-        target = f"{target_prefix.rstrip('/')}/{language}{ext}"
+        target = f"{target_prefix.rstrip('/')}/{name_prefix}{language}{ext}"
         if len(parts) == 1:
             fs.rename(parts[0].getPath(), Path(target))
         else:

@@ -25,7 +25,8 @@ def tfidf_keywords(docs: DataFrame, id_col: str, text_col: str, k: int = 5) -> D
     terms = docs.select(F.col(id_col).alias("_doc"), F.explode_outer(tokens).alias("term"))
     tf = stage(terms.groupBy("_doc", "term").agg(F.count("term").alias("tf")), "term_counts")
     n_docs = tf.select("_doc").distinct().count()
-    df = tf.filter(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df"))
+    # one row per term; staged so the size check and the join read it once
+    df = stage(tf.filter(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df")), "term_df")
     scored = lookup_join(tf, df, "term", "left").withColumn(
         "score", F.col("tf") * F.log(F.lit(float(n_docs + 1)) / (F.col("df") + 1))
     )

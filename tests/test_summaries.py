@@ -86,3 +86,22 @@ def test_publish_language_files(spark):
     scanned = folder.scan_language_folder(spark, target)
     after = {r[0]: r[1] for r in valid_records(scanned).groupBy(folder.LANG_FILE).count().collect()}
     assert after == before
+
+
+def test_tfidf_matches_brute_force(spark):
+    """Top-5 TF-IDF terms per article against a plain-Python computation."""
+    import math
+    import re
+    from collections import Counter
+
+    import __spark_entry__ as E
+
+    got = {r.id: r.keywords for r in E.queries()["tfidf_keywords"](spark, SMALL).collect()}
+    docs = {r.id: r.ft for r in V.record_rows(spark, SMALL).select("id", "ft").collect()}
+    token = re.compile(r"[^\W\d_]{4,}")
+    tfs = {i: Counter(token.findall(t.lower())) for i, t in docs.items()}
+    df = Counter(term for c in tfs.values() for term in c)
+    n = len(docs)
+    for i, c in tfs.items():
+        scored = sorted(c.items(), key=lambda kv: (-(kv[1] * math.log((n + 1) / (df[kv[0]] + 1))), kv[0]))
+        assert got[i] == "|".join(t for t, _ in scored[:5]), i

@@ -927,7 +927,43 @@ def q_tfidf_keywords(spark, sf_dir):
     return tfidf.tfidf_keywords(docs, "id", "text", 5).select("id", F.array_join("keywords", "|").alias("keywords"))
 
 
-@register("chain_end_to_end")
+_CHAIN = f"""filtered AS (SELECT * FROM no_text WHERE tp = 'article' AND ocrqa >= 0.7),
+picked AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lg ORDER BY md5('42:' || id), id) AS rn
+                 FROM filtered WHERE lg <> '') WHERE rn <= 100),
+enriched AS (
+  SELECT p.doc_id, p.id, p.lg, coalesce(p.ft, {O.py_strip('a.ft')}) AS text
+  FROM picked p LEFT JOIN archive a ON a.id = p.id WHERE p.ft IS NOT NULL OR a.ft IS NOT NULL),
+exported AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lg ORDER BY doc_id) AS rn FROM enriched
+                 WHERE {O.AD_RULE.format(t='text')} = 'non-ad') WHERE rn <= 50),
+chain_kres AS (
+  SELECT {O.BUCKET_EXPR.format(x='lg')} AS language, length(text) AS chars, doc_id % 10 <> 0 AS parsed,
+    doc_id % 9 = 0 AS usage_missing,
+    CASE WHEN doc_id % 9 <> 0 THEN length(text) // 4 + 20 ELSE 0 END AS prompt_tokens,
+    CAST(CASE WHEN doc_id % 9 <> 0 THEN 12 ELSE 0 END AS BIGINT) AS completion_tokens,
+    CASE WHEN doc_id % 9 <> 0 THEN length(text) // 4 + 32 ELSE 0 END AS total_tokens
+  FROM exported)"""
+
+
+@register(
+    "chain_end_to_end",
+    O.with_ctes(
+        O.RECORDS,
+        O.NO_TEXT,
+        O.ARCHIVE,
+        _CHAIN,
+        body="""SELECT coalesce(language, 'TOTAL') AS language, count(*) AS records,
+  count(*) FILTER (WHERE NOT parsed) AS failed_records,
+  count(*) FILTER (WHERE parsed) AS records_with_keywords,
+  CAST(sum(chars) AS BIGINT) AS article_chars,
+  CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens,
+  CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens,
+  CAST(sum(total_tokens) AS BIGINT) AS total_tokens,
+  count(*) FILTER (WHERE usage_missing) AS usage_missing_records
+FROM chain_kres GROUP BY ROLLUP (language)""",
+    ),
+)
 def q_chain_end_to_end(spark, sf_dir):
     """filter -> sample and classify -> titles -> split -> keywords; returns the
     keyword summary of the chain's output (rows only)."""

@@ -250,7 +250,7 @@ def chain(spark: SparkSession, parsed: DataFrame, archive: Archive | DataFrame,
     p = p or ClassifyParams(target_per_language=50)
     base = scratch_path(spark, "chain")
     # 1. filter (articles only; quality and length as in the usage example)
-    write_jsonl(filtering.filter_records(parsed, tp="article", min_quality=0.7), f"{base}/filtered")
+    write_jsonl(filtering.filter_records(parsed, tp="article", min_quality=0.7), f"{base}/filtered", order_by=SEQ)
     filtered = read_jsonl(spark, f"{base}/filtered")
     # 2. sample and classify into the store, export non-ads
     run_sampling(spark, filtered, f"{base}/store", archive, p, "r1")
@@ -317,7 +317,9 @@ def labelling_run(
         rest = stage(rest.select(*keep).withColumn("_phase", F.lit(2)), "rest")
         estimate = retention_estimate(rest, p.fields)
         new = sampled.unionByName(rest)
-    rid = S.append_run(new, store_path, run_id, id_field=p.fields.id, class_field=p.fields.label)
+    # sampled records first, then the remaining ones, each in input order
+    rid = S.append_run(new, store_path, run_id, id_field=p.fields.id, class_field=p.fields.label,
+                       order_by=["_phase", SEQ])
     counters = (
         store.select(identity.RID, F.lit(0).alias("_phase"))
         .unionByName(new.select(identity.RID, "_phase"))

@@ -83,13 +83,19 @@ def new_run_id() -> str:
 
 
 def append_run(rows: DataFrame, path: str, run_id: str | None = None, *,
-               id_field: str = "id", class_field: str = "ad_class") -> str:
+               id_field: str = "id", class_field: str = "ad_class", order_by: list[str] | None = None) -> str:
     """Append labelled lines (``value``) as one new run and index its IDs;
-    returns the run id."""
+    returns the run id.
+
+    The run is written in ``order_by`` order (default: input line order when
+    ``_seq`` is present), range partitioned so its part files read back in
+    that order: "the first N in store order" is then reproducible.
+    """
     run_id = run_id or new_run_id()
-    out = rows.select("value", F.lit(run_id).alias(RUN))
-    if SEQ in rows.columns:
-        out = rows.select("value", SEQ, F.lit(run_id).alias(RUN)).sortWithinPartitions(SEQ).drop(SEQ)
+    order = order_by if order_by is not None else ([SEQ] if SEQ in rows.columns else [])
+    out = rows.select("value", *order, F.lit(run_id).alias(RUN))
+    if order:
+        out = out.repartitionByRange(*order).sortWithinPartitions(*order).drop(*order)
     out.write.mode("append").partitionBy(RUN).text(path)
     # the index reads back only the new run (partition pruned), IDs as stored
     spark = rows.sparkSession

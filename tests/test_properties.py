@@ -185,3 +185,13 @@ def test_import_existing_store_file(spark):
                       jobs.ClassifyParams(target_per_language=5), "r1")
     st = S.read_store(spark, store_path)
     assert st.count() == st.select(identity.RID).distinct().count()
+
+
+def test_ad_model_agrees_with_labels(spark):
+    import __spark_entry__ as E
+
+    pred = E.queries()["ad_model_fit"](spark, MID)
+    truth = V.record_rows(spark, MID).select("id", C.rule_label(F.col("ft")).alias("rule"))
+    joined = pred.join(truth, "id")
+    assert joined.count() == 1000
+    assert joined.filter("ad_class = rule").count() >= 850

@@ -10,7 +10,7 @@ per-worker classifier.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, IDF, IndexToString, RegexTokenizer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,10 +38,23 @@ def fit(train: DataFrame, *, num_features: int = 1 << 16, max_iter: int = 50, re
     ]).fit(train)
     lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter, regParam=reg,
                             standardization=True).fit(features.transform(indexer.transform(train)))
+    lr = _without_summary(lr, train.sparkSession)
     to_label = IndexToString(inputCol="prediction", outputCol="ad_class", labels=indexer.labels)
     # prediction needs no label column: feature stages, the classifier, the label names
     return PipelineModel(stages=[*features.stages, lr, to_label])
 
 
+def _without_summary(model: LogisticRegressionModel, spark) -> LogisticRegressionModel:
+    """The fitted model reloaded from the shared folder: a loaded model has no
+    training summary, whose reference to the session would otherwise travel
+    with every prediction task (and fails to serialise once the session has
+    used an ``Observation``)."""
+    from corpusprep.session import scratch_path
+
+    path = scratch_path(spark, "ad_model")
+    model.write().overwrite().save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def predict(model: PipelineModel, records: DataFrame) -> DataFrame:
     return model.transform(_with_signals(records))

@@ -23,8 +23,10 @@ _WRITTEN: dict[tuple, str] = {}
 def _once(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     from corpusprep.session import checkpoint_dir
 
+    from corpusprep.sources.store import path_exists
+
     key = (checkpoint_dir(spark), sf_dir, name)
-    if key not in _WRITTEN:
+    if key not in _WRITTEN or not path_exists(spark, _WRITTEN[key]):
         _WRITTEN[key] = build()
     return _WRITTEN[key]
 

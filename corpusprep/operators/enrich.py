@@ -27,24 +27,31 @@ from corpusprep.sources.jsonl import LINE_STATUS_OK, STATUS, VAR
 from corpusprep.sources.staging import stage
 
 
-def enrich_text(records: DataFrame, archive: A.Archive | DataFrame, *, key: str = "_rid", fields: Fields = DEFAULT) -> DataFrame:
+def enrich_text(records: DataFrame, archive: A.Archive | DataFrame, *, key: str = "_rid", fields: Fields = DEFAULT,
+                stage_input: bool = True) -> DataFrame:
     """Records (with ``key``) after text enrichment, unresolved ones removed.
 
     Adds ``e_text``, ``e_len``, ``e_title`` (the final values) and rewrites
     ``value`` for changed rows.  Use :func:`enrich_text_counts` on the output of
     :func:`enrich_text_all` for the unresolved count.
     """
-    return enrich_text_all(records, archive, key=key, fields=fields).filter(F.col("e_text") != "")
+    return enrich_text_all(records, archive, key=key, fields=fields, stage_input=stage_input).filter(
+        F.col("e_text") != ""
+    )
 
 
-def enrich_text_all(records: DataFrame, archive: A.Archive | DataFrame, *, key: str = "_rid", fields: Fields = DEFAULT) -> DataFrame:
+def enrich_text_all(records: DataFrame, archive: A.Archive | DataFrame, *, key: str = "_rid", fields: Fields = DEFAULT,
+                    stage_input: bool = True) -> DataFrame:
     v = F.col(VAR)
     own_text = as_str(v, fields.text)
     own_len = to_int(v, fields.length)
     own_title = as_str(v, fields.title)
     # the record side feeds both the key lookup and the join: materialise it
-    # once (parsed VARIANT included) instead of parsing the input twice
-    tagged = stage(records.withColumn("_needs", as_str(F.col(VAR), fields.text) == ""), "enrich_input")
+    # once (parsed VARIANT included) instead of parsing the input twice;
+    # ``stage_input=False`` when ``records`` already reads a staged table
+    tagged = records.withColumn("_needs", as_str(F.col(VAR), fields.text) == "")
+    if stage_input:
+        tagged = stage(tagged, "enrich_input")
     wanted = tagged.filter("_needs").select(F.col(key).alias("_id"))
     found = A.lookup(archive, wanted, "_id", stage_keys=False).withColumnRenamed("a_id", key)
     joined = lookup_join(tagged, found, key, "left")

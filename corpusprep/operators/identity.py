@@ -50,6 +50,27 @@ def keep_first(df: DataFrame, key: str = RID, order: str = SEQ) -> DataFrame:
     return _pick(df, key, order, F.min_by)
 
 
+def keep_first_sparse(df: DataFrame, key: str = RID, order: str = SEQ) -> DataFrame:
+    """:func:`keep_first` that shuffles only duplicated IDs.
+
+    IDs occurring more than once are found on the narrow key column; when
+    their count is under the broadcast bound, rows with unique IDs pass
+    through a broadcast anti join (no shuffle) and only the duplicated rows
+    are aggregated.  Above the bound this is :func:`keep_first`.  ``df`` is
+    read three times: pass a staged table.
+    """
+    from corpusprep.operators.joins import MAX_BROADCAST_ROWS
+    from corpusprep.sources.staging import stage
+
+    dup_ids = stage(df.groupBy(key).count().filter(F.col("count") > 1).select(key), "dup_ids")
+    if dup_ids.limit(MAX_BROADCAST_ROWS + 1).count() > MAX_BROADCAST_ROWS:
+        return keep_first(df, key, order)
+    dups = F.broadcast(dup_ids)
+    unique = df.join(dups, key, "left_anti")
+    firsts = keep_first(df.join(dups, key, "left_semi"), key, order)
+    return unique.unionByName(firsts.select(*unique.columns))
+
+
 def keep_last(df: DataFrame, key: str = RID, order: str = SEQ) -> DataFrame:
     """One row per key: the latest in line order (lookup maps)."""
     return _pick(df, key, order, F.max_by)

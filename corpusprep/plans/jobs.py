@@ -123,9 +123,14 @@ def sample_and_classify(parsed: DataFrame | None, store: DataFrame, archive: Arc
 
 
 def classify_rest(parsed: DataFrame, store: DataFrame, archive: Archive | DataFrame, p: ClassifyParams) -> DataFrame:
-    """Every unprocessed record of every language, enriched and labelled."""
-    cands = identity.keep_first(candidates(parsed, store, p))
-    return label_records(enrich.enrich_text(cands, archive, fields=p.fields), p)
+    """Every unprocessed record of every language, enriched and labelled.
+
+    The candidates are staged once; dedup shuffles only duplicated IDs.
+    """
+    from corpusprep.sources.staging import stage
+
+    cands = identity.keep_first_sparse(stage(candidates(parsed, store, p), "rest_candidates"))
+    return label_records(enrich.enrich_text(cands, archive, fields=p.fields, stage_input=False), p)
 
 
 def retention_estimate(labelled: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
@@ -312,8 +317,8 @@ def labelling_run(
     new = sampled
     estimate = None
     if classify_remaining:
-        rest_cands = identity.keep_first(identity.unprocessed(cands, sampled.select(identity.RID)))
-        rest = label_records(enrich.enrich_text(rest_cands, archive, fields=p.fields), p)
+        rest_cands = identity.keep_first_sparse(identity.unprocessed(cands, sampled.select(identity.RID)))
+        rest = label_records(enrich.enrich_text(rest_cands, archive, fields=p.fields, stage_input=False), p)
         rest = stage(rest.select(*keep).withColumn("_phase", F.lit(2)), "rest")
         estimate = retention_estimate(rest, p.fields)
         new = sampled.unionByName(rest)

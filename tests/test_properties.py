@@ -195,3 +195,12 @@ def test_ad_model_agrees_with_labels(spark):
     joined = pred.join(truth, "id")
     assert joined.count() == 1000
     assert joined.filter("ad_class = rule").count() >= 850
+
+
+def test_sparse_keep_first_equals_keep_first(spark):
+    from corpusprep.sources.staging import stage
+
+    recs = stage(identity.with_rid(V.duplicated_lines(spark, MID)).select(identity.RID, "_seq", "value"), "dups")
+    a = sorted(identity.keep_first(recs).select(identity.RID, "value").collect())
+    b = sorted(identity.keep_first_sparse(recs).select(identity.RID, "value").collect())
+    assert a == b and len(a) == recs.select(identity.RID).distinct().count()

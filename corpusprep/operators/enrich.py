@@ -54,7 +54,7 @@ def enrich_text_all(records: DataFrame, archive: A.Archive | DataFrame, *, key:
         tagged = stage(tagged, "enrich_input")
     wanted = tagged.filter("_needs").select(F.col(key).alias("_id"))
     found = A.lookup(archive, wanted, "_id", stage_keys=False).withColumnRenamed("a_id", key)
-    joined = lookup_join(tagged, found, key, "left")
+    joined = _join_needed(tagged, F.col("_needs"), found, key)
     hit = F.col("_needs") & F.col("a_text").isNotNull()
     new_text = F.when(hit & (F.col("a_text") != ""), F.col("a_text")).otherwise(own_text)
     new_len = F.when(hit & own_len.isNull(), F.col("a_len")).otherwise(own_len)
@@ -75,6 +75,16 @@ def enrich_text_all(records: DataFrame, archive: A.Archive | DataFrame, *, key:
     )
 
 
+def _join_needed(rows: DataFrame, needs, found: DataFrame, key: str) -> DataFrame:
+    """Left-join ``found`` only to the rows that need it; the others pass
+    through with NULL lookup columns, so they never cross a shuffle."""
+    extra = [f for f in found.schema.fields if f.name != key]
+    needs = F.coalesce(needs, F.lit(False))
+    joined = lookup_join(rows.filter(needs), found, key, "left")
+    passed = rows.filter(~needs).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    return passed.unionByName(joined.select(*passed.columns))
+
+
 def enrich_text_counts(enriched_all: DataFrame) -> DataFrame:
     return enriched_all.agg(
         F.count("*").alias("records"),
@@ -125,7 +135,7 @@ def enrich_titles(
     recs = staged.filter(F.col(STATUS) == LINE_STATUS_OK)
     wanted = recs.filter(F.col("_own_title") == "").select(F.col("_tid").alias("_id"))
     titles = A.lookup(archive, wanted, "_id", stage_keys=False).select(F.col("a_id").alias("_tid"), F.col("a_title_nb"))
-    joined = lookup_join(recs, titles, "_tid", "left")
+    joined = _join_needed(recs, F.col("_own_title") == "", titles, "_tid")
     fetched = F.coalesce(F.col("a_title_nb"), F.lit(""))
     state = (
         F.when(F.col("_own_title") != "", F.lit("had"))

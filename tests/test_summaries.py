@@ -105,3 +105,12 @@ def test_tfidf_matches_brute_force(spark):
     for i, c in tfs.items():
         scored = sorted(c.items(), key=lambda kv: (-(kv[1] * math.log((n + 1) / (df[kv[0]] + 1))), kv[0]))
         assert got[i] == "|".join(t for t, _ in scored[:5]), i
+
+
+def test_keyword_run_per_file_cap(spark):
+    recs = valid_records(folder.scan_language_folder(spark, V.keyword_folder(spark, SMALL)))
+    countries = providers.newspaper_country(providers.read_providers(spark, V.providers_path(spark, SMALL)))
+    res = keywords.generate(recs, countries, fields=Fields(year="yr"), max_per_file=7)
+    per_file = {r[0]: r[1] for r in res.groupBy(folder.LANG_FILE).count().collect()}
+    have = {r[0]: r[1] for r in recs.groupBy(folder.LANG_FILE).count().collect()}
+    assert per_file == {k: min(7, v) for k, v in have.items()}

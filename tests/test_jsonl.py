@@ -88,3 +88,27 @@ def test_insert_keywords_keeps_unknown_fields(spark):
     out = df.select(write_record(insert_before(as_map(F.col("value")), "keywords", kw, "ft")).alias("o")).first().o
     assert out.startswith('{"id":"a","big":123456789012345678901,"nested":')
     assert '"keywords":["k1","k2"],"ft":"text","tail":null}' in out
+
+
+def test_partition_filter_prunes_before_parsing(spark):
+    from corpusprep.plans import views as V
+    from corpusprep.sources.archive import NEWSPAPER
+
+    path = V.archive_path(spark, "/root/testdata/sf0.001")
+    df = read_jsonl(spark, path, partition_filter=F.col(NEWSPAPER) == "src3")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "src3" in plan
+    assert {r[0] for r in df.select(NEWSPAPER).distinct().collect()} == {"src3"}
+
+
+def test_split_without_order_writes_the_same_lines(spark):
+    from corpusprep.operators.split import read_split, split_by_language
+    from corpusprep.plans import views as V
+    from corpusprep.session import scratch_path
+
+    parsed = V.records(spark, "/root/testdata/sf0.001")
+    a, b = scratch_path(spark, "s-ord"), scratch_path(spark, "s-unord")
+    split_by_language(parsed, a)
+    split_by_language(parsed, b, preserve_order=False)
+    rows = lambda p: sorted(read_split(spark, p).collect())
+    assert rows(a) == rows(b)

@@ -324,7 +324,7 @@ def labelling_run(
         new = sampled.unionByName(rest)
     # sampled records first, then the remaining ones, each in input order
     rid = S.append_run(new, store_path, run_id, id_field=p.fields.id, class_field=p.fields.label,
-                       order_by=["_phase", SEQ])
+                       order_by=["_phase", SEQ], ids=new.select(identity.RID))
     counters = (
         store.select(identity.RID, F.lit(0).alias("_phase"))
         .unionByName(new.select(identity.RID, "_phase"))

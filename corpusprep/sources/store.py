@@ -83,13 +83,16 @@ def new_run_id() -> str:
 
 
 def append_run(rows: DataFrame, path: str, run_id: str | None = None, *,
-               id_field: str = "id", class_field: str = "ad_class", order_by: list[str] | None = None) -> str:
+               id_field: str = "id", class_field: str = "ad_class", order_by: list[str] | None = None,
+               ids: DataFrame | None = None) -> str:
     """Append labelled lines (``value``) as one new run and index its IDs;
     returns the run id.
 
     The run is written in ``order_by`` order (default: input line order when
     ``_seq`` is present), range partitioned so its part files read back in
     that order: "the first N in store order" is then reproducible.
+    ``ids`` (one column, e.g. from a staged table) feeds the ID index without
+    reading the run back.
     """
     run_id = run_id or new_run_id()
     order = order_by if order_by is not None else ([SEQ] if SEQ in rows.columns else [])
@@ -97,9 +100,13 @@ def append_run(rows: DataFrame, path: str, run_id: str | None = None, *,
     if order:
         out = out.repartitionByRange(*order).sortWithinPartitions(*order).drop(*order)
     out.write.mode("append").partitionBy(RUN).text(path)
-    # the index reads back only the new run (partition pruned), IDs as stored
+    # the index: the caller's IDs when it has them staged (``ids``), else the
+    # new run read back (partition pruned) with IDs as stored
     spark = rows.sparkSession
-    new_ids = read_store(spark, path, id_field=id_field, class_field=class_field, runs=[run_id])
+    if ids is not None:
+        new_ids = ids.select(F.col(ids.columns[0]).alias(RID), F.lit(run_id).alias(RUN))
+    else:
+        new_ids = read_store(spark, path, id_field=id_field, class_field=class_field, runs=[run_id])
     (new_ids.select(RID, RUN).write.mode("append").partitionBy(RUN)
      .parquet(f"{path.rstrip('/')}/{IDS}"))
     return run_id

@@ -45,21 +45,37 @@ def classify_new_files(
     )
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        # line order within the batch (row ids are a batch-side expression)
-        seq = F.struct(F.col(FILE).alias("file"), F.col("_block").alias("block"),
-                       F.monotonically_increasing_id().alias("pos"))
-        parsed = parse_lines(batch.select("value", seq.alias(SEQ), FILE))
-        done = S.store_ids(batch.sparkSession, store_path, id_field=p.fields.id, class_field=p.fields.label)
-        new_rows = jobs.classify_rest(parsed, done, archive, p)
-        run = f"epoch-{epoch_id:08d}"
-        out = new_rows.select("value", F.lit(run).alias(S.RUN))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(S.RUN).text(store_path))
-        ids = S.read_store(batch.sparkSession, store_path, id_field=p.fields.id, class_field=p.fields.label,
-                           runs=[run]).select(S.RID, S.RUN)
-        (ids.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(S.RUN).parquet(f"{store_path.rstrip('/')}/{S.IDS}"))
+        classify_batch(batch, epoch_id, store_path, archive, p)
 
     writer = lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def classify_batch(batch: DataFrame, epoch_id: int, store_path: str, archive: Archive | DataFrame,
+                   p: jobs.ClassifyParams) -> None:
+    """One micro-batch: parse, drop stored IDs, enrich, classify, write the
+    run ``epoch-<n>`` and its ID index.  Both writes replace that run's
+    partition, so a replayed epoch leaves one copy."""
+    # line order within the batch (row ids are a batch-side expression)
+    seq = F.struct(F.col(FILE).alias("file"), F.col("_block").alias("block"),
+                   F.monotonically_increasing_id().alias("pos"))
+    parsed = parse_lines(batch.select("value", seq.alias(SEQ), FILE))
+    run = f"epoch-{epoch_id:08d}"
+    # IDs of this epoch's earlier attempt do not count as processed
+    done = S.store_ids(batch.sparkSession, store_path, id_field=p.fields.id, class_field=p.fields.label)
+    done = done.join(_run_ids(batch.sparkSession, store_path, run, p), S.RID, "left_anti")
+    new_rows = jobs.classify_rest(parsed, done, archive, p)
+    out = new_rows.select("value", F.lit(run).alias(S.RUN))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(S.RUN).text(store_path))
+    ids = S.read_store(batch.sparkSession, store_path, id_field=p.fields.id, class_field=p.fields.label,
+                       runs=[run]).select(S.RID, S.RUN)
+    (ids.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(S.RUN).parquet(f"{store_path.rstrip('/')}/{S.IDS}"))
+
+
+def _run_ids(spark: SparkSession, store_path: str, run: str, p: jobs.ClassifyParams) -> DataFrame:
+    """IDs already written by ``run`` (empty when it has not run)."""
+    return S.read_store(spark, store_path, id_field=p.fields.id, class_field=p.fields.label,
+                        runs=[run]).select(S.RID)

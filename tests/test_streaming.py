@@ -27,3 +27,21 @@ def test_stream_labels_each_id_once(spark):
     expected = V.no_text_rows(spark, SMALL).filter(F.col("doc_id") % 5 != 0)
     # every article with text (own or archived) ends up in the store
     assert st.count() > 0.5 * expected.count()
+
+
+def test_replayed_epoch_leaves_one_copy(spark):
+    from corpusprep.plans import jobs
+    from corpusprep.streaming.incremental import classify_batch
+
+    landing, store = scratch_path(spark, "landing-replay"), scratch_path(spark, "store-replay")
+    arch = Archive(spark, V.archive_path(spark, SMALL))
+    write_jsonl(V.as_lines(V.no_text_rows(spark, SMALL)), landing)
+    batch = spark.read.text(landing).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    p = jobs.ClassifyParams()
+    classify_batch(batch, 0, store, arch, p)
+    first = sorted(r[0] for r in S.read_store(spark, store).select(RID).collect())
+    classify_batch(batch, 0, store, arch, p)  # the same epoch again, as after a failure
+    again = sorted(r[0] for r in S.read_store(spark, store).select(RID).collect())
+    assert first == again and len(first) == len(set(first)) > 0
+    assert sorted(r[0] for r in S.store_ids(spark, store).collect()) == first

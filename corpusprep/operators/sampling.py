@@ -75,8 +75,8 @@ def sample_per_language(
     if SEQ not in pool.columns:
         pool = pool.withColumn(SEQ, F.monotonically_increasing_id())
     # earliest line per ID decides its language (keep-first dedup), narrow
-    firsts = pool.groupBy(key).agg(F.min_by(F.struct(F.col(lang_col).alias("_l"), F.col(SEQ).alias("_s")),
-                                            F.col(SEQ)).alias("_f"))
+    # struct order compares the line position first (positions are unique)
+    firsts = pool.groupBy(key).agg(F.min(F.struct(F.col(SEQ).alias("_s"), F.col(lang_col).alias("_l"))).alias("_f"))
     firsts = firsts.select(key, F.col("_f._l").alias(lang_col), F.col("_f._s").alias(SEQ))
     w = Window.partitionBy(lang_col).orderBy(*sample_order(seed, key))
     picked = firsts.withColumn("_pick", F.row_number().over(w)).filter(F.col("_pick") <= n).select(key, SEQ)

@@ -204,3 +204,19 @@ def test_sparse_keep_first_equals_keep_first(spark):
     a = sorted(identity.keep_first(recs).select(identity.RID, "value").collect())
     b = sorted(identity.keep_first_sparse(recs).select(identity.RID, "value").collect())
     assert a == b and len(a) == recs.select(identity.RID).distinct().count()
+
+
+def test_sample_is_spread_over_the_input(spark):
+    """Uniform, not first-N: picks fall on both halves of each language's lines."""
+    cands, _ = _cands(spark, MID)
+    picked = sampling.sample_per_language(cands, 60, seed=3)
+    num = V.id_number(F.col(identity.RID))
+    rows = picked.select(sampling.LANG, num.alias("n")).collect()
+    everything = cands.select(sampling.LANG, num.alias("n")).collect()
+    for lang in {r[0] for r in rows}:
+        pool = sorted(r.n for r in everything if r[0] == lang)
+        if len(pool) < 120:
+            continue
+        median = pool[len(pool) // 2]
+        low = sum(1 for r in rows if r[0] == lang and r.n < median)
+        assert 0.3 * 60 <= low <= 0.7 * 60, (lang, low)

@@ -32,7 +32,8 @@ def enrich_text(records: DataFrame, archive: A.Archive | DataFrame, *, key: str
     """Records (with ``key``) after text enrichment, unresolved ones removed.
 
     Adds ``e_text``, ``e_len``, ``e_title`` (the final values) and rewrites
-    ``value`` for changed rows.  Use :func:`enrich_text_counts` on the output of
+    ``value`` for changed rows.  The parsed VARIANT is not carried: the
+    output is the line plus those columns.  Use :func:`enrich_text_counts` on the output of
     :func:`enrich_text_all` for the unresolved count.
     """
     return enrich_text_all(records, archive, key=key, fields=fields, stage_input=stage_input).filter(
@@ -40,18 +41,33 @@ def enrich_text(records: DataFrame, archive: A.Archive | DataFrame, *, key: str
     )
 
 
+OWN_TEXT, OWN_LEN, OWN_TITLE = "_own_text", "_own_len", "_own_title_e"
+
+
+def with_own_fields(records: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
+    """The record's text, length and title as columns, the parsed VARIANT
+    dropped (it would hold the text a second time in staged tables)."""
+    if OWN_TEXT in records.columns:
+        return records
+    v = F.col(VAR)
+    out = records.select(
+        "*", as_str(v, fields.text).alias(OWN_TEXT), to_int(v, fields.length).alias(OWN_LEN),
+        as_str(v, fields.title).alias(OWN_TITLE),
+    )
+    return out.drop(VAR)
+
+
 def enrich_text_all(records: DataFrame, archive: A.Archive | DataFrame, *, key: str = "_rid", fields: Fields = DEFAULT,
                     stage_input: bool = True) -> DataFrame:
-    v = F.col(VAR)
-    own_text = as_str(v, fields.text)
-    own_len = to_int(v, fields.length)
-    own_title = as_str(v, fields.title)
+    """See :func:`enrich_text`; keeps unresolved records (``e_text`` blank)."""
     # the record side feeds both the key lookup and the join: materialise it
-    # once (parsed VARIANT included) instead of parsing the input twice;
-    # ``stage_input=False`` when ``records`` already reads a staged table
-    tagged = records.withColumn("_needs", as_str(F.col(VAR), fields.text) == "")
+    # once instead of parsing the input twice; ``stage_input=False`` when
+    # ``records`` already reads a staged table
+    tagged = with_own_fields(records, fields)
+    tagged = tagged.withColumn("_needs", F.col(OWN_TEXT) == "")
     if stage_input:
         tagged = stage(tagged, "enrich_input")
+    own_text, own_len, own_title = F.col(OWN_TEXT), F.col(OWN_LEN), F.col(OWN_TITLE)
     wanted = tagged.filter("_needs").select(F.col(key).alias("_id"))
     found = A.lookup(archive, wanted, "_id", stage_keys=False).withColumnRenamed("a_id", key)
     joined = _join_needed(tagged, F.col("_needs"), found, key)
@@ -71,7 +87,7 @@ def enrich_text_all(records: DataFrame, archive: A.Archive | DataFrame, *, key:
         new_title.alias("e_title"),
     )
     return out.withColumn("value", F.when(changed, write_record(m)).otherwise(F.col("value"))).drop(
-        "_needs", "a_text", "a_len", "a_title", "a_title_nb"
+        "_needs", "a_text", "a_len", "a_title", "a_title_nb", OWN_TEXT, OWN_LEN, OWN_TITLE
     )
 
 

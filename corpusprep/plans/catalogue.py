@@ -273,7 +273,7 @@ def q_enrich_text(spark, sf_dir):
     recs = identity.with_rid(valid_records(V.records_no_text(spark, sf_dir)))
     out = enrich.enrich_text(recs, _archive(spark, sf_dir))
     return out.select(
-        as_str(F.col(VAR), "id").alias("id"),
+        F.col(identity.RID).alias("id"),
         F.col("e_len").alias("len"),
         F.col("e_title").alias("title"),
         F.md5("e_text").alias("ft_md5"),

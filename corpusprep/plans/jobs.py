@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from typing import Any, Callable  # noqa: UP035
 
@@ -18,7 +19,7 @@ from corpusprep.fixed import (
     SPLIT_SUMMARY_NAME,
     UNKNOWN_LANGUAGE,
 )
-from corpusprep.functions.coerce import as_str, has_field, json_path, py_strip, record_length
+from corpusprep.functions.coerce import as_str, json_path, py_strip, record_length
 from corpusprep.functions.records import append_field, as_map, set_field, write_record
 from corpusprep.operators import classify as C
 from corpusprep.operators import enrich, filtering, identity, sampling
@@ -95,9 +96,10 @@ def label_records(enriched: DataFrame, p: ClassifyParams) -> DataFrame:
     out = enriched.withColumn("_label", label)
     line = py_strip(F.col("value"))
     m = set_field(as_map(line), p.fields.label, F.col("_label").cast("variant"))
-    rewritten = F.when(has_field(F.col(VAR), p.fields.label), write_record(m)).otherwise(
-        append_field(line, p.fields.label, F.col("_label"))
-    )
+    # a line that may carry the key takes the exact map route; a false hit
+    # (the quoted name inside a value) only costs that row a parse
+    maybe_has = line.contains(json.dumps(p.fields.label))
+    rewritten = F.when(maybe_has, write_record(m)).otherwise(append_field(line, p.fields.label, F.col("_label")))
     return out.withColumn("value", rewritten)
 
 
@@ -129,7 +131,8 @@ def classify_rest(parsed: DataFrame, store: DataFrame, archive: Archive | DataFr
     """
     from corpusprep.sources.staging import stage
 
-    cands = identity.keep_first_sparse(stage(candidates(parsed, store, p), "rest_candidates"))
+    cands = identity.keep_first_sparse(stage(enrich.with_own_fields(candidates(parsed, store, p), p.fields),
+                                             "rest_candidates"))
     return label_records(enrich.enrich_text(cands, archive, fields=p.fields, stage_input=False), p)
 
 
@@ -309,7 +312,8 @@ def labelling_run(
     store = S.store_ids(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
     keep = ["value", SEQ, identity.RID, sampling.LANG, "e_text", "e_len", "_label"]
     # parse the input and remove stored IDs once; both phases draw from it
-    cands = stage(candidates(parsed, store, p), "candidates") if classify_remaining else None
+    cands = (stage(enrich.with_own_fields(candidates(parsed, store, p), p.fields), "candidates")
+             if classify_remaining else None)
     sampled = stage(
         sample_and_classify(parsed, store, archive, p, cands=cands).select(*keep).withColumn("_phase", F.lit(1)),
         "sampled",

@@ -1,5 +1,13 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame`` and their
-DuckDB oracle SQL over the same driver tables."""
+DuckDB oracle SQL over the same driver tables.
+
+Each query builds its input with :mod:`corpusprep.plans.views` (record
+JSONL derived by Spark from ``documents``/``nation``, written once per
+session and read with the engine's scan), runs one operator or job of the
+library over the whole input, and returns flat, aliased columns.  The SQL
+next to it states the same result directly over the parquet tables, using
+the view rules of :mod:`corpusprep.plans.oracle`.
+"""
 
 from __future__ import annotations
 
@@ -9,16 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.fields import DEFAULT, Fields
-from corpusprep.functions.coerce import as_str, to_float, to_int
 from corpusprep.functions import coerce
+from corpusprep.functions.coerce import as_str, to_float, to_int
 from corpusprep.operators import classify as C
 from corpusprep.operators import enrich, filtering, identity, joins, keywords, profile, sampling, split
 from corpusprep.plans import jobs
-from corpusprep.sources import archive, folder, providers
-from corpusprep.sources import store as store_store
 from corpusprep.plans import oracle as O
 from corpusprep.plans import views as V
 from corpusprep.session import scratch_path
+from corpusprep.sources import archive, folder, providers
+from corpusprep.sources import store as store_store
 from corpusprep.sources.jsonl import SEQ, VAR, read_jsonl, valid_records, write_jsonl
 
 QueryFn = Callable[[SparkSession, str], DataFrame]

@@ -98,7 +98,9 @@ def append_run(rows: DataFrame, path: str, run_id: str | None = None, *,
     order = order_by if order_by is not None else ([SEQ] if SEQ in rows.columns else [])
     out = rows.select("value", *order, F.lit(run_id).alias(RUN))
     if order:
-        out = out.repartitionByRange(*order).sortWithinPartitions(*order).drop(*order)
+        # the run column leads the sort so the writer's own ordering on it is
+        # already met; otherwise its sort would replace this one
+        out = out.repartitionByRange(*order).sortWithinPartitions(RUN, *order).drop(*order)
     out.write.mode("append").partitionBy(RUN).text(path)
     # the index: the caller's IDs when it has them staged (``ids``), else the
     # new run read back (partition pruned) with IDs as stored

@@ -220,3 +220,18 @@ def test_sample_is_spread_over_the_input(spark):
         median = pool[len(pool) // 2]
         low = sum(1 for r in rows if r[0] == lang and r.n < median)
         assert 0.3 * 60 <= low <= 0.7 * 60, (lang, low)
+
+
+def test_export_does_not_depend_on_partitioning(spark):
+    from corpusprep.sources.jsonl import read_jsonl
+
+    arch = A.Archive(spark, V.archive_path(spark, SMALL))
+    exported = []
+    for parts in (1, 8):
+        parsed = V.records_no_text(spark, SMALL).repartition(parts)
+        store_path, out = scratch_path(spark, f"store-p{parts}"), scratch_path(spark, f"export-p{parts}")
+        jobs.labelling_run(spark, parsed, store_path, arch, jobs.ClassifyParams(target_per_language=4),
+                           classify_remaining=True, export_path=out)
+        lines = read_jsonl(spark, out).select(as_str(F.col(VAR), "id")).collect()
+        exported.append(sorted(r[0] for r in lines))
+    assert exported[0] == exported[1] and exported[0]

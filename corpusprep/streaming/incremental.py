@@ -66,7 +66,9 @@ def classify_batch(batch: DataFrame, epoch_id: int, store_path: str, archive: Ar
     done = S.store_ids(batch.sparkSession, store_path, id_field=p.fields.id, class_field=p.fields.label)
     done = done.join(_run_ids(batch.sparkSession, store_path, run, p), S.RID, "left_anti")
     new_rows = jobs.classify_rest(parsed, done, archive, p)
-    out = new_rows.select("value", F.lit(run).alias(S.RUN))
+    # in line order within the run, the run column leading the sort (see append_run)
+    out = (new_rows.select("value", SEQ, F.lit(run).alias(S.RUN))
+           .repartitionByRange(SEQ).sortWithinPartitions(S.RUN, SEQ).drop(SEQ))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(S.RUN).text(store_path))
     ids = S.read_store(batch.sparkSession, store_path, id_field=p.fields.id, class_field=p.fields.label,

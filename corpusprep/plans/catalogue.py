@@ -45,14 +45,13 @@ def register(name: str, sql: str | None = None):
 
 
 def _typed(records: DataFrame) -> DataFrame:
-    v = F.col(VAR)
-    f = DEFAULT
-    return records.select(
-        as_str(v, f.id).alias("id"),
-        as_str(v, f.lang).alias("lg"),
-        as_str(v, f.type).alias("tp"),
-        to_float(v, f.quality).alias("ocrqa"),
-        to_int(v, f.length).alias("len"),
+    """The core record fields, typed, under their field names."""
+    from corpusprep.operators.records import with_core_fields
+
+    t = with_core_fields(records, DEFAULT)
+    return t.select(
+        F.col("_id").alias("id"), F.col("_lang").alias("lg"), F.col("_type").alias("tp"),
+        F.col("_quality").alias("ocrqa"), F.col("_len").alias("len"),
     )
 
 

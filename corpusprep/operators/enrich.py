@@ -14,13 +14,15 @@ Only rows that change are re-serialised; all others keep their original line.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusprep.fields import DEFAULT, Fields
 from corpusprep.fixed import SHARDS_PER_BATCH
-from corpusprep.functions.coerce import as_str, shard_key, to_int
-from corpusprep.functions.records import as_map, set_field, write_record
+from corpusprep.functions.coerce import as_str, py_strip, shard_key, to_int
+from corpusprep.functions.records import append_field, as_map, set_field, write_record
 from corpusprep.operators.joins import lookup_join
 from corpusprep.sources import archive as A
 from corpusprep.sources.jsonl import LINE_STATUS_OK, STATUS, VAR
@@ -168,9 +170,14 @@ def _with_title(joined: DataFrame, state, fetched, fields: Fields) -> DataFrame:
         F.when(state == "enriched", fetched).otherwise(F.col("_own_title")).alias("t_title"),
         fetched.alias("_fetched"),
     )
-    m = set_field(as_map(F.col("value")), fields.title, F.col("_fetched").cast("variant"))
+    line = py_strip(F.col("value"))
+    m = set_field(as_map(line), fields.title, F.col("_fetched").cast("variant"))
+    # a line that may carry the key takes the exact map route; others get the
+    # title appended as text (no second parse)
+    maybe_has = line.contains(json.dumps(fields.title))
+    rewritten = F.when(maybe_has, write_record(m)).otherwise(append_field(line, fields.title, F.col("_fetched")))
     return out.withColumn(
-        "value", F.when(F.col("t_state") == "enriched", write_record(m)).otherwise(F.col("value"))
+        "value", F.when(F.col("t_state") == "enriched", rewritten).otherwise(F.col("value"))
     ).drop("_fetched")
 
 

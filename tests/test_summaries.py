@@ -114,3 +114,21 @@ def test_keyword_run_per_file_cap(spark):
     per_file = {r[0]: r[1] for r in res.groupBy(folder.LANG_FILE).count().collect()}
     have = {r[0]: r[1] for r in recs.groupBy(folder.LANG_FILE).count().collect()}
     assert per_file == {k: min(7, v) for k, v in have.items()}
+
+
+def test_title_lines_rewritten_correctly(spark):
+    import json
+
+    from corpusprep.operators import enrich
+
+    parsed = V.parse_lines(V.title_rows(spark, SMALL))
+    out = enrich.enrich_titles(parsed, A.Archive(spark, V.archive_path(spark, SMALL)))
+    original = {r.i: r.value for r in parsed.select(F.col("_seq").alias("i"), "value").collect()}
+    rows = out.select(F.col("_seq").alias("i"), "value", "t_state", "t_title").collect()
+    assert any(r.t_state == "enriched" for r in rows)
+    for r in rows:
+        rec, before = json.loads(r.value), json.loads(original[r.i])
+        if r.t_state == "enriched":
+            assert rec.pop("title") == r.t_title
+            before.pop("title", None)
+        assert rec == before

@@ -3,7 +3,8 @@
 The line is read as ``map<string,variant>``, which keeps top-level key order,
 JSON nulls, nested values and big integers; the edit is a map expression and
 ``to_json`` writes the record back.  Only edited rows pay for this second
-parse -- unchanged rows keep their original line.
+parse -- unchanged rows keep their original line -- and adding a key the
+line does not have is plain text work (:func:`append_field`), no parse.
 """
 
 from __future__ import annotations

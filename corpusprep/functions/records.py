@@ -17,11 +17,6 @@ def as_map(line: Column) -> Column:
     return F.from_json(line, "map<string,variant>")
 
 
-def to_variant(value: Column) -> Column:
-    """A primitive or array column as VARIANT."""
-    return value.cast("variant")
-
-
 def set_field(m: Column, name: str, value: Column) -> Column:
     """Replace ``name`` in place when present, else append it."""
     return F.when(

@@ -23,6 +23,7 @@ from corpusprep.fields import DEFAULT, Fields
 from corpusprep.fixed import SHARDS_PER_BATCH
 from corpusprep.functions.coerce import as_str, py_strip, shard_key, to_int
 from corpusprep.functions.records import append_field, as_map, set_field, write_record
+from corpusprep.operators.filtering import is_missing
 from corpusprep.operators.joins import lookup_join
 from corpusprep.sources import archive as A
 from corpusprep.sources.jsonl import LINE_STATUS_OK, STATUS, VAR
@@ -115,14 +116,14 @@ def missing_title_ids(parsed: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
     """Distinct IDs of valid records with a blank title, sorted."""
     v = F.col(VAR)
     ok = parsed.filter(F.col(STATUS) == LINE_STATUS_OK)
-    ids = ok.filter(as_str(v, fields.title) == "").select(as_str(v, fields.id).alias("id"))
+    ids = ok.filter(is_missing(v, fields.title)).select(as_str(v, fields.id).alias("id"))
     return ids.filter(F.col("id") != "").distinct().orderBy("id")
 
 
 def missing_title_counts(parsed: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
     v = F.col(VAR)
     ok = F.col(STATUS) == LINE_STATUS_OK
-    no_title = ok & (as_str(v, fields.title) == "")
+    no_title = ok & is_missing(v, fields.title)
     return parsed.agg(
         F.count_if(ok).alias("valid_records"),
         F.count_if(no_title & (as_str(v, fields.id) == "")).alias("missing_id_records"),

@@ -112,3 +112,11 @@ def test_split_without_order_writes_the_same_lines(spark):
     split_by_language(parsed, b, preserve_order=False)
     rows = lambda p: sorted(read_split(spark, p).collect())
     assert rows(a) == rows(b)
+
+
+def test_line_counts_on_edge_file(spark):
+    from corpusprep.sources.jsonl import line_counts
+
+    c = line_counts(_edge(spark)).first()
+    assert (c.invalid_json_lines, c.non_object_lines, c.bad_utf8_lines) == (5, 2, 1)
+    assert c.total_lines == c.valid_records + 5 + 2 + 1

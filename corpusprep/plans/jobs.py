@@ -150,9 +150,11 @@ def retention_estimate(labelled: DataFrame, fields: Fields = DEFAULT) -> DataFra
 def run_sampling(spark: SparkSession, parsed: DataFrame, store_path: str, archive: Archive | DataFrame,
                  p: ClassifyParams, run_id: str | None = None) -> str:
     """JOB2 end to end: sample, classify, append to the store as one run."""
+    seen = S.store_runs(spark, store_path)
     done = S.store_ids(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
     new_rows = sample_and_classify(parsed, done, archive, p)
-    return S.append_run(new_rows, store_path, run_id, id_field=p.fields.id, class_field=p.fields.label)
+    return S.append_run(new_rows, store_path, run_id, id_field=p.fields.id, class_field=p.fields.label,
+                        expect_runs=seen)
 
 
 def non_ad_counts(store: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
@@ -309,6 +311,7 @@ def labelling_run(
     """
     from corpusprep.sources.staging import stage
 
+    seen = S.store_runs(spark, store_path)
     store = S.store_ids(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
     keep = ["value", SEQ, identity.RID, sampling.LANG, "e_text", "e_len", "_label"]
     # parse the input and remove stored IDs once; both phases draw from it
@@ -328,7 +331,7 @@ def labelling_run(
         new = sampled.unionByName(rest)
     # sampled records first, then the remaining ones, each in input order
     rid = S.append_run(new, store_path, run_id, id_field=p.fields.id, class_field=p.fields.label,
-                       order_by=["_phase", SEQ], ids=new.select(identity.RID))
+                       order_by=["_phase", SEQ], ids=new.select(identity.RID), expect_runs=seen)
     counters = (
         store.select(identity.RID, F.lit(0).alias("_phase"))
         .unionByName(new.select(identity.RID, "_phase"))

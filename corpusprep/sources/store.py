@@ -82,9 +82,18 @@ def new_run_id() -> str:
     return time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + f"-{time.time_ns() % 1_000_000:06d}"
 
 
+class ConcurrentRunError(RuntimeError):
+    """Another run was appended to the store after this run read its IDs."""
+
+
+def store_runs(spark: SparkSession, path: str) -> set[str]:
+    """The runs present in the store now (for :func:`append_run`'s ``expect_runs``)."""
+    return _runs(spark, path)
+
+
 def append_run(rows: DataFrame, path: str, run_id: str | None = None, *,
                id_field: str = "id", class_field: str = "ad_class", order_by: list[str] | None = None,
-               ids: DataFrame | None = None) -> str:
+               ids: DataFrame | None = None, expect_runs: set[str] | None = None) -> str:
     """Append labelled lines (``value``) as one new run and index its IDs;
     returns the run id.
 
@@ -92,9 +101,15 @@ def append_run(rows: DataFrame, path: str, run_id: str | None = None, *,
     ``_seq`` is present), range partitioned so its part files read back in
     that order: "the first N in store order" is then reproducible.
     ``ids`` (one column, e.g. from a staged table) feeds the ID index without
-    reading the run back.
+    reading the run back.  ``expect_runs`` (the runs seen when the processed
+    IDs were read) makes the append refuse when another run committed in
+    between; the check is optimistic, not a lock.
     """
     run_id = run_id or new_run_id()
+    spark = rows.sparkSession
+    if expect_runs is not None and _runs(spark, path) != set(expect_runs):
+        # the IDs this run excluded are stale: appending could label an ID twice
+        raise ConcurrentRunError(f"store {path} changed since this run read it")
     order = order_by if order_by is not None else ([SEQ] if SEQ in rows.columns else [])
     out = rows.select("value", *order, F.lit(run_id).alias(RUN))
     if order:
@@ -104,7 +119,6 @@ def append_run(rows: DataFrame, path: str, run_id: str | None = None, *,
     out.write.mode("append").partitionBy(RUN).text(path)
     # the index: the caller's IDs when it has them staged (``ids``), else the
     # new run read back (partition pruned) with IDs as stored
-    spark = rows.sparkSession
     if ids is not None:
         new_ids = ids.select(F.col(ids.columns[0]).alias(RID), F.lit(run_id).alias(RUN))
     else:

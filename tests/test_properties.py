@@ -235,3 +235,13 @@ def test_export_does_not_depend_on_partitioning(spark):
         lines = read_jsonl(spark, out).select(as_str(F.col(VAR), "id")).collect()
         exported.append(sorted(r[0] for r in lines))
     assert exported[0] == exported[1] and exported[0]
+
+
+def test_append_refuses_after_a_concurrent_run(spark):
+    store_path = scratch_path(spark, "store-race")
+    S.append_run(V.store_lines(spark, SMALL), store_path, "r0")
+    seen = S.store_runs(spark, store_path)
+    S.append_run(V.store_lines(spark, SMALL).limit(1), store_path, "r1")  # another writer
+    with pytest.raises(S.ConcurrentRunError):
+        S.append_run(V.store_lines(spark, SMALL), store_path, "r2", expect_runs=seen)
+    assert S.store_runs(spark, store_path) == {"r0", "r1"}

@@ -7,10 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import mixing, secrets, sharding
 from .common import read_table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every text; the digest covers the base patterns, ``spans`` everything."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs).select("doc_id", "secrets")
+    base, extra = F.col("secrets.base"), F.col("secrets.entropy")
+    return found.select(
+        "doc_id",
+        secrets.count_kind(base, "assign").alias("n_assign"),
+        secrets.count_kind(base, "access").alias("n_access"),
+        secrets.count_kind(base, "hex").alias("n_hex"),
+        F.sha2(secrets.span_list(base), 256).alias("base_sha256"),
+        secrets.span_list(F.sort_array(F.concat(base, extra))).alias("spans"),
+        F.size(extra).cast("long").alias("n_entropy"),
+    )
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document: weights 3, 1, 2, 150 % of all words, at most 2 copies."""
     docs = read_table(spark, sf_dir, "documents")
@@ -18,8 +34,20 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in one of 24 shards whose row counts differ by one at most."""
+    docs = read_table(spark, sf_dir, "documents")
+    return sharding.shard(docs, shards=24).select(
+        F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op2_mix_sources": op2_mix_sources,
+    "op6_sharding": op6_sharding,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_secrets": secrets.oracle_sql(),
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secrets, sharding
+from . import mixing, quality, secrets, sharding
 from .common import read_table
 
 
@@ -42,10 +42,18 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the CRF's verdict for every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    weights = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.assess(docs, weights).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mix_sources": op2_mix_sources,
     "op6_sharding": op6_sharding,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 ORACLE: dict[str, str] = {

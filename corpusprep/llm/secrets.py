@@ -8,7 +8,7 @@ Two finders run on every whole text:
   date by adding the entering and removing the leaving character's count.  Windows
   at or above the class's bits are merged into spans.  Candidates on the allow list
   (words, paths of words, digit groups, UUIDs, long repeats, marked examples) are
-  suppressed; so are spans that overlap a base match.
+  suppressed; so are spans that lie inside a base match.
 
 The entropy of a window of W characters with counts c is log2 W - sum(c log2 c) / W,
 so the test is an upper bound on sum(c log2 c), held in integer millionths: the
@@ -182,7 +182,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", out: str = "secrets")
     base = F.sort_array(F.concat(*[_base_spans(text, p) for p in BASE]))
     with_base = docs.withColumn(out, F.struct(base.alias("base"), _entropy_spans(text).alias("entropy")))
     clear = F.filter(F.col(out)["entropy"], lambda e: ~F.exists(
-        F.col(out)["base"], lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
+        F.col(out)["base"], lambda b: (b["start"] <= e["start"]) & (e["end"] <= b["end"])))
     return with_base.withColumn(out, F.struct(F.col(out)["base"].alias("base"), clear.alias("entropy")))
 
 
@@ -242,7 +242,7 @@ def oracle_sql() -> str:
     parts.append("isle AS (SELECT *, sum(CASE WHEN before IS NULL OR a > before THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY a) AS g "
                  "FROM (SELECT *, lag(b) OVER (PARTITION BY id ORDER BY a) AS before FROM hit))")
     parts.append("ent AS (SELECT doc_id, 3 AS rank, min(a) AS start, max(b) AS stop FROM isle GROUP BY id, doc_id, g)")
-    parts.append("kept AS (SELECT * FROM ent e WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = e.doc_id AND b.start < e.stop AND e.start < b.stop))")
+    parts.append("kept AS (SELECT * FROM ent e WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = e.doc_id AND b.start <= e.start AND e.stop <= b.stop))")
     kinds = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
     text = f"{kinds}[rank + 1] || ':' || start::BIGINT || ':' || stop::BIGINT"
     parts.append(f"a AS (SELECT doc_id, string_agg({text}, ',' ORDER BY start, rank) AS s, count(*) FILTER (rank = 0) AS n0, "

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, secrets, sharding
+from . import mixing, quality, secrets, sharding, toxicity
 from .common import read_table
 
 
@@ -49,11 +49,21 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, weights).withColumnRenamed("id", "doc_id")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; the fold crc32(doc_id) mod 5 = 0 is never learned from."""
+    docs = read_table(spark, sf_dir, "documents")
+    fold = lambda c: F.crc32(F.col(c).cast("string")) % 5
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), fold("id") != 0)
+    return model.score(docs).select(
+        F.col("id").alias("doc_id"), (fold("id") == 0).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mix_sources": op2_mix_sources,
     "op6_sharding": op6_sharding,
     "op8_quality_rules": op8_quality_rules,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {

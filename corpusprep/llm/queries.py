@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, secrets, sharding, toxicity
+from . import language, mixing, quality, secrets, sharding, toxicity
 from .common import read_table
 
 
@@ -49,6 +49,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, weights).withColumnRenamed("id", "doc_id")
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; the fold crc32(doc_id) mod 4 = 2 is never learned from."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    learn = docs.filter(~held_out).select("doc_id", "text", "lang")
+    models = language.learn(learn)
+    limits = language.calibrate(learn, models)
+    return language.identify(docs, models, limits).withColumnRenamed("id", "doc_id").select(
+        "doc_id", held_out.alias("held_out"), F.col("lang").alias("lang_pred"), "score", "cross_entropy", "rejected")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; the fold crc32(doc_id) mod 5 = 0 is never learned from."""
     docs = read_table(spark, sf_dir, "documents")
@@ -63,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op6_sharding": op6_sharding,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
 }
 

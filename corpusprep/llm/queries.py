@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, quality, secrets, sharding, toxicity
+from . import language, mixing, packing, quality, secrets, sharding, toxicity
 from .common import read_table
 
 
@@ -42,6 +42,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 tokens."""
+    docs = read_table(spark, sf_dir, "documents")
+    return packing.pack(docs, max_tokens=1024, cut=True).withColumnRenamed("id", "doc_id")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the CRF's verdict for every document."""
     docs = read_table(spark, sf_dir, "documents")
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mix_sources": op2_mix_sources,
     "op6_sharding": op6_sharding,
+    "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,

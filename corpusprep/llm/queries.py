@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, packing, quality, secrets, sharding, toxicity
+from . import embeddings, language, mixing, packing, quality, secrets, sharding, toxicity
 from .common import read_table
 
 
@@ -34,6 +34,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at cosine >= 0.98 between all vectors of a label."""
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in one of 24 shards whose row counts differ by one at most."""
     docs = read_table(spark, sf_dir, "documents")
@@ -78,6 +83,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mix_sources": op2_mix_sources,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,

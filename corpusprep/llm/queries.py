@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, language, mixing, packing, quality, secrets, sharding, toxicity
+from . import embeddings, jaccard, language, mixing, packing, quality, secrets, sharding, toxicity
 from .common import read_table
 
 
@@ -39,6 +39,12 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.9 or more."""
+    docs = read_table(spark, sf_dir, "documents")
+    return jaccard.jaccard_components(docs, n=3, num=90, den=100).withColumnRenamed("id", "doc_id")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in one of 24 shards whose row counts differ by one at most."""
     docs = read_table(spark, sf_dir, "documents")
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mix_sources": op2_mix_sources,
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,

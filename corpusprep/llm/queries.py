@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, jaccard, language, mixing, packing, quality, secrets, sharding, toxicity
+from . import embeddings, jaccard, language, linededup, mixing, packing, quality, secrets, sharding, toxicity
 from .common import read_table
 
 
@@ -45,6 +45,18 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(docs, n=3, num=90, den=100).withColumnRenamed("id", "doc_id")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that every document loses to earlier equal or similar ones (5-word tokens, Jaccard >= 0.8)."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = linededup.removed_lines(docs, n=5, num=80, den=100)
+    lines = docs.select("doc_id", F.xxhash64("text").alias("hash"),
+                        F.regexp_count(F.coalesce("text", F.lit("")), F.lit("\n")).cast("long").alias("breaks"), F.col("text").isNull().alias("empty"))
+    joined = lines.join(removed, lines["doc_id"].eqNullSafe(removed["id"]) & (lines["hash"] == removed["text_hash"]), "left")
+    none = F.array().cast("array<int>")
+    return joined.select("doc_id", F.when(F.col("empty"), 0).otherwise(F.col("breaks") + 1).cast("long").alias("n_lines"),
+                         F.size(F.coalesce("removed", none)).cast("long").alias("n_removed"), F.coalesce("removed", none).alias("removed"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in one of 24 shards whose row counts differ by one at most."""
     docs = read_table(spark, sf_dir, "documents")
@@ -91,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_line_dedup": op5_line_dedup,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,

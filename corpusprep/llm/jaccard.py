@@ -179,9 +179,8 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, both long")
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id), one row per row of ``docs``; linked when den * intersection >= num * union."""
+def _grouped(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, text_hash, size, root) of every row; rows with one root are a component, it is null for empty sets."""
     classes = Classes(num, den)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
     rows = stage(_read(texts, n, classes), "jaccard_rows")
@@ -196,13 +195,36 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     sets = _sets(texts, stage(members.select("cid").distinct(), "jaccard_wanted"), rows, n)
 
     links = stage(_links(members, sets, num, den), "jaccard_links")
-    roots = components(links, "jaccard")
-    named = rows.select("id", "size", "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    roots = stage(components(links, "jaccard").withColumnRenamed("node", "cid"), "jaccard_roots")
+    return rows.select("id", "text_hash", "size", "cid").join(roots, "cid", "left").select(
+        "id", "text_hash", "size", F.coalesce("root", "cid").alias("root"))
+
+
+def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id), one row per row of ``docs``; linked when den * intersection >= num * union."""
+    named = _grouped(docs, n, num, den, id_col, text_col)
     smallest = named.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("id").alias("first"))
     return named.join(smallest, "root", "left").select(
         "id", F.col("size").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("first")).alias("component_id"))
 
 
+def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, with all its columns: that with the smallest id (null ids last, then by a hash of the
+    text; of repeated rows any).  Rows without words all stay."""
+    named = _grouped(docs, n, num, den, id_col, text_col).filter(F.col("root").isNotNull())
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
+    rows = named.groupBy("root", "id", "text_hash").agg(F.count(F.lit(1)).alias("times")).withColumn("place", place)
+    best = rows.groupBy("root").agg(F.min("place").alias("best"))
+    fate = stage(rows.join(best, "root").select("id", "text_hash", "times", (F.col("place") == F.col("best")).alias("stays")), "jaccard_fate")
+    mark = f"_{'_'.join(docs.columns)}"  # clashes with no column of docs
+    keys = lambda t: t.select(F.col("id").alias("k1" + mark), F.col("text_hash").alias("k2" + mark))
+    same = docs[id_col].cast("long").eqNullSafe(F.col("k1" + mark)) & (F.xxhash64(docs[text_col]) == F.col("k2" + mark))
+    once = docs.join(keys(fate.filter("not stays or times > 1")), same, "left_anti")
+    repeated = docs.join(keys(fate.filter("stays and times > 1")), same).dropDuplicates(["k1" + mark, "k2" + mark]).select(*docs.columns)
+    return once.unionByName(repeated)
+
+
 def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(u, v): links that connect all linked classes.  ``members``: region, cid, size, far."""
     eps = 1 - num / den

@@ -11,7 +11,7 @@ J >= t means that the sets differ in at most D = a (1 - t) / t shingles, a being
 with more than D parts some projection is the same, at distance 0.  So each projection that occurs is a pivot,
 its region holds the documents projected on it, and linked documents meet in a region.  m depends on the size:
 sizes are cut into classes, and a document near the lower border of its class is replicated
-to the class below, where a smaller partner may be.
+to the class below (to all classes below, for a low t), where a smaller partner may be.
 
 Inside a region that holds different sets the metric join proper runs, recursively: a pivot is
 compared with all members; members within eps = 1 - t are linked to it; if none is farther, the region
@@ -86,11 +86,9 @@ class Classes:
         size = len(shingles)
         if size < self.borders[0]:
             return np.zeros(0, np.uint64)
-        k = int(np.searchsorted(self.borders, size, "right")) - 1
-        out = [self._keys(shingles, k)]
-        if k and -(-size * self.num // self.den) < self.borders[k]:
-            out.append(self._keys(shingles, k - 1))
-        return np.concatenate(out)
+        least = max(self.borders[0], -(-size * self.num // self.den))  # the smallest partner's size
+        low, own = (int(np.searchsorted(self.borders, x, "right")) - 1 for x in (least, size))
+        return np.concatenate([self._keys(shingles, k) for k in range(low, own + 1)])
 
     def _keys(self, shingles: np.ndarray, k: int) -> np.ndarray:
         m, spare = self.of(k)

@@ -40,5 +40,4 @@ SPLIT_SUMMARY_NAME = "languages_summary.json"
 DEFAULT_SEED = 42
 DEFAULT_TARGET_PER_LANGUAGE = 1000
 POOL_FACTOR = 2  # sample pool per language = POOL_FACTOR x target
-CLASSIFIER_BATCH_SIZE = 64
 SHARDS_PER_BATCH = 120

@@ -1,15 +1,17 @@
 """Batch text classification into ``ad`` / ``non-ad``.
 
-The model runs in a scalar iterator pandas UDF: Arrow ships only the text
-column, the model is built once per Python worker and called on chunks of
-``batch_size`` texts.  Its raw output (a dict with ``type``, or a list whose
-first element is one) is reduced to the type string in Python; lower-casing,
-trimming and validation happen in Spark, and an unknown label fails the job.
+A model is a zero-argument factory (shipped to the workers) of an object with
+``predict(texts) -> labels``: one label string per text.  It runs in a scalar
+iterator pandas UDF: Arrow ships only the text column, the model is built once
+per Python worker, and a batch is an Arrow batch
+(``spark.sql.execution.arrow.maxRecordsPerBatch``).  Trimming, lower-casing and
+validation happen in Spark, and an unknown label fails the job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 from typing import Any
 
 import pandas as pd
@@ -17,81 +19,38 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from corpusprep.fixed import AD, CLASSIFIER_BATCH_SIZE, NON_AD
+from corpusprep.fixed import AD, NON_AD
+from corpusprep.functions.coerce import py_strip
 
-_MODELS: dict[Any, Any] = {}
 
+@cache
+def _loaded(factory: Callable[[], Any]) -> Any:
+    return factory()
 
-def _model(factory: Callable[[], Any]):
-    key = getattr(factory, "cache_key", factory)
-    if key not in _MODELS:
-        _MODELS[key] = factory()
-    return _MODELS[key]
 
-
-def type_of(output: Any) -> str | None:
-    """The ``type`` of one classifier output (first element of a list)."""
-    if isinstance(output, list):
-        return type_of(output[0]) if output else None
-    if isinstance(output, dict) and "type" in output:
-        t = output.get("type")
-        return None if t is None else str(t)
-    return None
-
-
-class RuleAdModel:
-    """Test model: an ad when digits * 200 > length or length < 300 (code points)."""
-
-    def predict(self, texts: list[str]) -> list[dict]:
-        s = pd.Series(texts, dtype="object").fillna("")
-        n = s.str.len()
-        digits = s.str.count(r"[0-9]")
-        is_ad = (digits * 200 > n) | (n < 300)
-        return [{"type": AD if x else NON_AD} for x in is_ad]
-
-
-def rule_model() -> RuleAdModel:
-    return RuleAdModel()
-
-
-rule_model.cache_key = "rule"  # type: ignore[attr-defined]
-
-
-def classifier_udf(factory: Callable[[], Any] = rule_model, batch_size: int = CLASSIFIER_BATCH_SIZE):
-    """A pandas UDF ``text -> raw type`` running ``factory()``'s ``predict``."""
+def classifier_udf(factory: Callable[[], Any]):
+    """A pandas UDF ``text -> label as the model gives it``."""
 
     @pandas_udf("string")
-    def raw_type(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = _model(factory)
+    def label(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = _loaded(factory)
         for texts in batches:
-            values = texts.fillna("").tolist()
-            out: list[str | None] = []
-            for start in range(0, len(values), batch_size):
-                chunk = values[start : start + batch_size]
-                preds = list(model.predict(chunk))
-                if len(preds) != len(chunk):
-                    raise RuntimeError(f"classifier returned {len(preds)} results for {len(chunk)} inputs")
-                out.extend(type_of(p) for p in preds)
-            yield pd.Series(out, dtype="object")
+            labels = pd.Series(list(model.predict(texts.fillna("").tolist())), dtype="object")
+            if len(labels) != len(texts):
+                raise ValueError(f"the model labelled {len(labels)} of {len(texts)} texts")
+            yield labels
 
-    return raw_type
+    return label
 
 
 def checked_label(raw: Column, record_id: Column) -> Column:
-    """``lower(strip(type))``; anything but ``ad``/``non-ad`` raises."""
-    label = F.lower(F.trim(raw))
+    """The label stripped and lower-cased; anything but ``ad``/``non-ad`` raises."""
+    label = F.lower(py_strip(raw))
     return F.when(label.isin(AD, NON_AD), label).otherwise(
-        F.raise_error(F.concat(F.lit("unexpected classifier type for id="), F.coalesce(record_id, F.lit("?")),
-                               F.lit(": "), F.coalesce(raw, F.lit("<missing>"))))
+        F.raise_error(F.concat(F.lit("unknown label of record "), F.coalesce(record_id, F.lit("?")),
+                               F.lit(": "), F.coalesce(raw, F.lit("none"))))
     )
 
 
-def classify(text: Column, record_id: Column, factory: Callable[[], Any] = rule_model, batch_size: int = CLASSIFIER_BATCH_SIZE) -> Column:
-    return checked_label(classifier_udf(factory, batch_size)(text), record_id)
-
-
-def rule_label(text: Column) -> Column:
-    """The test model as a native expression (no Python worker)."""
-    n = F.char_length(F.coalesce(text, F.lit("")))
-    digits = F.char_length(F.regexp_replace(F.coalesce(text, F.lit("")), "[^0-9]", ""))
-    return F.when((digits * 200 > n) | (n < 300), F.lit(AD)).otherwise(F.lit(NON_AD))
+def classify(text: Column, record_id: Column, factory: Callable[[], Any]) -> Column:
+    return checked_label(classifier_udf(factory)(text), record_id)

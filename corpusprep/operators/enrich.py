@@ -24,7 +24,6 @@ from corpusprep.fixed import SHARDS_PER_BATCH
 from corpusprep.functions.coerce import as_str, py_strip, shard_key, to_int
 from corpusprep.functions.records import append_field, as_map, set_field, write_record
 from corpusprep.operators.filtering import is_missing
-from corpusprep.operators.joins import lookup_join
 from corpusprep.sources import archive as A
 from corpusprep.sources.jsonl import LINE_STATUS_OK, STATUS, VAR
 from corpusprep.sources.staging import stage
@@ -99,7 +98,7 @@ def _join_needed(rows: DataFrame, needs, found: DataFrame, key: str) -> DataFram
     through with NULL lookup columns, so they never cross a shuffle."""
     extra = [f for f in found.schema.fields if f.name != key]
     needs = F.coalesce(needs, F.lit(False))
-    joined = lookup_join(rows.filter(needs), found, key, "left")
+    joined = rows.filter(needs).join(found, key, "left")
     passed = rows.filter(~needs).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
     return passed.unionByName(joined.select(*passed.columns))
 

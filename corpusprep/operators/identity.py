@@ -51,21 +51,16 @@ def keep_first(df: DataFrame, key: str = RID, order: str = SEQ) -> DataFrame:
 
 
 def keep_first_sparse(df: DataFrame, key: str = RID, order: str = SEQ) -> DataFrame:
-    """:func:`keep_first` that shuffles only duplicated IDs.
+    """:func:`keep_first` that aggregates only rows of duplicated IDs.
 
-    IDs occurring more than once are found on the narrow key column; when
-    their count is under the broadcast bound, rows with unique IDs pass
-    through a broadcast anti join (no shuffle) and only the duplicated rows
-    are aggregated.  Above the bound this is :func:`keep_first`.  ``df`` is
+    IDs occurring more than once are found on the narrow key column and
+    staged, so the planner knows their size and picks the join.  Rows with
+    unique IDs pass an anti join; only the others are aggregated.  ``df`` is
     read three times: pass a staged table.
     """
-    from corpusprep.operators.joins import MAX_BROADCAST_ROWS
     from corpusprep.sources.staging import stage
 
-    dup_ids = stage(df.groupBy(key).count().filter(F.col("count") > 1).select(key), "dup_ids")
-    if dup_ids.limit(MAX_BROADCAST_ROWS + 1).count() > MAX_BROADCAST_ROWS:
-        return keep_first(df, key, order)
-    dups = F.broadcast(dup_ids)
+    dups = stage(df.groupBy(key).count().filter(F.col("count") > 1).select(key), "dup_ids")
     unique = df.join(dups, key, "left_anti")
     firsts = keep_first(df.join(dups, key, "left_semi"), key, order)
     return unique.unionByName(firsts.select(*unique.columns))
@@ -79,13 +74,11 @@ def keep_last(df: DataFrame, key: str = RID, order: str = SEQ) -> DataFrame:
 def unprocessed(records: DataFrame, processed_ids: DataFrame, key: str = RID) -> DataFrame:
     """Records whose ID is not in ``processed_ids`` (a one-column frame of IDs).
 
-    The ID side is broadcast when its counted size allows (no shuffle of the
+    Spark broadcasts the ID side when its bytes allow (no shuffle of the
     records); otherwise it is a shuffle anti join and AQE splits skewed keys.
     """
-    from corpusprep.operators.joins import lookup_join
-
     ids = processed_ids.select(F.col(processed_ids.columns[0]).alias(key)).filter(F.col(key).isNotNull())
-    return lookup_join(records, ids, key, "left_anti")
+    return records.join(ids, key, "left_anti")
 
 
 def store_union(existing: DataFrame, new: DataFrame) -> DataFrame:

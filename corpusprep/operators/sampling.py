@@ -57,21 +57,25 @@ def sample_per_language(
 
     ``candidates`` carries the ID (``key``), language (``lang_col``) and line
     position (``_seq``).  Only the narrow ``(id, language, position)`` tuples
-    are deduplicated (earliest line per ID) and ranked; the picked rows --
-    at most ``n`` per language -- are then fetched from the candidates with a
-    semi join whose small side is broadcast after its size is checked.
-    ``fetch_from`` names where the full rows are fetched (default: the
-    candidates); pass the records *before* an anti join so full records never
-    cross a shuffle.  The result does not depend on how the input is
-    partitioned.
+    are deduplicated (earliest line per ID) and ranked; the picked IDs --
+    at most ``n`` per language -- are staged and their rows fetched by ID alone.
+    A line position depends on how a scan is cut, so it never joins two scans:
+    of several lines with a picked ID the earliest is kept afterwards, on the
+    fetched rows only.  ``fetch_from`` names where the full rows are fetched
+    (default: the candidates); pass the records *before* an anti join so full
+    records never cross a shuffle.  The result does not depend on how the input
+    is partitioned, nor on a new layout between ranking and fetching.
     """
-    from corpusprep.operators.joins import lookup_join
+    from corpusprep.operators.identity import keep_first
     from corpusprep.sources.staging import stage
 
     wanted = clean_languages(languages)
-    pool = candidates.filter(F.col(lang_col) != "")
-    if wanted is not None:
-        pool = pool.filter(F.col(lang_col).isin(wanted))
+
+    def in_languages(rows: DataFrame) -> DataFrame:
+        rows = rows.filter(F.col(lang_col) != "")
+        return rows if wanted is None else rows.filter(F.col(lang_col).isin(wanted))
+
+    pool = in_languages(candidates)
     if SEQ not in pool.columns:
         pool = pool.withColumn(SEQ, F.monotonically_increasing_id())
     # earliest line per ID decides its language (keep-first dedup), narrow
@@ -79,13 +83,23 @@ def sample_per_language(
     firsts = pool.groupBy(key).agg(F.min(F.struct(F.col(SEQ).alias("_s"), F.col(lang_col).alias("_l"))).alias("_f"))
     firsts = firsts.select(key, F.col("_f._l").alias(lang_col), F.col("_f._s").alias(SEQ))
     w = Window.partitionBy(lang_col).orderBy(*sample_order(seed, key))
-    picked = firsts.withColumn("_pick", F.row_number().over(w)).filter(F.col("_pick") <= n).select(key, SEQ)
-    picked = stage(picked, "sample_ids")  # at most n per language; read twice below
-    source = pool if fetch_from is None else fetch_from
-    return lookup_join(source, picked, [key, SEQ], "left_semi")
+    picked = firsts.withColumn("_pick", F.row_number().over(w)).filter(F.col("_pick") <= n).select(key)
+    picked = stage(picked, "sample_ids")  # at most n per language
+    source = pool if fetch_from is None else in_languages(fetch_from)
+    if SEQ not in source.columns:
+        source = source.withColumn(SEQ, F.monotonically_increasing_id())
+    return keep_first(source.join(picked, key, "left_semi"), key, SEQ).select(*source.columns)
 
 
 def first_n_per_group(df: DataFrame, group_col: str, n: int, order: str = SEQ) -> DataFrame:
-    """The first ``n`` rows of each group in ``order``."""
+    """The first ``n`` rows of each group in ``order``.
+
+    The parsed VARIANT stays out of the exchange: it is a second copy of the
+    line, and callers parse the few selected lines again.
+    """
+    from corpusprep.sources.jsonl import STATUS, parse_lines
+
+    narrow = df.drop(VAR, STATUS)
     w = Window.partitionBy(group_col).orderBy(F.col(order))
-    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n).drop("_rank")
+    first = narrow.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n).drop("_rank")
+    return parse_lines(first) if VAR in df.columns and "value" in df.columns else first

@@ -98,31 +98,27 @@ def split_by_language(
     compression: str | None = None,
     display_prefix: str | None = None,
     summary_name: str | None = None,
-    preserve_order: bool = True,
+    preserve_order: bool = False,
 ) -> SplitResult:
     """Write each valid line under its language folder; return statistics.
 
     ``display_prefix`` is the prefix named in the summary (default: the real one).
     ``summary_name`` publishes the summary under the prefix as well.
     ``preserve_order`` keeps input line order inside each language folder
-    (readers taking "the first N" depend on it); it costs a range shuffle, so
-    switch it off to split a whole corpus when order does not matter.
+    (readers taking "the first N" may want it); it costs a range shuffle of the corpus.
 
-    The parsed input is staged once (Parquet, shared folder); the file write
-    reads ``value``/``lang_bucket`` from it and the statistics read only the
-    narrow columns.
+    The folders are written straight from the scan; only the narrow columns of
+    the statistics (language, length, status) are staged.
     """
     tagged = with_bucket_and_length(parsed, fields, unknown)
-    keep = [c for c in ("value", SEQ, BUCKET, "_rec_len", STATUS) if c in tagged.columns]
-    staged = stage(tagged.select(*keep).withColumn("value", py_strip(F.col("value"))), "split")
     write_jsonl(
-        staged.filter(F.col(STATUS) == LINE_STATUS_OK),
+        tagged.filter(F.col(STATUS) == LINE_STATUS_OK).withColumn("value", py_strip(F.col("value"))),
         output_prefix,
         partition_by=[BUCKET],
         compression=compression,
-        order_by=SEQ if preserve_order else None,  # first-N consumers need input order
+        order_by=SEQ if preserve_order else None,
     )
-    stats = language_stats(staged)
+    stats = language_stats(stage(tagged.select(BUCKET, "_rec_len", STATUS), "split"))
     summary = split_summary(
         stats, input_path=input_path, output_prefix=display_prefix or output_prefix, fields=fields
     )
@@ -147,20 +143,15 @@ def read_split(spark, output_prefix: str) -> DataFrame:
     return spark.read.schema(f"value string, {BUCKET} string").text(output_prefix)
 
 
-# Above this many bytes a language is not merged into one file (one task).
-MAX_SINGLE_FILE_BYTES = 8 << 30
-
-
 def publish_language_files(spark, split_prefix: str, target_prefix: str, *,
-                           max_bytes: int = MAX_SINGLE_FILE_BYTES, partition_col: str = BUCKET,
-                           name_prefix: str = "") -> dict[str, str]:
+                           partition_col: str = BUCKET, name_prefix: str = "") -> dict[str, str]:
     """Publish a split output as ``<target>/<language>.jsonl[.gz|.bz2]`` files
     (keyword outputs: ``partition_col="lang_file", name_prefix="keywords_"``).
 
-    A language folder holding one part file is renamed (a metadata operation).
-    One holding several is rewritten as a single file in line order -- one
-    task per language, so only up to ``max_bytes`` (from the listing; larger
-    languages raise).  Returns language -> published path.
+    A convenience for consumers that need exactly one file per language: each is
+    copied in line order, which takes one task per language whatever its size; the
+    split output itself is left as it is and is the form to read at scale.
+    Returns language -> published path.
     """
     from corpusprep.sources.jsonl import read_jsonl
 
@@ -181,19 +172,13 @@ def publish_language_files(spark, split_prefix: str, target_prefix: str, *,
             continue
         ext = ".jsonl" + next((e for e in (".gz", ".bz2") if parts[0].getPath().getName().endswith(e)), "")
         target = f"{target_prefix.rstrip('/')}/{name_prefix}{language}{ext}"
-        if len(parts) == 1:
-            fs.rename(parts[0].getPath(), Path(target))
-        else:
-            size = sum(p.getLen() for p in parts)
-            if size > max_bytes:
-                raise ValueError(f"language {language!r} has {size} bytes; above max_bytes for one file")
-            lines = read_jsonl(spark, status.getPath().toString())
-            tmp = f"{target_prefix.rstrip('/')}/_merge_{language}"
-            codec = {".jsonl.gz": "gzip", ".jsonl.bz2": "bzip2"}.get(ext)
-            # a global sort on line order, then one partition: the file keeps input order
-            out = lines.orderBy(SEQ).coalesce(1).select("value").write.mode("overwrite")
-            (out.option("compression", codec) if codec else out).text(tmp)
-            merged = [p for p in fs.listStatus(Path(tmp)) if p.getPath().getName().startswith("part-")]
-            fs.rename(merged[0].getPath(), Path(target))
+        tmp = f"{target_prefix.rstrip('/')}/_merge_{language}"
+        codec = {".jsonl.gz": "gzip", ".jsonl.bz2": "bzip2"}.get(ext, "none")
+        lines = read_jsonl(spark, status.getPath().toString()).select("value", SEQ).orderBy(SEQ)
+        lines.coalesce(1).select("value").write.mode("overwrite").option("compression", codec).text(tmp)
+        merged = [p for p in fs.listStatus(Path(tmp)) if p.getPath().getName().startswith("part-")]
+        if not fs.rename(merged[0].getPath(), Path(target)):
+            raise OSError(f"cannot publish {target}")
+        fs.delete(Path(tmp), True)  # the merge folder made above
         published[language] = target
     return published

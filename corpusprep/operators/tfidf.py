@@ -1,9 +1,10 @@
 """Keywords without a model: the top terms of each article by TF-IDF.
 
-Tokenise -> explode -> term counts per article, staged once -> document
-frequency per term and the article count from the staged table -> score ->
-top ``k`` per article.  All native; the term table is joined with a checked
-broadcast and AQE splits a hot term's partition.
+Terms are runs of letters and digits of any length, lower case.  Tokenise ->
+explode -> term counts per row, staged once -> document frequency per term
+and the article count from the staged table -> score -> top ``k`` per article.
+All native; the planner sees the staged tables' sizes, and AQE splits a hot
+term's partition.  Every row is an article of its own, whatever its ID.
 """
 
 from __future__ import annotations
@@ -11,28 +12,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.operators.joins import lookup_join
 from corpusprep.sources.staging import stage
 
-TOKEN_RE = "\\p{L}{4,}"
+TOKEN_RE = "[\\p{L}\\p{N}]+"
+#: Scores are compared after rounding, so that equal ones tie whatever the order of operations.
+SCORE_DIGITS = 9
 
 
-def tfidf_keywords(docs: DataFrame, id_col: str, text_col: str, k: int = 5) -> DataFrame:
-    """``(id, keywords)`` with up to ``k`` terms per article, best first; an
-    article without terms gets an empty list."""
-    tokens = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_RE), 0)
-    # explode_outer keeps term-less articles as one NULL-term row
-    terms = docs.select(F.col(id_col).alias("_doc"), F.explode_outer(tokens).alias("term"))
-    tf = stage(terms.groupBy("_doc", "term").agg(F.count("term").alias("tf")), "term_counts")
-    n_docs = tf.select("_doc").distinct().count()
-    # one row per term; staged so the size check and the join read it once
+def tfidf_keywords(docs: DataFrame, id_col: str, text_col: str, k: int = 5, token_re: str = TOKEN_RE) -> DataFrame:
+    """``(id, keywords)`` with up to ``k`` terms per row, best first (ties by term); a
+    row without terms gets an empty list."""
+    tokens = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(token_re), 0)
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), tokens.alias("tokens"))
+    # explode_outer keeps term-less articles as one NULL-term row; row numbers are fixed by staging
+    tf = stage(rows.select("_row", "_id", F.explode_outer("tokens").alias("term"))
+               .groupBy("_row", "_id", "term").agg(F.count("term").alias("tf")), "term_counts")
+    n_docs = tf.select("_row").distinct().count()
     df = stage(tf.filter(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df")), "term_df")
-    scored = lookup_join(tf, df, "term", "left").withColumn(
-        "score", F.col("tf") * F.log(F.lit(float(n_docs + 1)) / (F.col("df") + 1))
-    )
-    w = Window.partitionBy("_doc").orderBy(F.col("score").desc_nulls_last(), F.col("term"))
+    scored = tf.join(df, "term", "left").withColumn(
+        "score", F.round(F.col("tf") * F.log(F.lit(float(n_docs + 1)) / (F.col("df") + 1)), SCORE_DIGITS))
+    w = Window.partitionBy("_row").orderBy(F.col("score").desc_nulls_last(), F.col("term"))
     top = scored.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
     picked = F.when(F.col("term").isNotNull(), F.struct("_r", "term"))
-    return top.groupBy(F.col("_doc").alias(id_col)).agg(
+    return top.groupBy("_row", F.col("_id").alias(id_col)).agg(
         F.transform(F.array_sort(F.collect_list(picked)), lambda x: x["term"]).alias("keywords")
-    )
+    ).drop("_row")

@@ -20,8 +20,8 @@ from corpusprep.fields import DEFAULT, Fields
 from corpusprep.functions import coerce
 from corpusprep.functions.coerce import as_str, to_float, to_int
 from corpusprep.operators import classify as C
-from corpusprep.operators import enrich, filtering, identity, joins, keywords, profile, sampling, split
-from corpusprep.plans import jobs
+from corpusprep.operators import enrich, filtering, identity, keywords, profile, sampling, split
+from corpusprep.plans import doubles, jobs
 from corpusprep.plans import oracle as O
 from corpusprep.plans import views as V
 from corpusprep.session import scratch_path
@@ -339,6 +339,30 @@ def q_title_stats(spark, sf_dir):
     return enrich.title_stats(V.parse_lines(V.title_rows(spark, sf_dir)), _archive(spark, sf_dir))
 
 
+@register(
+    "title_job",
+    O.with_ctes(
+        O.RECORDS,
+        O.TITLES,
+        O.ARCHIVE,
+        _TITLE_JOIN,
+        body="""SELECT id, title, n.* FROM joined, (SELECT count(*) AS total_records_written,
+  count(*) FILTER (WHERE t_state = 'enriched') AS records_enriched_with_title,
+  count(*) FILTER (WHERE t_state = 'had') AS records_already_had_title,
+  count(*) FILTER (WHERE t_state = 'missing') AS records_still_missing_title,
+  (SELECT count(*) FROM titled WHERE broken) AS invalid_json_lines_skipped FROM joined) n""",
+    ),
+)
+def q_title_job(spark, sf_dir):
+    """The file that the title job wrote, with the counters it returned beside every row."""
+    out = scratch_path(spark, "titles")
+    counters = jobs.title_job(V.parse_lines(V.title_rows(spark, sf_dir)), _archive(spark, sf_dir), out).first()
+    v = F.col(VAR)
+    return valid_records(read_jsonl(spark, out)).select(
+        as_str(v, "id").alias("id"), as_str(v, "title").alias("title"),
+        *[F.lit(counters[c]).cast("bigint").alias(c) for c in jobs.TITLE_COUNTERS])
+
+
 @register(
     "archive_lookup",
     O.with_ctes(
@@ -396,7 +420,7 @@ SAMPLE_N = 100
     ),
 )
 def q_sample_per_language(spark, sf_dir):
-    p = jobs.ClassifyParams()
+    p = jobs.ClassifyParams(doubles.rule_model)
     store = identity.with_rid(V.store_lines(spark, sf_dir))
     tagged = jobs.tag_records(V.records(spark, sf_dir), p)
     cands = identity.unprocessed(tagged, store.select(identity.RID))
@@ -462,7 +486,7 @@ def _new_rows(spark, sf_dir):
     recs = identity.with_rid(valid_records(V.records(spark, sf_dir)))
     store = identity.with_rid(V.store_lines(spark, sf_dir))
     new = identity.unprocessed(recs, store.select(identity.RID))
-    return new.withColumn("ad_class", C.rule_label(as_str(F.col(VAR), "ft"))).withColumn("run_id", F.lit("r1"))
+    return new.withColumn("ad_class", doubles.rule_label(as_str(F.col(VAR), "ft"))).withColumn("run_id", F.lit("r1"))
 
 
 @register(
@@ -508,7 +532,7 @@ def q_store_state(spark, sf_dir):
 def q_classify_labels(spark, sf_dir):
     v = F.col(VAR)
     recs = valid_records(V.records(spark, sf_dir))
-    label = C.classify(as_str(v, "ft"), as_str(v, "id"))
+    label = C.classify(as_str(v, "ft"), as_str(v, "id"), doubles.rule_model)
     return recs.select(as_str(v, "id").alias("id"), label.alias("ad_class"))
 
 
@@ -536,7 +560,8 @@ FROM rest""",
 )
 def q_retention_estimate(spark, sf_dir):
     store = identity.with_rid(V.store_lines(spark, sf_dir))
-    labelled = jobs.classify_rest(V.records_no_text(spark, sf_dir), store, _archive(spark, sf_dir), jobs.ClassifyParams())
+    labelled = jobs.classify_rest(V.records_no_text(spark, sf_dir), store, _archive(spark, sf_dir),
+                                  jobs.ClassifyParams(doubles.rule_model))
     return jobs.retention_estimate(labelled)
 
 
@@ -563,7 +588,7 @@ def q_incremental_new_only(spark, sf_dir):
     what that run appended."""
     store_path = scratch_path(spark, "store")
     store_store.append_run(V.store_lines(spark, sf_dir), store_path, "r0")
-    p = jobs.ClassifyParams(target_per_language=RUN_POOL // 2)
+    p = jobs.ClassifyParams(doubles.rule_model, target_per_language=RUN_POOL // 2)
     jobs.run_sampling(spark, V.records_no_text(spark, sf_dir), store_path, _archive(spark, sf_dir), p, "r1")
     back = store_store.read_store(spark, store_path).filter(F.col("run_id") == "r1")
     v = F.col(VAR)
@@ -572,16 +597,18 @@ def q_incremental_new_only(spark, sf_dir):
 
 @register("ad_model_fit")
 def q_ad_model_fit(spark, sf_dir):
-    """Fit the text model on the labelled store; predict every record (rows only)."""
+    """Fit the text model on the ``labels`` table (poor quality stands for ad) without the fold doc_id % 5 = 0;
+    predict every record."""
     from corpusprep.operators import admodel
+    from corpusprep.sources.staging import stage
 
-    store = V.store_lines(spark, sf_dir)
-    train = store.select(as_str(F.col(VAR), "ft").alias("text"), as_str(F.col(VAR), "ad_class").alias("label"))
-    model = admodel.fit(train)
     recs = valid_records(V.records(spark, sf_dir)).select(
         as_str(F.col(VAR), "id").alias("id"), as_str(F.col(VAR), "ft").alias("text")
-    )
-    return admodel.predict(model, recs).select("id", "ad_class")
+    ).withColumn("doc_id", V.id_number(F.col("id")))
+    label = F.when(F.col("quality") == 0, F.lit("ad")).otherwise(F.lit("non-ad"))
+    known = V.table(spark, sf_dir, "labels").filter(F.col("doc_id") % 5 != 0).select("doc_id", label.alias("label"))
+    train = stage(recs.join(known, "doc_id").select("text", "label"), "ad_train")  # parsed once for all passes of the fit
+    return admodel.predict(admodel.fit(train), recs).select("id", "ad_class")
 
 
 # ---------------------------------------------------------------- providers
@@ -644,7 +671,7 @@ WHERE rn <= {FIRST_N}""",
 )
 def q_first_n_per_file(spark, sf_dir):
     lines = valid_records(_kw_input(spark, sf_dir))
-    first = sampling.first_n_per_group(lines, folder.LANG_FILE, FIRST_N, SEQ)
+    first = sampling.first_n_per_group(lines, folder.SOURCE, FIRST_N, SEQ)
     return first.select(F.col(folder.LANG_FILE).alias("language"), as_str(F.col(VAR), "id").alias("id"))
 
 
@@ -662,7 +689,7 @@ def q_newspaper_country(spark, sf_dir):
     rid = as_str(F.col(VAR), "id")
     rows = recs.select(rid.alias("id"), coerce.newspaper_of(rid).alias("newspaper"))
     m = providers.newspaper_country(_listings(spark, sf_dir))
-    out = joins.lookup_join(rows, m, "newspaper")
+    out = rows.join(m, "newspaper", "left")
     return out.select("id", "newspaper", F.coalesce("country", F.lit("")).alias("country"))
 
 
@@ -673,8 +700,8 @@ def q_newspaper_country(spark, sf_dir):
         O.PROVIDERS,
         O.KEYWORD_INPUT,
         body=f"""SELECT id, 'system' AS role_1, 'user' AS role_2,
-  'Language: ' || lg || chr(10) || 'Year: ' || year || chr(10) || 'Newspaper: ' || newspaper || chr(10) ||
-  'Country: ' || country || chr(10) || 'Title: ' || title || chr(10) || 'Article: ' || article AS user_prompt,
+  title || chr(10) || chr(10) || article || chr(10) || chr(10) || '[' || newspaper || ', ' || country || ', ' || year || ', ' || lg || ']'
+    AS user_prompt,
   length(article) AS article_chars
 FROM kreq""",
     ),
@@ -682,7 +709,7 @@ FROM kreq""",
 def q_prompt_build(spark, sf_dir):
     req = keywords.prompt_columns(valid_records(_kw_input(spark, sf_dir)), KW_FIELDS)
     m = providers.newspaper_country(_listings(spark, sf_dir)).withColumnRenamed("newspaper", "k_newspaper")
-    req = joins.lookup_join(req, m, "k_newspaper").withColumn("k_country", F.coalesce("country", F.lit("")))
+    req = req.join(m, "k_newspaper", "left").withColumn("k_country", F.coalesce("country", F.lit("")))
     msgs = keywords.messages(req)
     return req.select(
         F.col("k_id").alias("id"),
@@ -696,7 +723,7 @@ def q_prompt_build(spark, sf_dir):
 def _kw_results(spark, sf_dir):
     recs = valid_records(_kw_input(spark, sf_dir))
     m = providers.newspaper_country(_listings(spark, sf_dir))
-    replies = keywords.generate(recs, m, keywords.fixture_completer, fields=KW_FIELDS)
+    replies = keywords.generate(recs, m, doubles.recorded_completer, fields=KW_FIELDS)
     return keywords.with_results(replies)
 
 
@@ -776,7 +803,7 @@ def q_keywords_output(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- reply parsing
-_REPLY_KW = """CASE WHEN doc_id % 10 = 0 OR doc_id % 11 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN ''
+_REPLY_KW = """CASE WHEN doc_id % 10 = 0 OR doc_id % 11 = 0 OR doc_id % 17 = 0 OR doc_id % 19 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN ''
   ELSE newspaper || '|' || lg || ' press|3' END"""
 
 
@@ -784,7 +811,7 @@ _REPLY_KW = """CASE WHEN doc_id % 10 = 0 OR doc_id % 11 = 0 THEN NULL WHEN doc_i
     "keyword_reply_parse",
     O.with_ctes(
         O.RECORDS,
-        body=f"""SELECT id, NOT (doc_id % 10 = 0 OR doc_id % 11 = 0) AS parsed, {_REPLY_KW} AS keywords FROM records""",
+        body=f"""SELECT id, NOT (doc_id % 10 = 0 OR doc_id % 11 = 0 OR doc_id % 17 = 0 OR doc_id % 19 = 0) AS parsed, {_REPLY_KW} AS keywords FROM records""",
     ),
 )
 def q_keyword_reply_parse(spark, sf_dir):
@@ -924,9 +951,21 @@ def q_shard_incremental(spark, sf_dir):
                        rec["alphabetic_ratio"].alias("alphabetic_ratio"), rec["ts"].alias("ts"), "newspaper", "yr")
 
 
-@register("tfidf_keywords")
+@register(
+    "tfidf_keywords",
+    O.with_ctes(
+        O.RECORDS,
+        body="""SELECT id, coalesce(string_agg(term, '|' ORDER BY rn), '') AS keywords FROM (
+  SELECT r.id, s.term, s.rn FROM records r LEFT JOIN (
+    SELECT id, term, row_number() OVER (PARTITION BY id ORDER BY round(tf * ln((SELECT count(*) + 1 FROM records)::DOUBLE / (df + 1)), 9) DESC, term) AS rn
+    FROM (SELECT *, count(*) OVER (PARTITION BY term) AS df FROM (
+      SELECT id, term, count(*) AS tf FROM (
+        SELECT id, unnest(regexp_extract_all(lower(ft), '[\\p{L}\\p{N}]+')) AS term FROM records) GROUP BY id, term))
+  ) s ON s.id = r.id AND s.rn <= 5) GROUP BY id""",
+    ),
+)
 def q_tfidf_keywords(spark, sf_dir):
-    """Top-5 TF-IDF terms per article over whole texts (rows only)."""
+    """Top-5 TF-IDF terms per article over whole texts."""
     from corpusprep.operators import tfidf
 
     recs = valid_records(V.records(spark, sf_dir))
@@ -934,16 +973,16 @@ def q_tfidf_keywords(spark, sf_dir):
     return tfidf.tfidf_keywords(docs, "id", "text", 5).select("id", F.array_join("keywords", "|").alias("keywords"))
 
 
-_CHAIN = f"""filtered AS (SELECT * FROM no_text WHERE tp = 'article' AND ocrqa >= 0.7),
+_CHAIN = f"""filtered AS (SELECT * FROM no_text WHERE tp = 'article' AND ocrqa >= 0.7 AND len >= 550),
 picked AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lg ORDER BY md5('42:' || id), id) AS rn
-                 FROM filtered WHERE lg <> '') WHERE rn <= 100),
+                 FROM filtered WHERE lg <> '') WHERE rn <= 2000),
 enriched AS (
   SELECT p.doc_id, p.id, p.lg, coalesce(p.ft, {O.py_strip('a.ft')}) AS text
   FROM picked p LEFT JOIN archive a ON a.id = p.id WHERE p.ft IS NOT NULL OR a.ft IS NOT NULL),
 exported AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lg ORDER BY doc_id) AS rn FROM enriched
-                 WHERE {O.AD_RULE.format(t='text')} = 'non-ad') WHERE rn <= 50),
+                 WHERE {O.AD_RULE.format(t='text')} = 'non-ad') WHERE rn <= 1000),
 chain_kres AS (
   SELECT {O.BUCKET_EXPR.format(x='lg')} AS language, length(text) AS chars, doc_id % 10 <> 0 AS parsed,
     doc_id % 9 = 0 AS usage_missing,
@@ -973,9 +1012,10 @@ FROM chain_kres GROUP BY ROLLUP (language)""",
 )
 def q_chain_end_to_end(spark, sf_dir):
     """filter -> sample and classify -> titles -> split -> keywords; returns the
-    keyword summary of the chain's output (rows only)."""
-    return jobs.chain(spark, V.records_no_text(spark, sf_dir), _archive(spark, sf_dir),
-                      providers.newspaper_country(_listings(spark, sf_dir)))
+    keyword summary of the chain's output."""
+    return jobs.chain(spark, V.records_no_text(spark, sf_dir), _archive(spark, sf_dir), V.providers_path(spark, sf_dir),
+                      scratch_path(spark, "chain"), jobs.ClassifyParams(doubles.rule_model), doubles.recorded_completer,
+                      keyword_fields=KW_FIELDS)
 
 
 @register(
@@ -1039,3 +1079,27 @@ def q_keyword_run_summary(spark, sf_dir):
     )
     return row.select(*[c for c in row.columns if c not in ("languages", "languages_summary")],
                       F.array_join("languages", ",").alias("languages"))
+
+
+@register(
+    "keyword_job",
+    O.with_ctes(
+        O.RECORDS,
+        O.PROVIDERS,
+        O.KEYWORD_INPUT,
+        body="""SELECT id, CASE WHEN parsed THEN newspaper || '|' || lg || ' press|year ' || year ELSE '' END AS keywords,
+  (SELECT count(*) FROM kres) AS total_records, (SELECT count(*) FROM kres WHERE NOT parsed) AS total_failed_records,
+  (SELECT CAST(sum(total_tokens) AS BIGINT) FROM kres) AS total_tokens FROM kres""",
+    ),
+)
+def q_keyword_job(spark, sf_dir):
+    """The files that the keyword job wrote, with totals of its published summary beside every row."""
+    out = scratch_path(spark, "keyword_job")
+    jobs.keyword_job(spark, V.keyword_folder(spark, sf_dir), V.providers_path(spark, sf_dir), out, doubles.recorded_completer,
+                     fields=KW_FIELDS)
+    summary = spark.read.option("multiline", "true").json(f"{out}/keywords_summary.json").first()
+    back = V.parse_lines(spark.read.text(f"{out}/lang_file=*"))
+    v = F.col(VAR)
+    return back.select(
+        as_str(v, "id").alias("id"), F.array_join(F.try_variant_get(v, "$.keywords", "array<string>"), "|").alias("keywords"),
+        *[F.lit(summary[c]).cast("bigint").alias(c) for c in ("total_records", "total_failed_records", "total_tokens")])

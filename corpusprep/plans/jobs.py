@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from corpusprep.fields import DEFAULT, Fields
 from corpusprep.fixed import (
-    CLASSIFIER_BATCH_SIZE,
     DEFAULT_SEED,
     DEFAULT_TARGET_PER_LANGUAGE,
+    NON_AD,
     POOL_FACTOR,
     SPLIT_SUMMARY_NAME,
     UNKNOWN_LANGUAGE,
@@ -62,6 +62,9 @@ def filter_job(parsed: DataFrame, output: str | None = None, *, compression: str
 # ------------------------------------------------------------------ JOB2 / JOB3
 @dataclass
 class ClassifyParams:
+    """``model`` is a zero-argument factory of an object with ``predict(texts) -> labels``."""
+
+    model: Callable[[], Any]
     fields: Fields = DEFAULT
     type_field: str = "tp"
     type_value: str = "article"
@@ -69,8 +72,6 @@ class ClassifyParams:
     target_per_language: int = DEFAULT_TARGET_PER_LANGUAGE
     pool_per_language: int | None = None  # default POOL_FACTOR x target
     seed: int = DEFAULT_SEED
-    batch_size: int = CLASSIFIER_BATCH_SIZE
-    model: Callable[[], Any] = C.rule_model
 
 
 def tag_records(parsed: DataFrame, p: ClassifyParams) -> DataFrame:
@@ -92,7 +93,7 @@ def label_records(enriched: DataFrame, p: ClassifyParams) -> DataFrame:
     A record without the label key gets it appended to its line as text (no
     second parse); one that has it is rewritten through the map route.
     """
-    label = C.classify(F.col("e_text"), F.col(identity.RID), p.model, p.batch_size)
+    label = C.classify(F.col("e_text"), F.col(identity.RID), p.model)
     out = enriched.withColumn("_label", label)
     line = py_strip(F.col("value"))
     m = set_field(as_map(line), p.fields.label, F.col("_label").cast("variant"))
@@ -104,12 +105,13 @@ def label_records(enriched: DataFrame, p: ClassifyParams) -> DataFrame:
 
 
 def sample_and_classify(parsed: DataFrame | None, store: DataFrame, archive: Archive | DataFrame, p: ClassifyParams,
-                        *, cands: DataFrame | None = None) -> DataFrame:
+                        *, cands: DataFrame | None = None, lost=None) -> DataFrame:
     """One sampling run: new labelled rows (not yet written).
 
     type filter -> language set -> minus store -> seeded sample per language
     -> fill text from the archive -> drop unresolved -> classify.
-    ``cands`` (from :func:`candidates`) skips the first three steps.
+    ``cands`` (from :func:`candidates`) skips the first three steps; ``lost``
+    (an ``Observation``) counts the unresolved records.
     """
     pool = p.pool_per_language or POOL_FACTOR * p.target_per_language
     if cands is None:
@@ -120,8 +122,15 @@ def sample_and_classify(parsed: DataFrame | None, store: DataFrame, archive: Arc
         picked = sampling.sample_per_language(cands, pool, seed=p.seed, languages=p.languages, fetch_from=tagged)
     else:
         picked = sampling.sample_per_language(cands, pool, seed=p.seed, languages=p.languages)
-    enriched = enrich.enrich_text(picked, archive, fields=p.fields)
-    return label_records(enriched, p)
+    return label_records(_resolved(picked, archive, p, lost), p)
+
+
+def _resolved(rows: DataFrame, archive: Archive | DataFrame, p: ClassifyParams, lost=None, *, stage_input: bool = True) -> DataFrame:
+    """Records with their text; those without one are left out, counted by ``lost`` if given."""
+    rows = enrich.enrich_text_all(rows, archive, fields=p.fields, stage_input=stage_input)
+    if lost is not None:
+        rows = rows.observe(lost, F.count_if(F.col("e_text") == "").alias("unresolved"))
+    return rows.filter(F.col("e_text") != "")
 
 
 def classify_rest(parsed: DataFrame, store: DataFrame, archive: Archive | DataFrame, p: ClassifyParams) -> DataFrame:
@@ -138,7 +147,7 @@ def classify_rest(parsed: DataFrame, store: DataFrame, archive: Archive | DataFr
 
 def retention_estimate(labelled: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
     """Newly classified records, non-ads among them and their characters."""
-    non_ad = F.col("_label") == C.NON_AD
+    non_ad = F.col("_label") == NON_AD
     n = record_length(F.col("e_len"), F.col("e_text"))
     return labelled.agg(
         F.count("*").alias("newly_classified_records"),
@@ -153,6 +162,7 @@ def run_sampling(spark: SparkSession, parsed: DataFrame, store_path: str, archiv
     seen = S.store_runs(spark, store_path)
     done = S.store_ids(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
     new_rows = sample_and_classify(parsed, done, archive, p)
+    # append_run stages the labelled rows (line, position, ID), so the model runs once per record
     return S.append_run(new_rows, store_path, run_id, id_field=p.fields.id, class_field=p.fields.label,
                         expect_runs=seen)
 
@@ -161,14 +171,14 @@ def non_ad_counts(store: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
     """Non-ads per (non-blank) language in the store."""
     v = F.col(VAR)
     lang = as_str(v, fields.lang)
-    rows = store.filter(filtering.is_label(v, fields.label, C.NON_AD) & (lang != ""))
+    rows = store.filter(filtering.is_label(v, fields.label, NON_AD) & (lang != ""))
     return rows.groupBy(lang.alias("lg")).agg(F.count("*").alias("non_ads"))
 
 
 def non_ad_export(store: DataFrame, n: int, fields: Fields = DEFAULT) -> DataFrame:
     """First ``n`` non-ads per language (blank -> ``unknown``) in store order."""
     v = F.col(VAR)
-    rows = store.filter(filtering.is_label(v, fields.label, C.NON_AD)).withColumn(
+    rows = store.filter(filtering.is_label(v, fields.label, NON_AD)).withColumn(
         "language", F.coalesce(F.nullif(as_str(v, fields.lang), F.lit("")), F.lit(UNKNOWN_LANGUAGE))
     )
     return sampling.first_n_per_group(rows, "language", n, SEQ)
@@ -205,14 +215,16 @@ def profile_new_shards(records: DataFrame, output: str, run_ts: str, fields: Fie
     """Profile only the ``(newspaper, yr)`` shards that have no output yet and
     append them (the incremental build: skip what is done, never overwrite).
 
-    The shard of a record comes from its ID; finished shards are the
-    partition values already present under ``output``.
+    The shard of a record comes from its profile ID (``id``, else ``c_id``);
+    finished shards are the partition values already present under ``output``.
+    Records without an ID have a blank shard, which Spark writes as its default
+    partition; it counts as finished like any other.
     """
+    from corpusprep.operators.profile import profile_id
     from corpusprep.sources.archive import shard_of
 
     spark = records.sparkSession
-    rid = as_str(F.col(VAR), fields.id)
-    news, year = shard_of(rid)
+    news, year = shard_of(F.coalesce(profile_id(F.col(VAR)), F.lit("")))
     tagged = records.withColumn("newspaper", news).withColumn("yr", year)
     done = finished_shards(spark, output)
     if done is not None:
@@ -235,7 +247,8 @@ def finished_shards(spark: SparkSession, output: str) -> DataFrame | None:
     pairs = sorted({m.groups() for f in files if (m := re.search(r"/newspaper=([^/]+)/yr=([^/]+)/", f))})
     from urllib.parse import unquote
 
-    rows = [(unquote(n), unquote(y)) for n, y in pairs]
+    name = lambda x: "" if x == "__HIVE_DEFAULT_PARTITION__" else unquote(x)
+    rows = [(name(n), name(y)) for n, y in pairs]
     return spark.createDataFrame(rows, "newspaper string, yr string")
 
 
@@ -247,38 +260,83 @@ def _profile_cols(run_ts: str, fields: Fields):
     return [profile_id(v), F.char_length(text).cast("bigint"), word_char_ratio(text), F.lit(run_ts)]
 
 
-# ------------------------------------------------------------------ JOB8
-def chain(spark: SparkSession, parsed: DataFrame, archive: Archive | DataFrame, countries: DataFrame,
-          p: ClassifyParams | None = None, completer=None) -> DataFrame:
-    """The documented order end to end, each step reading what the previous wrote."""
+# ------------------------------------------------------------------ JOB5
+TITLE_COUNTERS = ("total_records_written", "records_enriched_with_title", "records_already_had_title",
+                  "records_still_missing_title", "invalid_json_lines_skipped")
+
+
+def title_job(parsed: DataFrame, archive: Archive | DataFrame, output: str, fields: Fields = DEFAULT, *,
+              compression: str | None = None) -> DataFrame:
+    """Write the records with blank titles filled and return the counters, from one lookup.
+
+    The counters of the records are observed while the output is written; the
+    invalid lines are counted on the staged narrow status column.
+    """
+    from pyspark.sql import Observation
+
+    from corpusprep.sources.jsonl import LINE_STATUS_OK, STATUS
+
+    staged = enrich.stage_title_input(parsed, fields)
+    t = F.col("t_state")
+    obs = Observation("title_job")
+    titled = enrich.enrich_titles(None, archive, fields, staged=staged).observe(
+        obs, F.count(F.lit(1)).alias("written"), F.count_if(t == "enriched").alias("enriched"),
+        F.count_if(t == "had").alias("had"), F.count_if(t == "missing").alias("missing"))
+    write_jsonl(titled, output, compression=compression)
+    got = obs.get
+    bad = staged.filter(F.col(STATUS) != LINE_STATUS_OK).count()
+    row = (got["written"], got["enriched"], got["had"], got["missing"], bad)
+    return parsed.sparkSession.createDataFrame([row], ", ".join(f"{c} bigint" for c in TITLE_COUNTERS))
+
+
+# ------------------------------------------------------------------ JOB6
+def keyword_job(spark: SparkSession, folder: str, providers_path: str, output: str, completer, *, fields: Fields = DEFAULT,
+                model: str = "", base_url: str = "", max_per_file: int | None = None, max_concurrency: int | None = None,
+                summary_name: str = "keywords_summary.json", recursive: bool = True) -> DataFrame:
+    """A folder of language files in; records with keywords and the published summary out.
+
+    Every reply is staged once; the output files (one folder per language file)
+    and the statistics read the staged replies.  Returns the statistics by
+    language file with the total (NULL).
+    """
     from corpusprep.operators import keywords as K
-    from corpusprep.operators.split import split_by_language
-    from corpusprep.session import scratch_path
+    from corpusprep.operators.split import write_summary
     from corpusprep.sources.folder import LANG_FILE, scan_language_folder
+    from corpusprep.sources.providers import newspaper_country, read_providers
+
+    records = valid_records(scan_language_folder(spark, folder, recursive=recursive))
+    replies = K.generate(records, newspaper_country(read_providers(spark, providers_path)), completer, fields=fields,
+                         max_per_file=max_per_file, max_concurrency=max_concurrency)
+    results = K.with_results(replies)
+    write_jsonl(K.output_lines(results, fields).withColumnRenamed(LANG_FILE, "lang_file"), output, partition_by=["lang_file"])
+    stats = K.keyword_stats(results, LANG_FILE)
+    write_summary(K.keyword_summary_row(stats, LANG_FILE, input_prefix=folder, output_prefix=output, providers_path=providers_path,
+                                        model=model, base_url=base_url, keywords_field=fields.keywords),
+                  f"{output.rstrip('/')}/{summary_name}")
+    return stats
+
+
+# ------------------------------------------------------------------ JOB8
+def chain(spark: SparkSession, parsed: DataFrame, archive: Archive | DataFrame, providers_path: str, output: str,
+          p: ClassifyParams, completer, *, tp: str | None = "article", min_quality: float | None = 0.7,
+          min_length: int | None = 550, keyword_fields: Fields | None = None) -> DataFrame:
+    """The documented order end to end under ``output``, each step reading what the previous wrote.
+
+    Returns the keyword statistics by language, the total as ``TOTAL``.
+    """
+    from corpusprep.operators.split import split_by_language
+    from corpusprep.sources.folder import LANG_FILE
     from corpusprep.sources.jsonl import read_jsonl
 
-    p = p or ClassifyParams(target_per_language=50)
-    base = scratch_path(spark, "chain")
-    # 1. filter (articles only; quality and length as in the usage example)
-    write_jsonl(filtering.filter_records(parsed, tp="article", min_quality=0.7), f"{base}/filtered", order_by=SEQ)
-    filtered = read_jsonl(spark, f"{base}/filtered")
-    # 2. sample and classify into the store, export non-ads
-    run_sampling(spark, filtered, f"{base}/store", archive, p, "r1")
+    base = output.rstrip("/")
+    filter_job(parsed, f"{base}/filtered", tp=tp, min_quality=min_quality, min_length=min_length)
+    run_sampling(spark, read_jsonl(spark, f"{base}/filtered"), f"{base}/store", archive, p, "r1")
     store = S.read_store(spark, f"{base}/store")
     write_jsonl(non_ad_export(store, p.target_per_language, p.fields), f"{base}/non_ads", order_by=SEQ)
-    # 3. titles
-    titled = enrich.enrich_titles(read_jsonl(spark, f"{base}/non_ads"), archive, p.fields)
-    write_jsonl(titled, f"{base}/titled", order_by=SEQ)
-    # 4. split
-    split_by_language(read_jsonl(spark, f"{base}/titled"), f"{base}/per_language",
-                      summary_name=SPLIT_SUMMARY_NAME)
-    # 5. keywords
-    recs = valid_records(scan_language_folder(spark, f"{base}/per_language"))
-    replies = K.generate(recs, countries, completer or K.fixture_completer, fields=Fields(year="yr"))
-    results = K.with_results(replies)
-    write_jsonl(K.output_lines(results, Fields(year="yr")).withColumnRenamed(LANG_FILE, "lang_file"),
-                f"{base}/keywords", partition_by=["lang_file"])
-    stats = K.keyword_stats(results, LANG_FILE)
+    title_job(read_jsonl(spark, f"{base}/non_ads"), archive, f"{base}/titled", p.fields)
+    split_by_language(read_jsonl(spark, f"{base}/titled"), f"{base}/per_language", summary_name=SPLIT_SUMMARY_NAME)
+    stats = keyword_job(spark, f"{base}/per_language", providers_path, f"{base}/keywords", completer,
+                        fields=keyword_fields or p.fields)
     return stats.select(F.coalesce(F.col(LANG_FILE), F.lit("TOTAL")).alias("language"),
                         *[c for c in stats.columns if c not in (LANG_FILE, "_is_total")])
 
@@ -287,8 +345,10 @@ def chain(spark: SparkSession, parsed: DataFrame, archive: Archive | DataFrame,
 @dataclass
 class RunResult:
     run_id: str
-    counters: DataFrame  # existing_rows, sampled_new, remaining_new, processed_ids
+    counters: DataFrame  # existing_rows, sampled_new, remaining_new, processed_ids, unresolved_records
     estimate: DataFrame | None  # retention estimate of the remaining phase
+    non_ads: DataFrame  # non-ads per language in the store after the run
+    exported: DataFrame | None  # rows per language in the export
 
 
 def labelling_run(
@@ -317,15 +377,19 @@ def labelling_run(
     # parse the input and remove stored IDs once; both phases draw from it
     cands = (stage(enrich.with_own_fields(candidates(parsed, store, p), p.fields), "candidates")
              if classify_remaining else None)
+    from pyspark.sql import Observation
+
+    # records still without text leave before the model; they are counted on the way
+    lost = [Observation("unresolved_sampled"), Observation("unresolved_rest")]
     sampled = stage(
-        sample_and_classify(parsed, store, archive, p, cands=cands).select(*keep).withColumn("_phase", F.lit(1)),
+        sample_and_classify(parsed, store, archive, p, cands=cands, lost=lost[0]).select(*keep).withColumn("_phase", F.lit(1)),
         "sampled",
     )
     new = sampled
     estimate = None
     if classify_remaining:
         rest_cands = identity.keep_first_sparse(identity.unprocessed(cands, sampled.select(identity.RID)))
-        rest = label_records(enrich.enrich_text(rest_cands, archive, fields=p.fields, stage_input=False), p)
+        rest = label_records(_resolved(rest_cands, archive, p, lost[1], stage_input=False), p)
         rest = stage(rest.select(*keep).withColumn("_phase", F.lit(2)), "rest")
         estimate = retention_estimate(rest, p.fields)
         new = sampled.unionByName(rest)
@@ -340,9 +404,13 @@ def labelling_run(
             F.count_if(F.col("_phase") == 1).alias("sampled_new"),
             F.count_if(F.col("_phase") == 2).alias("remaining_new"),
             F.count_distinct(identity.RID).alias("processed_ids"),
+            F.lit(sum(o.get["unresolved"] for o in lost[:1 + classify_remaining])).cast("bigint").alias("unresolved_records"),
         )
     )
+    full = S.read_store(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
+    exported = None
     if export_path:
-        full = S.read_store(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
-        write_jsonl(non_ad_export(full, p.target_per_language, p.fields), export_path, order_by=SEQ)
-    return RunResult(rid, counters, estimate)
+        chosen = stage(non_ad_export(full, p.target_per_language, p.fields).select("value", SEQ, "language"), "export")
+        write_jsonl(chosen, export_path, order_by=SEQ)
+        exported = chosen.groupBy("language").agg(F.count("*").alias("rows"))
+    return RunResult(rid, counters, estimate, non_ad_counts(full, p.fields), exported)

@@ -178,7 +178,7 @@ def title_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def processed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled store: records with doc_id%7=0 and the rule label, in doc_id order."""
-    from corpusprep.operators.classify import rule_label
+    from corpusprep.plans.doubles import rule_label
 
     r = record_rows(spark, sf_dir).filter(F.col("doc_id") % 7 == 0)
     return r.withColumn("ad_class", rule_label(F.col("ft")))
@@ -271,11 +271,12 @@ def _write_keyword_folder(spark: SparkSession, sf_dir: str) -> str:
     from corpusprep.session import scratch_path
 
     path = scratch_path(spark, "keyword_input")
-    res = split_by_language(parse_lines(as_lines(keyword_rows(spark, sf_dir))), path)
+    res = split_by_language(parse_lines(as_lines(keyword_rows(spark, sf_dir))), path, preserve_order=True)
     summary_json(res.summary).coalesce(1).write.text(path + "/_summary_tmp")
     _rename_single(spark, path + "/_summary_tmp", path + "/languages_summary.json")
-    stale = as_lines(keyword_rows(spark, sf_dir))
-    stale.select("value").coalesce(1).write.text(path + "/_stale_tmp")
+    # an earlier run's output, which the scan must skip: the names of the languages are enough
+    stale = record_rows(spark, sf_dir).select(F.to_json(F.struct("lg")).alias("value")).distinct()
+    stale.coalesce(1).write.text(path + "/_stale_tmp")
     _rename_single(spark, path + "/_stale_tmp", path + "/keywords_xx.jsonl")
     return path
 
@@ -293,7 +294,8 @@ def _rename_single(spark: SparkSession, folder: str, target: str) -> None:
 def reply_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recorded model replies per document: invalid JSON where doc_id%10=0, a JSON
     array where %11=0, a non-list ``english_keywords`` where %7=0; usage absent
-    where %9=0, total 0 where %4=0 and -1 where %5=0."""
+    where %9=0, total 0 where %4=0 and -1 where %5=0; text behind the JSON where
+    %17=0 and a second object where %19=0."""
     d = F.col("doc_id")
     r = record_rows(spark, sf_dir)
     listed = F.concat(F.lit('{"english_keywords": ["'), F.col("newspaper"), F.lit('", " ", "'), F.col("lg"),
@@ -301,6 +303,8 @@ def reply_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     reply = (
         F.when(d % 10 == 0, F.lit("not json {"))
         .when(d % 11 == 0, F.lit("[1]"))
+        .when(d % 17 == 0, F.concat(listed, F.lit(" trailing")))
+        .when(d % 19 == 0, F.concat(listed, F.lit(","), listed))
         .when(d % 7 == 0, F.lit('{"english_keywords": "none"}'))
         .otherwise(listed)
     )

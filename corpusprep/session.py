@@ -8,21 +8,26 @@ session has none (local runs and tests).
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on.
+# Results depend on these: they are set whatever the session says.
+REQUIRED = {
+    # JSON objects with a repeated key: the last value wins, as in Python.
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+}
+
+# Set only where the session or its builder has no value of its own.
 SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # JSON objects with a repeated key: the last value wins, as in Python.
-    "spark.sql.variant.allowDuplicateKeys": "true",
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Rows per Arrow batch sent to Python (classifier, completer).  Whole
     # articles can be long; 512 keeps a batch to a few MB instead of GBs.
@@ -34,7 +39,7 @@ def get_session(master: str | None = None, app: str = "corpusprep", **conf: str)
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_DEFAULTS, **conf}.items():
+    for key, value in {**SESSION_DEFAULTS, **REQUIRED, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     apply_defaults(spark)
@@ -42,12 +47,17 @@ def get_session(master: str | None = None, app: str = "corpusprep", **conf: str)
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Set the runtime SQL settings the operators depend on (idempotent)."""
+    """Set the runtime SQL settings the operators depend on (idempotent).
+
+    A setting that the caller gave keeps its value; only ``REQUIRED`` ones are
+    forced, and a session that refuses one of these raises.
+    """
+    given = {r["key"] for r in spark.sql("SET").collect()}
     for key, value in SESSION_DEFAULTS.items():
-        try:
+        if key not in given:
             spark.conf.set(key, value)
-        except Exception:  # static or locked settings stay as the cluster set them
-            pass
+    for key, value in REQUIRED.items():
+        spark.conf.set(key, value)
     checkpoint_dir(spark)
     ship_package(spark)
 
@@ -76,9 +86,15 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a temporary one only when none is configured."""
+    """The shared checkpoint folder; a temporary one only for a local master without one.
+
+    On a cluster a folder of the driver's machine would be missing on the
+    executors, so an unset ``spark.checkpoint.dir`` raises there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not current and not re.match(r"local($|\[)", sc.master):
+        raise ValueError(f"master {sc.master}: set spark.checkpoint.dir to a folder that all executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="corpusprep-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)

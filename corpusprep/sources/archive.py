@@ -27,11 +27,6 @@ def shard_of(record_id: Column) -> tuple[Column, Column]:
     return F.substring_index(shard, "-", 1), F.substring_index(shard, "-", -1)
 
 
-# Above this many wanted shards the lookup skips the explicit partition
-# filter and lets the join (and dynamic pruning, when it applies) do the work.
-MAX_PRUNED_SHARDS = 200_000
-
-
 @dataclass
 class Archive:
     """An archive location and its field names; read lazily, pruned per lookup.
@@ -148,10 +143,8 @@ def lookup(archive: Archive | DataFrame, ids: DataFrame, id_col: str = "_id", *,
         if stage_keys:
             keys = stage(keys, "archive_keys")
         wanted = keys.select(F.concat_ws("-", NEWSPAPER, YEAR).alias("s")).distinct()
-        # shard names only, and at most MAX_PRUNED_SHARDS + 1 of them
-        names = [r.s for r in wanted.limit(MAX_PRUNED_SHARDS + 1).collect()]
-        shards = names if len(names) <= MAX_PRUNED_SHARDS else None
-        archive = archive.read(shards)
+        # folder names that the archive's own listing already holds on the driver
+        archive = archive.read([r.s for r in wanted.collect()])
     matched = archive.join(keys, [NEWSPAPER, YEAR, "a_id"], "left_semi")
     last = matched.groupBy("a_id").agg(
         F.max_by(F.struct("a_text", "a_len", "a_title"), F.col(SEQ)).alias("_r"),

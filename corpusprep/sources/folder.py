@@ -22,6 +22,8 @@ from corpusprep.sources.jsonl import FILE, SEQ, line_seq, parse_lines
 log = logging.getLogger(__name__)
 
 LANG_FILE = "_lang_file"
+#: One input file of the run: a file, or a language folder of a split output.
+SOURCE = "_lang_source"
 _JSONL_NAME = "(?i)\\.jsonl(\\.gz)?$"
 
 
@@ -29,16 +31,19 @@ def language_of(path: Column, name: Column) -> Column:
     """Partition folder value, else the file stem without ``keywords_``."""
     folder = F.regexp_extract(path, "/lang_bucket=([^/]+)/[^/]*$", 1)
     stem = F.regexp_replace(name, "(?i)(\\.jsonl\\.gz|\\.jsonl)$", "")
-    stem = F.when(stem == name, F.regexp_replace(name, "\\.[^.]*$", "")).otherwise(stem)
     stem = F.regexp_replace(stem, "^" + KEYWORDS_FILE_PREFIX, "")
     return F.when(folder != "", folder).otherwise(stem)
 
 
 def scan_language_folder(
-    spark: SparkSession, prefix: str, *, summary_name: str = SPLIT_SUMMARY_NAME
+    spark: SparkSession, prefix: str, *, summary_name: str = SPLIT_SUMMARY_NAME, recursive: bool = True
 ) -> DataFrame:
-    """Parsed lines of every language file under ``prefix`` with ``_lang_file``."""
-    raw = spark.read.format("text").option("recursiveFileLookup", "true").load(prefix)
+    """Parsed lines of every language file under ``prefix`` with ``_lang_file`` and ``_lang_source``.
+
+    ``recursive=False`` reads the files directly under ``prefix`` only.
+    """
+    reader = spark.read.format("text")
+    raw = reader.option("recursiveFileLookup", "true").load(prefix) if recursive else reader.load(prefix.rstrip("/") + "/*.*")
     # file names only (the listing Spark already holds): fail when nothing is
     # usable, warn when the split summary is absent
     names = [f.rstrip("/") for f in raw.inputFiles()]
@@ -60,6 +65,7 @@ def scan_language_folder(
     summary = (name == summary_name) | path.contains(f"/{summary_name}/")
     keep = (name.rlike(_JSONL_NAME) | in_bucket) & ~name.startswith(KEYWORDS_FILE_PREFIX) & ~summary
     lines = raw.filter(keep).select(
-        "value", line_seq().alias(SEQ), path.alias(FILE), language_of(path, name).alias(LANG_FILE)
+        "value", line_seq().alias(SEQ), path.alias(FILE), language_of(path, name).alias(LANG_FILE),
+        F.when(in_bucket, F.regexp_extract(path, "^(.*/lang_bucket=[^/]+)/[^/]*$", 1)).otherwise(path).alias(SOURCE),
     )
     return parse_lines(lines)

@@ -7,6 +7,8 @@ parsed VARIANT (``_v``).  ``_status`` says why a line is not a record:
 * ``bad_utf8``   -- bytes that are not UTF-8
 * ``invalid``    -- not exactly one JSON value (trailing junk, two objects,
                     NaN, single quotes, ...)
+* ``too_large``  -- a line that could not be parsed and is longer than the JSON
+                    parser's limit for one string (20,000,000 characters)
 * ``not_object`` -- valid JSON that is not an object (``[1,2]``, ``5``)
 * ``ok``
 """
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 from corpusprep.functions.coerce import py_strip
 
 LINE_STATUS_OK = "ok"
+#: The JSON parser's longest string; Spark offers no setting for it.
+MAX_STRING = 20_000_000
 SEQ = "_seq"
 VAR = "_v"
 STATUS = "_status"
@@ -97,6 +101,7 @@ def parse_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     status = (
         F.when(line == "", F.lit("blank"))
         .when(~F.is_valid_utf8(F.col(line_col)), F.lit("bad_utf8"))
+        .when(wrapped.isNull() & (F.char_length(line) > MAX_STRING), F.lit("too_large"))
         .when(wrapped.isNull() | F.variant_get(wrapped, "$[1]", "variant").isNotNull(), F.lit("invalid"))
         .when(~line.startswith("{"), F.lit("not_object"))
         .otherwise(F.lit(LINE_STATUS_OK))

@@ -5,8 +5,8 @@ Flattened to ``newspaper -> country``: providers that are not objects and
 newspaper is listed more than once the last listing (provider order, then
 title order) wins.  Newspapers listed with different countries are reported.
 
-The file is one JSON document, read whole by one task; it is reference data
-whose size is checked before it is used (see ``MAX_PROVIDER_BYTES``).
+The file is one JSON document: reference data, read whole by one task.  A file
+that is not exactly one JSON object raises.
 """
 
 from __future__ import annotations
@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.coerce import py_strip
 
-MAX_PROVIDER_BYTES = 64 << 20
-
 
 def parse_providers(docs: DataFrame, text_col: str = "value") -> DataFrame:
     """``(newspaper, country, provider_pos, title_pos)`` for every usable listing."""
-    m = F.from_json(F.col(text_col), "map<string,variant>")
+    # one value and nothing behind it; the map keeps the order of the providers
+    wrapped = F.try_parse_json(F.concat(F.lit("["), py_strip(F.col(text_col)), F.lit("]")))
+    good = (F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+            & F.coalesce(F.schema_of_variant(F.try_variant_get(wrapped, "$[0]", "variant")).startswith("OBJECT"), F.lit(False)))
+    m = F.when(good, F.from_json(F.col(text_col), "map<string,variant>")).otherwise(
+        F.raise_error(F.lit("the provider file is not one JSON object")))
     providers = docs.select(F.posexplode(m).alias("p_pos", "provider", "payload"))
     is_obj = F.schema_of_variant(F.col("payload")).startswith("OBJECT")
     providers = providers.filter(is_obj).select(
@@ -56,14 +59,5 @@ def conflicts(listings: DataFrame) -> DataFrame:
 
 
 def read_providers(spark: SparkSession, path: str) -> DataFrame:
-    """Parse the provider file(s); raises when a file exceeds ``MAX_PROVIDER_BYTES``."""
-    raw = spark.read.option("wholetext", "true").text(path)
-    files = raw.select(F.col("_metadata.file_size").alias("size"), "value")
-    return parse_providers(_checked(files))
-
-
-def _checked(files: DataFrame) -> DataFrame:
-    too_big = F.col("size") > F.lit(MAX_PROVIDER_BYTES)
-    return files.select(
-        F.when(too_big, F.raise_error(F.lit("provider file larger than MAX_PROVIDER_BYTES"))).otherwise(F.col("value")).alias("value")
-    )
+    """Parse the provider file(s)."""
+    return parse_providers(spark.read.option("wholetext", "true").text(path))

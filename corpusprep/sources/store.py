@@ -1,9 +1,8 @@
 """The labelled store: every classified record, append-only.
 
 Layout: ``<store>/run_id=<run>/part-*`` JSONL lines (record + label field).
-A run appends one new ``run_id`` folder; Spark's commit protocol publishes
-all of its files or none, so a failed run leaves the store as it was.  A
-missing store reads as empty.
+A run appends one new ``run_id`` folder; a failed job leaves the store as it
+was where the committer is atomic.  A missing store reads as empty.
 
 Beside the runs, ``<store>/_ids/run_id=<run>/`` holds each run's IDs as
 narrow Parquet, so "which IDs are processed" never parses the records.  The
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.operators.identity import RID, stable_id
 from corpusprep.sources.jsonl import FILE, SEQ, VAR, line_seq, parse_lines, valid_records
+from corpusprep.sources.staging import stage
 
 RUN = "run_id"
 
@@ -100,8 +100,10 @@ def append_run(rows: DataFrame, path: str, run_id: str | None = None, *,
     The run is written in ``order_by`` order (default: input line order when
     ``_seq`` is present), range partitioned so its part files read back in
     that order: "the first N in store order" is then reproducible.
+    A range partitioned write evaluates its input twice, so ``rows`` is staged
+    first: whatever made them (a model) runs once per row.
     ``ids`` (one column, e.g. from a staged table) feeds the ID index without
-    reading the run back.  ``expect_runs`` (the runs seen when the processed
+    reading the run back; rows that carry ``_rid`` need none.  ``expect_runs`` (the runs seen when the processed
     IDs were read) makes the append refuse when another run committed in
     between; the check is optimistic, not a lock.
     """
@@ -111,6 +113,10 @@ def append_run(rows: DataFrame, path: str, run_id: str | None = None, *,
         # the IDs this run excluded are stale: appending could label an ID twice
         raise ConcurrentRunError(f"store {path} changed since this run read it")
     order = order_by if order_by is not None else ([SEQ] if SEQ in rows.columns else [])
+    carried = [RID] if ids is None and RID in rows.columns else []
+    rows = stage(rows.select("value", *[c for c in order if c != "value"], *carried), "store_run")
+    if carried:
+        ids = rows.select(RID)
     out = rows.select("value", *order, F.lit(run_id).alias(RUN))
     if order:
         # the run column leads the sort so the writer's own ordering on it is

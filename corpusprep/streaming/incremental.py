@@ -19,6 +19,7 @@ from corpusprep.plans import jobs
 from corpusprep.sources import store as S
 from corpusprep.sources.archive import Archive
 from corpusprep.sources.jsonl import FILE, SEQ, parse_lines
+from corpusprep.sources.staging import stage
 
 
 def classify_new_files(
@@ -27,13 +28,13 @@ def classify_new_files(
     store_path: str,
     archive: Archive | DataFrame,
     checkpoint: str,
-    params: jobs.ClassifyParams | None = None,
+    params: jobs.ClassifyParams,
     *,
     files_per_batch: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops after the files present."""
-    p = params or jobs.ClassifyParams()
+    p = params
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -65,14 +66,14 @@ def classify_batch(batch: DataFrame, epoch_id: int, store_path: str, archive: Ar
     # IDs of this epoch's earlier attempt do not count as processed
     done = S.store_ids(batch.sparkSession, store_path, id_field=p.fields.id, class_field=p.fields.label)
     done = done.join(_run_ids(batch.sparkSession, store_path, run, p), S.RID, "left_anti")
-    new_rows = jobs.classify_rest(parsed, done, archive, p)
+    # staged: the range partitioned write below would run the model twice
+    new_rows = stage(jobs.classify_rest(parsed, done, archive, p).select("value", SEQ, S.RID), "epoch")
     # in line order within the run, the run column leading the sort (see append_run)
     out = (new_rows.select("value", SEQ, F.lit(run).alias(S.RUN))
            .repartitionByRange(SEQ).sortWithinPartitions(S.RUN, SEQ).drop(SEQ))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(S.RUN).text(store_path))
-    ids = S.read_store(batch.sparkSession, store_path, id_field=p.fields.id, class_field=p.fields.label,
-                       runs=[run]).select(S.RID, S.RUN)
+    ids = new_rows.select(S.RID, F.lit(run).alias(S.RUN))
     (ids.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(S.RUN).parquet(f"{store_path.rstrip('/')}/{S.IDS}"))
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from corpusprep.operators.identity import RID
+from corpusprep.plans import doubles, jobs
 from corpusprep.plans import views as V
 from corpusprep.session import scratch_path
 from corpusprep.sources import store as S
@@ -17,10 +18,10 @@ def test_stream_labels_each_id_once(spark):
     arch = Archive(spark, V.archive_path(spark, SMALL))
     lines = V.as_lines(V.no_text_rows(spark, SMALL))
     write_jsonl(lines.filter(F.col("_seq") % 2 == 0), landing + "/wave1")
-    classify_new_files(spark, landing + "/*", store, arch, ckpt).awaitTermination()
+    classify_new_files(spark, landing + "/*", store, arch, ckpt, jobs.ClassifyParams(doubles.rule_model)).awaitTermination()
     # second wave repeats every record: only the new ones may be added
     write_jsonl(lines, landing + "/wave2")
-    classify_new_files(spark, landing + "/*", store, arch, ckpt).awaitTermination()
+    classify_new_files(spark, landing + "/*", store, arch, ckpt, jobs.ClassifyParams(doubles.rule_model)).awaitTermination()
     st = S.read_store(spark, store)
     assert st.count() == st.select(RID).distinct().count()
     assert st.select("run_id").distinct().count() == 2
@@ -30,7 +31,6 @@ def test_stream_labels_each_id_once(spark):
 
 
 def test_replayed_epoch_leaves_one_copy(spark):
-    from corpusprep.plans import jobs
     from corpusprep.streaming.incremental import classify_batch
 
     landing, store = scratch_path(spark, "landing-replay"), scratch_path(spark, "store-replay")
@@ -38,7 +38,7 @@ def test_replayed_epoch_leaves_one_copy(spark):
     write_jsonl(V.as_lines(V.no_text_rows(spark, SMALL)), landing)
     batch = spark.read.text(landing).select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
-    p = jobs.ClassifyParams()
+    p = jobs.ClassifyParams(doubles.rule_model)
     classify_batch(batch, 0, store, arch, p)
     first = sorted(r[0] for r in S.read_store(spark, store).select(RID).collect())
     classify_batch(batch, 0, store, arch, p)  # the same epoch again, as after a failure

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL
 from corpusprep.fields import Fields
 from corpusprep.operators import keywords, split
+from corpusprep.plans import doubles
 from corpusprep.plans import views as V
 from corpusprep.session import scratch_path
 from corpusprep.sources import archive as A
@@ -24,7 +25,7 @@ def test_split_totals_are_the_sum_of_languages(spark):
 def test_keyword_totals_are_the_sum_of_languages(spark):
     recs = valid_records(folder.scan_language_folder(spark, V.keyword_folder(spark, SMALL)))
     countries = providers.newspaper_country(providers.read_providers(spark, V.providers_path(spark, SMALL)))
-    res = keywords.with_results(keywords.generate(recs, countries, fields=Fields(year="yr")))
+    res = keywords.with_results(keywords.generate(recs, countries, doubles.recorded_completer, fields=Fields(year="yr")))
     stats = keywords.keyword_stats(res, folder.LANG_FILE)
     row = keywords.keyword_summary_row(stats, folder.LANG_FILE, input_prefix="in", output_prefix="out",
                                        providers_path="p", model="m", base_url="").first()
@@ -98,19 +99,19 @@ def test_tfidf_matches_brute_force(spark):
 
     got = {r.id: r.keywords for r in E.queries()["tfidf_keywords"](spark, SMALL).collect()}
     docs = {r.id: r.ft for r in V.record_rows(spark, SMALL).select("id", "ft").collect()}
-    token = re.compile(r"[^\W\d_]{4,}")
+    token = re.compile(r"[^\W_]+")
     tfs = {i: Counter(token.findall(t.lower())) for i, t in docs.items()}
     df = Counter(term for c in tfs.values() for term in c)
     n = len(docs)
     for i, c in tfs.items():
-        scored = sorted(c.items(), key=lambda kv: (-(kv[1] * math.log((n + 1) / (df[kv[0]] + 1))), kv[0]))
+        scored = sorted(c.items(), key=lambda kv: (-round(kv[1] * math.log((n + 1) / (df[kv[0]] + 1)), 9), kv[0]))
         assert got[i] == "|".join(t for t, _ in scored[:5]), i
 
 
 def test_keyword_run_per_file_cap(spark):
     recs = valid_records(folder.scan_language_folder(spark, V.keyword_folder(spark, SMALL)))
     countries = providers.newspaper_country(providers.read_providers(spark, V.providers_path(spark, SMALL)))
-    res = keywords.generate(recs, countries, fields=Fields(year="yr"), max_per_file=7)
+    res = keywords.generate(recs, countries, doubles.recorded_completer, fields=Fields(year="yr"), max_per_file=7)
     per_file = {r[0]: r[1] for r in res.groupBy(folder.LANG_FILE).count().collect()}
     have = {r[0]: r[1] for r in recs.groupBy(folder.LANG_FILE).count().collect()}
     assert per_file == {k: min(7, v) for k, v in have.items()}

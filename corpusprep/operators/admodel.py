@@ -1,8 +1,8 @@
 """A trainable ad model on Spark ML, fitted on labelled store rows.
 
-Features: TF-IDF of the tokens plus two layout signals that separate
-advertisements from articles in general -- log text length and the share of
-digits.  A regularised logistic regression maps them to ``ad``/``non-ad``.
+Features: TF-IDF of the tokens plus layout signals that separate
+advertisements from articles in general -- log text length and the shares of
+digits, capitals and unusual marks.  A regularised logistic regression maps them to ``ad``/``non-ad``.
 Fit and prediction are distributed; this is an alternative to the pluggable
 per-worker classifier.
 """
@@ -16,27 +16,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+SIGNALS = ("log_len", "digit_share", "capital_share", "mark_share")
+
+
 def _with_signals(df: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     n = F.char_length(text)
-    digits = F.char_length(F.regexp_replace(text, "[^0-9]", ""))
-    return df.withColumn("text", text).withColumn("log_len", F.log1p(n.cast("double"))).withColumn(
-        "digit_share", F.when(n > 0, digits / n).otherwise(F.lit(0.0))
-    )
+    share = lambda others: F.when(n > 0, F.char_length(F.regexp_replace(text, others, "")) / n).otherwise(F.lit(0.0))
+    return df.withColumn("text", text).withColumns({
+        "log_len": F.log1p(n.cast("double")), "digit_share": share("[^0-9]"), "capital_share": share("[^\\p{Lu}]"),
+        "mark_share": share("[\\p{L}\\p{N}\\s.,;:]"),
+    })
 
 
-def fit(train: DataFrame, *, num_features: int = 1 << 16, max_iter: int = 50, reg: float = 0.01) -> PipelineModel:
+def fit(train: DataFrame, *, num_features: int = 1 << 12, max_iter: int = 50, reg: float = 0.01) -> PipelineModel:
     """``train`` has ``text`` and ``label`` (``ad``/``non-ad``) columns; the
     returned model maps ``text`` to ``ad_class``."""
-    train = _with_signals(train)
+    # both labels weigh the same, however rare one is
+    counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
+    weight = F.lit(1.0)
+    for label, n in counts.items():
+        weight = F.when(F.col("label") == label, sum(counts.values()) / (len(counts) * n)).otherwise(weight)
+    train = _with_signals(train).withColumn("weight", weight)
     indexer = StringIndexer(inputCol="label", outputCol="label_idx", handleInvalid="skip").fit(train)
     features = Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="tokens", pattern="\\W+", toLowercase=True),
         HashingTF(inputCol="tokens", outputCol="tf", numFeatures=num_features),
         IDF(inputCol="tf", outputCol="tfidf"),
-        VectorAssembler(inputCols=["tfidf", "log_len", "digit_share"], outputCol="features"),
+        VectorAssembler(inputCols=["tfidf", *SIGNALS], outputCol="features"),
     ]).fit(train)
-    lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter, regParam=reg,
+    lr = LogisticRegression(featuresCol="features", labelCol="label_idx", weightCol="weight", maxIter=max_iter, regParam=reg,
                             standardization=True).fit(features.transform(indexer.transform(train)))
     lr = _without_summary(lr, train.sparkSession)
     to_label = IndexToString(inputCol="prediction", outputCol="ad_class", labels=indexer.labels)

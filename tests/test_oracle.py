@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SMALL
 
-TABLES = ["documents", "labels", "nation"]
+TABLES = ["documents", "labels", "nation", "embeddings"]
 
 
 def _norm(v):

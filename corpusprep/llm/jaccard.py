@@ -18,8 +18,9 @@ compared with all members; members within eps = 1 - t are linked to it; if none
 is done, otherwise only the far ones and those near ones whose distance to the pivot is
 within eps of the closest far one can still form a link (triangle inequality).  Large regions are
 split by several pivots into Voronoi cells, a document being replicated to all cells whose pivot is at
-most 2 eps farther than its own.  Small regions are compared in full; regions that no pivot splits (all members equally far)
-are compared block by block.
+most 2 eps farther than its own.  Small regions are compared in full.  Regions that no pivot can split, because their
+members are about equally far from it, are joined block by block: a short signature of each member (a hash for each of
+some eight times D parts) bounds the number of parts in which two sets differ, and only pairs within D are compared.
 
 Equal sets are one class; only classes are joined.  Set elements are 64-bit hashes.
 
@@ -50,6 +51,8 @@ LEAF = 32
 #: Pivots of a Voronoi split.
 PIVOTS = 8
 SPLITS = 3
+#: Members of a signature block.
+BLOCK = 512
 #: Longs that are sent to all tasks at most (16 bytes each in a hash table).
 BROADCAST_KEYS = 1 << 20
 
@@ -245,8 +248,10 @@ def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
         "d", 1 - F.coalesce(both, F.least("size", "size_b")) / F.when(both.isNull(), F.greatest("size", "size_b")).otherwise(union)), "jaccard_star")
     out.append(found.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
     closest = found.filter(~F.col("linked")).groupBy("region").agg(F.min("d").alias("closest"))
-    members = stage(found.join(closest, "region").filter(~F.col("linked") | (F.col("d") >= F.col("closest") - eps - 1e-9)).select(
-        "region", F.col("a").alias("cid"), "size", (~F.col("linked")).alias("far")), "jaccard_open")
+    # windows are 2 eps wide: distances that differ by less can't tell cells apart
+    spread = found.groupBy("region").agg((F.percentile_approx("d", 0.9) - F.percentile_approx("d", 0.1) > 2 * eps).alias("splits"))
+    members = stage(found.join(closest, "region").filter(~F.col("linked") | (F.col("d") >= F.col("closest") - eps - 1e-9)).join(spread, "region").select(
+        "region", F.col("a").alias("cid"), "size", (~F.col("linked")).alias("far"), "splits"), "jaccard_open")
 
     for level in range(SPLITS + 1):
         counts = members.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
@@ -256,16 +261,15 @@ def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
         pairs = small.withColumnRenamed("cid", "a").join(other, "region").filter("a < b and (far or far_b)").select("a", "size", "b", "size_b").distinct()
         out.append(compared(pairs).filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v")))
         large = stage(members.join(counts.filter(F.col("n") > LEAF), "region"), "jaccard_large")
-        if not large.head(1):
+        whole = large if level == SPLITS else large.filter(~F.col("splits"))
+        if whole.head(1):
+            near = _near_in_blocks(whole, sets, num, den)
+            out.append(compared(near).filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v")))
+        large = large.filter("splits")
+        if level == SPLITS or not large.head(1):
             break
-        if level == SPLITS:
-            out.append(_in_blocks(large, sets, num, den))
-            break
-        split = _voronoi(large, compared, linked, both, union, eps)
-        out.append(split[0])
-        members = split[1]
-        # a region that its pivots don't split goes to the blocks
-        out.append(_in_blocks(split[2], sets, num, den))
+        pivot_links, members = _voronoi(large, compared, linked, both, union, eps)
+        out.append(pivot_links)
 
     total = out[0]
     for part in out[1:]:
@@ -274,7 +278,7 @@ def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 
 def _voronoi(large: DataFrame, compared, linked, both, union, eps: float):
-    """Links with the pivots, the cells' members, and the members of regions that don't get smaller."""
+    """Links with the pivots, and the members of the cells (of whole regions where cells would not get smaller)."""
     # pivots: the far members with the smallest hashes, one from each of PIVOTS slices of the region
     slices = large.filter("far").groupBy("region", F.pmod(F.xxhash64("cid"), F.lit(PIVOTS)).alias("slice")).agg(
         F.min(F.struct(F.xxhash64("cid", "region").alias("h"), "cid", "size")).alias("p"))
@@ -295,35 +299,61 @@ def _voronoi(large: DataFrame, compared, linked, both, union, eps: float):
     sizes = cells.groupBy("region").agg(F.count(F.lit(1)).alias("after")).join(
         large.groupBy("region").agg(F.count(F.lit(1)).alias("before")), "region")
     stuck = stage(sizes.filter(F.col("after") > 2 * F.col("before")).select("region"), "jaccard_stuck")
-    goes_on = cells.join(stuck, "region", "left_anti").select(F.col("cell").alias("region"), F.col("a").alias("cid"), "size", (~F.col("linked")).alias("far"))
-    return links, stage(goes_on, "jaccard_open"), large.join(stuck, "region", "left_semi")
-
-
-def _in_blocks(large: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links inside large regions, block pair by block pair; a pair of blocks returns a spanning forest."""
-    counts = large.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("blocks"))
-    dealt = large.drop("n").join(counts, "region").withColumn("block", F.pmod(F.xxhash64("cid", F.lit(3)), F.col("blocks")))
-    item = F.struct("cid", "size", "shingles")
-    blocks = stage(dealt.join(sets, "cid").groupBy("region", "block").agg(F.collect_list(item).alias("items")), "jaccard_blocks")
+    goes_on = cells.join(stuck, "region", "left_anti").select(
+        F.col("cell").alias("region"), F.col("a").alias("cid"), "size", (~F.col("linked")).alias("far"), F.lit(True).alias("splits"))
+    rest = large.join(stuck, "region", "left_semi").select("region", "cid", "size", "far", F.lit(False).alias("splits"))
+    return links, stage(goes_on.unionByName(rest), "jaccard_open")
+
+
+def signature(shingles: np.ndarray, parts: int) -> np.ndarray:
+    """16 bits for each part of a set; sets that are equal on a part have the same bits there."""
+    part = ((shingles >> np.uint64(9)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    heads = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1]))
+    out = np.zeros(parts, np.uint16)
+    out[part[order][heads]] = (tokens.mix(np.add.reduceat(tokens.mix(shingles[order] + _PART), heads)) >> np.uint64(48)).astype(np.uint16)
+    return out
+
+
+def _near_in_blocks(large: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, size, b, size_b): pairs of a region, one of them far, whose signatures differ in D parts at most."""
+    differ = lambda size: size * (den - num) // num
+    # the same parts for all members of a region
+    shape = large.groupBy("region").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), (8 * F.floor(F.max("size") * (den - num) / num) + 8).cast("int").alias("parts"))
+    dealt = large.select("region", "cid", "size", "far").join(shape, "region").withColumn("block", F.pmod(F.xxhash64("cid", F.lit(3)), F.col("blocks")))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [signature(np.frombuffer(s.as_buffer(), np.uint64), p.as_py()).tobytes()
+                     for s, p in zip(batch.column("shingles"), batch.column("parts"), strict=True)]
+            out = {c: batch.column(c) for c in ("region", "block", "cid", "size", "far")}
+            yield pa.RecordBatch.from_pydict(out | {"mark": pa.array(marks, pa.binary())})
+
+    signed = dealt.join(sets, "cid").select("region", "block", "cid", "size", "far", "parts", "shingles").mapInArrow(
+        sign, "region long, block long, cid long, size long, far boolean, mark binary")
+    blocks = stage(signed.groupBy("region", "block").agg(F.collect_list(F.struct("cid", "size", "far", "mark")).alias("items")), "jaccard_blocks")
     left, right = blocks.select("region", F.col("block").alias("i"), F.col("items").alias("x")), blocks.select("region", F.col("block").alias("j"), F.col("items").alias("y"))
     pairs = left.join(right, "region").filter("i <= j").select("x", "y")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def load(column: pa.Array, k: int):
+        items = column[k].values
+        marks = np.frombuffer(b"".join(items.field("mark").to_pylist()), np.uint16).reshape(len(items), -1)
+        return np.asarray(items.field("cid")), np.asarray(items.field("size")), np.asarray(items.field("far")), marks
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            u, v = [], []
             for k in range(batch.num_rows):
-                items = [{r["cid"]: np.frombuffer(r["shingles"], np.uint64) for r in batch.column(c)[k].as_py()} for c in ("x", "y")]
-                known = {}
-                root = lambda c: c if known.setdefault(c, c) == c else root(known[c])
-                for a, sa in items[0].items():
-                    for b, sb in items[1].items():
-                        if a == b or den * min(len(sa), len(sb)) < num * max(len(sa), len(sb)) or root(a) == root(b):
-                            continue
-                        same = len(np.intersect1d(sa, sb, assume_unique=True))
-                        if den * same >= num * (len(sa) + len(sb) - same):
-                            known[max(root(a), root(b))] = min(root(a), root(b))
-                            u.append(a)
-                            v.append(b)
-            yield pa.RecordBatch.from_pydict({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-    return pairs.mapInArrow(run, "u long, v long")
+                (a, na, fa, ma), (b, nb, fb, mb) = load(batch.column("x"), k), load(batch.column("y"), k)
+                off = np.zeros((len(a), len(b)), np.int32)
+                for p in range(ma.shape[1]):
+                    off += ma[:, p, None] != mb[None, :, p]
+                low, high = np.minimum(na[:, None], nb[None]), np.maximum(na[:, None], nb[None])
+                near = (off <= differ(low)) & (den * low >= num * high) & (fa[:, None] | fb[None]) & (a[:, None] != b[None])
+                i, j = np.nonzero(near)
+                swap = a[i] > b[j]
+                yield pa.RecordBatch.from_pydict({
+                    "a": np.where(swap, b[j], a[i]), "size": np.where(swap, nb[j], na[i]),
+                    "b": np.where(swap, a[i], b[j]), "size_b": np.where(swap, na[i], nb[j])})
+
+    return pairs.mapInArrow(compare, "a long, size long, b long, size_b long").distinct()

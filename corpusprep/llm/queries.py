@@ -54,7 +54,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = lines.join(removed, lines["doc_id"].eqNullSafe(removed["id"]) & (lines["hash"] == removed["text_hash"]), "left")
     none = F.array().cast("array<int>")
     return joined.select("doc_id", F.when(F.col("empty"), 0).otherwise(F.col("breaks") + 1).cast("long").alias("n_lines"),
-                         F.size(F.coalesce("removed", none)).cast("long").alias("n_removed"), F.coalesce("removed", none).alias("removed"))
+                         F.size(F.coalesce("removed", none)).cast("long").alias("n_removed"),
+                         F.array_join(F.coalesce("removed", none), ",").alias("removed"))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,3 +115,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_secrets": secrets.oracle_sql(),
 }
+
+_WORDS = "'[^\\x20\\x09-\\x0D]+'"
+
+
+def _grams(words: str, n: int) -> str:
+    """Distinct runs of n words of a word list; the whole list where it has fewer."""
+    run = " || ' ' || ".join(f"{words}[i + {k}]" for k in range(n))
+    return (f"CASE WHEN len({words}) = 0 THEN [] WHEN len({words}) < {n} THEN [array_to_string({words}, ' ')] "
+            f"ELSE list_distinct(list_transform(range(1, len({words}) - {n} + 2), lambda i: {run})) END")
+
+
+_REACH = """reach AS (SELECT {id} AS a, {id} AS b FROM {nodes} UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+comp AS (SELECT a AS {id}, min(b) AS component_id FROM reach GROUP BY a)"""
+
+ORACLE["op3_embedding_dedup"] = f"""WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+  AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+{_REACH.format(id='vec_id', nodes='v')}
+SELECT v.vec_id, (SELECT count(*) FROM link WHERE link.a = v.vec_id) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN comp USING (vec_id)"""
+
+ORACLE["op4_ngram_jaccard"] = f"""WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORDS}) AS w FROM documents),
+s AS (SELECT doc_id, {_grams('w', 3)} AS g FROM d),
+size AS (SELECT doc_id, len(g) AS n FROM s),
+e AS (SELECT doc_id, unnest(g) AS g FROM s),
+met AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM e x JOIN e y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+pair AS (SELECT a, b FROM met JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * met.n >= 90 * (p.n + q.n - met.n)),
+link AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+{_REACH.format(id='doc_id', nodes='d')}
+SELECT doc_id, n AS n_shingles, component_id FROM size JOIN comp USING (doc_id)"""
+
+ORACLE["op5_line_dedup"] = f"""WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents),
+l AS (SELECT doc_id, generate_subscripts(s, 1) - 1 AS pos, unnest(s) AS line FROM d),
+o AS (SELECT *, row_number() OVER (ORDER BY doc_id, pos) AS place FROM l WHERE regexp_matches(line, {_WORDS})),
+c AS (SELECT line, min(place) AS first FROM o GROUP BY line),
+s AS (SELECT line, first, {_grams('w', 5)} AS g FROM (SELECT *, regexp_extract_all(line, {_WORDS}) AS w FROM c)),
+e AS (SELECT line, first, len(g) AS n, unnest(g) AS g FROM s),
+met AS (SELECT x.line AS a, y.line AS b, any_value(x.n) AS na, any_value(y.n) AS nb, any_value(y.first) AS other, count(*) AS n
+  FROM e x JOIN e y ON x.g = y.g AND x.line <> y.line GROUP BY 1, 2),
+near AS (SELECT a AS line, min(other) AS other FROM met WHERE 100 * n >= 80 * (na + nb - n) GROUP BY a),
+r AS (SELECT doc_id, pos FROM o JOIN c USING (line) LEFT JOIN near USING (line) WHERE place > first OR other < place),
+q AS (SELECT doc_id, count(*) AS n, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS removed FROM r GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(s), 0) AS BIGINT) AS n_lines, coalesce(n, 0) AS n_removed, coalesce(removed, '') AS removed
+FROM d LEFT JOIN q USING (doc_id)"""

@@ -1,9 +1,9 @@
 """Line dedup: exact set-similarity join of lines, as DataFrame operations.
 
 A line's tokens are the hashes of its runs of ``n`` words (its whole word sequence if it has fewer).  Tokens are
-ordered by rarity: a table of ``BUCKETS`` counters over all tokens of the corpus gives each token a
-frequency class, and a token's sort key is its class followed by its hash, so tokens of common passages come
-last.  Lines with Jaccard >= t share a token among their first n - ceil(t n) + 1 (prefix filter), their
+ordered by rarity: ``BUCKETS`` counters over all words of the corpus give each word a frequency class, and a
+token's sort key is the class of its first word followed by its hash.  A run is at most as frequent as its first
+word, so tokens that start with rare words come first and those of common passages last.  Lines with Jaccard >= t share a token among their first n - ceil(t n) + 1 (prefix filter), their
 sizes differ by t at most (length filter), and the place of the shared token limits what they can still share
 (positional filter).  Surviving pairs are verified on their whole token sets.
 
@@ -42,37 +42,39 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("id", "text_hash", F.posexplode("lines").alias("pos", "line")).filter(F.col("line").rlike(WORD))
 
 
-def _tokens(line: Column, n: int) -> Column:
-    """Different hashes of a line's runs of n words, unordered."""
-    spaced = F.translate(line, "\t\x0b\x0c\r", "    ")
-    words = F.transform(F.array_remove(F.split(spaced, " ", -1), ""), lambda w: F.xxhash64(w))
+def _words(line: Column) -> Column:
+    return F.array_remove(F.split(F.translate(line, "\t\x0b\x0c\r", "    "), " ", -1), "")
+
+
+def _bucket(word_hash: Column) -> Column:
+    return word_hash.bitwiseAND(BUCKETS - 1).cast("int")
+
+
+_LOW = (1 << 58) - 1
+
+
+def _tokens(line: Column, n: int, classes: Column) -> Column:
+    """Different tokens of a line, rarest first: 5 bits of the first word's frequency class, 58 bits of hash."""
+    key = lambda h: F.shiftleft(F.get(classes, _bucket(h)).cast("bigint"), 58).bitwiseOR(h.bitwiseAND(_LOW))
+    words = F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), key)
 
     def runs(w):
         size = F.size(w)
-        run = lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(n)])
-        return F.when(size < n, F.array(F.xxhash64(F.lit(0), w))).otherwise(
+        token = lambda head, h: head.bitwiseAND(~_LOW).bitwiseOR(h.bitwiseAND(_LOW))
+        run = lambda i: token(F.get(w, i), F.xxhash64(*[F.get(w, i + k) for k in range(n)]))
+        return F.when(size < n, F.array(token(F.get(w, F.lit(0)), F.xxhash64(F.lit(0), w)))).otherwise(
             F.transform(F.sequence(F.lit(0), F.greatest(size - n, F.lit(0))), run))
 
-    return F.array_distinct(F.element_at(F.transform(F.array(words), runs), 1))
-
-
-def _bucket(token: Column) -> Column:
-    return token.bitwiseAND(BUCKETS - 1).cast("int")
+    return F.sort_array(F.array_distinct(F.element_at(F.transform(F.array(words), runs), 1)))
 
 
-def frequency_classes(lines: DataFrame, n: int) -> list[int]:
-    """A class for each bucket, 0 the rarest: the halved binary logarithm steps of its count over the mean."""
-    counts = (lines.select(F.explode(_tokens(F.col("line"), n)).alias("t")).groupBy(_bucket(F.col("t")).alias("b"))
+def frequency_classes(lines: DataFrame) -> list[int]:
+    """A class for each bucket of words, 0 the rarest: half steps of the binary logarithm of its count over the mean."""
+    counts = (lines.select(F.explode(_words(F.col("line"))).alias("w")).groupBy(_bucket(F.xxhash64("w")).alias("b"))
               .agg(F.count(F.lit(1)).alias("n")))
     got = {r["b"]: r["n"] for r in counts.collect()}  # BUCKETS rows at most
     mean = max(1.0, sum(got.values()) / BUCKETS)
-    return [min(31, max(0, round(2 * math.log2(got.get(b, 0) / mean)))) if got.get(b) else 0 for b in range(BUCKETS)]
-
-
-def _ordered(tokens: Column, classes: Column) -> Column:
-    """Tokens as sort keys in ascending order: 5 bits of frequency class, 58 bits of hash."""
-    low = (1 << 58) - 1
-    return F.sort_array(F.transform(tokens, lambda t: F.shiftleft(F.get(classes, _bucket(t)).cast("bigint"), 58).bitwiseOR(t.bitwiseAND(low))))
+    return [min(31, max(0, 12 + round(2 * math.log2(got[b] / mean)))) if b in got else 0 for b in range(BUCKETS)]
 
 
 def _part(size: Column, num: int, den: int) -> Column:
@@ -83,29 +85,36 @@ def _part(size: Column, num: int, den: int) -> Column:
 def linked_lines(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Classes (h1, h2, size, first) of equal lines, and (a, a2, b, b2): pairs of class hashes that are linked."""
     lines = _lines(docs, id_col, text_col)
-    classes_of = F.from_json(F.lit(json.dumps(frequency_classes(lines, n))), "array<tinyint>")
+    classes_of = F.from_json(F.lit(json.dumps(frequency_classes(lines))), "array<tinyint>")
     h1, h2 = _line_hash(F.col("line"))
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "pos")
     size = F.size("keys")
-    whole = lines.select(h1.alias("h1"), h2.alias("h2"), place.alias("place"), _ordered(_tokens(F.col("line"), n), classes_of).alias("keys"))
+    whole = lines.select(h1.alias("h1"), h2.alias("h2"), place.alias("place"), _tokens(F.col("line"), n, classes_of).alias("keys"))
     prefix = F.slice("keys", 1, F.greatest(F.lit(1), size - _part(size, num, den) + 1))
     classes = stage(
         whole.select("h1", "h2", "place", size.alias("size"), prefix.alias("prefix"))
         .groupBy("h1", "h2").agg(F.min("place").alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix")), "line_classes")
 
-    entries = classes.select(F.col("h1").alias("line"), "size", F.posexplode("prefix").alias("at", "key"))
-    left = entries.select("key", F.col("line").alias("a"), F.col("size").alias("na"), F.col("at").alias("pa"))
-    right = entries.select("key", F.col("line").alias("b"), F.col("size").alias("nb"), F.col("at").alias("pb"))
+    # (key, line, size and place in one number), dealt by key once for both sides of the join
+    entry = F.posexplode("prefix").alias("at", "key")
+    entries = classes.select(F.col("h1").alias("line"), "size", entry).select(
+        "key", "line", (F.col("size").cast("bigint") * (1 << 32) + F.col("at")).alias("packed")).repartition("key")
+    side = lambda x: entries.select(
+        "key", F.col("line").alias(x), F.floor(F.col("packed") / (1 << 32)).alias(f"n{x}"), (F.col("packed") % (1 << 32)).alias(f"p{x}"))
+    left, right = side("a"), side("b")
     fits = (den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
-    # J >= t needs this overlap; behind the shared key at most the shorter rest can be shared, before it min(pa, pb)
+    # J >= t needs this overlap; behind a shared key at most the shorter rest can be shared
     need = F.ceil((F.col("na") + F.col("nb")) * num / (num + den) - 1e-9)
-    room = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    pairs = stage(left.join(right, "key").filter((F.col("a") < F.col("b")) & fits & (room >= need)).select("a", "b").distinct(), "line_pairs")
+    rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    met = left.join(right, "key").filter((F.col("a") < F.col("b")) & fits & (F.least("pa", "pb") + rest >= need))
+    # all shared keys of a pair's prefixes: as many as there are, and the rest behind the last one
+    pairs = stage(met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min(rest).alias("rest"), F.max(need).alias("need"))
+                  .filter(F.col("shared") + F.col("rest") - 1 >= F.col("need")).select("a", "b"), "line_pairs")
 
     wanted = stage(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct(), "line_wanted")
     marked = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
     some = lines.select("line", h1.alias("h1"), h2.alias("h2")).join(marked, "h1", "left_semi")
-    sets = stage(some.select("h1", "h2", F.sort_array(_tokens(F.col("line"), n)).alias("tokens")).dropDuplicates(["h1", "h2"]), "line_sets")
+    sets = stage(some.select("h1", "h2", _tokens(F.col("line"), n, classes_of).alias("tokens")).dropDuplicates(["h1", "h2"]), "line_sets")
     left = sets.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))

@@ -1,4 +1,4 @@
-"""Shared helpers of the operator tests: small tables with the awkward cases."""
+"""Small tables with the awkward cases, as fixtures for the operator tests (imported, so that no second conftest exists)."""
 
 import os
 import sys

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import SMALL
+from llm_tables import SMALL, awkward, empty  # noqa: F401
 from corpusprep.llm import embeddings, jaccard, linededup, queries, tokens
 from corpusprep.llm.components import components
 from pyspark.sql import functions as F

@@ -4,7 +4,7 @@ from collections import Counter
 
 import corpus_pipeline as C
 import pytest
-from conftest import SMALL
+from llm_tables import SMALL, awkward, empty  # noqa: F401
 from corpusprep.llm import quality
 from corpusprep.llm.common import read_table, stage
 from pyspark.sql import functions as F

@@ -11,7 +11,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import SMALL
+from llm_tables import SMALL, awkward, empty  # noqa: F401
 from corpusprep.llm import language, mixing, packing, quality, queries, secrets, sharding, tokens, toxicity
 from pyspark.sql import functions as F
 

@@ -241,7 +241,7 @@ def base_counts(text):
 
 
 def test_quality_base_counts(spark, awkward, empty):
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").unionByName(awkward.select("doc_id", "text"))
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").unionByName(awkward.select((F.col("doc_id") + 10**6).alias("doc_id"), "text"))
     texts = {r["doc_id"]: r["text"] for r in docs.collect() if r["doc_id"]}
     for r in quality.assess(docs, None).collect():
         if r["id"]:

@@ -250,15 +250,19 @@ def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     closest = found.filter(~F.col("linked")).groupBy("region").agg(F.min("d").alias("closest"))
     # windows are 2 eps wide: distances that differ by less can't tell cells apart
     spread = found.groupBy("region").agg((F.percentile_approx("d", 0.9) - F.percentile_approx("d", 0.1) > 2 * eps).alias("splits"))
-    members = stage(found.join(closest, "region").filter(~F.col("linked") | (F.col("d") >= F.col("closest") - eps - 1e-9)).join(spread, "region").select(
-        "region", F.col("a").alias("cid"), "size", (~F.col("linked")).alias("far"), "splits"), "jaccard_open")
+    # what the pivots connect needs no further comparison: components are the result
+    roots = stage(components(out[0], "jaccard_star").select(F.col("node").alias("a"), "root"), "jaccard_star_roots")
+    members = stage(found.join(closest, "region").filter(~F.col("linked") | (F.col("d") >= F.col("closest") - eps - 1e-9)).join(spread, "region")
+                    .join(roots, "a", "left").select("region", F.col("a").alias("cid"), "size", (~F.col("linked")).alias("far"), "splits",
+                                                     F.coalesce("root", "a").alias("root")), "jaccard_open")
 
     for level in range(SPLITS + 1):
         counts = members.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
         small = members.join(counts.filter(F.col("n") <= LEAF), "region")
         # every pair of a small region, one of whose members is far from its pivot
-        other = small.select("region", F.col("cid").alias("b"), F.col("size").alias("size_b"), F.col("far").alias("far_b"))
-        pairs = small.withColumnRenamed("cid", "a").join(other, "region").filter("a < b and (far or far_b)").select("a", "size", "b", "size_b").distinct()
+        other = small.select("region", F.col("cid").alias("b"), F.col("size").alias("size_b"), F.col("far").alias("far_b"), F.col("root").alias("root_b"))
+        pairs = (small.withColumnRenamed("cid", "a").join(other, "region").filter("a < b and root <> root_b and (far or far_b)")
+                 .select("a", "size", "b", "size_b").distinct())
         out.append(compared(pairs).filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v")))
         large = stage(members.join(counts.filter(F.col("n") > LEAF), "region"), "jaccard_large")
         whole = large if level == SPLITS else large.filter(~F.col("splits"))
@@ -300,8 +304,8 @@ def _voronoi(large: DataFrame, compared, linked, both, union, eps: float):
         large.groupBy("region").agg(F.count(F.lit(1)).alias("before")), "region")
     stuck = stage(sizes.filter(F.col("after") > 2 * F.col("before")).select("region"), "jaccard_stuck")
     goes_on = cells.join(stuck, "region", "left_anti").select(
-        F.col("cell").alias("region"), F.col("a").alias("cid"), "size", (~F.col("linked")).alias("far"), F.lit(True).alias("splits"))
-    rest = large.join(stuck, "region", "left_semi").select("region", "cid", "size", "far", F.lit(False).alias("splits"))
+        F.col("cell").alias("region"), F.col("a").alias("cid"), "size", (~F.col("linked")).alias("far"), F.lit(True).alias("splits"), "root")
+    rest = large.join(stuck, "region", "left_semi").select("region", "cid", "size", "far", F.lit(False).alias("splits"), "root")
     return links, stage(goes_on.unionByName(rest), "jaccard_open")
 
 
@@ -316,40 +320,40 @@ def signature(shingles: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _near_in_blocks(large: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, size, b, size_b): pairs of a region, one of them far, whose signatures differ in D parts at most."""
+    """(a, size, b, size_b): pairs of a region that are not connected yet, one of them far, whose signatures differ in D parts at most."""
     differ = lambda size: size * (den - num) // num
     # the same parts for all members of a region
     shape = large.groupBy("region").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), (8 * F.floor(F.max("size") * (den - num) / num) + 8).cast("int").alias("parts"))
-    dealt = large.select("region", "cid", "size", "far").join(shape, "region").withColumn("block", F.pmod(F.xxhash64("cid", F.lit(3)), F.col("blocks")))
+    dealt = large.select("region", "cid", "size", "far", "root").join(shape, "region").withColumn("block", F.pmod(F.xxhash64("cid", F.lit(3)), F.col("blocks")))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = [signature(np.frombuffer(s.as_buffer(), np.uint64), p.as_py()).tobytes()
                      for s, p in zip(batch.column("shingles"), batch.column("parts"), strict=True)]
-            out = {c: batch.column(c) for c in ("region", "block", "cid", "size", "far")}
+            out = {c: batch.column(c) for c in ("region", "block", "cid", "size", "far", "root")}
             yield pa.RecordBatch.from_pydict(out | {"mark": pa.array(marks, pa.binary())})
 
-    signed = dealt.join(sets, "cid").select("region", "block", "cid", "size", "far", "parts", "shingles").mapInArrow(
-        sign, "region long, block long, cid long, size long, far boolean, mark binary")
-    blocks = stage(signed.groupBy("region", "block").agg(F.collect_list(F.struct("cid", "size", "far", "mark")).alias("items")), "jaccard_blocks")
+    signed = dealt.join(sets, "cid").select("region", "block", "cid", "size", "far", "root", "parts", "shingles").mapInArrow(
+        sign, "region long, block long, cid long, size long, far boolean, root long, mark binary")
+    blocks = stage(signed.groupBy("region", "block").agg(F.collect_list(F.struct("cid", "size", "far", "root", "mark")).alias("items")), "jaccard_blocks")
     left, right = blocks.select("region", F.col("block").alias("i"), F.col("items").alias("x")), blocks.select("region", F.col("block").alias("j"), F.col("items").alias("y"))
     pairs = left.join(right, "region").filter("i <= j").select("x", "y")
 
     def load(column: pa.Array, k: int):
         items = column[k].values
         marks = np.frombuffer(b"".join(items.field("mark").to_pylist()), np.uint16).reshape(len(items), -1)
-        return np.asarray(items.field("cid")), np.asarray(items.field("size")), np.asarray(items.field("far")), marks
+        return np.asarray(items.field("cid")), np.asarray(items.field("size")), np.asarray(items.field("far")), np.asarray(items.field("root")), marks
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                (a, na, fa, ma), (b, nb, fb, mb) = load(batch.column("x"), k), load(batch.column("y"), k)
+                (a, na, fa, ra, ma), (b, nb, fb, rb, mb) = load(batch.column("x"), k), load(batch.column("y"), k)
                 off = np.zeros((len(a), len(b)), np.int32)
                 for p in range(ma.shape[1]):
                     off += ma[:, p, None] != mb[None, :, p]
                 low, high = np.minimum(na[:, None], nb[None]), np.maximum(na[:, None], nb[None])
-                near = (off <= differ(low)) & (den * low >= num * high) & (fa[:, None] | fb[None]) & (a[:, None] != b[None])
+                near = (off <= differ(low)) & (den * low >= num * high) & (fa[:, None] | fb[None]) & (ra[:, None] != rb[None])
                 i, j = np.nonzero(near)
                 swap = a[i] > b[j]
                 yield pa.RecordBatch.from_pydict({

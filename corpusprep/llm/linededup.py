@@ -2,8 +2,8 @@
 
 A line's tokens are the hashes of its runs of ``n`` words (its whole word sequence if it has fewer).  Tokens are
 ordered by rarity: ``BUCKETS`` counters over all words of the corpus give each word a frequency class, and a
-token's sort key is the class of its first word followed by its hash.  A run is at most as frequent as its first
-word, so tokens that start with rare words come first and those of common passages last.  Lines with Jaccard >= t share a token among their first n - ceil(t n) + 1 (prefix filter), their
+token's sort key is the class of its rarest word followed by its hash.  A run is at most as frequent as its rarest
+word, so tokens with a rare word come first and those of common passages last.  Lines with Jaccard >= t share a token among their first n - ceil(t n) + 1 (prefix filter), their
 sizes differ by t at most (length filter), and the place of the shared token limits what they can still share
 (positional filter).  Surviving pairs are verified on their whole token sets.
 
@@ -54,15 +54,15 @@ _LOW = (1 << 58) - 1
 
 
 def _tokens(line: Column, n: int, classes: Column) -> Column:
-    """Different tokens of a line, rarest first: 5 bits of the first word's frequency class, 58 bits of hash."""
+    """Different tokens of a line, rarest first: 5 bits of the rarest word's frequency class, 58 bits of hash."""
     key = lambda h: F.shiftleft(F.get(classes, _bucket(h)).cast("bigint"), 58).bitwiseOR(h.bitwiseAND(_LOW))
     words = F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), key)
 
     def runs(w):
         size = F.size(w)
         token = lambda head, h: head.bitwiseAND(~_LOW).bitwiseOR(h.bitwiseAND(_LOW))
-        run = lambda i: token(F.get(w, i), F.xxhash64(*[F.get(w, i + k) for k in range(n)]))
-        return F.when(size < n, F.array(token(F.get(w, F.lit(0)), F.xxhash64(F.lit(0), w)))).otherwise(
+        run = lambda i: token(F.array_min(F.slice(w, i + 1, F.lit(n))), F.xxhash64(F.slice(w, i + 1, F.lit(n))))
+        return F.when(size < n, F.array(token(F.array_min(w), F.xxhash64(F.lit(0), w)))).otherwise(
             F.transform(F.sequence(F.lit(0), F.greatest(size - n, F.lit(0))), run))
 
     return F.sort_array(F.array_distinct(F.element_at(F.transform(F.array(words), runs), 1)))

@@ -122,7 +122,7 @@ def test_jaccard_block_path(spark, monkeypatch):
 
     code = lambda s: np.sort(np.array([int.from_bytes(blake2b(repr(g).encode(), digest_size=8).digest(), "little") for g in s], np.uint64))
     spark_sets = spark.createDataFrame([(i, bytearray(code(s).tobytes())) for i, s in sets.items()], "cid long, shingles binary")
-    large = spark.createDataFrame([(1, i, len(s), True) for i, s in sets.items()], "region long, cid long, size long, far boolean")
+    large = spark.createDataFrame([(1, i, len(s), True, i) for i, s in sets.items()], "region long, cid long, size long, far boolean, root long")
     got = {(r["a"], r["b"]) for r in jaccard._near_in_blocks(large, spark_sets, 80, 100).collect()}
     ids = sorted(sets)
     linked = {(ids[a], ids[b]) for a, b in linked_pairs([sets[i] for i in ids], 80, 100)}

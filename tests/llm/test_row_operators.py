@@ -291,6 +291,39 @@ def test_language_models_are_distributions(spark):
         assert known + rest * ((1 << 17) - len(letters)) == pytest.approx(1.0)
 
 
+def kneser_ney(counts):
+    """log P of every n-gram of the highest order, from all counts."""
+    n = {language.ORDER: Counter(counts)}
+    for order in range(language.ORDER - 1, 0, -1):
+        n[order] = Counter(g[1:] for g in n[order + 1])
+    p = {}
+    for order in range(1, language.ORDER + 1):
+        once, twice = (sum(c == k for c in n[order].values()) for k in (1, 2))
+        d = min(0.95, max(0.1, once / (once + 2 * twice))) if once + twice else 0.5
+        total, kinds = Counter(), Counter()
+        for g, c in n[order].items():
+            total[g[:-1]] += c
+            kinds[g[:-1]] += 1
+        p |= {g: max(c - d, 0) / total[g[:-1]] + d * kinds[g[:-1]] / total[g[:-1]] * (p[g[1:]] if order > 1 else 1 / (1 << 17))
+              for g, c in n[order].items()}
+    return {g: math.log(p[g]) for g in n[language.ORDER]}
+
+
+def test_language_keeps_rare_grams_of_large_languages(spark):
+    # 400,000 n-grams of four kinds, and rare ones: counts of 1 and 2 are kept and set the discounts
+    texts = ["abc " * 100_000, "abxq zzyb ", "qab aqq ", "zzyb "]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    models = language.learn(docs)
+    counts = Counter()
+    for text in texts:
+        line = [0] * (language.ORDER - 1) + [ord(c) if c != " " else 0 for c in text.strip()] + [0]
+        counts.update(tuple(line[k:k + language.ORDER]) for k in range(len(line) - language.ORDER + 1))
+    expected = kneser_ney(counts)
+    assert len(models.tables[0][-1][0]) == len(expected)
+    for g, logp in expected.items():
+        assert models.log_prob(0, [np.array([c]) for c in g])[0] == pytest.approx(logp), g
+
+
 def test_language_awkward(awkward, empty):
     models = language.learn(awkward)
     rows = {r["id"]: r for r in language.identify(awkward, models, {}).collect()}

@@ -7,29 +7,36 @@ uniform, documents are ranked by (u / (1 - u)) / (p / (1 - p)) and taken in that
 order until the source's remaining words are used up (the sample size is fixed in
 words, so each source comes out at its target).
 
-Ranking a source never sorts it as a whole.  The ranking variable is cut into
-buckets of about ``BUCKET_ROWS`` documents; bucket sums tell which buckets are
-taken whole and in which one the target is crossed; only that one is ordered.
-In it, a document that would pass the target is skipped and the next ones tried.
+A document that would pass the target is skipped and the next ones are tried, through
+the whole source, until less than one word is left.
+
+Ranking a source never sorts it as a whole.  A round cuts what is left of a source, without
+the documents that no longer fit, into buckets of the rank; bucket sums tell which buckets are
+taken whole and in which one the target is crossed; only that one is ordered.  The next
+round goes on behind it.
 
 Defined cases: a null text has no words; a null source is a source of its own,
 last in order; null ids are kept as they are; rows with equal id and text are
-separate documents with the same rank; an empty table gives no rows; a source
+separate documents with the same rank, in an order by row; an empty table gives no rows; a source
 without words has target 0.  Columns other than the named ones are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage, unit, word_count
 
-#: Documents in a rank bucket, on average: what one task orders per source.
+#: Twice the documents in a rank bucket, on average: what one task orders per source.
 BUCKET_ROWS = 4096
 
+#: Keys are (rank, tie): ranks lie in (0, 1), ties are any long.
+_KEY = "struct<rank:double,tie:bigint>"
+_SPANS = f"array<struct<lo:{_KEY},hi:{_KEY},room:double,listed:boolean>>"
+
 
 def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, max_copies: int) -> DataFrame:
     """One row per source: source, source_size, n_docs, target.
@@ -90,51 +97,103 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         source_targets(rows, weights, share, max_copies)
         .withColumn("whole", F.coalesce(F.floor(copies), F.lit(0)).cast("long"))
         .withColumn("p", F.coalesce(copies, F.lit(0.0)) - F.col("whole"))
-        .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
-        .withColumn("n_buckets", F.ceil(F.col("n_docs") / BUCKET_ROWS)),
+        .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size")),
         "mix_targets")
 
     def ranked(frame: DataFrame) -> DataFrame:
-        """Adds rank (in (0, 1), increasing in the Pareto ranking variable) and bucket."""
+        """Adds key: rank (in (0, 1), increasing in the Pareto ranking variable) and tie (different for each row)."""
         odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / F.when(F.col("p") < 1, 1 - F.col("p")))
-        out = frame.withColumn("rank", F.when(F.col("p") > 0, odds / (1 + odds)))
-        return out.withColumn("bucket", F.floor(F.col("rank") * F.col("n_buckets")))
+        key = F.struct((odds / (1 + odds)).alias("rank"), F.xxhash64("row_id").alias("tie"))
+        return frame.withColumn("key", F.when(F.col("p") > 0, key))
 
     def with_source(frame: DataFrame, table: DataFrame) -> DataFrame:
         renamed = table.withColumnRenamed("source", "source_key")
         return frame.join(renamed, frame["source"].eqNullSafe(renamed["source_key"]), "left").drop("source_key")
 
-    sums = ranked(with_source(rows, targets)).filter(F.col("bucket").isNotNull()).groupBy("source", "bucket", "left").agg(
-        F.sum("size").alias("words"))
-    upto = Window.partitionBy("source").orderBy("bucket")
-    crossing = (
-        sums.withColumn("upto", F.sum("words").over(upto))
-        .filter(F.col("upto") > F.col("left"))
-        .groupBy("source").agg(F.min_by(F.struct("bucket", (F.col("left") - F.col("upto") + F.col("words")).alias("room")), "bucket").alias("at"))
-        .select("source", F.col("at.bucket").alias("cross"), F.col("at.room").alias("room"))
-    )
-    targets = stage(targets.join(crossing.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s"),
-                    "mix_crossing")
-
-    # the crossing bucket of each source, in rank order: take what still fits
-    item = F.struct("rank", "row_id", "size")
-    empty = F.array().cast("array<bigint>")
-    tail = (
-        ranked(with_source(rows, targets)).filter(F.col("bucket") == F.col("cross"))
-        .groupBy("source", "room").agg(F.sort_array(F.collect_list(item)).alias("items"))
-        .select("source", F.aggregate(
-            "items", F.struct(F.col("room").alias("room"), empty.alias("ids")),
-            lambda a, x: F.when(x["size"] <= a["room"], F.struct(
-                (a["room"] - x["size"]).alias("room"), F.concat(a["ids"], F.array(x["row_id"])).alias("ids"))).otherwise(a),
-            lambda a: a["ids"]).alias("picked"))
-    )
-    plan = stage(targets.join(tail.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s"),
+    picks = _fill(targets, lambda state: ranked(with_source(rows, state)))
+    plan = stage(targets.join(picks.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s"),
                  "mix_plan")
 
     out = ranked(with_source(staged, plan))
-    drawn = F.when(F.col("bucket").isNull(), F.lit(0)).when(
-        F.col("cross").isNull() | (F.col("bucket") < F.col("cross")), F.lit(1)).when(
-        F.col("bucket") == F.col("cross"), F.coalesce(F.array_contains("picked", F.col("row_id")), F.lit(False)).cast("int")).otherwise(F.lit(0))
-    out = out.withColumn("copies", F.col("whole") + drawn)
+    drawn = F.exists("spans", lambda s: (F.col("key") > s["lo"]) & (F.col("key") <= s["hi"]) & (F.col("size") <= s["room"])
+                     & (~s["listed"] | F.array_contains("picked", F.col("row_id"))))
+    out = out.withColumn("copies", F.col("whole") + F.coalesce(drawn, F.lit(False)).cast("int"))
     return out.select("id", "source", "size", "source_size", "target", "copies",
                       (F.col("size") * F.col("copies")).alias("taken"), *(["row"] if carry else []))
+
+
+def _key(rank: float, tie: int) -> Column:
+    return F.struct(F.lit(rank).alias("rank"), F.lit(tie).cast("bigint").alias("tie"))
+
+
+def _fill(targets: DataFrame, candidates: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(source, spans, picked): a document is drawn if it lies in one of the spans (lo < key <= hi, size <= room) and,
+    where the span is listed, its row_id is picked.
+
+    ``candidates`` gives each row (source, size, row_id, key) the columns of a table of sources.  The state of a source is
+    its room, the window (lo, hi] of keys that is looked at and how that is cut: ``n_cut`` equal parts of
+    cut_lo .. cut_hi, by rank or by tie.  Behind hi everything is still undecided, before lo all is decided.
+    """
+    start, end = _key(-1.0, 0), _key(2.0, 0)
+    whole = {"cut_lo": F.lit(0.0), "cut_hi": F.lit(1.0), "by_tie": F.lit(False),
+             "n_cut": F.ceil(F.col("n_docs") * 2 / BUCKET_ROWS).cast("double")}
+    state = stage(targets.filter("p > 0").select(
+        "source", "p", "n_docs", F.col("left").alias("room"), start.alias("lo"), end.alias("hi"), *[c.alias(n) for n, c in whole.items()],
+        F.array().cast(_SPANS).alias("spans"), F.array().cast("array<bigint>").alias("picked")), "mix_state")
+    inside = (F.col("key") > F.col("lo")) & (F.col("key") <= F.col("hi")) & (F.col("size") <= F.col("room")) & (F.col("room") >= 1)
+
+    def joined(one: DataFrame, other: DataFrame) -> DataFrame:
+        renamed = other.withColumnRenamed("source", "s")
+        return one.join(renamed, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+
+    while state.filter((F.col("room") >= 1) & (F.col("lo") < end)).limit(1).count():
+        place = F.when(F.col("by_tie"), F.col("key.tie").cast("double")).otherwise(F.col("key.rank"))
+        width = F.col("cut_hi") - F.col("cut_lo")
+        part = F.when(width > 0, F.floor((place - F.col("cut_lo")) / F.when(width > 0, width) * F.col("n_cut"))).otherwise(0)
+        sums = candidates(state.drop("spans", "picked", "n_docs")).filter(inside).withColumn(
+            "bucket", F.greatest(F.lit(0), F.least(part, F.col("n_cut") - 1)).cast("long")).groupBy("source", "bucket", "room").agg(
+            F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"), F.min("key").alias("first"), F.max("key").alias("last"))
+        order = Window.partitionBy("source").orderBy("bucket")
+        running = sums.select("*", F.sum("words").over(order).alias("upto"),
+                              F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("prev"))
+        # the first bucket that leaves less than a word, if there is one
+        cross = F.min(F.when(F.col("room") - F.col("upto") < 1, F.struct(
+            "bucket", "n", "first", "last", "prev", (F.col("upto") - F.col("words")).alias("before"))))
+        found = running.groupBy("source").agg(cross.alias("at"), F.sum("words").alias("total"))
+        seen = stage(joined(state, found), "mix_round")
+
+        # it is ordered: take what still fits
+        leaf = F.col("at").isNotNull()
+        behind = F.coalesce(F.col("at.prev"), F.col("lo"))
+        left = F.col("room") - F.col("at.before")
+        leaves = seen.filter(leaf).select("source", "p", behind.alias("lo"), F.col("at.last").alias("hi"), left.alias("room"))
+        empty = F.array().cast("array<bigint>")
+        picks = (
+            candidates(leaves).filter(inside).groupBy("source", "room")
+            .agg(F.sort_array(F.collect_list(F.struct("key", "row_id", "size"))).alias("items"))
+            .select("source", F.size("items").alias("tried"), F.aggregate(
+                "items", F.struct(F.col("room").alias("room"), empty.alias("ids")),
+                lambda a, x: F.when((x["size"] <= a["room"]) & (a["room"] >= 1), F.struct(
+                    (a["room"] - x["size"]).alias("room"), F.concat(a["ids"], F.array(x["row_id"])).alias("ids"))).otherwise(a)).alias("took")))
+        picks = stage(picks, "mix_picks")
+
+        crossed, none = F.col("at").isNotNull(), F.col("total").isNull()
+        span = lambda hi, room, listed: F.array(F.struct(
+            behind.alias("lo") if listed else F.col("lo"), hi.alias("hi"), room.alias("room"), F.lit(listed).alias("listed")))
+        no_span = F.array().cast(_SPANS)
+        taken_whole = F.when(none | (crossed & F.col("at.prev").isNull()), no_span).otherwise(
+            span(F.coalesce(F.col("at.prev"), F.col("hi")), F.col("room"), False))
+        deeper = crossed & ~leaf
+        by_tie = F.col("at.first.rank") == F.col("at.last.rank")
+        cut = {"cut_lo": F.when(by_tie, F.col("at.first.tie").cast("double")).otherwise(F.col("at.first.rank")),
+               "cut_hi": F.when(by_tie, F.col("at.last.tie").cast("double")).otherwise(F.col("at.last.rank")),
+               "by_tie": by_tie, "n_cut": F.ceil(F.col("at.n") * 2 / BUCKET_ROWS).cast("double")}
+        state = stage(joined(seen, picks.drop("tried")).select(
+            "source", "p", "n_docs",
+            F.when(none, F.col("room")).when(~crossed, F.col("room") - F.col("total")).otherwise(F.coalesce(F.col("took.room"), left)).alias("room"),
+            F.when(deeper, behind).when(crossed, F.col("at.last")).otherwise(F.col("hi")).alias("lo"),
+            F.when(deeper, F.col("at.last")).otherwise(end).alias("hi"),
+            *[F.when(deeper, cut[n]).otherwise(whole[n]).alias(n) for n in whole],
+            F.concat("spans", taken_whole, F.when(leaf, span(F.col("at.last"), left, True)).otherwise(no_span)).alias("spans"),
+            F.concat("picked", F.coalesce(F.col("took.ids"), empty)).alias("picked")), "mix_state")
+    return state.select("source", "spans", "picked")

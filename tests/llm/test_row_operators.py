@@ -114,6 +114,28 @@ def test_mix_whole_copies_and_buckets(spark, monkeypatch):
     assert {r["copies"] for r in big} == {0, 1} and abs(sum(r["taken"] for r in big) - big[0]["target"]) <= 7
 
 
+def greedy(rows, room):
+    """Copies by id: documents in the order of u, each taken if it fits, until less than a word is left."""
+    copies = {}
+    for r in sorted(rows, key=lambda r: r["u"]):
+        copies[r["id"]] = int(r["size"] <= room and room >= 1)
+        room -= r["size"] * copies[r["id"]]
+    return copies
+
+
+def test_mix_goes_on_after_a_document_that_does_not_fit(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 100)
+    rows = [(i, "w " * (1 + i % 9 if i else 1500), "big") for i in range(600)]  # one document holds a third of the words
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    for seed in (0, 1, 2, 3):
+        out = mixing.mix(docs, weights=(1,), share=0.5, seed=seed).collect()
+        us = docs.select("doc_id", mixing.unit(F.lit(seed), F.col("doc_id"), F.xxhash64("text")).alias("u")).collect()
+        u = {r["doc_id"]: r["u"] for r in us}
+        target = out[0]["target"]
+        assert 0 <= target - sum(r["taken"] for r in out) < 1, seed
+        assert {r["id"]: r["copies"] for r in out} == greedy([r.asDict() | {"u": u[r["id"]]} for r in out], target), seed
+
+
 def test_mix_awkward(awkward, empty):
     out = mixing.mix(awkward, carry=awkward.columns)
     rows = out.collect()

@@ -13,7 +13,8 @@ the whole source, until less than one word is left.
 Ranking a source never sorts it as a whole.  A round cuts what is left of a source, without
 the documents that no longer fit, into buckets of the rank; bucket sums tell which buckets are
 taken whole and in which one the target is crossed; only that one is ordered.  The next
-round goes on behind it.
+round goes on behind it.  A crossing bucket of more than ``BUCKET_ROWS`` documents is cut
+again, documents of equal rank by a hash of their row, so none is ordered beyond that size.
 
 Defined cases: a null text has no words; a null source is a source of its own,
 last in order; null ids are kept as they are; rows with equal id and text are
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import stage, unit, word_count
 
-#: Twice the documents in a rank bucket, on average: what one task orders per source.
+#: Documents that one task orders at most; buckets have half as many on average.
 BUCKET_ROWS = 4096
 
 #: Keys are (rank, tie): ranks lie in (0, 1), ties are any long.
@@ -162,8 +163,8 @@ def _fill(targets: DataFrame, candidates: Callable[[DataFrame], DataFrame]) -> D
         found = running.groupBy("source").agg(cross.alias("at"), F.sum("words").alias("total"))
         seen = stage(joined(state, found), "mix_round")
 
-        # it is ordered: take what still fits
-        leaf = F.col("at").isNotNull()
+        # one that is small enough is ordered: take what still fits
+        leaf = F.col("at").isNotNull() & (F.col("at.n") <= BUCKET_ROWS)
         behind = F.coalesce(F.col("at.prev"), F.col("lo"))
         left = F.col("room") - F.col("at.before")
         leaves = seen.filter(leaf).select("source", "p", behind.alias("lo"), F.col("at.last").alias("hi"), left.alias("room"))

@@ -136,6 +136,24 @@ def test_mix_goes_on_after_a_document_that_does_not_fit(spark, monkeypatch):
         assert {r["id"]: r["copies"] for r in out} == greedy([r.asDict() | {"u": u[r["id"]]} for r in out], target), seed
 
 
+def test_mix_orders_no_more_than_a_bucket_of_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 64)
+    tried = []
+
+    def stage(df, name, keep=mixing.stage):
+        out = keep(df, name)
+        if name == "mix_picks":
+            tried.extend(r["tried"] for r in out.collect())
+        return out
+
+    monkeypatch.setattr(mixing, "stage", stage)
+    # equal rows hold almost all words, so the target is crossed among them
+    rows = [(None if i < 400 else 7, "w w w", "big") for i in range(800)] + [(100 + i, "w", "big") for i in range(40)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3), weights=(1,), share=0.7).collect()
+    assert 0 <= out[0]["target"] - sum(r["taken"] for r in out) < 3 and len(out) == len(rows)
+    assert tried and max(tried) <= 64
+
+
 def test_mix_awkward(awkward, empty):
     out = mixing.mix(awkward, carry=awkward.columns)
     rows = out.collect()

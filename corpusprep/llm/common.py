@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -39,3 +40,26 @@ def unit(*cols: Column) -> Column:
     """A uniform number in (0, 1) from a hash of ``cols``: 52 bits, never 0 or 1."""
     bits = F.shiftrightunsigned(F.xxhash64(*cols), 12)
     return (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
+
+
+def write_back(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as written to ``path`` and read again."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def places(rows: DataFrame, order: Sequence[str], path: str) -> DataFrame:
+    """``rows`` with ``place`` (from 0, by ``order`` in each group ``g``) and ``total`` (the group's rows).
+
+    Parts of a range partition are numbered on their own; what comes before a part in its group is a running sum over
+    one row for each part and group.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in ("g", *order)]
+    lined = write_back(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id()), path)
+    part = F.shiftright("at", 33)
+    parts = lined.groupBy(part.alias("part"), F.col("g").alias("part_g")).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("part_g")
+    before = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", "part_g", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"), F.sum("n").over(whole).alias("total"))
+    met = lined.join(parts, (part == F.col("part")) & F.col("g").eqNullSafe(F.col("part_g")))
+    return met.select(*rows.columns, (F.col("at") + F.col("shift")).alias("place"), "total")

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, jaccard, language, linededup, mixing, packing, quality, secrets, sharding, toxicity
-from .common import read_table
+from . import embeddings, jaccard, language, linededup, merkle, mixing, packing, quality, secrets, sharding, toxicity, trie, urls
+from .common import read_table, stage
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +99,46 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), (fold("id") == 0).alias("held_out"), "score", "predicted")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest, proofs and their check after tampering: where 5 divides crc32(doc_id), the leaf of the lower-cased text is folded."""
+    docs = read_table(spark, sf_dir, "documents")
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    lower = F.translate("text", merkle.UPPER, merkle.LOWER)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, merkle.leaf_hash(*[lower if c == "text" else F.col(c) for c in columns]))
+    proofs = merkle.build(docs, columns, "doc_id", "source", {"tampered": tampered}).proofs()
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return proofs.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("path"))).alias("proof_sha256"),
+                         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def rebuilt_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns and ids of the contract's conversations: c begins with the first h turns of c - c % 5, its own turns from the h-th on follow."""
+    turns = stage(trie.number_turns(trie.turn_keys(conversations)), "trie_given")
+    convs = turns.filter("place = 0").select("conv", "total")
+    h, base = F.crc32(F.col("conv").cast("string")) % 9, F.col("conv") - F.col("conv") % 5
+    plan = (convs.select("conv", h.alias("h"), base.alias("base")).join(convs.select(F.col("conv").alias("base"), F.col("total").alias("has")), "base", "left")
+            .select("conv", "base", "h", F.least("h", F.coalesce("has", F.lit(0))).alias("taken")))
+    heads = turns.filter("place < 8").drop("total").withColumnRenamed("conv", "base").join(plan, "base").filter("place < h")
+    own = turns.join(plan, "conv").filter("place >= h").withColumn("place", F.col("place") - F.col("h") + F.col("taken"))
+    columns = ["conv", "place", "key", "bytes"]
+    return heads.select(columns).unionByName(own.select(columns)), convs.select("conv")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of all rebuilt conversations."""
+    return trie.prefix_trie(*rebuilt_turns(read_table(spark, sf_dir, "conversations")))
+
+
+#: The query's rules, as fixed by the contract: host, path, verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict for the URL of every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(read_table(spark, sf_dir, "pages"), rules).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mix_sources": op2_mix_sources,
@@ -110,6 +150,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
+    "op11_merkle": op11_merkle,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_url_filter": op13_url_filter,
 }
 
 ORACLE: dict[str, str] = {
@@ -162,3 +205,80 @@ r AS (SELECT doc_id, pos FROM o JOIN c USING (line) LEFT JOIN near USING (line)
 q AS (SELECT doc_id, count(*) AS n, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS removed FROM r GROUP BY doc_id)
 SELECT doc_id, CAST(coalesce(len(s), 0) AS BIGINT) AS n_lines, coalesce(n, 0) AS n_removed, coalesce(removed, '') AS removed
 FROM d LEFT JOIN q USING (doc_id)"""
+
+# crc32 bit by bit: DuckDB has none
+_CRC = ("xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(8 * strlen({0})), "
+        "lambda i: CAST((ascii({0}[CAST(i // 8 + 1 AS INTEGER)]) >> CAST(i % 8 AS INTEGER)) & 1 AS BIGINT))), "
+        "lambda c, b: xor(c >> 1, xor(c & 1, b) * 3988292384)), CAST(4294967295 AS BIGINT))")
+
+
+def _crc32(number: str) -> str:
+    """SQL for the unsigned crc32 of a number's decimal digits."""
+    return _CRC.format(f"CAST({number} AS VARCHAR)")
+
+
+def _leaf(text: str) -> str:
+    field = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+    return "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_LOWER_TEXT = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _tree(name: str, leaves: str, group: str) -> str:
+    return f"""{name} AS (SELECT * FROM {leaves} UNION ALL SELECT {group}, lvl + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)) FROM
+  (SELECT *, count(*) OVER (PARTITION BY {group}) AS n FROM {name}) WHERE n > 1 GROUP BY {group}, lvl, i // 16)"""
+
+
+_STEP = """string_agg(CASE WHEN s.i < {at} THEN s.h ELSE '' END, '' ORDER BY s.i) || '|' || string_agg(CASE WHEN s.i > {at} THEN s.h ELSE '' END, '' ORDER BY s.i)"""
+
+ORACLE["op11_merkle"] = f"""WITH RECURSIVE d AS (SELECT doc_id, source, {_leaf('text')} AS h, {_leaf(_LOWER_TEXT)} AS t FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM d),
+n AS (SELECT source, 0 AS lvl, i, h FROM o),
+{_tree('tree', 'n', 'source')},
+sub AS (SELECT source, arg_max(h, lvl) AS h, max(lvl) AS height FROM tree GROUP BY source),
+p AS (SELECT 0 AS g, 0 AS lvl, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, h FROM sub),
+{_tree('top', 'p', 'g')},
+r AS (SELECT arg_max(h, lvl) AS root, max(lvl) AS height FROM top),
+low AS (SELECT o.source, o.i, s.lvl, {_STEP.format(at='(o.i // CAST(pow(16, s.lvl) AS BIGINT))')} AS step
+  FROM o JOIN sub ON sub.source IS NOT DISTINCT FROM o.source
+  JOIN tree s ON s.source IS NOT DISTINCT FROM o.source AND s.lvl < sub.height AND s.i // 16 = o.i // CAST(pow(16, s.lvl + 1) AS BIGINT) GROUP BY ALL),
+q AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i FROM sub),
+high AS (SELECT q.source, s.lvl, {_STEP.format(at='(q.i // CAST(pow(16, s.lvl) AS BIGINT))')} AS step
+  FROM q JOIN r ON true JOIN top s ON s.lvl < r.height AND s.i // 16 = q.i // CAST(pow(16, s.lvl + 1) AS BIGINT) GROUP BY ALL),
+lows AS (SELECT source, i, list(step ORDER BY lvl) AS steps FROM low GROUP BY source, i),
+highs AS (SELECT source, list(step ORDER BY lvl) AS steps FROM high GROUP BY source),
+f AS (SELECT o.doc_id, o.h AS leaf, sub.h AS subroot, root, list_concat(coalesce(lows.steps, []), coalesce(highs.steps, [])) AS steps,
+    CASE WHEN {_crc32('o.doc_id')} % 5 = 0 THEN t ELSE o.h END AS begin
+  FROM o JOIN sub ON sub.source IS NOT DISTINCT FROM o.source JOIN r ON true
+  LEFT JOIN lows ON lows.source IS NOT DISTINCT FROM o.source AND lows.i = o.i LEFT JOIN highs ON highs.source IS NOT DISTINCT FROM o.source),
+e AS (SELECT *, list_reduce(list_prepend(begin, steps), lambda a, x: sha256(split_part(x, '|', 1) || a || split_part(x, '|', 2))) AS folded_root FROM f)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM e"""
+
+ORACLE["op12_conversation_trie"] = f"""WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS p, coalesce(role, '') AS r, coalesce(text, '') AS x
+  FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT c, n, {_crc32('c')} % 9 AS h, c - c % 5 AS b FROM (SELECT c, count(*) AS n FROM t GROUP BY c)),
+z AS (SELECT k.c, p, r, x FROM k JOIN t ON t.c = k.b AND p < h UNION ALL
+  SELECT k.c, p - k.h + least(k.h, coalesce(f.n, 0)), r, x FROM k JOIN t ON t.c = k.c AND p >= k.h LEFT JOIN k f ON f.c = k.b),
+s AS (SELECT k.c, coalesce(list(strlen(r) || ':' || r || strlen(x) || ':' || x ORDER BY p) FILTER (p IS NOT NULL), []) AS seq,
+  coalesce(list(strlen(x) ORDER BY p) FILTER (p IS NOT NULL), []) AS sz FROM k LEFT JOIN z USING (c) GROUP BY k.c),
+m AS (SELECT c, d, sha256(array_to_string(seq[:d], '')) AS q, len(seq) = d AS ended, CASE WHEN d > 0 THEN sz[d] ELSE 0 END AS w
+  FROM (SELECT *, unnest(range(len(seq) + 1)) AS d FROM s)),
+n AS (SELECT d, q, min(c) AS c, count(*) AS n, any_value(w) AS w,
+  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ended), '')) AS ends FROM m GROUP BY d, q),
+a AS (SELECT n.d, n.q, n.c, n.n, n.w, n.ends, u.c AS up, u.q AS uq FROM n LEFT JOIN m ON m.c = n.c AND m.d = n.d - 1 LEFT JOIN n u ON u.d = m.d AND u.q = m.q),
+g AS (SELECT d - 1 AS d, uq AS q, count(*) AS kids FROM a WHERE d > 0 GROUP BY ALL),
+o AS (SELECT a.*, coalesce(kids, 0) AS kids FROM a LEFT JOIN g USING (d, q)),
+e AS (SELECT m.d, m.q, count(*) FILTER (o.kids = 0) AS leaves, sum((o.n - 1) * o.w) AS saved FROM o JOIN m ON m.c = o.c AND m.d <= o.d GROUP BY m.d, m.q)
+SELECT o.c AS conv_id, CAST(o.d AS BIGINT) AS depth, o.up AS parent_conv_id, o.n AS n_convs, o.kids AS n_children, e.leaves AS n_leaves,
+  CAST(e.saved AS BIGINT) AS saved_tokens, o.ends AS ends_sha256 FROM o JOIN e USING (d, q)"""
+
+_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+ORACLE["op13_url_filter"] = f"""WITH rules(rh, rp, rv) AS (VALUES {_RULES}),
+u AS (SELECT row_number() OVER () AS k, page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT k, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+b AS (SELECT k, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(rv, length(rh || rp)) AS verdict FROM p JOIN rules
+  ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY k)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN b USING (k)"""

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -69,13 +70,13 @@ def conversation_trie(turns: DataFrame, conv_col: str = "conv_id", turn_col: str
     return prefix_trie(number_turns(keys), keys.select("conv").distinct())
 
 
-def _prefixes(turns: DataFrame) -> DataFrame:
-    """``turns`` with ``name``: 128 bits for each conversation's first turns up to this one, in runs of ``RUN`` turns."""
-    run = F.floor(F.col("place") / RUN)
+def _prefixes(turns: DataFrame, length: int) -> DataFrame:
+    """``turns`` with ``name``: 128 bits for each conversation's first turns up to this one, in runs of ``length`` turns."""
+    run = F.floor(F.col("place") / length)
     marked = turns.withColumns({"run": run, "x": F.xxhash64("place", "key"), "y": F.xxhash64("key", "place")})
     here = Window.partitionBy("conv", "run").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inner = marked.withColumns({"x": F.bit_xor("x").over(here), "y": F.bit_xor("y").over(here)})
-    longer = turns.filter(F.col("place") == RUN).select("conv")
+    longer = turns.filter(F.col("place") == length).select("conv")
     earlier = Window.partitionBy("conv").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     runs = (marked.join(longer, "conv", "left_semi").groupBy("conv", "run").agg(F.bit_xor("x").alias("x0"), F.bit_xor("y").alias("y0"))
             .withColumns({"x0": F.bit_xor("x0").over(earlier), "y0": F.bit_xor("y0").over(earlier)}))
@@ -84,12 +85,13 @@ def _prefixes(turns: DataFrame) -> DataFrame:
     return inner.join(runs, ["conv", "run"], "left").select(*turns.columns, name.alias("name"))
 
 
-def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
+def prefix_trie(turns: DataFrame, convs: DataFrame, chunk: int = CHUNK, run: int = RUN) -> DataFrame:
     """The nodes of the trie of ``convs`` (conv: distinct ids) with ``turns`` (conv, place, key, bytes; places from 0 without gaps).
 
     A row per node: conv_id (its smallest member), depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256.
+    ``chunk`` (keys of one tree) and ``run`` (turns named in one window) change no result.
     """
-    named = stage(_prefixes(turns.select("conv", "place", "key", "bytes")), "trie_names")
+    named = stage(_prefixes(turns.select("conv", "place", "key", "bytes"), run), "trie_names")
     alone = (named.groupBy("name", "place").agg(F.count(F.lit(1)).alias("n"), F.min("conv").alias("conv"))
              .filter("n = 1").groupBy("conv").agg(F.min("place").alias("own")))
     facts = stage(convs.select("conv").join(named.groupBy("conv").agg(F.count(F.lit(1)).alias("total")), "conv", "left")
@@ -105,7 +107,7 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     keyed = stage(keyed, "trie_keys")
     groups = stage(keyed.groupBy("key", "more").agg(F.count(F.lit(1)).alias("n"), F.min("conv").alias("conv"), F.first("sizes").alias("sizes"))
                    .withColumn("ends", F.when(~F.col("more"), F.sha2("key", 256))), "trie_groups")
-    grown = stage(groups.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(_grow, _GROWN), "trie_nodes")
+    grown = stage(groups.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(partial(_grow, chunk), _GROWN), "trie_nodes")
 
     opened = _close(grown.filter("open"))
     closed = grown.filter("NOT open").select("conv", "depth", "up_conv", "n", "kids", "leaves", "saved", "ends", "parent")
@@ -125,14 +127,14 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     return shared.unionByName(tails)
 
 
-def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _grow(chunk: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The nodes of sorted keys (key, more, n, conv, sizes, ends), a tree for each chunk."""
     rows, size = [], 0
     for batch in batches:
         for row in batch.to_pylist():
             rows.append(row)
             size += len(row["key"]) + 8 * len(row["sizes"])
-            if len(rows) >= CHUNK or size >= CHUNK_BYTES:
+            if len(rows) >= chunk or size >= CHUNK_BYTES:
                 yield from _nodes(rows)
                 rows, size = [], 0
     if rows:

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SMALL
 
-TABLES = ["documents", "labels", "nation", "embeddings"]
+TABLES = ["documents", "labels", "nation", "embeddings", "pages", "conversations"]
 
 
 def _norm(v):

@@ -43,17 +43,17 @@ def enrich_text(records: DataFrame, archive: A.Archive | DataFrame, *, key: str
     )
 
 
-OWN_TEXT, OWN_LEN, OWN_TITLE = "_own_text", "_own_len", "_own_title_e"
+NEEDS, OWN_LEN, OWN_TITLE = "_needs_text", "_own_len", "_own_title_e"
 
 
 def with_own_fields(records: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
-    """The record's text, length and title as columns, the parsed VARIANT
-    dropped (it would hold the text a second time in staged tables)."""
-    if OWN_TEXT in records.columns:
+    """Whether the record's text is missing, its length and title as columns; the parsed VARIANT
+    is dropped, so that a staged table holds each text once, in its line."""
+    if NEEDS in records.columns:
         return records
     v = F.col(VAR)
     out = records.select(
-        "*", as_str(v, fields.text).alias(OWN_TEXT), to_int(v, fields.length).alias(OWN_LEN),
+        "*", (as_str(v, fields.text) == "").alias(NEEDS), to_int(v, fields.length).alias(OWN_LEN),
         as_str(v, fields.title).alias(OWN_TITLE),
     )
     return out.drop(VAR)
@@ -66,22 +66,22 @@ def enrich_text_all(records: DataFrame, archive: A.Archive | DataFrame, *, key:
     # once instead of parsing the input twice; ``stage_input=False`` when
     # ``records`` already reads a staged table
     tagged = with_own_fields(records, fields)
-    tagged = tagged.withColumn("_needs", F.col(OWN_TEXT) == "")
     if stage_input:
         tagged = stage(tagged, "enrich_input")
-    own_text, own_len, own_title = F.col(OWN_TEXT), F.col(OWN_LEN), F.col(OWN_TITLE)
-    wanted = tagged.filter("_needs").select(F.col(key).alias("_id"))
+    own_len, own_title = F.col(OWN_LEN), F.col(OWN_TITLE)
+    wanted = tagged.filter(NEEDS).select(F.col(key).alias("_id"))
     found = A.lookup(archive, wanted, "_id", stage_keys=False).withColumnRenamed("a_id", key)
-    joined = _join_needed(tagged, F.col("_needs"), found, key)
-    hit = F.col("_needs") & F.col("a_text").isNotNull()
-    new_text = F.when(hit & (F.col("a_text") != ""), F.col("a_text")).otherwise(own_text)
+    joined = _join_needed(tagged, F.col(NEEDS), found, key)
+    own_text = F.when(F.col(NEEDS), F.lit("")).otherwise(as_str(F.try_parse_json(py_strip(F.col("value"))), fields.text))
+    hit = F.col(NEEDS) & F.col("a_text").isNotNull()
+    new_text = F.when(hit, F.col("a_text")).otherwise(own_text)
     new_len = F.when(hit & own_len.isNull(), F.col("a_len")).otherwise(own_len)
     new_title = F.when(hit & (own_title == "") & (F.col("a_title") != ""), F.col("a_title")).otherwise(own_title)
     m = as_map(F.col("value"))
-    m = set_field(m, fields.text, new_text.cast("variant"))
+    m = set_field(m, fields.text, F.col("a_text").cast("variant"))
     m = F.when(new_len.isNotNull() & own_len.isNull(), set_field(m, fields.length, new_len.cast("variant"))).otherwise(m)
     m = F.when(new_title != own_title, set_field(m, fields.title, new_title.cast("variant"))).otherwise(m)
-    changed = hit & (new_text != own_text)
+    changed = hit & (F.col("a_text") != "")
     out = joined.select(
         "*",
         new_text.alias("e_text"),
@@ -89,7 +89,7 @@ def enrich_text_all(records: DataFrame, archive: A.Archive | DataFrame, *, key:
         new_title.alias("e_title"),
     )
     return out.withColumn("value", F.when(changed, write_record(m)).otherwise(F.col("value"))).drop(
-        "_needs", "a_text", "a_len", "a_title", "a_title_nb", OWN_TEXT, OWN_LEN, OWN_TITLE
+        NEEDS, "a_text", "a_len", "a_title", "a_title_nb", OWN_LEN, OWN_TITLE
     )
 
 
@@ -130,37 +130,36 @@ def missing_title_counts(parsed: DataFrame, fields: Fields = DEFAULT) -> DataFra
     )
 
 
-def stage_title_input(parsed: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
-    """Non-blank lines with status, ID and own title, parsed once and staged
-    (the lookup keys, the join and the counters all read it)."""
+def _with_own_title(parsed: DataFrame, fields: Fields) -> DataFrame:
+    """Non-blank lines with ID and own title; the parsed VARIANT is dropped."""
     v = F.col(VAR)
     cols = [c for c in parsed.columns if c != VAR]
-    return stage(
-        parsed.filter(F.col(STATUS) != "blank").select(
-            *cols, as_str(v, fields.id).alias("_tid"), as_str(v, fields.title).alias("_own_title")
-        ),
-        "title_input",
-    )
+    return parsed.filter(F.col(STATUS) != "blank").select(
+        *cols, as_str(v, fields.id).alias("_tid"), as_str(v, fields.title).alias("_own_title"))
+
+
+def title_states(parsed: DataFrame, archive: A.Archive | DataFrame, fields: Fields = DEFAULT) -> DataFrame:
+    """Every non-blank line; of valid records the blank titles are filled and ``t_state`` is
+    ``had`` / ``enriched`` / ``missing``, of other lines it is NULL.
+
+    One scan stages the IDs that need a title, nothing else; the second one writes: only its records
+    without a title meet the titles found, all other lines stay in their task.
+    """
+    tagged = _with_own_title(parsed, fields)
+    ok, blank = F.col(STATUS) == LINE_STATUS_OK, F.col("_own_title") == ""
+    titles = A.lookup(archive, tagged.filter(ok & blank).select(F.col("_tid").alias("_id")), "_id").select(
+        F.col("a_id").alias("_tid"), "a_title_nb")
+    joined = _join_needed(tagged, ok & blank, titles, "_tid")
+    fetched = F.coalesce(F.col("a_title_nb"), F.lit(""))
+    state = F.when(ok, F.when(~blank, F.lit("had")).when(fetched != "", F.lit("enriched")).otherwise(F.lit("missing")))
+    return _with_title(joined, state, fetched, fields)
 
 
-def enrich_titles(
-    parsed: DataFrame | None, archive: A.Archive | DataFrame, fields: Fields = DEFAULT, *, staged: DataFrame | None = None
-) -> DataFrame:
+def enrich_titles(parsed: DataFrame, archive: A.Archive | DataFrame, fields: Fields = DEFAULT) -> DataFrame:
     """Valid records with blank titles filled; ``t_state`` is
     ``had`` / ``enriched`` / ``missing`` per record.  The parsed VARIANT is not
     carried (the output is the rewritten ``value`` line)."""
-    staged = staged if staged is not None else stage_title_input(parsed, fields)
-    recs = staged.filter(F.col(STATUS) == LINE_STATUS_OK)
-    wanted = recs.filter(F.col("_own_title") == "").select(F.col("_tid").alias("_id"))
-    titles = A.lookup(archive, wanted, "_id", stage_keys=False).select(F.col("a_id").alias("_tid"), F.col("a_title_nb"))
-    joined = _join_needed(recs, F.col("_own_title") == "", titles, "_tid")
-    fetched = F.coalesce(F.col("a_title_nb"), F.lit(""))
-    state = (
-        F.when(F.col("_own_title") != "", F.lit("had"))
-        .when(fetched != "", F.lit("enriched"))
-        .otherwise(F.lit("missing"))
-    )
-    return _with_title(joined, state, fetched, fields)
+    return title_states(parsed, archive, fields).filter(F.col("t_state").isNotNull())
 
 
 def _with_title(joined: DataFrame, state, fetched, fields: Fields) -> DataFrame:
@@ -184,11 +183,9 @@ def _with_title(joined: DataFrame, state, fetched, fields: Fields) -> DataFrame:
 def title_stats(parsed: DataFrame, archive: A.Archive | DataFrame, fields: Fields = DEFAULT) -> DataFrame:
     """Counters of the title job: written, enriched, already had, still missing, invalid.
 
-    One aggregation over all lines: invalid lines carry a NULL state.
+    One aggregation over all non-blank lines: invalid ones carry a NULL state.
     """
-    staged = stage_title_input(parsed, fields)
-    bad = staged.filter(F.col(STATUS) != LINE_STATUS_OK).select(F.lit(None).cast("string").alias("t_state"))
-    states = enrich_titles(None, archive, fields, staged=staged).select("t_state").unionByName(bad)
+    states = title_states(parsed, archive, fields)
     t = F.col("t_state")
     return states.agg(
         F.count_if(t.isNotNull()).alias("total_records_written"),

@@ -390,7 +390,7 @@ def q_archive_lookup(spark, sf_dir):
         O.TITLES,
         _MISSING,
         body="""SELECT shard, n_ids, CAST((dense_rank() OVER (ORDER BY shard) - 1) // 120 AS BIGINT) AS batch
-FROM (SELECT split_part(id, '-', 1) || '-' || split_part(id, '-', 2) AS shard, count(*) AS n_ids
+FROM (SELECT CASE WHEN contains(id, '-') THEN split_part(id, '-', 1) || '-' || split_part(id, '-', 2) ELSE id END AS shard, count(*) AS n_ids
       FROM missing GROUP BY 1)""",
     ),
 )

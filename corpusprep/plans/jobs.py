@@ -269,23 +269,18 @@ def title_job(parsed: DataFrame, archive: Archive | DataFrame, output: str, fiel
               compression: str | None = None) -> DataFrame:
     """Write the records with blank titles filled and return the counters, from one lookup.
 
-    The counters of the records are observed while the output is written; the
-    invalid lines are counted on the staged narrow status column.
+    The counters, invalid lines included, are observed while the output is written.
     """
     from pyspark.sql import Observation
 
-    from corpusprep.sources.jsonl import LINE_STATUS_OK, STATUS
-
-    staged = enrich.stage_title_input(parsed, fields)
     t = F.col("t_state")
     obs = Observation("title_job")
-    titled = enrich.enrich_titles(None, archive, fields, staged=staged).observe(
-        obs, F.count(F.lit(1)).alias("written"), F.count_if(t == "enriched").alias("enriched"),
-        F.count_if(t == "had").alias("had"), F.count_if(t == "missing").alias("missing"))
-    write_jsonl(titled, output, compression=compression)
+    titled = enrich.title_states(parsed, archive, fields).observe(
+        obs, F.count(t).alias("written"), F.count_if(t == "enriched").alias("enriched"),
+        F.count_if(t == "had").alias("had"), F.count_if(t == "missing").alias("missing"), F.count_if(t.isNull()).alias("bad"))
+    write_jsonl(titled.filter(t.isNotNull()), output, compression=compression)
     got = obs.get
-    bad = staged.filter(F.col(STATUS) != LINE_STATUS_OK).count()
-    row = (got["written"], got["enriched"], got["had"], got["missing"], bad)
+    row = tuple(got[k] for k in ("written", "enriched", "had", "missing", "bad"))
     return parsed.sparkSession.createDataFrame([row], ", ".join(f"{c} bigint" for c in TITLE_COUNTERS))
 
 

@@ -51,7 +51,7 @@ ARCHIVE = """archive AS (
   SELECT id, ft, len, substr(ft, 1, 60) AS title, newspaper, yr FROM records WHERE doc_id % 11 <> 0)"""
 
 TITLES = """titled AS (
-  SELECT doc_id, CASE WHEN doc_id % 23 = 0 THEN '' ELSE id END AS id, tp, lg, len,
+  SELECT doc_id, CASE WHEN doc_id % 23 = 0 THEN '' WHEN doc_id % 29 = 0 THEN sha1(id) ELSE id END AS id, tp, lg, len,
     CASE WHEN doc_id % 4 = 0 THEN 'Own title ' || CAST(doc_id AS VARCHAR) WHEN doc_id % 4 = 1 THEN '  ' END AS title,
     ft, doc_id % 17 = 0 AS broken
   FROM records)"""

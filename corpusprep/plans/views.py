@@ -163,13 +163,13 @@ def archive_path(spark: SparkSession, sf_dir: str) -> str:
 
 def title_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title-job input: own title where doc_id%4=0, blank where %4=1, absent
-    otherwise; blank ID where doc_id%23=0; line cut where doc_id%17=0."""
+    otherwise; blank ID where doc_id%23=0, else a SHA-1 where doc_id%29=0 (an ID that names no shard); line cut where doc_id%17=0."""
     d = F.col("doc_id")
     r = record_rows(spark, sf_dir)
     r = r.withColumn(
         "title",
         F.when(d % 4 == 0, F.concat(F.lit("Own title "), d.cast("string"))).when(d % 4 == 1, F.lit("  ")),
-    ).withColumn("id", F.when(d % 23 == 0, F.lit("")).otherwise(F.col("id")))
+    ).withColumn("id", F.when(d % 23 == 0, F.lit("")).when(d % 29 == 0, F.sha1(F.col("id"))).otherwise(F.col("id")))
     lines = as_lines(r.select("doc_id", "id", "tp", "lg", "len", "title", "ft"))
     return lines.withColumn(
         "value", F.when(F.col(SEQ) % 17 == 0, F.substring("value", 1, 40)).otherwise(F.col("value"))

@@ -44,86 +44,67 @@ class Archive:
     title_field: str = "title"
     layout: str = "partitioned"
 
-    def read(self, shards: list[str] | None = None) -> DataFrame:
-        kwargs = dict(match_field=self.match_field, text_field=self.text_field,
-                      length_field=self.length_field, title_field=self.title_field, shards=shards)
+    def read(self, shards: DataFrame | None = None) -> DataFrame:
+        """Archive rows projected to ``a_id, a_text, a_len, a_title`` plus shard columns and line position.
+
+        ``shards`` (``newspaper, yr``) limits the scan to those shards, before anything is parsed.
+        """
         if self.layout == "shard_files":
-            return read_shard_files(self.spark, self.path, **kwargs)
-        if self.layout != "partitioned":
+            lines = self._shard_file_lines(shards)
+        elif self.layout == "partitioned":
+            lines = self._partition_lines(shards)
+        else:
             raise ValueError(f"unknown archive layout {self.layout!r}")
-        return read_archive(self.spark, self.path, **kwargs)
+        v = F.col(VAR)
+        return valid_records(parse_lines(lines.withColumn(SEQ, line_seq(None, F.col(FILE), F.col("_block"))).drop("_block"))).select(
+            NEWSPAPER, YEAR, SEQ,
+            as_str(v, self.match_field).alias("a_id"),
+            as_str(v, self.text_field).alias("a_text"),
+            to_int(v, self.length_field).alias("a_len"),
+            as_str(v, self.title_field).alias("a_title"),
+        )
+
+    def shards(self) -> DataFrame:
+        """The shards that the archive holds (``newspaper, yr``, and ``file`` for shard files): from file names, no file is opened."""
+        files = self.spark.read.format("binaryFile")
+        if self.layout == "shard_files":
+            names = files.option("recursiveFileLookup", "true").load(self.path).select("path")
+            name = F.element_at(F.split("path", "/"), -1)
+            return names.select(*_shard_of_file(name), name.alias("file")).filter(name.rlike(_SHARD_FILE_RE)).distinct()
+        typed = files.schema(f"path string, modificationTime timestamp, length bigint, content binary, {NEWSPAPER} string, {YEAR} string")
+        return typed.load(self.path).select(NEWSPAPER, YEAR).distinct()
+
+    def _partition_lines(self, shards: DataFrame | None) -> DataFrame:
+        raw = self.spark.read.schema(f"value string, {NEWSPAPER} string, {YEAR} string").text(self.path)
+        raw = raw.select("value", NEWSPAPER, YEAR, *_file_columns())
+        if shards is None:
+            return raw
+        # on the raw scan, before the parse: Spark turns the join into a dynamic filter on the partition
+        # columns (which it does for a side with a condition of its own).  At most the archive's own folders are
+        # broadcast, and the order of lines survives the join.
+        held = stage(shards.join(self.shards(), [NEWSPAPER, YEAR], "left_semi").select(NEWSPAPER, YEAR), "archive_shards")
+        return raw.join(F.broadcast(held.filter(F.length(NEWSPAPER) + F.length(YEAR) > 0)), [NEWSPAPER, YEAR], "left_semi")
+
+    def _shard_file_lines(self, shards: DataFrame | None) -> DataFrame:
+        raw = self.spark.read.format("text").option("recursiveFileLookup", "true").load(self.path)
+        name = F.col("_metadata.file_name")
+        raw = raw.filter(name.rlike(_SHARD_FILE_RE))
+        if shards is not None:
+            # names of files that exist, no more than the scan's own listing holds: a filter on them is applied to that listing
+            held = self.shards().join(shards, [NEWSPAPER, YEAR], "left_semi").select("file").distinct()
+            raw = raw.filter(name.isin([r["file"] for r in held.collect()]))
+        return raw.select("value", *_shard_of_file(name), *_file_columns())
 
 
 _SHARD_FILE_RE = "^(.+)-([^-]+)\\.jsonl(\\.bz2|\\.gz)?$"
 
 
-def read_shard_files(
-    spark: SparkSession,
-    path: str,
-    *,
-    match_field: str = "id",
-    text_field: str = "ft",
-    length_field: str = "len",
-    title_field: str = "title",
-    shards: list[str] | None = None,
-) -> DataFrame:
-    """Archive stored as ``<newspaper>/<newspaper>-<year>.jsonl.bz2`` files.
-
-    The shard comes from the file name; ``shards`` filters on
-    ``_metadata.file_name`` before parsing, which Spark applies while listing,
-    so files of other shards are never opened.
-    """
-    raw = spark.read.format("text").option("recursiveFileLookup", "true").load(path)
-    name = F.col("_metadata.file_name")
-    shard = F.regexp_extract(name, _SHARD_FILE_RE, 1)
-    news = F.regexp_extract(name, _SHARD_FILE_RE, 1)
-    year = F.regexp_extract(name, _SHARD_FILE_RE, 2)
-    raw = raw.filter(name.rlike(_SHARD_FILE_RE))
-    if shards is not None:
-        raw = raw.filter(F.concat_ws("-", shard, year).isin(shards))
-    lines = raw.select("value", news.alias(NEWSPAPER), year.alias(YEAR), line_seq().alias(SEQ),
-                       F.col("_metadata.file_path").alias(FILE))
-    v = F.col(VAR)
-    return valid_records(parse_lines(lines)).select(
-        NEWSPAPER,
-        YEAR,
-        SEQ,
-        as_str(v, match_field).alias("a_id"),
-        as_str(v, text_field).alias("a_text"),
-        to_int(v, length_field).alias("a_len"),
-        as_str(v, title_field).alias("a_title"),
-    )
+def _shard_of_file(name: Column) -> tuple[Column, Column]:
+    return F.regexp_extract(name, _SHARD_FILE_RE, 1).alias(NEWSPAPER), F.regexp_extract(name, _SHARD_FILE_RE, 2).alias(YEAR)
 
 
-def read_archive(
-    spark: SparkSession,
-    path: str,
-    *,
-    match_field: str = "id",
-    text_field: str = "ft",
-    length_field: str = "len",
-    title_field: str = "title",
-    shards: list[str] | None = None,
-) -> DataFrame:
-    """Archive rows projected to ``a_id, a_text, a_len, a_title`` plus shard columns.
-
-    ``shards`` (``newspaper-year`` keys) becomes a partition filter on the raw
-    scan, applied before parsing, so only those folders are read.
-    """
-    raw = spark.read.schema(f"value string, {NEWSPAPER} string, {YEAR} string").text(path)
-    if shards is not None:
-        raw = raw.filter(F.concat_ws("-", NEWSPAPER, YEAR).isin(shards))
-    lines = raw.select("value", NEWSPAPER, YEAR, line_seq().alias(SEQ), F.col("_metadata.file_path").alias(FILE))
-    v = F.col(VAR)
-    return valid_records(parse_lines(lines)).select(
-        NEWSPAPER,
-        YEAR,
-        SEQ,
-        as_str(v, match_field).alias("a_id"),
-        as_str(v, text_field).alias("a_text"),
-        to_int(v, length_field).alias("a_len"),
-        as_str(v, title_field).alias("a_title"),
-    )
+def _file_columns() -> tuple[Column, Column]:
+    return F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias("_block")
 
 
 def lookup(archive: Archive | DataFrame, ids: DataFrame, id_col: str = "_id", *, stage_keys: bool = True) -> DataFrame:
@@ -131,20 +112,18 @@ def lookup(archive: Archive | DataFrame, ids: DataFrame, id_col: str = "_id", *,
 
     ``ids`` holds one ID column.  The distinct wanted keys are staged once
     (``stage_keys=False`` when ``ids`` already reads a staged table, so it is
-    cheap to evaluate twice); for an :class:`Archive` the set of their shards (one short string per
-    ``newspaper-year`` folder, bounded by the archive's own folder count)
-    prunes the scan.  The archive is then semi-joined to the keys and only the
-    matched rows are aggregated.
+    cheap to evaluate twice); for an :class:`Archive` their shards prune the scan
+    by a join (dynamic partition pruning).  IDs that name no shard (no ``-``: SHA-1 of a record
+    without an ID) are in no archive and are left out at once.  The archive is then semi-joined
+    to the keys and only the matched rows are aggregated.
     """
-    keys = ids.select(F.col(id_col).alias("a_id")).filter(F.col("a_id") != "").distinct()
+    keys = ids.select(F.col(id_col).alias("a_id")).filter(F.contains(F.col("a_id"), F.lit("-"))).distinct()
     news, year = shard_of(F.col("a_id"))
     keys = keys.select(news.alias(NEWSPAPER), year.alias(YEAR), "a_id")
     if isinstance(archive, Archive):
         if stage_keys:
             keys = stage(keys, "archive_keys")
-        wanted = keys.select(F.concat_ws("-", NEWSPAPER, YEAR).alias("s")).distinct()
-        # folder names that the archive's own listing already holds on the driver
-        archive = archive.read([r.s for r in wanted.collect()])
+        archive = archive.read(keys.select(NEWSPAPER, YEAR).distinct())
     matched = archive.join(keys, [NEWSPAPER, YEAR, "a_id"], "left_semi")
     last = matched.groupBy("a_id").agg(
         F.max_by(F.struct("a_text", "a_len", "a_title"), F.col(SEQ)).alias("_r"),

@@ -31,13 +31,25 @@ STATUS = "_status"
 FILE = "_file"
 
 
-def line_seq() -> Column:
-    """Total order of scanned lines: file, split start, position within the split."""
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
-    )
+def part_number(name: Column) -> Column:
+    """The number of a ``part-<number>-...`` file, -1 for files that are not named so."""
+    number = F.substring_index(F.substr(name, F.lit(6)), "-", 1).try_cast("bigint")
+    return F.when(F.startswith(name, F.lit("part-")), F.coalesce(number, F.lit(-1))).otherwise(F.lit(-1))
+
+
+def line_seq(folder: Column | None = None, path: Column | None = None, block: Column | None = None) -> Column:
+    """Total order of scanned lines: folder, part number, file name, split start, position within the split.
+
+    Part numbers compare by value (``part-100000`` follows ``part-99999``).  ``folder`` may be any column that orders the folders.
+    ``path`` and ``block`` (file and split start) default to the scan's own.
+    """
+    path = F.col("_metadata.file_path") if path is None else path
+    block = F.col("_metadata.file_block_start") if block is None else block
+    name = F.substring_index(path, "/", -1)
+    if folder is None:
+        folder = F.substr(path, F.lit(1), F.length(path) - F.length(name))
+    return F.struct(folder.alias("folder"), part_number(name).alias("part"), name.alias("file"), block.alias("block"),
+                    F.monotonically_increasing_id().alias("pos"))
 
 
 def read_jsonl(

@@ -38,12 +38,29 @@ def test_keyword_totals_are_the_sum_of_languages(spark):
 def test_archive_lookup_prunes_shards(spark):
     arch = A.Archive(spark, V.archive_path(spark, SMALL))
     ids = V.record_rows(spark, SMALL).filter(F.col("doc_id") < 5).select(F.col("id").alias("_id"))
-    found = A.lookup(arch, ids, "_id", stage_keys=True)
-    assert found.count() > 0
+    junk = spark.createDataFrame([(f"{i:040x}",) for i in range(50)] + [("no-such-shard",), ("",), (None,)], "_id string")
+    found = A.lookup(arch, ids.union(junk), "_id", stage_keys=True)
+    assert 0 < found.count() <= 5
     # the staged result hides the scan: check the archive read of the same shards
-    shards = [r[0] for r in ids.select(F.substring_index("_id", "-", 2)).distinct().collect()]
-    plan = arch.read(shards)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and ("INSET" in plan or " IN (" in plan)
+    shards = ids.select(F.split_part("_id", F.lit("-"), F.lit(1)).alias("newspaper"), F.split_part("_id", F.lit("-"), F.lit(2)).alias("yr")).distinct()
+    read = arch.read(shards)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression(newspaper" in plan and plan.count("SubqueryAdaptiveBroadcast dynamicpruning") >= 2
+    assert read.select("newspaper", "yr").distinct().count() == shards.count()
+
+
+def test_ids_without_a_shard_are_left_out(spark, monkeypatch):
+    """A SHA-1 names no folder; no list of shards passes through the driver."""
+    seen = []
+    arch = A.Archive(spark, V.archive_path(spark, SMALL))
+    lines = A.Archive._partition_lines
+    monkeypatch.setattr(A.Archive, "_partition_lines", lambda self, shards: seen.append(shards) or lines(self, shards))
+    ids = spark.createDataFrame([(f"{i:040x}",) for i in range(5)] + [("src1-1901-1",)], "_id string")
+    real = type(ids).collect
+    monkeypatch.setattr(type(ids), "collect", lambda self: (_ for _ in ()).throw(AssertionError("collect in lookup")))
+    found = A.lookup(arch, ids, "_id")
+    monkeypatch.setattr(type(ids), "collect", real)
+    assert [tuple(r) for r in seen[0].collect()] == [("src1", "1901")] and found.count() <= 1
 
 
 def test_archive_shard_file_layout(spark):
@@ -71,7 +88,8 @@ def test_archive_shard_file_layout(spark):
     assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
     assert b.count() == len({json.loads(x)["id"] for v in by_shard.values() for x in v})
     some = sorted(by_shard)[:3]
-    plan = A.Archive(spark, root, layout="shard_files").read([f"{p}-{y}" for p, y in some])
+    wanted = spark.createDataFrame([*some, ("no", "such")], "newspaper string, yr string")
+    plan = A.Archive(spark, root, layout="shard_files").read(wanted)
     assert plan.select("newspaper", "yr").distinct().count() == 3
 
 

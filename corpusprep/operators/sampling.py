@@ -1,9 +1,9 @@
 """Per-language sampling and first-N selections.
 
-All are ``row_number() <= N`` over a language/file partition.  Spark plans a
-``WindowGroupLimit`` before the exchange, so each map task ships at most N
-rows per group: a language holding a third of the corpus costs no more
-shuffle than a small one.
+Both decide on narrow staged columns and then fetch the few chosen rows, so no
+record crosses a shuffle to be ranked.  "The first N" counts rows per group and split
+and numbers rows only in the split where a group reaches N; the sample ranks
+only IDs whose hash lies below a bound that about N of a language pass.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusprep.fixed import DEFAULT_SEED
 from corpusprep.functions.coerce import as_str
@@ -43,6 +44,23 @@ def sample_order(seed: int, key: str = RID):
     return [F.md5(F.concat(F.lit(f"{seed}:"), F.col(key))), F.col(key)]
 
 
+def sample_position(seed: int, key: str = RID):
+    """The first 52 bits of the sample order's hash as a number in [0, 1)."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key))), 1, 13)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+def _bounds(pool: DataFrame, n: int, lang_col: str) -> DataFrame:
+    """``_bound`` per language: a little above n / count, or 1 where fewer than n pass it."""
+    from corpusprep.sources.staging import stage
+
+    sizes = pool.groupBy(lang_col).agg(F.count(F.lit(1)).alias("_ids"))
+    sizes = stage(sizes.withColumn("_bound", F.lit(n + 4 * n ** 0.5 + 16) / F.col("_ids")), "sample_sizes")
+    passed = pool.join(sizes, lang_col).filter(F.col("_u") < F.col("_bound")).groupBy(lang_col).agg(F.count(F.lit(1)).alias("_passed"))
+    enough = F.coalesce("_passed", F.lit(0)) >= F.least(F.lit(n), F.col("_ids"))
+    return stage(sizes.join(passed, lang_col, "left").select(lang_col, F.when(enough, F.col("_bound")).otherwise(1.0).alias("_bound")), "sample_bounds")
+
+
 def sample_per_language(
     candidates: DataFrame,
     n: int,
@@ -81,9 +99,11 @@ def sample_per_language(
     # earliest line per ID decides its language (keep-first dedup), narrow
     # struct order compares the line position first (positions are unique)
     firsts = pool.groupBy(key).agg(F.min(F.struct(F.col(SEQ).alias("_s"), F.col(lang_col).alias("_l"))).alias("_f"))
-    firsts = firsts.select(key, F.col("_f._l").alias(lang_col), F.col("_f._s").alias(SEQ))
+    firsts = firsts.select(key, F.col("_f._l").alias(lang_col)).withColumn("_u", sample_position(seed, key))
+    firsts = stage(firsts, "sample_pool")
+    near = firsts.join(_bounds(firsts, n, lang_col), lang_col).filter(F.col("_u") < F.col("_bound"))
     w = Window.partitionBy(lang_col).orderBy(*sample_order(seed, key))
-    picked = firsts.withColumn("_pick", F.row_number().over(w)).filter(F.col("_pick") <= n).select(key)
+    picked = near.withColumn("_pick", F.row_number().over(w)).filter(F.col("_pick") <= n).select(key)
     picked = stage(picked, "sample_ids")  # at most n per language
     source = pool if fetch_from is None else in_languages(fetch_from)
     if SEQ not in source.columns:
@@ -91,15 +111,45 @@ def sample_per_language(
     return keep_first(source.join(picked, key, "left_semi"), key, SEQ).select(*source.columns)
 
 
+def _split_of(df: DataFrame, order: str):
+    """The part of a line's position that names its split (runs of 65,536 for plain numbers)."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.StructType):
+        return F.struct(*[F.col(order)[f].alias(f) for f in kind.names[:-1]])
+    if isinstance(kind, T.IntegralType):
+        return F.floor(F.col(order) / 65536)
+    raise TypeError(f"{order}: a line position (line_seq) or a whole number, not {kind.simpleString()}")
+
+
 def first_n_per_group(df: DataFrame, group_col: str, n: int, order: str = SEQ) -> DataFrame:
     """The first ``n`` rows of each group in ``order``.
 
-    The parsed VARIANT stays out of the exchange: it is a second copy of the
-    line, and callers parse the few selected lines again.
+    Group, position and a 128-bit hash of the row are staged.  Rows are counted by group and split; running sums
+    over the splits of a group say which of them lie within its first n, and only in the one where
+    n is reached are positions numbered: the largest task holds the narrow rows of one split.  The chosen rows are
+    fetched by group and hash (rows that are equal but for their position stand in for each other), so positions
+    never join two scans.  Null groups form a group.  The parsed VARIANT is not carried:
+    the few selected lines are parsed again.
     """
     from corpusprep.sources.jsonl import STATUS, parse_lines
+    from corpusprep.sources.staging import stage
 
-    narrow = df.drop(VAR, STATUS)
-    w = Window.partitionBy(group_col).orderBy(F.col(order))
-    first = narrow.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n).drop("_rank")
+    carried = [c for c in df.columns if c not in (VAR, STATUS, order)]
+    row = F.struct(F.xxhash64(*carried).alias("x"), F.xxhash64(F.lit(1), *carried).alias("y"))
+    narrow = stage(df.select(F.col(group_col).alias("_g"), F.col(order).alias("_o"), _split_of(df, order).alias("_s"), row.alias("_k")), "first_n")
+    ahead = Window.partitionBy("_g").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    counts = narrow.groupBy("_g", "_s").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_left", F.lit(n) - F.coalesce(F.sum("_n").over(ahead), F.lit(0))).filter("_left > 0")
+    counts = stage(counts.select(F.col("_g").alias("_cg"), F.col("_s").alias("_cs"), "_n", "_left"), "first_n_splits")
+    met = narrow.join(counts, F.col("_g").eqNullSafe(F.col("_cg")) & (F.col("_s") == F.col("_cs")))
+    whole = met.filter(F.col("_n") <= F.col("_left")).select("_g", "_o", "_k")
+    numbered = met.filter(F.col("_n") > F.col("_left")).withColumn("_i", F.row_number().over(Window.partitionBy("_g", "_s").orderBy("_o")))
+    picked = stage(whole.unionByName(numbered.filter(F.col("_i") <= F.col("_left")).select("_g", "_o", "_k")), "first_n_picked")
+    wanted = picked.select(F.col("_g").alias("_wg"), F.col("_k").alias("_wk")).distinct()
+    found = df.select(F.struct(*carried).alias("_row"), row.alias("_k"))
+    same = F.col(f"_row.{group_col}").eqNullSafe(F.col("_wg")) & (F.col("_k") == F.col("_wk"))
+    rows = found.join(wanted, same).groupBy("_wg", "_wk").agg(F.first("_row").alias("_row"))
+    first = picked.join(rows, F.col("_g").eqNullSafe(F.col("_wg")) & (F.col("_k") == F.col("_wk")))
+    columns = [F.col("_o").alias(c) if c == order else F.col("_row")[c].alias(c) for c in df.columns if c not in (VAR, STATUS)]
+    first = first.select(*columns)
     return parse_lines(first) if VAR in df.columns and "value" in df.columns else first

@@ -71,14 +71,18 @@ def keep_last(df: DataFrame, key: str = RID, order: str = SEQ) -> DataFrame:
     return _pick(df, key, order, F.max_by)
 
 
-def unprocessed(records: DataFrame, processed_ids: DataFrame, key: str = RID) -> DataFrame:
-    """Records whose ID is not in ``processed_ids`` (a one-column frame of IDs).
+def unprocessed(records: DataFrame, processed_ids: DataFrame | list[DataFrame], key: str = RID) -> DataFrame:
+    """Records whose ID is not in ``processed_ids``: a frame with the column ``key`` (or one column of IDs), or
+    several (``store.processed_ids``), each with an anti join of its own.
 
-    Spark broadcasts the ID side when its bytes allow (no shuffle of the
-    records); otherwise it is a shuffle anti join and AQE splits skewed keys.
+    Spark broadcasts an ID side when its bytes allow (no shuffle of the
+    records); otherwise it is a shuffle anti join and AQE splits skewed keys.  A side bucketed
+    by ID stays where it is: only the records are exchanged.
     """
-    ids = processed_ids.select(F.col(processed_ids.columns[0]).alias(key)).filter(F.col(key).isNotNull())
-    return records.join(ids, key, "left_anti")
+    for part in processed_ids if isinstance(processed_ids, list) else [processed_ids]:
+        ids = part.select(F.col(key if key in part.columns else part.columns[0]).alias(key))
+        records = records.join(ids.filter(F.col(key).isNotNull()), key, "left_anti")
+    return records
 
 
 def store_union(existing: DataFrame, new: DataFrame) -> DataFrame:

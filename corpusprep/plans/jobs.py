@@ -81,10 +81,10 @@ def tag_records(parsed: DataFrame, p: ClassifyParams) -> DataFrame:
     return identity.with_rid(recs, p.fields.id, p.fields.label).withColumn(sampling.LANG, as_str(v, p.fields.lang))
 
 
-def candidates(parsed: DataFrame, store: DataFrame, p: ClassifyParams) -> DataFrame:
+def candidates(parsed: DataFrame, store: DataFrame | list[DataFrame], p: ClassifyParams) -> DataFrame:
     """Tagged records that the store has not seen (``store``: stored rows or
-    their IDs, e.g. :func:`corpusprep.sources.store.store_ids`)."""
-    return identity.unprocessed(tag_records(parsed, p), store.select(identity.RID))
+    their IDs, e.g. :func:`corpusprep.sources.store.processed_ids`)."""
+    return identity.unprocessed(tag_records(parsed, p), store)
 
 
 def label_records(enriched: DataFrame, p: ClassifyParams) -> DataFrame:
@@ -104,7 +104,7 @@ def label_records(enriched: DataFrame, p: ClassifyParams) -> DataFrame:
     return out.withColumn("value", rewritten)
 
 
-def sample_and_classify(parsed: DataFrame | None, store: DataFrame, archive: Archive | DataFrame, p: ClassifyParams,
+def sample_and_classify(parsed: DataFrame | None, store: DataFrame | list[DataFrame], archive: Archive | DataFrame, p: ClassifyParams,
                         *, cands: DataFrame | None = None, lost=None) -> DataFrame:
     """One sampling run: new labelled rows (not yet written).
 
@@ -118,7 +118,7 @@ def sample_and_classify(parsed: DataFrame | None, store: DataFrame, archive: Arc
         # rank narrow tuples of the unprocessed records, fetch the picked rows
         # from the records themselves (no full-row shuffle)
         tagged = tag_records(parsed, p)
-        cands = identity.unprocessed(tagged, store.select(identity.RID))
+        cands = identity.unprocessed(tagged, store)
         picked = sampling.sample_per_language(cands, pool, seed=p.seed, languages=p.languages, fetch_from=tagged)
     else:
         picked = sampling.sample_per_language(cands, pool, seed=p.seed, languages=p.languages)
@@ -133,7 +133,7 @@ def _resolved(rows: DataFrame, archive: Archive | DataFrame, p: ClassifyParams,
     return rows.filter(F.col("e_text") != "")
 
 
-def classify_rest(parsed: DataFrame, store: DataFrame, archive: Archive | DataFrame, p: ClassifyParams) -> DataFrame:
+def classify_rest(parsed: DataFrame, store: DataFrame | list[DataFrame], archive: Archive | DataFrame, p: ClassifyParams) -> DataFrame:
     """Every unprocessed record of every language, enriched and labelled.
 
     The candidates are staged once; dedup shuffles only duplicated IDs.
@@ -159,12 +159,11 @@ def retention_estimate(labelled: DataFrame, fields: Fields = DEFAULT) -> DataFra
 def run_sampling(spark: SparkSession, parsed: DataFrame, store_path: str, archive: Archive | DataFrame,
                  p: ClassifyParams, run_id: str | None = None) -> str:
     """JOB2 end to end: sample, classify, append to the store as one run."""
-    seen = S.store_runs(spark, store_path)
-    done = S.store_ids(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
-    new_rows = sample_and_classify(parsed, done, archive, p)
+    seen = S.store_version(spark, store_path)
+    new_rows = sample_and_classify(parsed, S.processed_ids(spark, store_path), archive, p)
     # append_run stages the labelled rows (line, position, ID), so the model runs once per record
     return S.append_run(new_rows, store_path, run_id, id_field=p.fields.id, class_field=p.fields.label,
-                        expect_runs=seen)
+                        expect_version=seen)
 
 
 def non_ad_counts(store: DataFrame, fields: Fields = DEFAULT) -> DataFrame:
@@ -366,8 +365,8 @@ def labelling_run(
     """
     from corpusprep.sources.staging import stage
 
-    seen = S.store_runs(spark, store_path)
-    store = S.store_ids(spark, store_path, id_field=p.fields.id, class_field=p.fields.label)
+    seen = S.store_version(spark, store_path)
+    store, existing = S.processed_ids(spark, store_path), S.store_ids(spark, store_path)
     keep = ["value", SEQ, identity.RID, sampling.LANG, "e_text", "e_len", "_label"]
     # parse the input and remove stored IDs once; both phases draw from it
     cands = (stage(enrich.with_own_fields(candidates(parsed, store, p), p.fields), "candidates")
@@ -390,9 +389,9 @@ def labelling_run(
         new = sampled.unionByName(rest)
     # sampled records first, then the remaining ones, each in input order
     rid = S.append_run(new, store_path, run_id, id_field=p.fields.id, class_field=p.fields.label,
-                       order_by=["_phase", SEQ], ids=new.select(identity.RID), expect_runs=seen)
+                       order_by=["_phase", SEQ], ids=new.select(identity.RID), expect_version=seen)
     counters = (
-        store.select(identity.RID, F.lit(0).alias("_phase"))
+        existing.select(identity.RID, F.lit(0).alias("_phase"))
         .unionByName(new.select(identity.RID, "_phase"))
         .agg(
             F.count_if(F.col("_phase") == 0).alias("existing_rows"),

@@ -2,10 +2,9 @@
 
 The batch job already runs incrementally against the labelled store; this
 drives it from a file stream.  Each micro-batch is one run: its new lines are
-parsed, minus the store, enriched, classified and appended under
-``run_id=epoch-<n>``.  The run partition is written with dynamic partition
-overwrite, so a batch replayed after a failure replaces its own output
-instead of duplicating it; the stream checkpoint records which files were
+parsed, minus the store, enriched, classified and committed as run
+``epoch-<n>``.  A batch replayed after a failure finds its run committed and does nothing, or finds no trace
+of an attempt that did not commit; the stream checkpoint records which files were
 consumed.
 """
 
@@ -18,8 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from corpusprep.plans import jobs
 from corpusprep.sources import store as S
 from corpusprep.sources.archive import Archive
-from corpusprep.sources.jsonl import FILE, SEQ, parse_lines
-from corpusprep.sources.staging import stage
+from corpusprep.sources.jsonl import FILE, SEQ, line_seq, parse_lines
 
 
 def classify_new_files(
@@ -55,30 +53,12 @@ def classify_new_files(
 
 def classify_batch(batch: DataFrame, epoch_id: int, store_path: str, archive: Archive | DataFrame,
                    p: jobs.ClassifyParams) -> None:
-    """One micro-batch: parse, drop stored IDs, enrich, classify, write the
-    run ``epoch-<n>`` and its ID index.  Both writes replace that run's
-    partition, so a replayed epoch leaves one copy."""
+    """One micro-batch: parse, drop stored IDs, enrich, classify, append the run ``epoch-<n>`` unless it is committed."""
+    spark, run = batch.sparkSession, f"epoch-{epoch_id:08d}"
+    seen = S.store_version(spark, store_path)
+    if run in S.store_runs(spark, store_path):
+        return
     # line order within the batch (row ids are a batch-side expression)
-    seq = F.struct(F.col(FILE).alias("file"), F.col("_block").alias("block"),
-                   F.monotonically_increasing_id().alias("pos"))
-    parsed = parse_lines(batch.select("value", seq.alias(SEQ), FILE))
-    run = f"epoch-{epoch_id:08d}"
-    # IDs of this epoch's earlier attempt do not count as processed
-    done = S.store_ids(batch.sparkSession, store_path, id_field=p.fields.id, class_field=p.fields.label)
-    done = done.join(_run_ids(batch.sparkSession, store_path, run, p), S.RID, "left_anti")
-    # staged: the range partitioned write below would run the model twice
-    new_rows = stage(jobs.classify_rest(parsed, done, archive, p).select("value", SEQ, S.RID), "epoch")
-    # in line order within the run, the run column leading the sort (see append_run)
-    out = (new_rows.select("value", SEQ, F.lit(run).alias(S.RUN))
-           .repartitionByRange(SEQ).sortWithinPartitions(S.RUN, SEQ).drop(SEQ))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(S.RUN).text(store_path))
-    ids = new_rows.select(S.RID, F.lit(run).alias(S.RUN))
-    (ids.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(S.RUN).parquet(f"{store_path.rstrip('/')}/{S.IDS}"))
-
-
-def _run_ids(spark: SparkSession, store_path: str, run: str, p: jobs.ClassifyParams) -> DataFrame:
-    """IDs already written by ``run`` (empty when it has not run)."""
-    return S.read_store(spark, store_path, id_field=p.fields.id, class_field=p.fields.label,
-                        runs=[run]).select(S.RID)
+    parsed = parse_lines(batch.select("value", line_seq(None, F.col(FILE), F.col("_block")).alias(SEQ), FILE))
+    new_rows = jobs.classify_rest(parsed, S.processed_ids(spark, store_path), archive, p).select("value", SEQ, S.RID)
+    S.append_run(new_rows, store_path, run, expect_version=seen)

@@ -135,16 +135,27 @@ def test_full_run_with_remaining_labels_everything_once(spark):
     assert c2.sampled_new == 0 and c2.remaining_new == 0
 
 
-def test_store_ids_cover_runs_missing_from_the_index(spark):
+def test_attempts_that_did_not_commit_are_not_seen(spark, monkeypatch):
     store_path = scratch_path(spark, "store-index")
     lines = V.store_lines(spark, SMALL)
-    S.append_run(lines, store_path, "r0")  # indexed
-    # a run whose index write never happened (crash between the two writes)
+    S.append_run(lines, store_path, "r0")
     extra = V.parse_lines(V.as_lines(V.record_rows(spark, SMALL).filter(F.col("doc_id") % 7 == 1)))
-    extra.select("value", F.lit("r1").alias("run_id")).write.mode("append").partitionBy("run_id").text(store_path)
+
+    def crash(*args, **kwargs):
+        raise OSError("the driver is gone")
+
+    for step in ("_commit", "_check"):  # after both writes; before them (the first check passes nothing)
+        with monkeypatch.context() as m:
+            m.setattr(S, step, crash)
+            with pytest.raises(OSError):
+                S.append_run(extra, store_path, "r1")
+    # records without their IDs: a crash between the two writes
+    extra.select("value").write.text(f"{store_path}/attempt=r1.dead")
     ids = {r[0] for r in S.store_ids(spark, store_path).collect()}
     stored = {r[0] for r in S.read_store(spark, store_path).select(identity.RID).collect()}
-    assert ids == stored and len(ids) == lines.count() + extra.count()
+    assert ids == stored and len(ids) == lines.count() and S.store_runs(spark, store_path) == ["r0"]
+    S.append_run(extra, store_path, "r1")  # the run can be done again
+    assert S.read_store(spark, store_path).count() == lines.count() + extra.count() == S.store_ids(spark, store_path).count()
 
 
 def test_filter_job_counts_in_one_pass(spark):
@@ -240,8 +251,10 @@ def test_export_does_not_depend_on_partitioning(spark):
 def test_append_refuses_after_a_concurrent_run(spark):
     store_path = scratch_path(spark, "store-race")
     S.append_run(V.store_lines(spark, SMALL), store_path, "r0")
-    seen = S.store_runs(spark, store_path)
+    seen = S.store_version(spark, store_path)
     S.append_run(V.store_lines(spark, SMALL).limit(1), store_path, "r1")  # another writer
     with pytest.raises(S.ConcurrentRunError):
-        S.append_run(V.store_lines(spark, SMALL), store_path, "r2", expect_runs=seen)
-    assert S.store_runs(spark, store_path) == {"r0", "r1"}
+        S.append_run(V.store_lines(spark, SMALL), store_path, "r2", expect_version=seen)
+    with pytest.raises(S.RunExistsError):
+        S.append_run(V.store_lines(spark, SMALL), store_path, "r1")
+    assert S.store_runs(spark, store_path) == ["r0", "r1"]

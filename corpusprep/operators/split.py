@@ -1,14 +1,17 @@
 """Split records into one output folder per language, with statistics.
 
 Layout: ``<prefix>/lang_bucket=<language>/part-*`` holding the original lines.
-Statistics are a rollup over (language) -- per-language rows and the grand
-total in one aggregation.
+Statistics are counted in the pass that writes them; ``language_stats`` is the same as a
+rollup over (language) for lines that are not written.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
+from pyspark import Accumulator, AccumulatorParam
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +19,6 @@ from corpusprep.fields import DEFAULT, Fields
 from corpusprep.fixed import UNKNOWN_LANGUAGE
 from corpusprep.functions.coerce import as_str, json_path, lang_bucket, py_strip, record_length, to_int
 from corpusprep.sources.jsonl import LINE_STATUS_OK, SEQ, STATUS, VAR, write_jsonl
-from corpusprep.sources.staging import stage
 
 BUCKET = "lang_bucket"
 
@@ -107,18 +109,25 @@ def split_by_language(
     ``preserve_order`` keeps input line order inside each language folder
     (readers taking "the first N" may want it); it costs a range shuffle of the corpus.
 
-    The folders are written straight from the scan; only the narrow columns of
-    the statistics (language, length, status) are staged.
+    One pass: lines are parsed once, dealt out by language with bounded partition sizes (a rebalance that Spark
+    sizes by bytes: ``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so that a language has as many files as its bytes
+    ask for, and counted while they are written.
     """
-    tagged = with_bucket_and_length(parsed, fields, unknown)
+    tagged = with_bucket_and_length(parsed, fields, unknown).filter(F.col(STATUS) != "blank")
+    ok = F.col(STATUS) == LINE_STATUS_OK
+    order = [SEQ] if preserve_order and SEQ in tagged.columns else []
+    # lines that are no records go along as empty rows, to be counted in the same tasks
+    lines = tagged.select(F.when(ok, py_strip(F.col("value"))).alias("value"), BUCKET, "_rec_len", *order)
+    dealt = lines.repartitionByRange(*order) if order else lines.hint("rebalance", BUCKET)
+    counts = parsed.sparkSession.sparkContext.accumulator({}, _Sums())
+    written = dealt.filter(_counted(counts)(F.col(BUCKET), F.col("_rec_len"))).filter(F.col("value").isNotNull())
     write_jsonl(
-        tagged.filter(F.col(STATUS) == LINE_STATUS_OK).withColumn("value", py_strip(F.col("value"))),
+        written.sortWithinPartitions(BUCKET, *order) if order else written,
         output_prefix,
         partition_by=[BUCKET],
         compression=compression,
-        order_by=SEQ if preserve_order else None,
     )
-    stats = language_stats(stage(tagged.select(BUCKET, "_rec_len", STATUS), "split"))
+    stats = _stats_rows(parsed.sparkSession, counts.value)
     summary = split_summary(
         stats, input_path=input_path, output_prefix=display_prefix or output_prefix, fields=fields
     )
@@ -127,6 +136,47 @@ def split_by_language(
     return SplitResult(output_prefix, stats, summary)
 
 
+class _Sums(AccumulatorParam):
+    """Language -> [records, length]; as many entries as there are languages."""
+
+    def zero(self, value: dict) -> dict:
+        return {}
+
+    def addInPlace(self, into: dict, more: dict) -> dict:  # noqa: N802 -- the interface's name
+        for key, (n, length) in more.items():
+            have = into.setdefault(key, [0, 0])
+            have[0] += n
+            have[1] += length
+        return into
+
+
+def _counted(counts: Accumulator):
+    """A predicate that is true for every row and adds the row's language and length to ``counts``.
+
+    Used in the writing stage alone: Spark counts each of its tasks once, however often one is tried.  Only the two
+    narrow columns travel to Python.
+    """
+
+    @F.pandas_udf("boolean")
+    def count(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for buckets, lengths in batches:
+            sums = pd.DataFrame({"b": buckets, "n": 1, "len": lengths.fillna(0).astype("int64")}).groupby("b", dropna=False).sum()
+            counts.add({None if pd.isna(b) else b: [int(n), int(size)] for b, n, size in sums.itertuples()})
+            yield pd.Series(True, index=buckets.index)
+
+    return count.asNondeterministic()
+
+
+def _stats_rows(spark, sums: dict) -> DataFrame:
+    """The rows of :func:`language_stats` from the counts of a pass."""
+    invalid = sums.get(None, [0, 0])[0]
+    rows = [(b, n, size, 0, 0) for b, (n, size) in sums.items() if b is not None]
+    total = (None, sum(r[1] for r in rows), sum(r[2] for r in rows), invalid, 1)
+    if invalid:
+        rows.append((None, 0, 0, invalid, 0))
+    return spark.createDataFrame([*rows, total], f"{BUCKET} string, records bigint, total_len bigint, invalid_json_lines bigint, _is_total tinyint")
+
+
 def summary_json(summary: DataFrame, pretty: bool = False) -> DataFrame:
     """The summary as one JSON text row (``coalesce(1).write.text`` to publish it)."""
     opts = {"pretty": "true"} if pretty else {}
@@ -140,45 +190,81 @@ def write_summary(summary: DataFrame, path: str) -> None:
 
 def read_split(spark, output_prefix: str) -> DataFrame:
     """Lines of a split output with their language folder."""
-    return spark.read.schema(f"value string, {BUCKET} string").text(output_prefix)
+    return _language_folders(spark, output_prefix, BUCKET)
+
+
+def _language_folders(spark, prefix: str, partition_col: str) -> DataFrame:
+    """The lines of the language folders; a summary beside them is no partition."""
+    prefix = prefix.rstrip("/")
+    return spark.read.schema(f"value string, {partition_col} string").option("basePath", prefix).text(f"{prefix}/{partition_col}=*")
 
 
 def publish_language_files(spark, split_prefix: str, target_prefix: str, *,
                            partition_col: str = BUCKET, name_prefix: str = "") -> dict[str, str]:
-    """Publish a split output as ``<target>/<language>.jsonl[.gz|.bz2]`` files
+    """Publish a split output as ``<target>/<language>.jsonl[.gz|.bz2]``
     (keyword outputs: ``partition_col="lang_file", name_prefix="keywords_"``).
 
-    A convenience for consumers that need exactly one file per language: each is
-    copied in line order, which takes one task per language whatever its size; the
-    split output itself is left as it is and is the form to read at scale.
+    Spark copies all languages at once into ordered part files (a range partition on the line position, parts bounded by
+    bytes); the storage then concatenates each language's parts, which are whole gzip or bzip2 members, in order
+    (HDFS by metadata alone).  No line passes through one task or the driver.  Where the storage cannot concatenate, the
+    ordered folder of that name is the published form, which every reader of the file reads in the same order.
     Returns language -> published path.
     """
-    from corpusprep.sources.jsonl import read_jsonl
-
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    root = Path(split_prefix)
-    fs = root.getFileSystem(conf)
-    fs.mkdirs(Path(target_prefix))
-    published: dict[str, str] = {}
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if not status.isDirectory() or not name.startswith(f"{partition_col}="):
-            continue
-        language = name.split("=", 1)[1]
-        parts = [p for p in fs.listStatus(status.getPath()) if p.getPath().getName().startswith("part-")]
-        if not parts:
-            continue
-        ext = ".jsonl" + next((e for e in (".gz", ".bz2") if parts[0].getPath().getName().endswith(e)), "")
-        target = f"{target_prefix.rstrip('/')}/{name_prefix}{language}{ext}"
-        tmp = f"{target_prefix.rstrip('/')}/_merge_{language}"
-        codec = {".jsonl.gz": "gzip", ".jsonl.bz2": "bzip2"}.get(ext, "none")
-        lines = read_jsonl(spark, status.getPath().toString()).select("value", SEQ).orderBy(SEQ)
-        lines.coalesce(1).select("value").write.mode("overwrite").option("compression", codec).text(tmp)
-        merged = [p for p in fs.listStatus(Path(tmp)) if p.getPath().getName().startswith("part-")]
-        if not fs.rename(merged[0].getPath(), Path(target)):
-            raise OSError(f"cannot publish {target}")
-        fs.delete(Path(tmp), True)  # the merge folder made above
-        published[language] = target
-    return published
+    from corpusprep.session import scratch_path
+    from corpusprep.sources.jsonl import line_seq
+
+    target = target_prefix.rstrip("/")
+    raw = _language_folders(spark, split_prefix, partition_col)
+    name = F.col("_metadata.file_name")
+    codec = {"gz": "gzip", "bz2": "bzip2"}
+    kinds = [codec[e] for e in codec if raw.filter(F.endswith(name, F.lit("." + e))).limit(1).count()]
+    ext = {"gzip": ".jsonl.gz", "bzip2": ".jsonl.bz2"}.get(kinds[0], ".jsonl") if kinds else ".jsonl"
+    lines = raw.select("value", partition_col, line_seq().alias(SEQ))
+    ordered = lines.repartitionByRange(partition_col, SEQ).sortWithinPartitions(partition_col, SEQ)
+    parts = scratch_path(spark, "publish")
+    writer = ordered.select("value", partition_col).write.partitionBy(partition_col)
+    (writer.option("compression", kinds[0]) if kinds else writer).text(parts)
+    return {language: _concatenated(spark, folder, f"{target}/{name_prefix}{language}{ext}") for language, folder in _folders(spark, parts)}
+
+
+def _file_system(spark, path):
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _folders(spark, prefix: str) -> list[tuple[str, str]]:
+    """(value, path) of the partition folders under ``prefix``: one per language."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(prefix)
+    fs = _file_system(spark, path)
+    found = [s.getPath() for s in fs.listStatus(path) if s.isDirectory() and "=" in s.getPath().getName()]
+    return sorted((p.getName().split("=", 1)[1], p.toString()) for p in found)
+
+
+def _concatenated(spark, folder: str, target: str) -> str:
+    """``folder``'s parts, in name order, as the one file ``target``; or the folder itself under that name."""
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    source, goal = hadoop.Path(folder), hadoop.Path(target)
+    fs = _file_system(spark, goal)
+    fs.mkdirs(goal.getParent())
+    names = sorted(s.getPath().getName() for s in fs.listStatus(source) if s.getPath().getName().startswith("part-"))
+    local = fs.getUri().getScheme() == "file"
+    paths = sc._gateway.new_array(hadoop.Path, len(names) - (not local))
+    for i, part in enumerate(names[not local:]):
+        paths[i] = hadoop.Path(source, part)
+    fs.delete(goal, True)  # an earlier publication of this language
+    try:
+        if local:
+            fs.getRawFileSystem().concat(goal, paths)
+        else:
+            if not fs.rename(hadoop.Path(source, names[0]), goal):
+                raise OSError(f"cannot publish {target}")
+            if len(names) > 1:
+                fs.concat(goal, paths)
+    except Exception as exc:
+        if "UnsupportedOperation" not in str(exc):
+            raise
+        if fs.exists(goal):  # the first part, moved above
+            fs.rename(goal, hadoop.Path(source, names[0]))
+        if not fs.rename(source, goal):
+            raise OSError(f"cannot publish {target}") from exc
+    return target

@@ -286,12 +286,13 @@ def title_job(parsed: DataFrame, archive: Archive | DataFrame, output: str, fiel
 # ------------------------------------------------------------------ JOB6
 def keyword_job(spark: SparkSession, folder: str, providers_path: str, output: str, completer, *, fields: Fields = DEFAULT,
                 model: str = "", base_url: str = "", max_per_file: int | None = None, max_concurrency: int | None = None,
-                summary_name: str = "keywords_summary.json", recursive: bool = True) -> DataFrame:
+                summary_name: str = "keywords_summary.json", recursive: bool = True, ledger: str | None = None, **sending) -> DataFrame:
     """A folder of language files in; records with keywords and the published summary out.
 
     Every reply is staged once; the output files (one folder per language file)
     and the statistics read the staged replies.  Returns the statistics by
-    language file with the total (NULL).
+    language file with the total (NULL).  With a ``ledger`` the job may be killed and called again: a request that has
+    its reply there is not sent again (``sending``: options of ``replies.send_missing``).
     """
     from corpusprep.operators import keywords as K
     from corpusprep.operators.split import write_summary
@@ -300,7 +301,7 @@ def keyword_job(spark: SparkSession, folder: str, providers_path: str, output: s
 
     records = valid_records(scan_language_folder(spark, folder, recursive=recursive))
     replies = K.generate(records, newspaper_country(read_providers(spark, providers_path)), completer, fields=fields,
-                         max_per_file=max_per_file, max_concurrency=max_concurrency)
+                         max_per_file=max_per_file, max_concurrency=max_concurrency, ledger=ledger, model=model, **sending)
     results = K.with_results(replies)
     write_jsonl(K.output_lines(results, fields).withColumnRenamed(LANG_FILE, "lang_file"), output, partition_by=["lang_file"])
     stats = K.keyword_stats(results, LANG_FILE)
@@ -313,9 +314,13 @@ def keyword_job(spark: SparkSession, folder: str, providers_path: str, output: s
 # ------------------------------------------------------------------ JOB8
 def chain(spark: SparkSession, parsed: DataFrame, archive: Archive | DataFrame, providers_path: str, output: str,
           p: ClassifyParams, completer, *, tp: str | None = "article", min_quality: float | None = 0.7,
-          min_length: int | None = 550, keyword_fields: Fields | None = None) -> DataFrame:
+          min_length: int | None = 550, keyword_fields: Fields | None = None, run_id: str = "r1", restart: bool = False) -> DataFrame:
     """The documented order end to end under ``output``, each step reading what the previous wrote.
 
+    Called again on the same output it goes on where it stopped: a step whose output is complete is
+    not done again, a labelling run ``run_id`` that is committed is not added to, and requests that have replies are not sent
+    again.  A new ``run_id`` adds a run to the store and redoes the steps behind it.  ``restart=True`` writes all steps anew
+    (other input or parameters), but for committed runs and replies, which stay.
     Returns the keyword statistics by language, the total as ``TOTAL``.
     """
     from corpusprep.operators.split import split_by_language
@@ -323,14 +328,25 @@ def chain(spark: SparkSession, parsed: DataFrame, archive: Archive | DataFrame,
     from corpusprep.sources.jsonl import read_jsonl
 
     base = output.rstrip("/")
-    filter_job(parsed, f"{base}/filtered", tp=tp, min_quality=min_quality, min_length=min_length)
-    run_sampling(spark, read_jsonl(spark, f"{base}/filtered"), f"{base}/store", archive, p, "r1")
-    store = S.read_store(spark, f"{base}/store")
-    write_jsonl(non_ad_export(store, p.target_per_language, p.fields), f"{base}/non_ads", order_by=SEQ)
-    title_job(read_jsonl(spark, f"{base}/non_ads"), archive, f"{base}/titled", p.fields)
-    split_by_language(read_jsonl(spark, f"{base}/titled"), f"{base}/per_language", summary_name=SPLIT_SUMMARY_NAME)
+    # what a step leaves when it is complete; a step is redone when one before it was
+    redo = restart
+    if redo or not S.path_exists(spark, f"{base}/filtered/_SUCCESS"):
+        filter_job(parsed, f"{base}/filtered", tp=tp, min_quality=min_quality, min_length=min_length)
+        redo = True
+    if run_id not in S.store_runs(spark, f"{base}/store"):
+        run_sampling(spark, read_jsonl(spark, f"{base}/filtered"), f"{base}/store", archive, p, run_id)
+        redo = True
+    if redo or not S.path_exists(spark, f"{base}/non_ads/_SUCCESS"):
+        store = S.read_store(spark, f"{base}/store")
+        write_jsonl(non_ad_export(store, p.target_per_language, p.fields), f"{base}/non_ads", order_by=SEQ)
+        redo = True
+    if redo or not S.path_exists(spark, f"{base}/titled/_SUCCESS"):
+        title_job(read_jsonl(spark, f"{base}/non_ads"), archive, f"{base}/titled", p.fields)
+        redo = True
+    if redo or not S.path_exists(spark, f"{base}/per_language/{SPLIT_SUMMARY_NAME}/_SUCCESS"):
+        split_by_language(read_jsonl(spark, f"{base}/titled"), f"{base}/per_language", summary_name=SPLIT_SUMMARY_NAME)
     stats = keyword_job(spark, f"{base}/per_language", providers_path, f"{base}/keywords", completer,
-                        fields=keyword_fields or p.fields)
+                        fields=keyword_fields or p.fields, ledger=f"{base}/replies")
     return stats.select(F.coalesce(F.col(LANG_FILE), F.lit("TOTAL")).alias("language"),
                         *[c for c in stats.columns if c not in (LANG_FILE, "_is_total")])
 

@@ -29,7 +29,7 @@ REPLY = "reply string, prompt_tokens bigint, completion_tokens bigint, total_tok
 _ROW = f"{HASH} string, {REPLY}, kind string"
 OK, FINAL, TRANSIENT = "ok", "final", "transient"
 #: Requests of one task: what a killed job may have to send again for each task that was running.
-PER_TASK = 16
+PER_TASK = 128
 
 Completer = Callable[[], Callable[[dict], dict]]
 

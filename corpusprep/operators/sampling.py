@@ -52,13 +52,11 @@ def sample_position(seed: int, key: str = RID):
 
 def _bounds(pool: DataFrame, n: int, lang_col: str) -> DataFrame:
     """``_bound`` per language: a little above n / count, or 1 where fewer than n pass it."""
-    from corpusprep.sources.staging import stage
-
     sizes = pool.groupBy(lang_col).agg(F.count(F.lit(1)).alias("_ids"))
-    sizes = stage(sizes.withColumn("_bound", F.lit(n + 4 * n ** 0.5 + 16) / F.col("_ids")), "sample_sizes")
+    sizes = sizes.withColumn("_bound", F.lit(n + 4 * n ** 0.5 + 16) / F.col("_ids"))
     passed = pool.join(sizes, lang_col).filter(F.col("_u") < F.col("_bound")).groupBy(lang_col).agg(F.count(F.lit(1)).alias("_passed"))
     enough = F.coalesce("_passed", F.lit(0)) >= F.least(F.lit(n), F.col("_ids"))
-    return stage(sizes.join(passed, lang_col, "left").select(lang_col, F.when(enough, F.col("_bound")).otherwise(1.0).alias("_bound")), "sample_bounds")
+    return sizes.join(passed, lang_col, "left").select(lang_col, F.when(enough, F.col("_bound")).otherwise(1.0).alias("_bound"))
 
 
 def sample_per_language(

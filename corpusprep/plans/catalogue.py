@@ -296,7 +296,7 @@ _MISSING = """missing AS (
     O.with_ctes(O.RECORDS, O.TITLES, _MISSING, body="SELECT id FROM missing ORDER BY id"),
 )
 def q_missing_title_ids(spark, sf_dir):
-    return enrich.missing_title_ids(V.parse_lines(V.title_rows(spark, sf_dir)))
+    return enrich.missing_title_ids(V.records_titles(spark, sf_dir))
 
 
 _TITLE_JOIN = f"""joined AS (
@@ -316,7 +316,7 @@ _TITLE_JOIN = f"""joined AS (
     O.with_ctes(O.RECORDS, O.TITLES, O.ARCHIVE, _TITLE_JOIN, body="SELECT id, title, t_state FROM joined"),
 )
 def q_enrich_title(spark, sf_dir):
-    out = enrich.enrich_titles(V.parse_lines(V.title_rows(spark, sf_dir)), _archive(spark, sf_dir))
+    out = enrich.enrich_titles(V.records_titles(spark, sf_dir), _archive(spark, sf_dir))
     return out.select(F.col("_tid").alias("id"), F.col("t_title").alias("title"), "t_state")
 
 
@@ -336,7 +336,7 @@ FROM joined""",
     ),
 )
 def q_title_stats(spark, sf_dir):
-    return enrich.title_stats(V.parse_lines(V.title_rows(spark, sf_dir)), _archive(spark, sf_dir))
+    return enrich.title_stats(V.records_titles(spark, sf_dir), _archive(spark, sf_dir))
 
 
 @register(
@@ -356,7 +356,7 @@ def q_title_stats(spark, sf_dir):
 def q_title_job(spark, sf_dir):
     """The file that the title job wrote, with the counters it returned beside every row."""
     out = scratch_path(spark, "titles")
-    counters = jobs.title_job(V.parse_lines(V.title_rows(spark, sf_dir)), _archive(spark, sf_dir), out).first()
+    counters = jobs.title_job(V.records_titles(spark, sf_dir), _archive(spark, sf_dir), out).first()
     v = F.col(VAR)
     return valid_records(read_jsonl(spark, out)).select(
         as_str(v, "id").alias("id"), as_str(v, "title").alias("title"),
@@ -375,7 +375,7 @@ FROM archive a WHERE a.id IN (SELECT id FROM missing)""",
     ),
 )
 def q_archive_lookup(spark, sf_dir):
-    ids = enrich.missing_title_ids(V.parse_lines(V.title_rows(spark, sf_dir)))
+    ids = enrich.missing_title_ids(V.records_titles(spark, sf_dir))
     found = archive.lookup(_archive(spark, sf_dir), ids, "id")
     return found.select(
         F.col("a_id").alias("id"), F.md5("a_text").alias("ft_md5"), F.col("a_len").alias("len"),
@@ -395,7 +395,7 @@ FROM (SELECT CASE WHEN contains(id, '-') THEN split_part(id, '-', 1) || '-' || s
     ),
 )
 def q_shard_plan(spark, sf_dir):
-    ids = enrich.missing_title_ids(V.parse_lines(V.title_rows(spark, sf_dir)))
+    ids = enrich.missing_title_ids(V.records_titles(spark, sf_dir))
     return enrich.shard_plan(ids, 120, "id")
 
 
@@ -1027,7 +1027,7 @@ FROM titled""",
     ),
 )
 def q_missing_title_counts(spark, sf_dir):
-    return enrich.missing_title_counts(V.parse_lines(V.title_rows(spark, sf_dir)))
+    return enrich.missing_title_counts(V.records_titles(spark, sf_dir))
 
 
 @register(

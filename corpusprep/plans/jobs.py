@@ -210,45 +210,61 @@ def profile_job(parsed: DataFrame, output: str, run_ts: str, *, mode: str = "per
 
 
 
+#: Marks of finished shards, beside a job's output: shard, input fingerprint, written after the shard is.
+SHARD_MARKS = "_shards"
+
+
 def profile_new_shards(records: DataFrame, output: str, run_ts: str, fields: Fields = DEFAULT) -> None:
-    """Profile only the ``(newspaper, yr)`` shards that have no output yet and
-    append them (the incremental build: skip what is done, never overwrite).
+    """Profile only the ``(newspaper, yr)`` shards of ``records`` that are not finished
+    under ``output`` (the incremental build: skip what is done, never overwrite it).
 
-    The shard of a record comes from its profile ID (``id``, else ``c_id``);
-    finished shards are the partition values already present under ``output``.
+    The shard of a record comes from its profile ID (``id``, else ``c_id``).  A shard is finished when its mark
+    is there; what an interrupted run left of others is replaced.
     Records without an ID have a blank shard, which Spark writes as its default
-    partition; it counts as finished like any other.
+    partition; it is marked like any other.  For an archive, whose files name their shards, see ``profile_shards``.
     """
     from corpusprep.operators.profile import profile_id
     from corpusprep.sources.archive import shard_of
 
-    spark = records.sparkSession
     news, year = shard_of(F.coalesce(profile_id(F.col(VAR)), F.lit("")))
     tagged = records.withColumn("newspaper", news).withColumn("yr", year)
-    done = finished_shards(spark, output)
-    if done is not None:
-        tagged = tagged.join(done, ["newspaper", "yr"], "left_anti")
-    prof = tagged.select(
-        "newspaper", "yr", *[c.alias(n) for c, n in zip(_profile_cols(run_ts, fields), ["id", "length", "alphabetic_ratio", "ts"])]
-    )
-    lines = prof.select(F.to_json(F.struct("id", "length", "alphabetic_ratio", "ts")).alias("value"), "newspaper", "yr")
-    lines.sortWithinPartitions("newspaper", "yr").write.mode("append").partitionBy("newspaper", "yr").text(output)
+    tagged = tagged.join(finished_shards(records.sparkSession, output).select("newspaper", "yr"), ["newspaper", "yr"], "left_anti")
+    _write_shards(tagged, output, run_ts, fields)
+
+
+def profile_shards(archive: Archive, output: str, run_ts: str, fields: Fields = DEFAULT) -> None:
+    """Profile the archive's shards that are new or whose files changed since they were profiled.
 
+    Names, sizes and times of the files are compared with the marks before anything is read: no file of a finished
+    shard is opened.  A changed or half-written shard is replaced as a whole.
+    """
+    from corpusprep.sources.staging import stage
 
-def finished_shards(spark: SparkSession, output: str) -> DataFrame | None:
-    """``(newspaper, yr)`` folders already written under ``output``, from the
-    file listing (folder names only; no data file is opened)."""
-    import re
+    done = finished_shards(archive.spark, output)
+    todo = stage(archive.fingerprints().join(done, ["newspaper", "yr", "fingerprint"], "left_anti"), "shards_todo")
+    _write_shards(archive.records(todo.select("newspaper", "yr")), output, run_ts, fields, todo)
 
-    if not S.path_exists(spark, output):
-        return None
-    files = spark.read.format("text").load(output).inputFiles()
-    pairs = sorted({m.groups() for f in files if (m := re.search(r"/newspaper=([^/]+)/yr=([^/]+)/", f))})
-    from urllib.parse import unquote
 
-    name = lambda x: "" if x == "__HIVE_DEFAULT_PARTITION__" else unquote(x)
-    rows = [(name(n), name(y)) for n, y in pairs]
-    return spark.createDataFrame(rows, "newspaper string, yr string")
+def _write_shards(tagged: DataFrame, output: str, run_ts: str, fields: Fields, todo: DataFrame | None = None) -> None:
+    """Profiles of ``tagged`` records in a folder for each shard, then the marks of the shards (``todo``: with their fingerprints)."""
+    from corpusprep.sources.staging import stage
+
+    prof = tagged.select(
+        "newspaper", "yr", *[c.alias(n) for c, n in zip(_profile_cols(run_ts, fields), ["id", "length", "alphabetic_ratio", "ts"])]
+    )
+    lines = prof.select(F.to_json(F.struct("id", "length", "alphabetic_ratio", "ts")).alias("value"), "newspaper", "yr")
+    if todo is None:  # the shards are known from the records alone: keep the profiles
+        lines = stage(lines, "shard_profiles")
+        todo = lines.select("newspaper", "yr").distinct().withColumn("fingerprint", F.lit(""))
+    (lines.sortWithinPartitions("newspaper", "yr").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("newspaper", "yr").text(output))
+    todo.select("newspaper", "yr", "fingerprint").write.mode("append").parquet(f"{output.rstrip('/')}/{SHARD_MARKS}")
+
+
+def finished_shards(spark: SparkSession, output: str) -> DataFrame:
+    """The marks under ``output``: (newspaper, yr, fingerprint of the input)."""
+    marks, schema = f"{output.rstrip('/')}/{SHARD_MARKS}", "newspaper string, yr string, fingerprint string"
+    return spark.read.schema(schema).parquet(marks) if S.path_exists(spark, marks) else spark.createDataFrame([], schema)
 
 
 def _profile_cols(run_ts: str, fields: Fields):

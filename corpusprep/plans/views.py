@@ -176,6 +176,11 @@ def title_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def records_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed lines of the title job's input."""
+    return jsonl_view(spark, sf_dir, "titles", lambda: title_rows(spark, sf_dir))
+
+
 def processed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled store: records with doc_id%7=0 and the rule label, in doc_id order."""
     from corpusprep.plans.doubles import rule_label

@@ -49,14 +49,8 @@ class Archive:
 
         ``shards`` (``newspaper, yr``) limits the scan to those shards, before anything is parsed.
         """
-        if self.layout == "shard_files":
-            lines = self._shard_file_lines(shards)
-        elif self.layout == "partitioned":
-            lines = self._partition_lines(shards)
-        else:
-            raise ValueError(f"unknown archive layout {self.layout!r}")
         v = F.col(VAR)
-        return valid_records(parse_lines(lines.withColumn(SEQ, line_seq(None, F.col(FILE), F.col("_block"))).drop("_block"))).select(
+        return self.records(shards).select(
             NEWSPAPER, YEAR, SEQ,
             as_str(v, self.match_field).alias("a_id"),
             as_str(v, self.text_field).alias("a_text"),
@@ -64,15 +58,36 @@ class Archive:
             as_str(v, self.title_field).alias("a_title"),
         )
 
+    def records(self, shards: DataFrame | None = None) -> DataFrame:
+        """The valid records themselves with shard columns and line position."""
+        if self.layout == "shard_files":
+            lines = self._shard_file_lines(shards)
+        elif self.layout == "partitioned":
+            lines = self._partition_lines(shards)
+        else:
+            raise ValueError(f"unknown archive layout {self.layout!r}")
+        return valid_records(parse_lines(lines.withColumn(SEQ, line_seq(None, F.col(FILE), F.col("_block"))).drop("_block")))
+
     def shards(self) -> DataFrame:
         """The shards that the archive holds (``newspaper, yr``, and ``file`` for shard files): from file names, no file is opened."""
+        files = self.files()
+        return files.select(NEWSPAPER, YEAR, "file").distinct() if self.layout == "shard_files" else files.select(NEWSPAPER, YEAR).distinct()
+
+    def files(self) -> DataFrame:
+        """(newspaper, yr, file, length, modified) of every file, from its status; no file is opened."""
         files = self.spark.read.format("binaryFile")
+        name = F.substring_index("path", "/", -1)
+        facts = [name.alias("file"), "length", F.col("modificationTime").alias("modified")]
         if self.layout == "shard_files":
-            names = files.option("recursiveFileLookup", "true").load(self.path).select("path")
-            name = F.element_at(F.split("path", "/"), -1)
-            return names.select(*_shard_of_file(name), name.alias("file")).filter(name.rlike(_SHARD_FILE_RE)).distinct()
+            found = files.option("recursiveFileLookup", "true").load(self.path).filter(name.rlike(_SHARD_FILE_RE))
+            return found.select(*_shard_of_file(name), *facts)
         typed = files.schema(f"path string, modificationTime timestamp, length bigint, content binary, {NEWSPAPER} string, {YEAR} string")
-        return typed.load(self.path).select(NEWSPAPER, YEAR).distinct()
+        return typed.load(self.path).select(NEWSPAPER, YEAR, *facts)
+
+    def fingerprints(self) -> DataFrame:
+        """(newspaper, yr, fingerprint): names, sizes and times of a shard's files."""
+        file = F.concat_ws(":", "file", F.col("length").cast("string"), F.unix_micros("modified").cast("string"))
+        return self.files().groupBy(NEWSPAPER, YEAR).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(file)), "|"), 256).alias("fingerprint"))
 
     def _partition_lines(self, shards: DataFrame | None) -> DataFrame:
         raw = self.spark.read.schema(f"value string, {NEWSPAPER} string, {YEAR} string").text(self.path)

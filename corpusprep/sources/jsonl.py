@@ -139,6 +139,7 @@ def line_counts(parsed: DataFrame) -> DataFrame:
         F.count_if(s == "invalid").alias("invalid_json_lines"),
         F.count_if(s == "not_object").alias("non_object_lines"),
         F.count_if(s == "bad_utf8").alias("bad_utf8_lines"),
+        F.count_if(s == "too_large").alias("too_large_lines"),
     )
 
 

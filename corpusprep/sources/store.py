@@ -77,12 +77,27 @@ def _child(path: str, *names: str) -> str:
     return "/".join([path.rstrip("/"), *names])
 
 
+#: Manifests that this process has read; a manifest never changes.
+_READ: dict[str, Commit] = {}
+
+
 def commits(spark: SparkSession, path: str) -> list[Commit]:
     """The store's log in order: one small manifest for each run, no data file is listed."""
-    if not path_exists(spark, _child(path, COMMITS)):
+    fs, folder = _fs(spark, _child(path, COMMITS))
+    if not fs.exists(folder):
         return []
-    docs = spark.read.text(_child(path, COMMITS), wholetext=True, pathGlobFilter="*.json").collect()
-    return sorted((Commit(**json.loads(d["value"])) for d in docs), key=lambda c: c.version)
+    to_text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString
+    log = []
+    for status in fs.listStatus(folder):
+        name = status.getPath().toString()
+        if not name.endswith(".json"):
+            continue
+        if name not in _READ:
+            stream = fs.open(status.getPath())
+            _READ[name] = Commit(**json.loads(to_text(stream, "UTF-8")))
+            stream.close()
+        log.append(_READ[name])
+    return sorted(log, key=lambda c: c.version)
 
 
 def store_version(spark: SparkSession, path: str) -> int:

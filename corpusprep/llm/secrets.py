@@ -65,14 +65,19 @@ CLASSES = (
 )
 
 ALLOW = (
-    "^[A-Za-z]?[a-z]*(?:[-_/+=]+[A-Za-z]?[a-z]*)*$",  # words and paths of words
-    "^[A-Z]*(?:[-_/+=]+[A-Z]*)*$",  # the same in capitals
+    # possessive groups: what follows a word begins with a separator, so nothing is ever given back, and a group
+    # that never gives back takes no stack, however long the candidate is
+    "^[A-Za-z]?[a-z]*(?:[-_/+=]+[A-Za-z]?[a-z]*)*+$",  # words and paths of words
+    "^[A-Z]*(?:[-_/+=]+[A-Z]*)*+$",  # the same in capitals
     "^[0-9_/+=-]+$",  # digit groups, dates, rulers
     "[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",  # UUIDs
     "([-_/+=A-Za-z0-9])\\1{9,}",  # long repeats
     "(?i)example|placeholder|xxxx|changeme",  # marked as no secret
 )
 
+#: Matches that are placed in one go.
+RUN = 256
+
 _SPANS = "array<struct<start:int,rank:int,end:int>>"
 
 
@@ -91,16 +96,30 @@ def _matches(text: Column, regex: str, value_group: int) -> Column:
     found = F.regexp_extract_all(text, F.lit(regex), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(regex), F.lit(value_group)) if value_group else found
     parts = F.arrays_zip(F.split(text, regex, -1).alias("gap"), found.alias("found"), value.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,found:string,value:string>>").alias("out"))
+    kind = "array<struct<start:int,found:string,value:string>>"
+
+    def run(some):
+        """The matches of a run of parts, counted from the run's start, and where it ends."""
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+
+        def step(acc, part):
+            at = acc["at"] + F.char_length(part["gap"])
+            item = F.struct(at.alias("start"), part["found"].alias("found"), part["value"].alias("value"))
+            # the last gap has no match behind it
+            return F.when(part["found"].isNull(), acc).otherwise(F.struct(
+                (at + F.char_length(part["found"])).alias("at"), F.concat(acc["out"], F.array(item)).alias("out")))
+
+        return F.aggregate(some, begin, step)
 
-    def step(acc, part):
-        at = acc["at"] + F.char_length(part["gap"])
-        item = F.struct(at.alias("start"), part["found"].alias("found"), part["value"].alias("value"))
-        # the last gap has no match behind it
-        return F.when(part["found"].isNull(), acc).otherwise(F.struct(
-            (at + F.char_length(part["found"])).alias("at"), F.concat(acc["out"], F.array(item)).alias("out")))
+    def shift(runs):
+        """Runs of runs: where each begins is the sum of those before it."""
+        begins = F.aggregate(runs, F.array(F.lit(0)), lambda acc, r: F.concat(acc, F.array(F.element_at(acc, -1) + r["at"])))
+        return _let(begins, lambda b: F.flatten(F.transform(runs, lambda r, i: F.transform(r["out"], lambda m: F.struct(
+            (m["start"] + F.element_at(b, i + 1)).alias("start"), m["found"].alias("found"), m["value"].alias("value"))))))
 
-    return F.aggregate(parts, start, step, lambda acc: acc["out"])
+    # arrays grow by copying: only within runs, so that a text of many matches does not cost their square
+    return _let(parts, lambda p: _let(F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(p) - 1) / RUN).cast("int")), lambda k: run(F.slice(p, k * RUN + 1, F.lit(RUN)))), shift))
 
 
 def _base_spans(text: Column, p: Pattern) -> Column:
@@ -228,7 +247,8 @@ def oracle_sql() -> str:
                      f"WHERE length(value) >= {p.min_length}")
     parts.append("base AS (" + " UNION ALL ".join(union) + ")")
     parts.append(_sql_matches("m_cand", CANDIDATE, 0))
-    allow = " AND ".join("NOT regexp_matches(found, '{}')".format(a) for a in ALLOW if "\\1" not in a)
+    # DuckDB's engine knows no possessive groups and needs none
+    allow = " AND ".join("NOT regexp_matches(found, '{}')".format(a.replace(")*+$", ")*$")) for a in ALLOW if "\\1" not in a)
     repeats = " AND ".join(f"NOT contains(found, repeat('{c}', 10))" for c in
                            "-_/+=0123456789" + "".join(map(chr, range(65, 91))) + "".join(map(chr, range(97, 123))))
     cls = "CASE " + " ".join(f"WHEN regexp_matches(found, '{c.regex}') THEN {i}" for i, c in enumerate(CLASSES)) + " END"

@@ -8,7 +8,7 @@ waiting one, and the last tokens of a partition go into sequences of power-of-tw
 is padded.  With ``cut=False`` (instruction data) an example stays in one piece unless it is
 longer than a sequence.
 
-Every Spark partition packs its own rows in one pass, with at most ``WAITING`` pieces in memory, and
+Every Spark partition packs its own rows in one pass, with at most ``WAITING`` pieces (or those of one sequence, if they are more) in memory, and
 numbers its sequences from its partition number on: no shuffle, nothing central, and a lost task is redone alone.
 
 Tokenising: ids of a byte-level BPE vocabulary.  A place between a visible character and a space always
@@ -148,7 +148,8 @@ class Packer:
             start += longest
         if start < total:
             self.wait((doc, start, ids[start:], total, bears))
-        while len(self.items) > WAITING:
+        # a sequence is begun when enough waits for a full one, however short the pieces are
+        while len(self.items) > WAITING and (self.demand[:, 0].sum() >= self.limits[0] or len(self.items) >= self.limits[1]):
             self.fill()
 
     def wait(self, item: tuple) -> None:
@@ -197,12 +198,14 @@ class Packer:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", loss_col: str | None = None, max_tokens: int = 1024,
-         max_segments: int = 64, max_loss: int = 1024, cut: bool = True, ranks: str = "byte_bpe_50k.tiktoken",
+         max_segments: int | None = None, max_loss: int = 1024, cut: bool = True, ranks: str = "byte_bpe_50k.tiktoken",
          pattern: str | None = None, with_ids: bool = False) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens (and ids).
 
     ``loss_col`` names a boolean column: false for texts that bear no loss (prompts); null counts as true.
+    Without ``max_segments`` as many pieces share a sequence as its tokens allow.
     """
+    max_segments = max_segments or max_tokens
     ids_kind = ", ids array<int>" if with_ids else ""
     schema = ("id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long" + ids_kind)
     bears = F.coalesce(F.col(loss_col).cast("boolean"), F.lit(True)) if loss_col else F.lit(True)

@@ -402,3 +402,29 @@ def test_toxicity_awkward(spark, awkward, empty):
     rows = model.score(awkward).collect()
     assert len(rows) == awkward.count() and all(0 <= r["score"] <= 1 for r in rows)
     assert model.score(empty).count() == 0
+
+
+def test_secrets_in_very_long_candidates(spark):
+    """A megabyte of each kind of candidate, path-like ones above all, ends in spans or none, not in a stack overflow."""
+    texts = ["a/" * 500_000 + "1", "A/" * 500_000 + "b", "a" * 1_000_000, "-" * 1_000_000, "0123456789" * 100_000, "Ab/" * 2000 + "k9Zq3LmP7vX2cB8nR4tW6yD1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n"] for r in secrets.find_secrets(df).select("doc_id", F.size("secrets.entropy").alias("n")).collect()}
+    assert set(got) == set(range(len(texts)))
+
+
+def test_secrets_many_matches_in_one_text(spark):
+    text = "token=abcdef12 " * 50_000
+    row = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).select(
+        F.size("secrets.base").alias("n"), F.element_at("secrets.base", -1).alias("last"), F.element_at("secrets.base", 257).alias("at")).first()
+    assert row["n"] == 50_000 and row["last"]["start"] == 15 * 49_999 and row["at"]["start"] == 15 * 256 and row["at"]["end"] == 15 * 256 + 14
+
+
+@pytest.mark.parametrize("low,high", [(0, 7), (3, 13)])
+def test_packing_of_short_pieces_pads_little(spark, low, high):
+    rng = random.Random(low)
+    rows = [(i, " ".join(rng.choice(["word", "text", "line"]) for _ in range(rng.randint(low, high)))) for i in range(20_000)]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2), max_tokens=1024, cut=True)
+    by = out.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    used = sum(r["n"] for r in by)
+    padded = sum(0 if r["n"] & (r["n"] - 1) == 0 else 1024 - r["n"] for r in by)
+    assert padded <= 0.02 * used and out.select("id").distinct().count() == 20_000

@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, stage
+from .common import stage
 
 BUCKETS = 1 << 16
 #: Longs that are sent to all tasks at most (16 bytes each in a hash table).
@@ -39,13 +39,18 @@ def _line_hash(line: Column) -> list[Column]:
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text_hash, pos, line) of all lines with a word."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.split(F.col(text_col), "\n", -1).alias("lines"))
-    return rows.select("id", "text_hash", F.posexplode("lines").alias("pos", "line")).filter(F.col("line").rlike(WORD))
+    return rows.select("id", "text_hash", F.posexplode("lines").alias("pos", "line")).filter(F.btrim("line", F.lit(" \t\x0b\x0c\r")) != "")
 
 
 def _words(line: Column) -> Column:
     return F.array_remove(F.split(F.translate(line, "\t\x0b\x0c\r", "    "), " ", -1), "")
 
 
+def _place() -> Column:
+    """Where a line stands: documents by id (null ids last) and a hash of the text, lines by number."""
+    return F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "pos")
+
+
 def _bucket(word_hash: Column) -> Column:
     return word_hash.bitwiseAND(BUCKETS - 1).cast("int")
 
@@ -55,15 +60,22 @@ _LOW = (1 << 58) - 1
 
 def _tokens(line: Column, n: int, classes: Column) -> Column:
     """Different tokens of a line, rarest first: 5 bits of the rarest word's frequency class, 58 bits of hash."""
-    key = lambda h: F.shiftleft(F.get(classes, _bucket(h)).cast("bigint"), 58).bitwiseOR(h.bitwiseAND(_LOW))
+    key = lambda h: F.shiftleft(F.get(classes, _bucket(h)).cast("bigint"), 58).bitwiseOR(h.bitwiseAND(F.lit(_LOW)))
     words = F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), key)
 
     def runs(w):
         size = F.size(w)
-        token = lambda head, h: head.bitwiseAND(~_LOW).bitwiseOR(h.bitwiseAND(_LOW))
-        run = lambda i: token(F.array_min(F.slice(w, i + 1, F.lit(n))), F.xxhash64(F.slice(w, i + 1, F.lit(n))))
-        return F.when(size < n, F.array(token(F.array_min(w), F.xxhash64(F.lit(0), w)))).otherwise(
-            F.transform(F.sequence(F.lit(0), F.greatest(size - n, F.lit(0))), run))
+        low = lambda h: h.bitwiseAND(F.lit(_LOW))
+        fields = [f"w{i}" for i in range(n)]
+        # the words of a run side by side, so that a token costs n steps, however long the line is
+        beside = F.arrays_zip(*[(w if i == 0 else F.slice(w, i + 1, F.greatest(size - i, F.lit(0)))).alias(f) for i, f in enumerate(fields)])
+
+        def token(z):
+            parts = [z[f] for f in fields]
+            return (F.least(*parts) if n > 1 else parts[0]).bitwiseAND(F.lit(~_LOW)).bitwiseOR(low(F.xxhash64(*parts)))
+
+        short = F.array(F.array_min(w).bitwiseAND(F.lit(~_LOW)).bitwiseOR(low(F.xxhash64(F.lit(0), w))))
+        return F.when(size < n, short).otherwise(F.transform(F.slice(beside, 1, F.greatest(size - (n - 1), F.lit(1))), token))
 
     return F.sort_array(F.array_distinct(F.element_at(F.transform(F.array(words), runs), 1)))
 
@@ -82,60 +94,108 @@ def _part(size: Column, num: int, den: int) -> Column:
     return F.floor((size * num + (den - 1)) / den).cast("int")
 
 
-def linked_lines(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Classes (h1, h2, size, first) of equal lines, and (a, a2, b, b2): pairs of class hashes that are linked."""
-    lines = _lines(docs, id_col, text_col)
-    classes_of = F.from_json(F.lit(json.dumps(frequency_classes(lines))), "array<tinyint>")
+def _class_table(lines: DataFrame, tokens: Column, num: int, den: int) -> DataFrame:
+    """Classes of equal lines: (h1, h2, first, times, size, prefix), ``first`` being the place of the first occurrence."""
     h1, h2 = _line_hash(F.col("line"))
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "pos")
     size = F.size("keys")
-    whole = lines.select(h1.alias("h1"), h2.alias("h2"), place.alias("place"), _tokens(F.col("line"), n, classes_of).alias("keys"))
     prefix = F.slice("keys", 1, F.greatest(F.lit(1), size - _part(size, num, den) + 1))
-    classes = stage(
-        whole.select("h1", "h2", "place", size.alias("size"), prefix.alias("prefix"))
-        .groupBy("h1", "h2").agg(F.min("place").alias("first"), F.first("size").alias("size"), F.first("prefix").alias("prefix")), "line_classes")
-
-    # (key, line, size and place in one number), dealt by key once for both sides of the join
-    entry = F.posexplode("prefix").alias("at", "key")
-    entries = classes.select(F.col("h1").alias("line"), "size", entry).select(
-        "key", "line", (F.col("size").cast("bigint") * (1 << 32) + F.col("at")).alias("packed")).repartition("key")
-    side = lambda x: entries.select(
-        "key", F.col("line").alias(x), F.floor(F.col("packed") / (1 << 32)).alias(f"n{x}"), (F.col("packed") % (1 << 32)).alias(f"p{x}"))
-    left, right = side("a"), side("b")
-    fits = (den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
-    # J >= t needs this overlap; behind a shared key at most the shorter rest can be shared
-    need = F.ceil((F.col("na") + F.col("nb")) * num / (num + den) - 1e-9)
-    rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    met = left.join(right, "key").filter((F.col("a") < F.col("b")) & fits & (F.least("pa", "pb") + rest >= need))
-    # all shared keys of a pair's prefixes: as many as there are, and the rest behind the last one
-    pairs = stage(met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min(rest).alias("rest"), F.max(need).alias("need"))
-                  .filter(F.col("shared") + F.col("rest") - 1 >= F.col("need")).select("a", "b"), "line_pairs")
-
-    wanted = stage(pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct(), "line_wanted")
-    marked = F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted
-    some = lines.select("line", h1.alias("h1"), h2.alias("h2")).join(marked, "h1", "left_semi")
-    sets = stage(some.select("h1", "h2", _tokens(F.col("line"), n, classes_of).alias("tokens")).dropDuplicates(["h1", "h2"]), "line_sets")
-    left = sets.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("tokens").alias("tb"))
+    return stage(
+        lines.select(h1.alias("h1"), h2.alias("h2"), _place().alias("place"), tokens.alias("keys"))
+        .select("h1", "h2", "place", size.alias("size"), prefix.alias("prefix"))
+        .groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("times"), F.first("size").alias("size"),
+                                 F.first("prefix").alias("prefix")), "line_classes")
+
+
+def _shared_keys(classes: DataFrame) -> DataFrame:
+    """(key, line, id, packed, lead, lead_packed) for each line that shares a prefix key with an earlier one, the first of which leads.
+
+    ``packed`` holds a line's size and the key's place in it.  Keys of one line only go here and are written no more.
+    """
+    entries = classes.select(F.col("h1").alias("line"), F.col("first")["id"].alias("id"), "size", F.posexplode("prefix").alias("at", "key")).select(
+        "key", "line", "id", (F.col("size").cast("bigint") * (1 << 32) + F.col("at")).alias("packed")).repartition("key")
+    leaders = entries.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "line", "packed")).alias("lead")).filter("n > 1")
+    met = entries.join(leaders.select("key", F.col("lead")["line"].alias("lead"), F.col("lead")["packed"].alias("lead_packed")), "key")
+    return stage(met.filter("line <> lead"), "line_keys")
+
+
+def _may_link(pa: Column, pb: Column, num: int, den: int) -> tuple[Column, Column, Column]:
+    """Whether two lines with a shared key can be linked, by sizes and places; the overlap they need, and what is left from the key on."""
+    size, at = lambda p: F.shiftright(p, 32), lambda p: p.bitwiseAND(F.lit((1 << 32) - 1))
+    fits = den * F.least(size(pa), size(pb)) >= num * F.greatest(size(pa), size(pb))
+    # J >= t needs this overlap; from a shared key on, at most the shorter rest can be shared
+    need = F.ceil((size(pa) + size(pb)) * num / (num + den) - 1e-9)
+    rest = F.least(size(pa) - at(pa), size(pb) - at(pb))
+    return fits & (F.least(at(pa), at(pb)) + rest >= need), need, rest
+
+
+def _settle(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(h1, h2): of each pair (a, b) of line names that is linked, the class that occurs later."""
+    side = lambda x: sets.select(F.col("h1").alias(x), F.col("h2").alias(f"{x}2"), F.col("first").alias(f"f{x}"), F.col("tokens").alias(f"t{x}"))
     both = F.size(F.array_intersect("ta", "tb"))
     linked = den * both >= num * (F.size("ta") + F.size("tb") - both)
-    return classes, stage(pairs.join(left, "a").join(right, "b").filter(linked).select("a", "a2", "b", "b2"), "line_links")
+    found = pairs.join(side("a"), "a").join(side("b"), "b").filter(linked)
+    later = F.when(F.col("fa") > F.col("fb"), F.struct(F.col("a").alias("h1"), F.col("a2").alias("h2"))).otherwise(
+        F.struct(F.col("b").alias("h1"), F.col("b2").alias("h2")))
+    return found.select(later.alias("later")).select("later.h1", "later.h2").distinct()
+
+
+def _line_sets(lines: DataFrame, names: DataFrame, classes: DataFrame, tokens: Column) -> DataFrame:
+    """(h1, h2, first, tokens) of the classes with these names (h1)."""
+    h1, h2 = _line_hash(F.col("line"))
+    names = stage(names.distinct(), "line_wanted")
+    marked = F.broadcast(names) if names.count() <= BROADCAST_KEYS else names
+    some = lines.select("line", h1.alias("h1"), h2.alias("h2"), _place().alias("place")).join(marked, "h1", "left_semi")
+    # one occurrence of each class is split into tokens
+    first = classes.join(marked, "h1", "left_semi").select("h1", "h2", "first")
+    once = some.join(first, (some["h1"] == first["h1"]) & (some["h2"] == first["h2"]) & (some["place"] == first["first"])).select(
+        first["h1"], first["h2"], "first", "line").dropDuplicates(["h1", "h2"])
+    return stage(once.select("h1", "h2", "first", tokens.alias("tokens")), "line_sets")
+
+
+def settled_lines(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Classes (h1, h2, first, times) of equal lines, and (h1, h2) of those that are linked with a class that occurs earlier.
+
+    A line is lost as soon as one earlier line is linked, so all lines are first compared with the first line of each of
+    their keys only: a group of near copies costs as many comparisons as it has lines.  Those that are settled by it
+    look for no other partner (they stay partners for later lines); only the rest meets all lines of its keys.
+    """
+    lines = _lines(docs, id_col, text_col)
+    tokens = _tokens(F.col("line"), n, F.from_json(F.lit(json.dumps(frequency_classes(lines))), "array<tinyint>"))
+    classes = _class_table(lines, tokens, num, den)
+    keys = _shared_keys(classes)
+
+    possible, _, _ = _may_link(F.col("packed"), F.col("lead_packed"), num, den)
+    pairs = stage(keys.filter(possible).select(F.col("line").alias("a"), F.col("lead").alias("b")).distinct(), "line_pairs")
+    sets = _line_sets(lines, pairs.select(F.col("a").alias("h1")).union(pairs.select("b")), classes, tokens)
+    settled = stage(_settle(pairs, sets, num, den), "line_settled")
+    # names all of whose classes are settled
+    open_names = sets.join(settled, ["h1", "h2"], "left_anti").select("h1")
+    closed = settled.select("h1").distinct().join(open_names, "h1", "left_anti").select(F.col("h1").alias("line"))
+
+    left = keys.join(closed, "line", "left_anti").select("key", F.col("line").alias("a"), F.col("id").alias("ia"), F.col("packed").alias("pa"))
+    right = keys.select("key", F.col("line").alias("b"), F.col("id").alias("ib"), F.col("packed").alias("pb"))
+    possible, need, rest = _may_link(F.col("pa"), F.col("pb"), num, den)
+    earlier = F.col("ia").isNull() | (F.col("ib") <= F.col("ia"))
+    met = left.join(right, "key").filter((F.col("a") != F.col("b")) & earlier & possible)
+    # pairs none of which leads a shared key: all shared keys of their prefixes are here, and the rest behind the last one
+    more = stage(met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min(rest).alias("rest"), F.max(need).alias("need"))
+                 .filter(F.col("shared") + F.col("rest") - 1 >= F.col("need")).select("a", "b").join(pairs, ["a", "b"], "left_anti"), "line_pairs")
+    names = more.select(F.col("a").alias("h1")).union(more.select("b")).join(sets.select("h1"), "h1", "left_anti")
+    sets = sets.unionByName(_line_sets(lines, names, classes, tokens))
+    return classes.select("h1", "h2", "first", "times"), settled.unionByName(_settle(more, sets, num, den)).distinct()
 
 
 def removed_lines(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text_hash, removed): the line numbers that a document loses, where there are any."""
-    classes, links = linked_lines(docs, n, num, den, id_col, text_col)
-    first = classes.select("h1", "h2", "first")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("b2").alias("a2"), F.col("a").alias("b"), F.col("a2").alias("b2")))
-    # the first occurrence of each class's linked classes
-    others = (both.join(first.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), "first"), ["b", "b2"])
-              .groupBy(F.col("a").alias("h1"), F.col("a2").alias("h2")).agg(F.min("first").alias("other")))
+    classes, settled = settled_lines(docs, n, num, den, id_col, text_col)
+    # a class's later occurrences go, and its first one if the class is settled
+    firsts = classes.join(settled, ["h1", "h2"], "left_semi").select("first.id", "first.text_hash", "first.pos")
+    repeated = stage(classes.filter("times > 1").select("h1", "h2", "first"), "line_repeated")
     h1, h2 = _line_hash(F.col("line"))
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "pos")
-    occurrences = _lines(docs, id_col, text_col).select("id", "text_hash", "pos", place.alias("place"), h1.alias("h1"), h2.alias("h2"))
-    fate = stage(classes.select("h1", "h2", "first").join(others, ["h1", "h2"], "left"), "line_fate")
-    later = occurrences.join(fate, ["h1", "h2"]).filter((F.col("place") > F.col("first")) | (F.col("other") < F.col("place")))
-    return later.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
+    occurrences = _lines(docs, id_col, text_col).select(_place().alias("place"), h1.alias("h1"), h2.alias("h2"))
+    later = occurrences.join(repeated, ["h1", "h2"]).filter(F.col("place") > F.col("first")).select("place.id", "place.text_hash", "place.pos")
+    return firsts.unionByName(later).groupBy("id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+import threading
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,10 +24,43 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _note(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_scopes = threading.local()
+
+
+def _note(path: str) -> None:
+    """The innermost ``stage_alone`` under way deletes ``path`` at its end."""
+    if getattr(_scopes, "open", None):
+        _scopes.open[-1].append(path)
+
+
+def stage_alone(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``stage`` of what ``build`` returns; all tables that ``build`` staged on the way are deleted when it is written.
+
+    They are deleted, too, where ``build`` or the write fails.
+    """
+    path = scratch_path(spark, name)
+    _scopes.open = [*getattr(_scopes, "open", []), []]
+    try:
+        df = build()
+        df.write.parquet(path)
+    finally:
+        for made in _scopes.open.pop():
+            delete(spark, made)
+    _note(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a staged table from the shared folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 

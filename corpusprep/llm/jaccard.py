@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import stage
+from .common import stage, stage_alone
 from .components import components
 
 #: Upper border over lower border of a size class.
@@ -180,22 +180,31 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, both long")
 
 
-def _grouped(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_hash, size, root) of every row; rows with one root are a component, it is null for empty sets."""
-    classes = Classes(num, den)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
-    rows = stage(_read(texts, n, classes), "jaccard_rows")
-    points = rows.filter(F.size("regions") > 0).dropDuplicates(["cid"]).select("cid", "size", F.explode("regions").alias("region"))
+def _members(rows: DataFrame) -> DataFrame:
+    """(region, cid, size, far): the classes of each region that holds more than one, regions with the same members once."""
+    # dealt by region once, for both sides of the join
+    points = rows.filter(F.size("regions") > 0).dropDuplicates(["cid"]).select("cid", "size", F.explode("regions").alias("region")).repartition("region")
     shared = points.groupBy("region").agg(F.min("cid").alias("x"), F.max("cid").alias("y")).filter("x < y").select("region")
     members = stage(points.join(shared, "region"), "jaccard_members")
-    # regions with the same members are one
     names = members.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("s1"),
                                           F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("s2"))
     one = names.groupBy("n", "s1", "s2").agg(F.min("region").alias("region")).select("region")
-    members = stage(members.join(one, "region").withColumn("far", F.lit(True)), "jaccard_regions")
+    return members.join(one, "region").withColumn("far", F.lit(True))
+
+
+def _grouped(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, text_hash, size, root) of every row; rows with one root are a component, it is null for empty sets."""
+    return stage_alone(docs.sparkSession, "jaccard_groups", lambda: _group(docs, n, num, den, id_col, text_col))
+
+
+def _group(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    classes = Classes(num, den)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
+    rows = stage(_read(texts, n, classes), "jaccard_rows")
+    members = stage_alone(rows.sparkSession, "jaccard_regions", lambda: _members(rows))
     sets = _sets(texts, stage(members.select("cid").distinct(), "jaccard_wanted"), rows, n)
 
-    links = stage(_links(members, sets, num, den), "jaccard_links")
+    links = stage_alone(rows.sparkSession, "jaccard_links", lambda: _links(members, sets, num, den))
     roots = stage(components(links, "jaccard").withColumnRenamed("node", "cid"), "jaccard_roots")
     return rows.select("id", "text_hash", "size", "cid").join(roots, "cid", "left").select(
         "id", "text_hash", "size", F.coalesce("root", "cid").alias("root"))

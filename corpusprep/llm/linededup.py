@@ -7,6 +7,8 @@ word, so tokens with a rare word come first and those of common passages last.
 sizes differ by t at most (length filter), and the place of the shared token limits what they can still share
 (positional filter).  Surviving pairs are verified on their whole token sets.
 
+Lines are compared with the first line of each of their keys first; what that settles looks for no other partner.
+
 A line occurrence is removed when an equal or linked line occurs earlier; documents are ordered by id (null ids
 last, then by a hash of the text), lines by their number.  Equal lines are one class with its first occurrence, so a
 line that occurs a billion times is compared once.
@@ -24,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import stage, stage_alone
 
 BUCKETS = 1 << 16
 #: Longs that are sent to all tasks at most (16 bytes each in a hash table).
@@ -188,6 +190,10 @@ def settled_lines(docs: DataFrame, n: int, num: int, den: int, id_col: str, text
 
 def removed_lines(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text_hash, removed): the line numbers that a document loses, where there are any."""
+    return stage_alone(docs.sparkSession, "line_removed", lambda: _removed(docs, n, num, den, id_col, text_col))
+
+
+def _removed(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     classes, settled = settled_lines(docs, n, num, den, id_col, text_col)
     # a class's later occurrences go, and its first one if the class is settled
     firsts = classes.join(settled, ["h1", "h2"], "left_semi").select("first.id", "first.text_hash", "first.pos")

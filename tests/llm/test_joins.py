@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from llm_tables import SMALL, awkward, empty  # noqa: F401
-from corpusprep.llm import embeddings, jaccard, linededup, queries, tokens
+from corpusprep.llm import common, embeddings, jaccard, linededup, queries, tokens
 from corpusprep.llm.components import components
 from pyspark.sql import functions as F
 
@@ -269,3 +269,21 @@ def test_words_and_lines_of_blocks():
         for (starts, ends, first), cut in ((block.words(), WORD.findall), (block.lines(), lambda t: t.split("\n"))):
             for i, t in enumerate(texts):
                 assert [raw[a:b].decode() for a, b in zip(starts[first[i]:first[i + 1]], ends[first[i]:first[i + 1]], strict=True)] == cut(t or "")
+
+
+def test_operators_leave_only_their_result_staged(spark, awkward, tmp_path, monkeypatch):
+    made = iter(range(1000))
+    monkeypatch.setattr(common, "scratch_path", lambda _, name: str(tmp_path / f"{name}-{next(made)}"))
+    left = lambda: sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir())
+    assert linededup.dedup_lines(awkward).count() == awkward.count()
+    assert left() == ["line_removed"]
+    assert jaccard.jaccard_components(awkward).count() == awkward.count()
+    assert left() == ["jaccard_groups", "line_removed"]
+
+    def fails():
+        common.stage(awkward.select("doc_id"), "half_way")
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        common.stage_alone(spark, "never", fails)
+    assert left() == ["jaccard_groups", "line_removed"]

@@ -21,6 +21,7 @@ split by several pivots into Voronoi cells, a document being replicated to all c
 most 2 eps farther than its own.  Small regions are compared in full.  Regions that no pivot can split, because their
 members are about equally far from it, are joined block by block: a short signature of each member (a hash for each of
 some eight times D parts) bounds the number of parts in which two sets differ, and only pairs within D are compared.
+Two blocks yield the links of a spanning forest, not all links, and blocks that one component fills do not meet again.
 
 Equal sets are one class; only classes are joined.  Set elements are 64-bit hashes.
 
@@ -51,8 +52,9 @@ LEAF = 32
 #: Pivots of a Voronoi split.
 PIVOTS = 8
 SPLITS = 3
-#: Members of a signature block.
+#: Members of a block, and bytes of their sets, on average.
 BLOCK = 512
+BLOCK_BYTES = 8 << 20
 #: Longs that are sent to all tasks at most (16 bytes each in a hash table).
 BROADCAST_KEYS = 1 << 20
 
@@ -276,8 +278,7 @@ def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
         large = stage(members.join(counts.filter(F.col("n") > LEAF), "region"), "jaccard_large")
         whole = large if level == SPLITS else large.filter(~F.col("splits"))
         if whole.head(1):
-            near = _near_in_blocks(whole, sets, num, den)
-            out.append(compared(near).filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v")))
+            out.append(_block_links(whole, sets, num, den))
         large = large.filter("splits")
         if level == SPLITS or not large.head(1):
             break
@@ -328,45 +329,105 @@ def signature(shingles: np.ndarray, parts: int) -> np.ndarray:
     return out
 
 
-def _near_in_blocks(large: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, size, b, size_b): pairs of a region that are not connected yet, one of them far, whose signatures differ in D parts at most."""
-    differ = lambda size: size * (den - num) // num
-    # the same parts for all members of a region
-    shape = large.groupBy("region").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), (8 * F.floor(F.max("size") * (den - num) / num) + 8).cast("int").alias("parts"))
-    dealt = large.select("region", "cid", "size", "far", "root").join(shape, "region").withColumn("block", F.pmod(F.xxhash64("cid", F.lit(3)), F.col("blocks")))
+def _block_links(large: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(u, v): links that connect all linked members of each region (region, cid, size, far, root) that are not connected yet.
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            marks = [signature(np.frombuffer(s.as_buffer(), np.uint64), p.as_py()).tobytes()
-                     for s, p in zip(batch.column("shingles"), batch.column("parts"), strict=True)]
-            out = {c: batch.column(c) for c in ("region", "block", "cid", "size", "far", "root")}
-            yield pa.RecordBatch.from_pydict(out | {"mark": pa.array(marks, pa.binary())})
-
-    signed = dealt.join(sets, "cid").select("region", "block", "cid", "size", "far", "root", "parts", "shingles").mapInArrow(
-        sign, "region long, block long, cid long, size long, far boolean, root long, mark binary")
-    blocks = stage(signed.groupBy("region", "block").agg(F.collect_list(F.struct("cid", "size", "far", "root", "mark")).alias("items")), "jaccard_blocks")
-    left, right = blocks.select("region", F.col("block").alias("i"), F.col("items").alias("x")), blocks.select("region", F.col("block").alias("j"), F.col("items").alias("y"))
-    pairs = left.join(right, "region").filter("i <= j").select("x", "y")
-
-    def load(column: pa.Array, k: int):
-        items = column[k].values
-        marks = np.frombuffer(b"".join(items.field("mark").to_pylist()), np.uint16).reshape(len(items), -1)
-        return np.asarray(items.field("cid")), np.asarray(items.field("size")), np.asarray(items.field("far")), np.asarray(items.field("root")), marks
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Blocks are compared with themselves and with the next one first, and roots are brought up to date.  Then members are
+    dealt anew, those of a large component to blocks of their own: pairs of blocks that lie in one component
+    are connected, and only the others meet.  So a dense group costs a chain of blocks.
+    """
+    large = large.select("region", "cid", "size", "far", "root")
+    n_blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") * 8 / BLOCK_BYTES)).cast("long")
+    # the same parts for all members of a region
+    shape = stage(large.groupBy("region").agg(
+        n_blocks.alias("blocks"), (8 * F.floor(F.max("size") * (den - num) / num) + 8).cast("int").alias("parts")), "jaccard_shape")
+    dealt = large.join(shape, "region").withColumn("block", F.pmod(F.xxhash64("cid", F.lit(3)), F.col("blocks")))
+    blocks = _blocks(dealt, sets)
+    i = blocks.select("region", F.col("block").alias("i"))
+    chain = i.withColumn("j", F.col("i")).unionByName(i.join(blocks.select("region", F.col("block").alias("j")), "region").filter("j = i + 1"))
+    first = stage(_forests(blocks, chain, num, den), "jaccard_chain")
+
+    # blocks of two have met
+    open_ = large.join(shape.filter("blocks > 2"), "region")
+    if not open_.head(1):
+        return first
+    known = large.select(F.col("cid").alias("u"), F.col("root").alias("v")).distinct().unionByName(first)
+    roots = stage(components(known, "jaccard_blocks").select(F.col("node").alias("cid"), F.col("root").alias("now")), "jaccard_block_roots")
+    named = stage(open_.join(roots, "cid", "left").withColumn("root", F.coalesce("now", "root")).drop("now"), "jaccard_named")
+    part = named.groupBy("region", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), n_blocks.alias("own"))
+    own = F.when(F.col("n") >= BLOCK / 2, F.col("root"))
+    rest = part.filter(F.col("n") < BLOCK / 2).groupBy("region").agg(
+        F.ceil(F.greatest(F.sum("n") / BLOCK, F.sum("total") * 8 / BLOCK_BYTES)).alias("others"))
+    dealt = (named.join(part, ["region", "root"]).join(rest, "region", "left")
+             .withColumn("group", F.when(own.isNotNull(), F.xxhash64(F.lit(1), "root")).otherwise(F.lit(0).cast("bigint")))
+             .withColumn("block", F.xxhash64("group", F.pmod(F.xxhash64("cid", F.lit(5)), F.when(own.isNotNull(), F.col("own")).otherwise(F.col("others"))))))
+    blocks = _blocks(dealt.drop("n", "total", "own", "others", "group"), sets)
+    names = blocks.select("region", "block", "low", "high")
+    pairs = names.withColumnRenamed("block", "i").join(
+        names.select("region", F.col("block").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j")), "region").filter(
+        "i <= j and not (low = high and low_j = high_j and low = low_j)").select("region", "i", "j")
+    return first.unionByName(stage(_forests(blocks, pairs, num, den), "jaccard_rest"))
+
+
+def _blocks(dealt: DataFrame, sets: DataFrame) -> DataFrame:
+    """(region, block, parts, low, high, items): members of a block with their sets, and its smallest and largest root."""
+    item = F.struct("cid", "size", "far", "root", "shingles").alias("item")
+    rows = dealt.join(sets, "cid").select("region", "block", "parts", "root", item)
+    return stage(rows.groupBy("region", "block", "parts").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.collect_list("item").alias("items")), "jaccard_blocks")
+
+
+def _forests(blocks: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """(u, v) for each pair (region, i, j) of blocks: links that join the components that its linked members belong to."""
+    left = blocks.select("region", F.col("block").alias("i"), "parts", F.col("items").alias("x"))
+    right = blocks.select("region", F.col("block").alias("j"), F.col("items").alias("y"))
+    met = pairs.join(left, ["region", "i"]).join(right, ["region", "j"]).select("parts", (F.col("i") == F.col("j")).alias("same"), "x", "y")
+
+    def load(items, parts: int):
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in items.field("shingles")]
+        marks = np.stack([signature(s, parts) for s in sets])
+        return np.asarray(items.field("cid")), np.asarray(items.field("size")), np.asarray(items.field("far")), np.asarray(items.field("root")), marks, sets
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                (a, na, fa, ra, ma), (b, nb, fb, rb, mb) = load(batch.column("x"), k), load(batch.column("y"), k)
-                off = np.zeros((len(a), len(b)), np.int32)
-                for p in range(ma.shape[1]):
-                    off += ma[:, p, None] != mb[None, :, p]
-                low, high = np.minimum(na[:, None], nb[None]), np.maximum(na[:, None], nb[None])
-                near = (off <= differ(low)) & (den * low >= num * high) & (fa[:, None] | fb[None]) & (ra[:, None] != rb[None])
-                i, j = np.nonzero(near)
-                swap = a[i] > b[j]
-                yield pa.RecordBatch.from_pydict({
-                    "a": np.where(swap, b[j], a[i]), "size": np.where(swap, nb[j], na[i]),
-                    "b": np.where(swap, a[i], b[j]), "size_b": np.where(swap, na[i], nb[j])})
-
-    return pairs.mapInArrow(compare, "a long, size long, b long, size_b long").distinct()
+                parts, same = batch.column("parts")[k].as_py(), batch.column("same")[k].as_py()
+                x = load(batch.column("x")[k].values, parts)
+                u, v = forest(x, x if same else load(batch.column("y")[k].values, parts), same, num, den)
+                yield pa.RecordBatch.from_pydict({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return met.mapInArrow(link, "u long, v long")
+
+
+def forest(x, y, same: bool, num: int, den: int) -> tuple[list[int], list[int]]:
+    """Ends of links between two blocks (ids, sizes, far, roots, signatures, sets), one for each two components that become one.
+
+    Every pair of members in different components, one of them far, whose signatures differ in D parts at most is
+    looked at, nearest signatures first, and verified if its components are still apart.
+    """
+    (a, na, fa, ra, ma, sa), (b, nb, fb, rb, mb, sb) = x, y
+    off = np.zeros((len(a), len(b)), np.int32)
+    for p in range(ma.shape[1]):
+        off += ma[:, p, None] != mb[None, :, p]
+    low, high = np.minimum(na[:, None], nb[None]), np.maximum(na[:, None], nb[None])
+    near = (off <= low * (den - num) // num) & (den * low >= num * high) & (fa[:, None] | fb[None]) & (ra[:, None] != rb[None])
+    i, j = np.nonzero(np.triu(near, 1) if same else near)
+    order = np.argsort(off[i, j], kind="stable")
+    _, tree = np.unique(np.concatenate([ra, rb]), return_inverse=True)
+    parent = list(range(len(a) + len(b)))
+
+    def find(n: int) -> int:
+        while parent[n] != n:
+            parent[n] = n = parent[parent[n]]
+        return n
+
+    u, v = [], []
+    for s, t in zip(i[order].tolist(), j[order].tolist(), strict=True):
+        one, two = find(int(tree[s])), find(int(tree[len(a) + t]))
+        if one != two:
+            both = len(np.intersect1d(sa[s], sb[t], assume_unique=True))
+            if den * both >= num * (int(na[s]) + int(nb[t]) - both):
+                parent[max(one, two)] = min(one, two)
+                u.append(int(a[s]))
+                v.append(int(b[t]))
+    return u, v

@@ -113,20 +113,51 @@ def test_jaccard_brute_force(spark, monkeypatch, n, num, den, leaf):
     assert none_first(map(tuple, got)) == none_first(brute_components(rows, n, num, den))
 
 
-def test_jaccard_block_path(spark, monkeypatch):
-    """The signature blocks alone, without any pivot, let no linked pair go."""
-    monkeypatch.setattr(jaccard, "BLOCK", 50)
-    rows = awkward_corpus(5)
-    sets = {i: s for i, s in ((i, shingles(t, 3)) for i, t in rows) if s}
+def coded(rows, n):
+    """Sets of ``rows`` by id, and the tables of one region without any pivot that holds them."""
     from hashlib import blake2b
 
+    sets = {i: s for i, s in ((i, shingles(t, n)) for i, t in rows) if s}
     code = lambda s: np.sort(np.array([int.from_bytes(blake2b(repr(g).encode(), digest_size=8).digest(), "little") for g in s], np.uint64))
-    spark_sets = spark.createDataFrame([(i, bytearray(code(s).tobytes())) for i, s in sets.items()], "cid long, shingles binary")
-    large = spark.createDataFrame([(1, i, len(s), True, i) for i, s in sets.items()], "region long, cid long, size long, far boolean, root long")
-    got = {(r["a"], r["b"]) for r in jaccard._near_in_blocks(large, spark_sets, 80, 100).collect()}
+    return sets, [(i, bytearray(code(s).tobytes())) for i, s in sets.items()], [(1, i, len(s), True, i) for i, s in sets.items()]
+
+
+def roots_of(ids, pairs):
+    groups = Groups(max(ids) + 1)
+    for a, b in pairs:
+        groups.join(a, b)
+    return [groups.find(i) for i in ids]
+
+
+@pytest.mark.parametrize("block,size", [(1000, 8 << 20), (50, 8 << 20), (20, 8 << 20), (1000, 40_000)])
+def test_jaccard_block_path(spark, monkeypatch, block, size):
+    """The signature blocks alone, without any pivot, find only links and connect all linked sets, however they are dealt."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", size)
+    sets, coded_sets, large = coded(awkward_corpus(5), 3)
+    got = [(r["u"], r["v"]) for r in jaccard._block_links(
+        spark.createDataFrame(large, "region long, cid long, size long, far boolean, root long"),
+        spark.createDataFrame(coded_sets, "cid long, shingles binary"), 80, 100).collect()]
+    ids = sorted(sets)
+    linked = {(ids[a], ids[b]) for a, b in linked_pairs([sets[i] for i in ids], 80, 100)}
+    assert linked and {(min(p), max(p)) for p in got} <= linked
+    assert roots_of(ids, got) == roots_of(ids, linked)
+
+
+def test_jaccard_dense_group_costs_a_chain_of_blocks(spark, monkeypatch):
+    """Near copies that are all about equally far from each other: links grow with the members, not with their square."""
+    monkeypatch.setattr(jaccard, "BLOCK", 50)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(w if rng.random() > 0.01 else f"x{rng.random()}" for w in base)) for i in range(600)]
+    sets, coded_sets, large = coded(rows, 3)
+    got = [(r["u"], r["v"]) for r in jaccard._block_links(
+        spark.createDataFrame(large, "region long, cid long, size long, far boolean, root long"),
+        spark.createDataFrame(coded_sets, "cid long, shingles binary"), 80, 100).collect()]
     ids = sorted(sets)
     linked = {(ids[a], ids[b]) for a, b in linked_pairs([sets[i] for i in ids], 80, 100)}
-    assert linked and linked <= got
+    assert len(linked) > 20 * len(ids) and len(got) < 3 * len(ids)
+    assert roots_of(ids, got) == roots_of(ids, linked)
 
 
 def test_jaccard_parts_find_every_link():

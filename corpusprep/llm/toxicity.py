@@ -8,11 +8,13 @@ after folding case, undoing digit-for-letter writing and dropping marks inside t
 The lexicon (words and word beginnings, as sorted hashes with weights) and the trees are
 fitted on a bounded sample of labelled rows (``TRAIN_TOXIC`` and ``TRAIN_CLEAN``, chosen by a
 hash of the id).  The sample has three parts: the lexicon of part A measures part B and the
-other way round, the trees learn from both, and part C calibrates them.
+other way round, the trees learn from both, and part C calibrates them.  Different texts of a class are
+dealt to the parts in turn; where a class has fewer than three, all rows serve lexicon and trees, uncalibrated.
 
 Defined cases: null and empty texts have all-zero features and get the score of such a text;
 rows are scored one by one, so repeats, ties and null ids change nothing; an empty table gives
-no rows; where the labels lack one of the classes every score is 0.  Labels that are null or
+no rows; only where the learning labels lack one of the classes is every score 0; of repeated ids
+one text is learned from (the smallest).  Labels that are null or
 without a document are not used.  Only the id and text columns are read.
 """
 
@@ -25,15 +27,13 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
 from .common import stage
 
 TRAIN_TOXIC, TRAIN_CLEAN = 6000, 12000
-#: Entries of the lexicon, at most: those that tell the classes apart best.
-LEXICON = 5000
 #: A word's beginnings count as entries too: so many letters' bytes.
 BEGINNINGS = (3, 4, 5, 6)
 NEAR = 5
@@ -184,8 +184,8 @@ def _lexicons(sample: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
         n_good = sum(sizes.get((p, 0), 0) for p in parts)
         odds = F.log((bad + 0.5) / F.lit(n_bad + 1.0)) - F.log((good + 0.5) / F.lit(n_good + 1.0))
         sure = odds / F.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5))
-        top = (counts.filter(bad >= 2).select("h", odds.alias("w"), sure.alias("z")).filter("w >= 1 and z >= 3")
-               .orderBy(F.desc("z"), "h").limit(LEXICON).toPandas())
+        # words of the bounded sample only
+        top = counts.filter(bad >= 2).select("h", odds.alias("w"), sure.alias("z")).filter("w >= 1 and z >= 3").toPandas()
         keys = top["h"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(keys)
         out[used_on] = keys[order], top["w"].to_numpy(float)[order]
@@ -194,7 +194,7 @@ def _lexicons(sample: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 
 class Model:
-    """A lexicon, trees and the calibration; ``None`` trees stand for no model."""
+    """A lexicon, trees and the calibration (``None``: the raw probability); ``None`` trees stand for no model."""
 
     def __init__(self, lexicon, trees: GBTClassificationModel | None, calibration):
         self.lexicon, self.trees, self.calibration = lexicon, trees, calibration
@@ -206,6 +206,8 @@ class Model:
             return rows.select("id", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"),
                                F.lit(None).cast("array<double>").alias("features"))
         scored = _with_probability(self.trees, _features(rows, {-1: self.lexicon}, ["id"]))
+        if self.calibration is None:
+            return scored.select("id", F.col("p").alias("score"), (F.col("p") >= 0.5).cast("int").alias("predicted"), F.col("x").alias("features"))
         scored = self.calibration.transform(scored)
         # the calibration is a step function; a hundredth of the raw probability orders rows on a step
         return (scored.withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.99 * F.col("calibrated") + 0.01 * F.col("p"))))
@@ -226,17 +228,29 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     some = lambda k, n: usable.filter(F.col("toxic") == k).orderBy(F.xxhash64("id"), "id").limit(n)
     # a table of n_toxic + n_clean ids at most
     chosen = some(1, n_toxic).unionByName(some(0, n_clean)).groupBy("id").agg(F.max("toxic").alias("toxic"))
-    sample = stage(
+    texts = stage(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
-        .withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "text"), F.lit(3)).cast("int")), "toxic_sample")
-    parts = {(r["part"], r["toxic"]) for r in sample.select("part", "toxic").distinct().collect()}
-    if len(parts) < 6:  # a class is missing in a part of the sample
+        .groupBy("id", "toxic").agg(F.min("text").alias("text"))
+        .withColumn("name", F.xxhash64("text")), "toxic_texts")
+    # the sample's size bounds both windows: a row for each different text of a class
+    turn = Window.partitionBy("toxic").orderBy(F.xxhash64(F.lit("part"), "name"), "name")
+    parts = texts.select("toxic", "name").distinct().withColumn("part", (F.row_number().over(turn) - 1) % 3)
+    sample = stage(texts.join(F.broadcast(parts), ["toxic", "name"]).drop("name"), "toxic_sample")
+    found = {(r["part"], r["toxic"]) for r in sample.select("part", "toxic").distinct().collect()}
+    if {toxic for _, toxic in found} != {0, 1}:
         return Model((np.zeros(0, np.uint64), np.zeros(0)), None, None)
+    calibrated = len(found) == 6
+    if not calibrated:  # too few texts to hold any back
+        sample = sample.withColumn("part", F.lit(0))
     lexicons = _lexicons(sample)
+    if not calibrated:
+        lexicons[0] = lexicons[2]
     measured = stage(_features(sample.withColumn("label", F.col("toxic").cast("double")), lexicons, ["id", "part", "label"]), "toxic_features")
     learn_rows = measured.filter("part < 2").withColumn("features", array_to_vector("x"))
     fitted = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.2, seed=5, minInstancesPerNode=5, cacheNodeIds=False).fit(
         learn_rows.select("features", "label"))
+    if not calibrated:
+        return Model(lexicons[2], fitted, None)
     held = _with_probability(fitted, measured.filter("part = 2"))
     calibration = IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="calibrated").fit(held.select("p", "label"))
     return Model(lexicons[2], fitted, calibration)

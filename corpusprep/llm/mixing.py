@@ -1,11 +1,11 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Every source gets a target number of words.  A document's expected number of
-copies is target / source size; its whole part is allocated with certainty and
-its fraction is the inclusion probability p of a Pareto order sample: with u
-uniform, documents are ranked by (u / (1 - u)) / (p / (1 - p)) and taken in that
-order until the source's remaining words are used up (the sample size is fixed in
-words, so each source comes out at its target).
+Every source gets a target number of words.  The whole part of target / source size is
+allocated to each of its documents with certainty.  The rest is a Pareto order sample with unequal
+probabilities: a document of s words has the inclusion odds level * (1 + floor(log2 s)), so that longer documents are likelier,
+and the source's level is such that the expected words are the rest.  With u uniform, documents are
+ranked by (u / (1 - u)) / (inclusion odds) and taken in that order until the source's remaining words are used
+up (the sample size is fixed in words, so each source comes out at its target).
 
 A document that would pass the target is skipped and the next ones are tried, through
 the whole source, until less than one word is left.
@@ -36,6 +36,8 @@ BUCKET_ROWS = 4096
 
 #: Keys are (rank, tie): ranks lie in (0, 1), ties are any long.
 _KEY = "struct<rank:double,tie:bigint>"
+#: Halvings of the interval of log levels, -LEVEL .. LEVEL.
+HALVINGS, LEVEL = 60, 60.0
 _SPANS = f"array<struct<lo:{_KEY},hi:{_KEY},room:double,listed:boolean>>"
 
 
@@ -73,11 +75,43 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, max_c
     )
 
 
+def preference(size: Column) -> Column:
+    """The factor of a document's inclusion odds: 1 more for each doubling of its words."""
+    return F.when(size > 0, 1 + F.floor(F.log2(size))).otherwise(1).cast("double")
+
+
+def _expected(level: Column, factor: Column) -> Column:
+    """Inclusion probability at the odds level * factor."""
+    return level * factor / (1 + level * factor)
+
+
+def odds_levels(sizes: DataFrame) -> DataFrame:
+    """(source_key, classes): words by preference of each source, some 60 entries at most."""
+    by_class = sizes.groupBy("source", preference(F.col("size")).alias("factor")).agg(F.sum("size").alias("words"))
+    return by_class.groupBy(F.col("source").alias("source_key")).agg(F.sort_array(F.collect_list(F.struct("factor", "words"))).alias("classes"))
+
+
+def solve_level(classes: Column, left: Column) -> Column:
+    """The level at which the expected words of ``classes`` are ``left``: halving, as they grow with the level."""
+
+    def words(at: Column) -> Column:
+        return F.aggregate(classes, F.lit(0.0), lambda acc, c: acc + c["words"] * _expected(F.exp(at), c["factor"]))
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = (span["lo"] + span["hi"]) / 2
+        below = words(middle) < left
+        return F.struct(F.when(below, middle).otherwise(span["lo"]).alias("lo"), F.when(below, span["hi"]).otherwise(middle).alias("hi"))
+
+    begin = F.struct(F.lit(-LEVEL).alias("lo"), F.lit(LEVEL).alias("hi"))
+    return F.exp(F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), begin, halve, lambda span: (span["lo"] + span["hi"]) / 2))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: Sequence[int] = (3, 1, 2), share: float = 1.5, max_copies: int = 2, seed: int = 7,
         carry: Sequence[str] = ()) -> DataFrame:
-    """Rows of (id, source, size, source_size, target, copies, taken, carry columns): the mix takes ``copies`` of each row.
+    """Rows of (id, source, size, source_size, target, copies, taken, expected, carry columns): the mix takes ``copies`` of each row.
 
+    ``expected`` is the number of copies in expectation: certain ones and the inclusion probability.
     ``carry`` names further columns of ``docs`` to bring along; they come back in
     a struct ``row`` so that no name clashes with the operator's own.
     """
@@ -97,15 +131,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     targets = stage(
         source_targets(rows, weights, share, max_copies)
         .withColumn("whole", F.coalesce(F.floor(copies), F.lit(0)).cast("long"))
-        .withColumn("p", F.coalesce(copies, F.lit(0.0)) - F.col("whole"))
-        .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size")),
+        .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
+        .join(odds_levels(rows), F.col("source").eqNullSafe(F.col("source_key")), "left")
+        .withColumn("level", F.when((F.col("source_size") > 0) & (F.col("left") > 0), solve_level(F.col("classes"), F.col("left"))).otherwise(0.0))
+        .drop("classes", "source_key"),
         "mix_targets")
 
     def ranked(frame: DataFrame) -> DataFrame:
         """Adds key: rank (in (0, 1), increasing in the Pareto ranking variable) and tie (different for each row)."""
-        odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / F.when(F.col("p") < 1, 1 - F.col("p")))
+        odds = (F.col("u") / (1 - F.col("u"))) / (F.col("level") * preference(F.col("size")))
         key = F.struct((odds / (1 + odds)).alias("rank"), F.xxhash64("row_id").alias("tie"))
-        return frame.withColumn("key", F.when(F.col("p") > 0, key))
+        return frame.withColumn("key", F.when(F.col("level") > 0, key))
 
     def with_source(frame: DataFrame, table: DataFrame) -> DataFrame:
         renamed = table.withColumnRenamed("source", "source_key")
@@ -120,7 +156,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                      & (~s["listed"] | F.array_contains("picked", F.col("row_id"))))
     out = out.withColumn("copies", F.col("whole") + F.coalesce(drawn, F.lit(False)).cast("int"))
     return out.select("id", "source", "size", "source_size", "target", "copies",
-                      (F.col("size") * F.col("copies")).alias("taken"), *(["row"] if carry else []))
+                      (F.col("size") * F.col("copies")).alias("taken"),
+                      (F.col("whole") + _expected(F.col("level"), preference(F.col("size")))).alias("expected"), *(["row"] if carry else []))
 
 
 def _key(rank: float, tie: int) -> Column:
@@ -138,8 +175,8 @@ def _fill(targets: DataFrame, candidates: Callable[[DataFrame], DataFrame]) -> D
     start, end = _key(-1.0, 0), _key(2.0, 0)
     whole = {"cut_lo": F.lit(0.0), "cut_hi": F.lit(1.0), "by_tie": F.lit(False),
              "n_cut": F.ceil(F.col("n_docs") * 2 / BUCKET_ROWS).cast("double")}
-    state = stage(targets.filter("p > 0").select(
-        "source", "p", "n_docs", F.col("left").alias("room"), start.alias("lo"), end.alias("hi"), *[c.alias(n) for n, c in whole.items()],
+    state = stage(targets.filter("level > 0").select(
+        "source", "level", "n_docs", F.col("left").alias("room"), start.alias("lo"), end.alias("hi"), *[c.alias(n) for n, c in whole.items()],
         F.array().cast(_SPANS).alias("spans"), F.array().cast("array<bigint>").alias("picked")), "mix_state")
     inside = (F.col("key") > F.col("lo")) & (F.col("key") <= F.col("hi")) & (F.col("size") <= F.col("room")) & (F.col("room") >= 1)
 
@@ -167,7 +204,7 @@ def _fill(targets: DataFrame, candidates: Callable[[DataFrame], DataFrame]) -> D
         leaf = F.col("at").isNotNull() & (F.col("at.n") <= BUCKET_ROWS)
         behind = F.coalesce(F.col("at.prev"), F.col("lo"))
         left = F.col("room") - F.col("at.before")
-        leaves = seen.filter(leaf).select("source", "p", behind.alias("lo"), F.col("at.last").alias("hi"), left.alias("room"))
+        leaves = seen.filter(leaf).select("source", "level", behind.alias("lo"), F.col("at.last").alias("hi"), left.alias("room"))
         empty = F.array().cast("array<bigint>")
         picks = (
             candidates(leaves).filter(inside).groupBy("source", "room")
@@ -190,7 +227,7 @@ def _fill(targets: DataFrame, candidates: Callable[[DataFrame], DataFrame]) -> D
                "cut_hi": F.when(by_tie, F.col("at.last.tie").cast("double")).otherwise(F.col("at.last.rank")),
                "by_tie": by_tie, "n_cut": F.ceil(F.col("at.n") * 2 / BUCKET_ROWS).cast("double")}
         state = stage(joined(seen, picks.drop("tried")).select(
-            "source", "p", "n_docs",
+            "source", "level", "n_docs",
             F.when(none, F.col("room")).when(~crossed, F.col("room") - F.col("total")).otherwise(F.coalesce(F.col("took.room"), left)).alias("room"),
             F.when(deeper, behind).when(crossed, F.col("at.last")).otherwise(F.col("hi")).alias("lo"),
             F.when(deeper, F.col("at.last")).otherwise(end).alias("hi"),

@@ -31,7 +31,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document: weights 3, 1, 2, 150 % of all words, at most 2 copies."""
     docs = read_table(spark, sf_dir, "documents")
     return mixing.mix(docs, weights=(3, 1, 2), share=1.5, max_copies=2).select(
-        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies", "expected")
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; the fold crc32(doc_id) mod 4 = 2 is never learned from."""
     docs = read_table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     learn = docs.filter(~held_out).select("doc_id", "text", "lang")
     models = language.learn(learn)
     limits = language.calibrate(learn, models)
@@ -96,7 +96,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = lambda c: F.crc32(F.col(c).cast("string")) % 5
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), fold("id") != 0)
     return model.score(docs).select(
-        F.col("id").alias("doc_id"), (fold("id") == 0).alias("held_out"), "score", "predicted")
+        F.col("id").alias("doc_id"), F.coalesce(fold("id") == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -114,10 +114,15 @@ def test_mix_whole_copies_and_buckets(spark, monkeypatch):
     assert {r["copies"] for r in big} == {0, 1} and abs(sum(r["taken"] for r in big) - big[0]["target"]) <= 7
 
 
+def factor(size):
+    """The preference of a document of so many words: 1 more for each doubling."""
+    return size.bit_length() or 1
+
+
 def greedy(rows, room):
-    """Copies by id: documents in the order of u, each taken if it fits, until less than a word is left."""
+    """Copies by id: documents by random odds over inclusion odds, each taken if it fits, until less than a word is left."""
     copies = {}
-    for r in sorted(rows, key=lambda r: r["u"]):
+    for r in sorted(rows, key=lambda r: r["u"] / (1 - r["u"]) / factor(r["size"])):
         copies[r["id"]] = int(r["size"] <= room and room >= 1)
         room -= r["size"] * copies[r["id"]]
     return copies
@@ -136,6 +141,31 @@ def test_mix_goes_on_after_a_document_that_does_not_fit(spark, monkeypatch):
         assert {r["id"]: r["copies"] for r in out} == greedy([r.asDict() | {"u": u[r["id"]]} for r in out], target), seed
 
 
+def test_mix_inclusion_odds_change_the_picks(spark):
+    """Documents are picked as often as their inclusion probability says; expected words are the target."""
+    rng = random.Random(4)
+    rows = [(i, "w " * rng.choice([1, 2, 4, 16, 64, 200]), "one" if i % 2 else "two") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    sums = {}
+    for seed in (0, 1):
+        out = mixing.mix(docs, weights=(1, 2), share=0.4, seed=seed).collect()
+        for source in ("one", "two"):
+            mine = [r for r in out if r["source"] == source]
+            assert sum(r["expected"] * r["size"] for r in mine) == pytest.approx(mine[0]["target"], rel=1e-9)
+            odds = {r["size"]: r["expected"] / (1 - r["expected"]) / factor(r["size"]) for r in mine}
+            assert max(odds.values()) == pytest.approx(min(odds.values()), rel=1e-9)  # inclusion odds follow the preference
+        for r in out:
+            got = sums.setdefault((r["source"], r["size"]), [0, 0, 0.0])
+            got[0] += 1
+            got[1] += r["copies"]
+            got[2] += r["expected"]
+    for (source, size), (n, copies, expected) in sums.items():
+        p = expected / n
+        assert abs(copies - expected) <= 4 * (n * p * (1 - p)) ** 0.5, (source, size)
+    rate = lambda source, size: sums[source, size][1] / sums[source, size][0]
+    assert all(rate(s, 200) > 1.5 * rate(s, 1) for s in ("one", "two"))
+
+
 def test_mix_orders_no_more_than_a_bucket_of_equal_rows(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 64)
     tried = []
@@ -404,6 +434,18 @@ def test_toxicity_awkward(spark, awkward, empty):
     assert model.score(empty).count() == 0
 
 
+@pytest.mark.parametrize("different", [1, 2, 4])
+def test_toxicity_of_few_different_texts(spark, different):
+    """120 toxic rows that are copies of a few texts still give a model that tells them from clean ones."""
+    bad = [f"you are such an idiot and a moron number{i} go away" for i in range(different)]
+    good = [f"the weather of day {i} was calm and the harvest went well" for i in range(different)]
+    rows = [(i, (bad if i % 2 else good)[i // 2 % different], i % 2) for i in range(240)]
+    docs = spark.createDataFrame([r[:2] for r in rows] * 2, "doc_id long, text string")  # repeated ids, too
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    out = toxicity.train(docs, labels, F.lit(True)).score(docs).collect()
+    assert len(out) == 480 and all((r["score"] >= 0.5) == (r["id"] % 2 == 1) == (r["predicted"] == 1) for r in out)
+
+
 def test_secrets_in_very_long_candidates(spark):
     """A megabyte of each kind of candidate, path-like ones above all, ends in spans or none, not in a stack overflow."""
     texts = ["a/" * 500_000 + "1", "A/" * 500_000 + "b", "a" * 1_000_000, "-" * 1_000_000, "0123456789" * 100_000, "Ab/" * 2000 + "k9Zq3LmP7vX2cB8nR4tW6yD1"]

@@ -13,9 +13,8 @@ joins; the model lies in the shared folder, from where each Python worker reads
 worker's memory therefore grows with the number of different n-grams (16 bytes for each n-gram
 and context), the driver's with the number of languages only.
 
-Rejection is calibrated per language: on a bounded sample of learning rows
-(``CALIBRATION_ROWS``) the cross-entropy that all but ``REJECT`` of a language's own texts stay
-under is its limit; a text above the limit of its best language is marked as rejected.
+Rejection is calibrated per language: over all learning rows the cross-entropy that all but ``REJECT`` of a
+language's own texts stay under is its limit; a text above the limit of its best language is marked as rejected.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; rows with a null
 language are not learned from; equal cross-entropies go to the first language in order; without any
@@ -26,23 +25,22 @@ blocks.  Only id, text and (for learning) language are read.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset
 import pyarrow.fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
 from ..session import scratch_path
-from .common import stage
+from .common import stage, write_back
 
 ORDER = 4
 ALPHABET = 1 << 17
-CALIBRATION_ROWS = 4000
 REJECT = 0.005
 UNDETERMINED = "und"
 
@@ -275,8 +273,11 @@ def cross_entropies(block: tokens.Block, models: Models) -> tuple[np.ndarray, np
 
 
 def identify(docs: DataFrame, models: Models, limits: dict[str, float], sharpness: float = 20.0, id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
-    """(id, lang, score, cross_entropy, rejected).  The score is the winner's share of exp(-sharpness * cross-entropy)."""
+             text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """(id, lang, score, cross_entropy, rejected).  The score is the winner's share of exp(-sharpness * cross-entropy).
+
+    The columns ``carry`` of ``docs`` follow as they are.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(models)  # names and a path: the tables stay in the shared folder
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,19 +294,40 @@ def identify(docs: DataFrame, models: Models, limits: dict[str, float], sharpnes
                 "id": batch.column("id"),
                 "lang": pa.array([m.languages[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)], pa.string()),
                 "score": np.where(known, share, 0.0), "cross_entropy": np.where(known, low, 0.0),
-                "rejected": ~known | (low > limit[best])})
-
-    return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "id long, lang string, score double, cross_entropy double, rejected boolean"))
-
-
-def calibrate(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-              n_rows: int = CALIBRATION_ROWS) -> dict[str, float]:
-    """Each language's cross-entropy limit, from at most ``n_rows`` learning rows."""
-    ids = (docs.filter(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id")).filter(F.col("id").isNotNull())
-           .orderBy(F.xxhash64("id"), "id").limit(n_rows).distinct())
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("true_lang")).join(F.broadcast(ids), "id")
-    found = identify(sample, models, {}, id_col="id")
-    own = found.join(sample.select("id", "true_lang"), "id").filter(F.col("lang") == F.col("true_lang"))
-    return {r["lang"]: r["limit"] for r in own.groupBy("lang").agg(
-        F.percentile("cross_entropy", 1 - REJECT).alias("limit")).collect()}
+                "rejected": ~known | (low > limit[best])} | {c: batch.column(c) for c in carry})
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *carry)
+    kinds = "".join(f", `{c}` {kind}" for c, kind in rows.dtypes[2:])
+    return rows.mapInArrow(run, "id long, lang string, score double, cross_entropy double, rejected boolean" + kinds)
+
+
+def calibrate(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, float]:
+    """Each language's cross-entropy limit, from all learning rows that have a language."""
+    rows = docs.filter(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("true_lang"))
+    found = identify(rows, models, {}, id_col="id", carry=["true_lang"]).filter(F.col("lang") == F.col("true_lang"))
+    return _quantiles(found.select("lang", "cross_entropy"), 1 - REJECT)
+
+
+def _quantiles(rows: DataFrame, q: float) -> dict[str, float]:
+    """The exact ``q`` quantile of ``cross_entropy`` in each ``lang``, interpolated between neighbours as ``percentile`` does.
+
+    Equal values are one row with their count.  Running sums over the parts of a range partition find the parts that hold a
+    language's two neighbours; only there values are numbered.
+    """
+    keys = ["lang", "cross_entropy"]
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    lined = write_back(counted.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("part", F.spark_partition_id()),
+                       scratch_path(rows.sparkSession, "lang_limits"))
+    whole = Window.partitionBy("lang")
+    parts = lined.groupBy("lang", "part").agg(F.sum("n").alias("here"))
+    parts = parts.select("lang", "part", "here", (F.sum("here").over(whole.orderBy("part")) - F.col("here")).alias("before"),
+                         (q * (F.sum("here").over(whole) - 1)).alias("at"))
+    low, high = F.floor("at"), F.ceil("at")
+    holds = lambda place: (F.col("before") <= place) & (place < F.col("before") + F.col("here"))
+    near = lined.join(parts.filter(holds(low) | holds(high)).drop("here"), ["lang", "part"])
+    near = near.withColumn("here", F.col("n")).withColumn(
+        "before", F.col("before") + F.sum("n").over(Window.partitionBy("lang", "part").orderBy("cross_entropy")) - F.col("n"))
+    value = lambda place: F.max(F.when(holds(place), F.col("cross_entropy")))
+    ends = near.groupBy("lang", "at").agg(value(low).alias("low"), value(high).alias("high"))
+    limit = F.when(low == high, F.col("low")).otherwise((high - F.col("at")) * F.col("low") + (F.col("at") - low) * F.col("high"))
+    return {r["lang"]: r["limit"] for r in ends.select("lang", limit.alias("limit")).collect()}

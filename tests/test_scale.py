@@ -49,3 +49,13 @@ def test_calibration_reads_every_learning_row(spark):
     got = language.calibrate(docs, models)
     assert set(got) == {"xx", "yy"}  # the row without an id counts
     assert got["xx"] == pytest.approx(seen["xx"])
+
+
+def test_terms_are_counted_without_a_shuffle_and_rare_ones_joined(spark, monkeypatch):
+    monkeypatch.setattr(tfidf, "FREQUENT", 2)  # both ways: broadcast and joined by term
+    docs = [("a", "x x y. Z é"), ("b", None), ("b", ""), ("c", "x q q q 1 2 3 4 5"), ("a", "y x"), ("d", "x Y y")]
+    staged = {}
+    monkeypatch.setattr(tfidf, "stage", lambda df, name: staged.setdefault(name, (_plan(df), staging.stage(df, name)))[1])
+    got = sorted((r.id, r.keywords) for r in tfidf.tfidf_keywords(spark.createDataFrame(docs, "id string, text string"), "id", "text").collect())
+    assert "Exchange" not in staged["term_counts"][0]
+    assert got == [("a", ["x", "y"][::-1]), ("a", ["z", "é", "x", "y"]), ("b", []), ("b", []), ("c", ["q", "1", "2", "3", "4"]), ("d", ["y", "x"])]

@@ -28,6 +28,7 @@ from corpusprep.session import scratch_path
 from corpusprep.sources import archive, folder, providers
 from corpusprep.sources import store as store_store
 from corpusprep.sources.jsonl import SEQ, VAR, read_jsonl, valid_records, write_jsonl
+from corpusprep.sources.staging import stage
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -481,10 +482,9 @@ def q_dedup_last(spark, sf_dir):
     return last.select(F.col(identity.RID).alias("id"), as_str(F.col(VAR), "tp").alias("tp"))
 
 
-def _new_rows(spark, sf_dir):
-    """New labelled rows of a run over the unprocessed records (native rule label)."""
+def _new_rows(spark, sf_dir, store):
+    """New labelled rows of a run over the records that are not in ``store`` (native rule label)."""
     recs = identity.with_rid(valid_records(V.records(spark, sf_dir)))
-    store = identity.with_rid(V.store_lines(spark, sf_dir))
     new = identity.unprocessed(recs, store.select(identity.RID))
     return new.withColumn("ad_class", doubles.rule_label(as_str(F.col(VAR), "ft"))).withColumn("run_id", F.lit("r1"))
 
@@ -501,7 +501,7 @@ UNION ALL SELECT id, {O.AD_RULE.format(t='ft')} AS ad_class, 'r1' AS run_id FROM
 def q_store_union(spark, sf_dir):
     store = identity.with_rid(V.store_lines(spark, sf_dir))
     old = store.select(identity.RID, as_str(F.col(VAR), "ad_class").alias("ad_class"))
-    new = _new_rows(spark, sf_dir).select(identity.RID, "ad_class", "run_id")
+    new = _new_rows(spark, sf_dir, store).select(identity.RID, "ad_class", "run_id")
     both = identity.store_union(old, new)
     return both.select(F.col(identity.RID).alias("id"), "ad_class", "run_id")
 
@@ -517,11 +517,12 @@ def q_store_union(spark, sf_dir):
     ),
 )
 def q_store_state(spark, sf_dir):
-    store = identity.with_rid(V.store_lines(spark, sf_dir))
+    # read three times: the IDs are staged, so that the store's lines are parsed once
+    number = V.id_number(as_str(F.col(VAR), "id")).alias("number")
+    store = stage(identity.with_rid(V.store_lines(spark, sf_dir)).select(identity.RID, number), "store_ids")
     # existing stores are copied without dedup: rows of doc_id%14=0 appear twice
-    again = store.filter(V.id_number(as_str(F.col(VAR), "id")) % 14 == 0)
-    existing = store.unionByName(again)
-    return identity.store_state(existing, _new_rows(spark, sf_dir))
+    existing = store.unionByName(store.filter(F.col("number") % 14 == 0))
+    return identity.store_state(existing, _new_rows(spark, sf_dir, store))
 
 
 # ---------------------------------------------------------------- classification

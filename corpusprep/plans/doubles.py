@@ -31,7 +31,7 @@ def rule_model() -> RuleAdModel:
 def rule_label(text: Column) -> Column:
     """The same rule as a native expression."""
     n = F.char_length(F.coalesce(text, F.lit("")))
-    digits = F.char_length(F.regexp_replace(F.coalesce(text, F.lit("")), "[^0-9]", ""))
+    digits = F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[0-9]"))
     return F.when((digits * 200 > n) | (n < 300), F.lit(AD)).otherwise(F.lit(NON_AD))
 
 

@@ -66,23 +66,29 @@ def as_lines(rows: DataFrame, cols: list[str] | None = None, seq: str = "doc_id"
     return rows.select(F.to_json(F.struct(*cols)).alias("value"), F.col(seq).cast("bigint").alias(SEQ))
 
 
-def record_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return record_columns(documents(spark, sf_dir))
+def record_rows(spark: SparkSession, sf_dir: str, ordered: bool = False) -> DataFrame:
+    """The record fields; ``ordered``: in ``doc_id`` order.
+
+    The documents are put in order before anything is derived from them: the range partition samples its input, which
+    would derive every field once more, and in the few tasks of the scan.
+    """
+    docs = documents(spark, sf_dir)
+    return record_columns(docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id") if ordered else docs)
 
 
 def jsonl_view(spark: SparkSession, sf_dir: str, name: str, build_lines) -> DataFrame:
     """Parsed lines of a record view, read from JSONL files.
 
-    The view's lines are written once per session (in ``doc_id`` order) into
-    the shared scratch folder; every query then reads them with the engine's
-    own JSONL scan, as it would read a corpus.
+    The view's lines are written once per session, in the order of ``build_lines``
+    (``doc_id``, see :func:`record_rows`), into the shared scratch folder; every query then reads them
+    with the engine's own JSONL scan, as it would read a corpus.
     """
     from corpusprep.session import scratch_path
     from corpusprep.sources.jsonl import read_jsonl, write_jsonl
 
     def build():
         path = scratch_path(spark, name)
-        write_jsonl(build_lines(), path, order_by=SEQ)
+        write_jsonl(build_lines(), path)
         return path
 
     return read_jsonl(spark, _once(spark, sf_dir, f"jsonl:{name}", build))
@@ -90,13 +96,13 @@ def jsonl_view(spark: SparkSession, sf_dir: str, name: str, build_lines) -> Data
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed lines of the ``records`` view."""
-    return jsonl_view(spark, sf_dir, "records", lambda: as_lines(record_rows(spark, sf_dir)))
+    return jsonl_view(spark, sf_dir, "records", lambda: as_lines(record_rows(spark, sf_dir, ordered=True)))
 
 
 def no_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``records`` with ``ft`` missing where doc_id%3=0 and ``len`` missing where doc_id%6=0."""
     d = F.col("doc_id")
-    r = record_rows(spark, sf_dir)
+    r = record_rows(spark, sf_dir, ordered=True)
     return r.withColumn("ft", F.when(d % 3 != 0, F.col("ft"))).withColumn("len", F.when(d % 6 != 0, F.col("len")))
 
 
@@ -106,7 +112,7 @@ def records_no_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``records`` whose lines are cut to 40 characters where doc_id%17=0 (invalid JSON)."""
-    lines = as_lines(record_rows(spark, sf_dir))
+    lines = as_lines(record_rows(spark, sf_dir, ordered=True))
     return lines.withColumn(
         "value", F.when(F.col(SEQ) % 17 == 0, F.substring("value", 1, 40)).otherwise(F.col("value"))
     )
@@ -125,7 +131,7 @@ def lang_variant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(d % 13 == 0, F.concat(F.lit("."), F.col("lg"), F.lit("-")))
         .otherwise(F.col("lg"))
     )
-    return record_rows(spark, sf_dir).withColumn("lg", lg)
+    return record_rows(spark, sf_dir, ordered=True).withColumn("lg", lg)
 
 
 def records_langs(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
@@ -165,7 +171,7 @@ def title_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title-job input: own title where doc_id%4=0, blank where %4=1, absent
     otherwise; blank ID where doc_id%23=0, else a SHA-1 where doc_id%29=0 (an ID that names no shard); line cut where doc_id%17=0."""
     d = F.col("doc_id")
-    r = record_rows(spark, sf_dir)
+    r = record_rows(spark, sf_dir, ordered=True)
     r = r.withColumn(
         "title",
         F.when(d % 4 == 0, F.concat(F.lit("Own title "), d.cast("string"))).when(d % 4 == 1, F.lit("  ")),
@@ -185,7 +191,7 @@ def processed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled store: records with doc_id%7=0 and the rule label, in doc_id order."""
     from corpusprep.plans.doubles import rule_label
 
-    r = record_rows(spark, sf_dir).filter(F.col("doc_id") % 7 == 0)
+    r = record_rows(spark, sf_dir, ordered=True).filter(F.col("doc_id") % 7 == 0)
     return r.withColumn("ad_class", rule_label(F.col("ft")))
 
 

@@ -59,3 +59,10 @@ def test_terms_are_counted_without_a_shuffle_and_rare_ones_joined(spark, monkeyp
     got = sorted((r.id, r.keywords) for r in tfidf.tfidf_keywords(spark.createDataFrame(docs, "id string, text string"), "id", "text").collect())
     assert "Exchange" not in staged["term_counts"][0]
     assert got == [("a", ["x", "y"][::-1]), ("a", ["z", "é", "x", "y"]), ("b", []), ("b", []), ("c", ["q", "1", "2", "3", "4"]), ("d", ["y", "x"])]
+
+
+def test_views_derive_their_fields_after_the_range_partition(spark):
+    plan = _plan(V.as_lines(V.record_rows(spark, SMALL, ordered=True)))
+    assert plan.index("to_json") < plan.index("rangepartitioning") and "to_json" not in plan[plan.index("rangepartitioning"):].split("Initial Plan")[0]
+    ids = [r["id"] for r in valid_records(V.records(spark, SMALL)).orderBy("_seq").select(V.id_number(F.expr("try_variant_get(_v, '$.id', 'string')")).alias("id")).collect()]
+    assert ids == sorted(ids) and len(ids) == V.documents(spark, SMALL).count()

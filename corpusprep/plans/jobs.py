@@ -263,8 +263,10 @@ def _write_shards(tagged: DataFrame, output: str, run_ts: str, fields: Fields, t
 
 def finished_shards(spark: SparkSession, output: str) -> DataFrame:
     """The marks under ``output``: (newspaper, yr, fingerprint of the input)."""
+    from corpusprep.sources.staging import no_rows
+
     marks, schema = f"{output.rstrip('/')}/{SHARD_MARKS}", "newspaper string, yr string, fingerprint string"
-    return spark.read.schema(schema).parquet(marks) if S.path_exists(spark, marks) else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(marks) if S.path_exists(spark, marks) else no_rows(spark, schema)
 
 
 def _profile_cols(run_ts: str, fields: Fields):

@@ -66,3 +66,12 @@ def test_views_derive_their_fields_after_the_range_partition(spark):
     assert plan.index("to_json") < plan.index("rangepartitioning") and "to_json" not in plan[plan.index("rangepartitioning"):].split("Initial Plan")[0]
     ids = [r["id"] for r in valid_records(V.records(spark, SMALL)).orderBy("_seq").select(V.id_number(F.expr("try_variant_get(_v, '$.id', 'string')")).alias("id")).collect()]
     assert ids == sorted(ids) and len(ids) == V.documents(spark, SMALL).count()
+
+
+def test_first_run_without_marks_or_ledger_joins_nothing(spark):
+    recs = valid_records(V.records(spark, SMALL)).withColumn("newspaper", F.lit("n")).withColumn("yr", F.lit("1"))
+    done = jobs.finished_shards(spark, scratch_path(spark, "none"))
+    assert done.dtypes == [("newspaper", "string"), ("yr", "string"), ("fingerprint", "string")]
+    assert "Join" not in _plan(recs.join(done, ["newspaper", "yr"], "left_anti"))
+    empty = replies.read_ledger(spark, scratch_path(spark, "none"))
+    assert "Exchange" not in _plan(recs.withColumn(replies.HASH, F.lit("h")).join(empty, replies.HASH, "left"))

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.sources.staging import stage
+from corpusprep.sources.staging import no_rows, stage
 from corpusprep.sources.store import path_exists
 
 HASH = "k_hash"
@@ -74,7 +74,7 @@ def _send(factory: Completer, tries: int, pause: float, batches: Iterator[pd.Dat
 
 def read_ledger(spark, ledger: str) -> DataFrame:
     """(request hash, reply struct): one answer for each request, replies before final errors; transient ones are left out."""
-    rows = spark.read.schema(_ROW).parquet(ledger) if path_exists(spark, ledger) else spark.createDataFrame([], _ROW)
+    rows = spark.read.schema(_ROW).parquet(ledger) if path_exists(spark, ledger) else no_rows(spark, _ROW)
     fields = [c.split()[0] for c in REPLY.split(", ")]
     best = F.max(F.struct((F.col("kind") == OK).alias("ok"), F.struct(*fields).alias("r")))
     return rows.filter(F.col("kind") != TRANSIENT).groupBy(HASH).agg(best.alias("best")).select(HASH, F.col("best.r").alias("_reply"))
@@ -85,9 +85,11 @@ def send_missing(requests: DataFrame, ledger: str, completer: Completer, *, max_
     """Send every request (``k_hash`` and its fields) that has no answer in the ledger, equal ones once, and append the answers."""
     spark = requests.sparkSession
     known = read_ledger(spark, ledger).select(HASH)
-    missing = requests.dropDuplicates([HASH]).join(known, HASH, "left_anti")
-    todo = stage(missing, "requests")
-    n = todo.count()
+    # what occurs more than once is found on the hashes alone: only these requests are exchanged to be made one
+    missing = stage(requests.join(known, HASH, "left_anti"), "missing_requests")
+    again = stage(missing.groupBy(HASH).count().filter(F.col("count") > 1).select(HASH), "repeated_requests")
+    todo = missing.join(again, HASH, "left_anti").unionByName(missing.join(again, HASH, "left_semi").dropDuplicates([HASH]))
+    n = todo.select(HASH).count()
     tasks = math.ceil(n / per_task)
     rounds = math.ceil(tasks / max_concurrency) if max_concurrency else min(tasks, 1)
     for k in range(rounds):

@@ -75,3 +75,28 @@ def test_first_run_without_marks_or_ledger_joins_nothing(spark):
     assert "Join" not in _plan(recs.join(done, ["newspaper", "yr"], "left_anti"))
     empty = replies.read_ledger(spark, scratch_path(spark, "none"))
     assert "Exchange" not in _plan(recs.withColumn(replies.HASH, F.lit("h")).join(empty, replies.HASH, "left"))
+
+
+def test_ordered_split_samples_a_staged_table(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(split, "stage", lambda df, name: names.append(name) or staging.stage(df, name))
+    split.split_by_language(parse_lines(V.as_lines(V.record_rows(spark, SMALL))), scratch_path(spark, "t_split"), preserve_order=True)
+    assert names == ["split_lines"]
+
+
+def _echo():
+    return lambda request: {"reply": request["k_id"]}
+
+
+def test_equal_requests_are_sent_once_and_found_on_their_hashes(spark, monkeypatch):
+    rows = [(str(k % 7) if k < 50 else str(k), f"r{k % 7}" if k < 50 else f"r{k}") for k in range(80)]
+    req = spark.createDataFrame(rows, "k_hash string, k_id string").repartition(4)
+    staged = []
+    monkeypatch.setattr(replies, "stage", lambda df, name: staged.append(name) or staging.stage(df, name))
+    ledger = scratch_path(spark, "t_ledger")
+    replies.send_missing(req, ledger, _echo, per_task=10)
+    sent = [r["k_hash"] for r in spark.read.parquet(ledger).collect()]
+    assert sorted(sent) == sorted({r[0] for r in rows})
+    assert "repeated_requests" in staged
+    replies.send_missing(req, ledger, _echo, per_task=10)
+    assert spark.read.parquet(ledger).count() == len(sent)

@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset
 import pyarrow.fs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
@@ -308,6 +308,18 @@ def calibrate(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col:
     return _quantiles(found.select("lang", "cross_entropy"), 1 - REJECT)
 
 
+def identify_calibrated(docs: DataFrame, models: Models, learned: Column, id_col: str = "doc_id", text_col: str = "text",
+                        lang_col: str = "lang") -> DataFrame:
+    """``identify`` under the limits that ``calibrate`` takes from the ``learned`` rows of ``docs``, each text scored once."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.when(learned, F.col(lang_col)).alias("own_lang"))
+    found = stage(identify(rows, models, {}, id_col="id", carry=["own_lang"]), "lang_scores")
+    limits = _quantiles(found.filter(F.col("lang") == F.col("own_lang")).select("lang", "cross_entropy"), 1 - REJECT)
+    over = F.lit(False)
+    for lang, limit in limits.items():
+        over = over | ((F.col("lang") == lang) & (F.col("cross_entropy") > limit))
+    return found.withColumn("rejected", F.col("rejected") | over).drop("own_lang")
+
+
 def _quantiles(rows: DataFrame, q: float) -> dict[str, float]:
     """The exact ``q`` quantile of ``cross_entropy`` in each ``lang``, interpolated between neighbours as ``percentile`` does.
 

@@ -83,10 +83,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; the fold crc32(doc_id) mod 4 = 2 is never learned from."""
     docs = read_table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
-    learn = docs.filter(~held_out).select("doc_id", "text", "lang")
-    models = language.learn(learn)
-    limits = language.calibrate(learn, models)
-    return language.identify(docs, models, limits).withColumnRenamed("id", "doc_id").select(
+    models = language.learn(docs.filter(~held_out).select("doc_id", "text", "lang"))
+    return language.identify_calibrated(docs, models, ~held_out).withColumnRenamed("id", "doc_id").select(
         "doc_id", held_out.alias("held_out"), F.col("lang").alias("lang_pred"), "score", "cross_entropy", "rejected")
 
 

@@ -49,6 +49,9 @@ def test_calibration_reads_every_learning_row(spark):
     got = language.calibrate(docs, models)
     assert set(got) == {"xx", "yy"}  # the row without an id counts
     assert got["xx"] == pytest.approx(seen["xx"])
+    row = lambda r: (r["id"] is None, r["id"], r["lang"], r["score"], r["cross_entropy"], r["rejected"])
+    once = language.identify_calibrated(docs, models, F.lit(True))
+    assert sorted(map(row, once.collect()), key=str) == sorted(map(row, language.identify(docs, models, got).collect()), key=str)
 
 
 def test_terms_are_counted_without_a_shuffle_and_rare_ones_joined(spark, monkeypatch):

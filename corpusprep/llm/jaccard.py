@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
@@ -57,6 +57,8 @@ BLOCK = 512
 BLOCK_BYTES = 8 << 20
 #: Longs that are sent to all tasks at most (16 bytes each in a hash table).
 BROADCAST_KEYS = 1 << 20
+#: Classes whose copies a task tells apart before they go to their regions.
+SEEN = 1 << 16
 
 _PART = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -131,22 +133,44 @@ def class_id(shingles: np.ndarray) -> np.uint64:
     return tokens.mix(np.array([tokens.mix(shingles ^ _PART).sum(dtype=np.uint64) + np.uint64(len(shingles))]))[0]
 
 
-def _read(docs: DataFrame, n: int, classes: Classes) -> DataFrame:
-    """(id, size, cid, text_hash, regions) for every row; cid is null for empty sets."""
+def _read(docs: DataFrame, n: int) -> DataFrame:
+    """(id, size, cid, text_hash) for every row; cid is null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, block in tokens.blocks(batches, "text"):
             sets = list(shingle_sets(block, n))
-            keys = [classes.regions(s) for s in sets]
             size = np.array([len(s) for s in sets], np.int64)
             cid = np.array([class_id(s) for s in sets], np.uint64).view(np.int64)
-            offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-            flat = np.concatenate([*keys, np.zeros(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_pydict({
-                "id": batch.column("id"), "text_hash": batch.column("text_hash"), "size": size,
-                "cid": pa.array(cid, mask=size == 0), "regions": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))})
+                "id": batch.column("id"), "text_hash": batch.column("text_hash"), "size": size, "cid": pa.array(cid, mask=size == 0)})
 
-    return docs.mapInArrow(run, "id long, text_hash long, size long, cid long, regions array<long>")
+    return docs.mapInArrow(run, "id long, text_hash long, size long, cid long")
+
+
+def _points(texts: DataFrame, n: int, classes: Classes) -> DataFrame:
+    """(cid, size, regions) of all classes that have regions.
+
+    A task passes over the copies of the last ``SEEN`` classes that it met, so that a large group of copies goes
+    to its regions about once a task; the rest of the copies is dropped there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for _, block in tokens.blocks(batches, "text"):
+            if len(seen) > SEEN:
+                seen = set()
+            new = {}
+            for s in shingle_sets(block, n):
+                if len(s) >= classes.borders[0] and (name := int(class_id(s))) not in seen:
+                    seen.add(name)
+                    new[name] = (len(s), classes.regions(s))
+            offsets = np.concatenate([[0], np.cumsum([len(k) for _, k in new.values()])]).astype(np.int32)
+            flat = np.concatenate([*(k for _, k in new.values()), np.zeros(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_pydict({
+                "cid": np.array(list(new), np.uint64).view(np.int64), "size": np.array([size for size, _ in new.values()], np.int64),
+                "regions": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))})
+
+    return texts.mapInArrow(run, "cid long, size long, regions array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, rows: DataFrame, n: int) -> DataFrame:
@@ -182,12 +206,13 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, both long")
 
 
-def _members(rows: DataFrame) -> DataFrame:
+def _members(points: DataFrame) -> DataFrame:
     """(region, cid, size, far): the classes of each region that holds more than one, regions with the same members once."""
-    # dealt by region once, for both sides of the join
-    points = rows.filter(F.size("regions") > 0).dropDuplicates(["cid"]).select("cid", "size", F.explode("regions").alias("region")).repartition("region")
-    shared = points.groupBy("region").agg(F.min("cid").alias("x"), F.max("cid").alias("y")).filter("x < y").select("region")
-    members = stage(points.join(shared, "region"), "jaccard_members")
+    # the keys cross the net once and are not staged: what a region holds is seen beside its members
+    region = Window.partitionBy("region")
+    met = points.select("cid", "size", F.explode("regions").alias("region")).select(
+        "region", "cid", "size", F.min("cid").over(region).alias("x"), F.max("cid").over(region).alias("y"))
+    members = stage(met.filter("x < y").select("region", "cid", "size").distinct(), "jaccard_members")
     names = members.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("s1"),
                                           F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("s2"))
     one = names.groupBy("n", "s1", "s2").agg(F.min("region").alias("region")).select("region")
@@ -202,8 +227,8 @@ def _grouped(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col:
 def _group(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     classes = Classes(num, den)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
-    rows = stage(_read(texts, n, classes), "jaccard_rows")
-    members = stage_alone(rows.sparkSession, "jaccard_regions", lambda: _members(rows))
+    rows = stage(_read(texts, n), "jaccard_rows")
+    members = stage_alone(rows.sparkSession, "jaccard_regions", lambda: _members(_points(texts.select("text"), n, classes)))
     sets = _sets(texts, stage(members.select("cid").distinct(), "jaccard_wanted"), rows, n)
 
     links = stage_alone(rows.sparkSession, "jaccard_links", lambda: _links(members, sets, num, den))

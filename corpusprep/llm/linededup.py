@@ -23,7 +23,7 @@ from __future__ import annotations
 import json
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage, stage_alone
@@ -114,10 +114,11 @@ def _shared_keys(classes: DataFrame) -> DataFrame:
     ``packed`` holds a line's size and the key's place in it.  Keys of one line only go here and are written no more.
     """
     entries = classes.select(F.col("h1").alias("line"), F.col("first")["id"].alias("id"), "size", F.posexplode("prefix").alias("at", "key")).select(
-        "key", "line", "id", (F.col("size").cast("bigint") * (1 << 32) + F.col("at")).alias("packed")).repartition("key")
-    leaders = entries.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "line", "packed")).alias("lead")).filter("n > 1")
-    met = entries.join(leaders.select("key", F.col("lead")["line"].alias("lead"), F.col("lead")["packed"].alias("lead_packed")), "key")
+        "key", "line", "id", (F.col("size").cast("bigint") * (1 << 32) + F.col("at")).alias("packed"))
+    # keys cross the net once: the first line of a key is seen beside its other lines
+    lead = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "line", "packed")).over(Window.partitionBy("key"))
+    met = entries.withColumn("lead", lead).select(
+        "key", "line", "id", "packed", F.col("lead")["line"].alias("lead"), F.col("lead")["packed"].alias("lead_packed"))
     return stage(met.filter("line <> lead"), "line_keys")
 
 

@@ -188,6 +188,37 @@ def test_jaccard_awkward(awkward, empty):
     assert jaccard.keep_one(empty).count() == 0
 
 
+@pytest.mark.parametrize("seen", [1 << 16, 0])
+def test_jaccard_copies_go_to_their_regions_once_a_task(spark, monkeypatch, seen):
+    monkeypatch.setattr(jaccard, "SEEN", seen)
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, text + (" tail" if i % 10 == 9 else "")) for i in range(200)] + [(200 + i, f"other{i} " * 3 + text[i * 8:90]) for i in range(5)] + [(None, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)  # seen = 0: each text forgets the one before it
+    try:
+        points = jaccard._points(docs.select("text"), 3, jaccard.Classes(80, 100))
+        most = max(r["count"] for r in points.groupBy("cid", F.spark_partition_id()).count().collect())
+        got = jaccard.jaccard_components(docs, 3, 80, 100).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert most == 1 if seen else most > 1
+    assert none_first(map(tuple, got)) == none_first(brute_components(rows, 3, 80, 100))
+
+
+@pytest.mark.parametrize("module,name,run", [
+    (jaccard, "jaccard_members", lambda d: jaccard.jaccard_components(d)), (linededup, "line_keys", lambda d: linededup.removed_lines(d))])
+def test_join_keys_cross_the_net_once(awkward, monkeypatch, module, name, run):
+    plans = {}
+
+    def spy(df, at):
+        plans[at] = df._jdf.queryExecution().executedPlan().toString()
+        return common.stage(df, at)
+
+    monkeypatch.setattr(module, "stage", spy)
+    run(awkward).count()
+    assert len(re.findall(r"\bExchange hash", plans[name])) == 1 and "Join" not in plans[name]
+
+
 def test_keep_one_of_repeated_rows(spark):
     docs = spark.createDataFrame([(5, "a b c d e f g h"), (5, "a b c d e f g h"), (9, "A B c d e f g h"), (7, "other words here")], "doc_id long, text string")
     assert sorted(map(tuple, jaccard.keep_one(docs).collect())) == [(5, "a b c d e f g h"), (7, "other words here")]

@@ -15,6 +15,21 @@ from ..session import scratch_path
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+#: Spark removes the shuffle files of a query when it has ended, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _write(df: DataFrame, path: str) -> None:
+    """Write a table that is read again; nothing else reads the shuffle files of the write, so they go with its end."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -25,7 +40,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     _note(path)
-    df.write.parquet(path)
+    _write(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -47,7 +62,7 @@ def stage_alone(spark: SparkSession, name: str, build: Callable[[], DataFrame])
     _scopes.open = [*getattr(_scopes, "open", []), []]
     try:
         df = build()
-        df.write.parquet(path)
+        _write(df, path)
     finally:
         for made in _scopes.open.pop():
             delete(spark, made)
@@ -78,7 +93,7 @@ def unit(*cols: Column) -> Column:
 
 def write_back(df: DataFrame, path: str) -> DataFrame:
     """``df`` as written to ``path`` and read again."""
-    df.write.parquet(path)
+    _write(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

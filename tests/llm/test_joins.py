@@ -219,6 +219,22 @@ def test_join_keys_cross_the_net_once(awkward, monkeypatch, module, name, run):
     assert len(re.findall(r"\bExchange hash", plans[name])) == 1 and "Join" not in plans[name]
 
 
+def test_staging_leaves_no_shuffle_files(spark, tmp_path):
+    import time
+
+    spark.sparkContext._jvm.System.gc()  # earlier tests' files go first
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {b for b in re.findall(r"shuffle_\d+_\d+_\d+\.data", manager.getAllFiles().mkString(" "))}
+    before, own = files(), spark.conf.get(common.CLEANUP)
+    rows = spark.range(5000).groupBy((F.col("id") % 97).alias("k")).agg(F.count("id").alias("n"))
+    made = common.write_back(rows.join(rows.withColumnRenamed("n", "m").hint("merge"), "k").repartition(3, "n"), str(tmp_path / "made"))
+    end = time.time() + 20
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before
+    assert made.count() == 97 and spark.conf.get(common.CLEANUP) == own
+
+
 def test_keep_one_of_repeated_rows(spark):
     docs = spark.createDataFrame([(5, "a b c d e f g h"), (5, "a b c d e f g h"), (9, "A B c d e f g h"), (7, "other words here")], "doc_id long, text string")
     assert sorted(map(tuple, jaccard.keep_one(docs).collect())) == [(5, "a b c d e f g h"), (7, "other words here")]

@@ -44,9 +44,14 @@ def year_of(doc_id: Column) -> Column:
 
 
 def record_columns(docs: DataFrame) -> DataFrame:
-    """``doc_id`` plus the record fields (id, newspaper, yr, tp, lg, len, ocrqa, ft)."""
+    """``doc_id`` plus the record fields (id, newspaper, yr, tp, lg, len, ocrqa, ft).
+
+    The quality of an empty text is 0 / 0, NaN as in the SQL; Spark's division would fail the job.
+    """
     d = F.col("doc_id")
     text = F.col("text")
+    n = F.char_length(text)
+    words = F.char_length(F.regexp_replace(text, NON_WORD_RE, ""))
     return docs.select(
         d,
         F.concat_ws("-", F.col("source"), year_of(d).cast("string"), d.cast("string")).alias("id"),
@@ -55,7 +60,7 @@ def record_columns(docs: DataFrame) -> DataFrame:
         F.when(d % 5 == 0, F.lit("page")).otherwise(F.lit("article")).alias("tp"),
         F.col("lang").alias("lg"),
         F.col("n_chars").alias("len"),
-        F.round(F.char_length(F.regexp_replace(text, NON_WORD_RE, "")) / F.char_length(text), 3).alias("ocrqa"),
+        F.when(n > 0, F.round(words / n, 3)).when(n == 0, F.lit(float("nan"))).alias("ocrqa"),
         text.alias("ft"),
     )
 

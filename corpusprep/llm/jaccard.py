@@ -23,6 +23,10 @@ members are about equally far from it, are joined block by block: a short signat
 some eight times D parts) bounds the number of parts in which two sets differ, and only pairs within D are compared.
 Two blocks yield the links of a spanning forest, not all links, and blocks that one component fills do not meet again.
 
+Sets cross the net only where a link is likely.  Every class has a mark, the parities of its hashes dealt to some 4 to 8 bits a
+shingle.  Marks differ in no more bits than sets in shingles, so a pair whose marks are too far apart has no link and is not verified, and
+a member of a region whose mark is near no other member's is done.  The sets of the others are read again from their texts.
+
 Equal sets are one class; only classes are joined.  Set elements are 64-bit hashes.
 
 Defined cases: null texts and texts without words have no set and link with nothing; a text with fewer
@@ -34,7 +38,7 @@ table gives no rows; very long texts are read whole.  Only the id and text colum
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +59,8 @@ SPLITS = 3
 #: Members of a block, and bytes of their sets, on average.
 BLOCK = 512
 BLOCK_BYTES = 8 << 20
+#: Members of a block of marks; its marks take ``BLOCK_BYTES`` at most, on average.
+MARK_BLOCK = 2048
 #: Longs that are sent to all tasks at most (16 bytes each in a hash table).
 BROADCAST_KEYS = 1 << 20
 #: Classes whose copies a task tells apart before they go to their regions.
@@ -133,8 +139,29 @@ def class_id(shingles: np.ndarray) -> np.uint64:
     return tokens.mix(np.array([tokens.mix(shingles ^ _PART).sum(dtype=np.uint64) + np.uint64(len(shingles))]))[0]
 
 
+def mark(shingles: np.ndarray) -> bytes:
+    """The parity of the number of hashes in each of 2 ** k >= 4 * size cells (64 at least); halves that are added make the next smaller mark."""
+    cells = 1 << max(6, (4 * len(shingles) - 1).bit_length())
+    odd = np.bincount(((shingles >> np.uint64(33)) & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(marked: bytes, words: int) -> np.ndarray:
+    """A mark as ``words`` 64-bit words."""
+    out = np.frombuffer(marked, np.uint64)
+    while len(out) > words:
+        out = out[:len(out) // 2] ^ out[len(out) // 2:]
+    return out
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """Elements that are in one of two sets only, at least."""
+    words = min(len(x), len(y)) // 8
+    return int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
+
+
 def _read(docs: DataFrame, n: int) -> DataFrame:
-    """(id, size, cid, text_hash) for every row; cid is null for empty sets."""
+    """(id, size, cid, text_hash, mark) for every row; cid and mark are null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, block in tokens.blocks(batches, "text"):
@@ -142,9 +169,10 @@ def _read(docs: DataFrame, n: int) -> DataFrame:
             size = np.array([len(s) for s in sets], np.int64)
             cid = np.array([class_id(s) for s in sets], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_pydict({
-                "id": batch.column("id"), "text_hash": batch.column("text_hash"), "size": size, "cid": pa.array(cid, mask=size == 0)})
+                "id": batch.column("id"), "text_hash": batch.column("text_hash"), "size": size, "cid": pa.array(cid, mask=size == 0),
+                "mark": pa.array([mark(s) if len(s) else None for s in sets], pa.binary())})
 
-    return docs.mapInArrow(run, "id long, text_hash long, size long, cid long")
+    return docs.mapInArrow(run, "id long, text_hash long, size long, cid long, mark binary")
 
 
 def _points(texts: DataFrame, n: int, classes: Classes) -> DataFrame:
@@ -206,6 +234,78 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, both long")
 
 
+def _apart(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """(a, b, apart): shingles in which class pairs differ, at least."""
+    left = marks.select(F.col("cid").alias("a"), F.col("mark").alias("ma"))
+    right = marks.select(F.col("cid").alias("b"), F.col("mark").alias("mb"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = [apart(x.as_py(), y.as_py()) for x, y in zip(batch.column("ma"), batch.column("mb"), strict=True)]
+            yield pa.RecordBatch.from_pydict({"a": batch.column("a"), "b": batch.column("b"), "apart": pa.array(least, pa.int64())})
+
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb").mapInArrow(run, "a long, b long, apart long")
+
+
+def near_places(size: np.ndarray, far: np.ndarray, root: np.ndarray, marks: list[bytes], side: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Places of the members that may have a link with one of another component (and of another side, where there are two), one of them far."""
+    order = np.argsort(size, kind="stable")
+    size, far, root, side = size[order], far[order], root[order], side[order]
+    words = np.array([len(marks[k]) // 8 for k in order])
+    last = np.searchsorted(size, size * den // num, "right")  # the largest partner
+    near = np.zeros(len(order), bool)
+    two = bool(side.any())
+    for w in np.unique(words):
+        own = np.flatnonzero(words == w)
+        first, end = int(own[0]), int(last[own[-1]])
+        table = np.stack([folded(marks[k], int(w)) for k in order[first:end]])
+        for i in own.tolist():
+            j = slice(i + 1, int(last[i]))
+            differ = np.bitwise_count(table[i + 1 - first:j.stop - first] ^ table[i - first]).sum(axis=1, dtype=np.int64)
+            hit = (differ * (den + num) <= (size[j] + size[i]) * (den - num)) & (far[j] | far[i]) & (root[j] != root[i])
+            if two:
+                hit &= side[j] != side[i]
+            if hit.any():
+                near[i] = True
+                near[j] |= hit
+    return order[near]
+
+
+def _near(members: DataFrame, marks: DataFrame, num: int, den: int) -> DataFrame:
+    """The ``members`` (region, cid, size, far, root, ...) whose marks leave a link with another component open."""
+    counts = members.groupBy("region").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / MARK_BLOCK, F.sum("size") / BLOCK_BYTES)).cast("long").alias("blocks"))
+    item = F.struct("cid", "size", "far", "root", "mark").alias("item")
+    blocks = stage(members.join(counts, "region").join(marks, "cid").select(
+        "region", "blocks", F.pmod(F.xxhash64("cid", F.lit(7)), F.col("blocks")).alias("block"), item)
+        .groupBy("region", "blocks", "block").agg(F.collect_list("item").alias("items")), "jaccard_marks")
+
+    def near(region, *sides) -> pa.RecordBatch:
+        parts = [(np.asarray(x.field("cid")), np.asarray(x.field("size")), np.asarray(x.field("far").to_pylist(), bool), np.asarray(x.field("root")),
+                  x.field("mark").to_pylist()) for x in sides]
+        cid, size, far, root = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        at = near_places(size, far, root, [m for p in parts for m in p[4]], np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts]), num, den)
+        return pa.RecordBatch.from_pydict({"region": pa.array([region.as_py()] * len(at), pa.int64()), "cid": pa.array(cid[at], pa.int64())})
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for region, items in zip(batch.column("region"), batch.column("items"), strict=True):
+                if len(items.values) > 1:
+                    yield near(region, items.values)
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for region, x, y in zip(batch.column("region"), batch.column("x"), batch.column("y"), strict=True):
+                yield near(region, x.values, y.values)
+
+    found = blocks.select("region", "items").mapInArrow(alone, "region long, cid long")
+    many = blocks.filter("blocks > 1")
+    met = many.select("region", F.col("block").alias("i"), F.col("items").alias("x")).join(
+        many.select("region", F.col("block").alias("j"), F.col("items").alias("y")), "region").filter("i < j")
+    found = found.unionByName(met.select("region", "x", "y").mapInArrow(across, "region long, cid long"))
+    return members.join(stage(found.distinct(), "jaccard_near"), ["region", "cid"], "left_semi")
+
+
 def _members(points: DataFrame) -> DataFrame:
     """(region, cid, size, far): the classes of each region that holds more than one, regions with the same members once."""
     # the keys cross the net once and are not staged: what a region holds is seen beside its members
@@ -229,9 +329,13 @@ def _group(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: s
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
     rows = stage(_read(texts, n), "jaccard_rows")
     members = stage_alone(rows.sparkSession, "jaccard_regions", lambda: _members(_points(texts.select("text"), n, classes)))
-    sets = _sets(texts, stage(members.select("cid").distinct(), "jaccard_wanted"), rows, n)
+    marks = stage(rows.join(stage(members.select("cid").distinct(), "jaccard_wanted"), "cid", "left_semi").select("cid", "mark").dropDuplicates(["cid"]),
+                  "jaccard_class_marks")
+
+    def sets(wanted: DataFrame) -> DataFrame:
+        return _sets(texts, stage(wanted.select("cid").distinct(), "jaccard_wanted"), rows, n)
 
-    links = stage_alone(rows.sparkSession, "jaccard_links", lambda: _links(members, sets, num, den))
+    links = stage_alone(rows.sparkSession, "jaccard_links", lambda: _links(members, marks, sets, num, den))
     roots = stage(components(links, "jaccard").withColumnRenamed("node", "cid"), "jaccard_roots")
     return rows.select("id", "text_hash", "size", "cid").join(roots, "cid", "left").select(
         "id", "text_hash", "size", F.coalesce("root", "cid").alias("root"))
@@ -257,13 +361,14 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col:
     mark = f"_{'_'.join(docs.columns)}"  # clashes with no column of docs
     keys = lambda t: t.select(F.col("id").alias("k1" + mark), F.col("text_hash").alias("k2" + mark))
     same = docs[id_col].cast("long").eqNullSafe(F.col("k1" + mark)) & (F.xxhash64(docs[text_col]) == F.col("k2" + mark))
-    once = docs.join(keys(fate.filter("not stays or times > 1")), same, "left_anti")
-    repeated = docs.join(keys(fate.filter("stays and times > 1")), same).dropDuplicates(["k1" + mark, "k2" + mark]).select(*docs.columns)
+    gone, twice = (_small(stage(keys(fate.filter(which)), "jaccard_gone")) for which in ("not stays or times > 1", "stays and times > 1"))
+    once = docs.join(gone, same, "left_anti")
+    repeated = docs.join(twice, same).dropDuplicates(["k1" + mark, "k2" + mark]).select(*docs.columns)
     return once.unionByName(repeated)
 
 
-def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(u, v): links that connect all linked classes.  ``members``: region, cid, size, far."""
+def _links(members: DataFrame, marks: DataFrame, sets: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame:
+    """(u, v): links that connect all linked classes.  ``members``: region, cid, size, far; ``sets`` gives the sets of classes (cid)."""
     eps = 1 - num / den
     both, union = F.col("both"), F.col("size") + F.col("size_b") - F.col("both")
     linked = (den * both) >= (num * union)
@@ -273,15 +378,25 @@ def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
         """Adds ``both`` to (region, a, size, b, size_b, ...); null where the sizes alone exclude a link."""
         possible = den * F.least("size", "size_b") >= num * F.greatest("size", "size_b")
         wanted = pairs.filter(possible).select("a", "b").distinct()
-        done = stage(_verify(wanted, sets), "jaccard_both")
-        return pairs.join(done, ["a", "b"], "left")
+        return pairs.join(verified(wanted), ["a", "b"], "left")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = stage(pairs, "jaccard_pairs")
+        return stage(_verify(pairs, sets(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))))), "jaccard_both")
 
     # one pivot: the smallest class, compared with the whole region
     pivot = members.groupBy("region").agg(F.min(F.struct("cid", "size")).alias("p"))
     pairs = (members.join(pivot, "region").select("region", F.col("cid").alias("a"), "size", F.col("p.cid").alias("b"), F.col("p.size").alias("size_b"))
              .filter("a <> b"))
-    found = stage(compared(pairs).withColumn("linked", F.coalesce(linked, F.lit(False))).withColumn(
-        "d", 1 - F.coalesce(both, F.least("size", "size_b")) / F.when(both.isNull(), F.greatest("size", "size_b")).otherwise(union)), "jaccard_star")
+    bounds = stage(_apart(pairs.filter(den * F.least("size", "size_b") >= num * F.greatest("size", "size_b")).select("a", "b").distinct(), marks),
+                   "jaccard_apart")
+    bounded = stage(pairs.join(bounds, ["a", "b"], "left"), "jaccard_bounded")
+    total = F.col("size") + F.col("size_b")
+    likely = bounded.filter((den + num) * F.col("apart") <= (den - num) * total).select("a", "b").distinct()
+    # a pair that is not verified is as far apart as its marks or its sizes say, at least
+    least = F.greatest(F.coalesce("apart", F.lit(0)), F.abs(F.col("size") - F.col("size_b")))
+    found = stage(bounded.join(verified(likely), ["a", "b"], "left").withColumn("linked", F.coalesce(linked, F.lit(False))).withColumn(
+        "d", F.when(both.isNull(), 2 * least / (total + least)).otherwise(1 - both / union)), "jaccard_star")
     out.append(found.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
     closest = found.filter(~F.col("linked")).groupBy("region").agg(F.min("d").alias("closest"))
     # windows are 2 eps wide: distances that differ by less can't tell cells apart
@@ -291,6 +406,7 @@ def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     members = stage(found.join(closest, "region").filter(~F.col("linked") | (F.col("d") >= F.col("closest") - eps - 1e-9)).join(spread, "region")
                     .join(roots, "a", "left").select("region", F.col("a").alias("cid"), "size", (~F.col("linked")).alias("far"), "splits",
                                                      F.coalesce("root", "a").alias("root")), "jaccard_open")
+    members = stage(_near(members, marks, num, den), "jaccard_open")
 
     for level in range(SPLITS + 1):
         counts = members.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
@@ -303,7 +419,7 @@ def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
         large = stage(members.join(counts.filter(F.col("n") > LEAF), "region"), "jaccard_large")
         whole = large if level == SPLITS else large.filter(~F.col("splits"))
         if whole.head(1):
-            out.append(_block_links(whole, sets, num, den))
+            out.append(_block_links(whole, sets(whole), num, den))
         large = large.filter("splits")
         if level == SPLITS or not large.head(1):
             break

@@ -160,6 +160,59 @@ def test_jaccard_dense_group_costs_a_chain_of_blocks(spark, monkeypatch):
     assert roots_of(ids, got) == roots_of(ids, linked)
 
 
+@pytest.mark.parametrize("num,den", [(80, 100), (90, 100), (30, 100)])
+def test_jaccard_marks_lose_no_link(num, den):
+    """Marks differ in no more bits than their sets in elements, whatever the sizes; members of links are near, others mostly not."""
+    rng = np.random.default_rng(num)
+    pool = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
+    sets = [rng.choice(pool, int(k), replace=False) for k in [1, 2, 3, *rng.integers(4, 900, 60)]]
+    sets += [np.concatenate([s[int(len(s) * rng.uniform(0, 0.3)):], rng.choice(pool, 2)]) for s in sets]
+    sets = [np.unique(s) for s in sets]
+    marks = [jaccard.mark(s) for s in sets]
+    union = {(i, j): len(np.union1d(sets[i], sets[j])) for i in range(len(sets)) for j in range(i)}
+    both = {(i, j): len(sets[i]) + len(sets[j]) - u for (i, j), u in union.items()}
+    for (i, j), u in union.items():
+        assert jaccard.apart(marks[i], marks[j]) == jaccard.apart(marks[j], marks[i]) <= u - both[i, j]
+    links = [p for p, u in union.items() if den * both[p] >= num * u]
+    size, n = np.array([len(s) for s in sets]), len(sets)
+    found = jaccard.near_places(size, np.ones(n, bool), np.arange(n), marks, np.zeros(n, int), num, den)
+    assert links and {x for p in links for x in p} <= set(found.tolist())
+    # a link between equal roots, between members that are not far, or on one side is none that is open
+    for root, far, side in ((np.zeros(n, int), np.ones(n, bool), np.zeros(n, int)), (np.arange(n), np.zeros(n, bool), np.zeros(n, int)),
+                            (np.arange(n), np.ones(n, bool), np.ones(n, int))):
+        assert not len(jaccard.near_places(size, far, root, marks, side, num, den))
+    unlike = [rng.integers(0, 1 << 63, 300, dtype=np.uint64) for _ in range(50)]
+    assert not len(jaccard.near_places(np.full(50, 300), np.ones(50, bool), np.arange(50), [jaccard.mark(s) for s in unlike], np.zeros(50, int), 80, 100))
+
+
+def test_jaccard_blocks_of_marks(spark, monkeypatch):
+    """Regions of several blocks of marks: the members of links in two blocks are found."""
+    monkeypatch.setattr(jaccard, "MARK_BLOCK", 7)
+    monkeypatch.setattr(jaccard, "LEAF", 4)
+    rows = awkward_corpus(11)
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 80, 100).collect()
+    assert none_first(map(tuple, got)) == none_first(brute_components(rows, 3, 80, 100))
+
+
+def test_jaccard_texts_with_a_common_passage_send_no_sets(spark, monkeypatch):
+    """Texts that share a passage meet in regions; their sets do not cross the net, as their marks say that they have no link."""
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join([f"w{rng.random()}" for _ in range(60)] + passage)) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " more") for i in range(3)]
+    staged, real = {}, jaccard.stage
+
+    def counted(df, name):
+        out = real(df, name)
+        staged[name] = staged.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stage", counted)
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 5, 80, 100).collect()
+    assert staged["jaccard_members"] > 60 and staged["jaccard_sets"] <= 12
+    assert {r["id"]: r["component_id"] for r in got} == {i: i % 100 for i, _ in rows}
+
+
 def test_jaccard_parts_find_every_link():
     """Linked sets share a region key, whatever their sizes."""
     rng = np.random.default_rng(4)
